@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from spanforge.llm import sharding
+from spanforge.llm import packing, sharding, token_files
 
 QUERIES = {
+    "op8_token_files": token_files.query,
     "op9_stratified_shards": sharding.query,
+    "op10_best_fit": packing.query,
 }
 
 ORACLES = {

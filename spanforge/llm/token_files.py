@@ -1,0 +1,240 @@
+"""Token ids in binary shards, with a minimal perfect hash index for keyed access.
+
+A shard is two files.  `<name>.ids` is the raw payload: the ids of its documents
+end to end, unsigned little-endian 16-bit where the vocabulary allows it, else
+32-bit, nothing else.  `<name>.index` is a JSON header line and arrays: the
+levels of a minimal perfect hash over the shard's distinct keys, and by hash
+slot a stored 32-bit fingerprint, the first record and the number of records of
+the key; then the offsets of all records in the payload.  A lookup computes the
+slot with a few probes, compares the fingerprint, and reads one slice, whatever
+the size of the shard.
+
+The hash: at each level the keys left over are thrown into a bit array of GAMMA
+bits a key; keys alone in their bit settle there, the others go to the next
+level.  A key's slot is the number of set bits before its own, counted when the
+index is opened.  Keys outside the index are refused by the fingerprint, but for
+one in 2^32.
+
+Rows are dealt by ranges of the key and sorted in each range, so shards in
+order hold the keys in order.  Each task streams its payload to a file whose
+name carries the attempt; only files that a successful task reported are in the
+manifest, so a lost executor or a second attempt cannot mix files.
+
+Defined cases: a null text is empty and has the end id only; null keys come
+first in the order and are stored under the key NULL_KEY; rows that repeat a key
+are kept, in the order of their text; an empty table has no shards.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+import zlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from spanforge.llm import common
+from spanforge.llm import textbatch as tb
+from spanforge.llm.pretoken import library_vocabulary
+
+GAMMA = 2.0
+NULL_KEY = -(1 << 63)
+END_ID = 2
+MANIFEST = "shard int, name string, n_docs long, n_ids long, first_key long, last_key long, bytes_per_id int"
+
+
+class PerfectHash:
+    """A minimal perfect hash of distinct 64-bit keys; see the module's text."""
+
+    def __init__(self, levels: list[np.ndarray]):
+        self.levels = levels  # bit arrays as bytes, little bit order
+        self._bits = [np.unpackbits(x, bitorder="little") for x in levels]
+        self._rank = [np.cumsum(b, dtype=np.int64) for b in self._bits]
+        self._first = tb.bounds_of([r[-1] for r in self._rank])
+
+    @staticmethod
+    def _places(keys: np.ndarray, level: int, size: int) -> np.ndarray:
+        return tb.mixed(keys.astype(np.uint64) + np.uint64((level + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) % np.uint64(size)
+
+    @classmethod
+    def built(cls, keys: np.ndarray) -> PerfectHash:
+        levels, left = [], keys
+        while len(left):
+            size = -(-int(GAMMA * len(left) + 1) // 8) * 8
+            at = cls._places(left, len(levels), size)
+            alone = np.bincount(at.astype(np.int64), minlength=size) == 1
+            levels.append(np.packbits(alone, bitorder="little"))
+            left = left[~alone[at]]
+        return cls(levels)
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of each key; -1 for keys that surely are not in it."""
+        out = np.full(len(keys), -1, np.int64)
+        left = np.arange(len(keys))
+        for level, bits in enumerate(self._bits):
+            at = self._places(keys[left], level, len(bits)).astype(np.int64)
+            hit = bits[at] == 1
+            out[left[hit]] = self._first[level] + self._rank[level][at[hit]] - 1
+            left = left[~hit]
+        return out
+
+
+def fingerprints(keys: np.ndarray) -> np.ndarray:
+    return (tb.mixed(keys.astype(np.uint64) ^ np.uint64(0xA5A5A5A5DEADBEEF)) >> np.uint64(32)).astype(np.uint32)
+
+
+def _filesystem(folder: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(folder)
+
+
+def _index_bytes(keys: np.ndarray, offsets: np.ndarray) -> bytes:
+    """keys: of the records in order, equal ones adjacent."""
+    distinct, first, counts = np.unique(keys, return_index=True, return_counts=True)
+    mph = PerfectHash.built(distinct)
+    slots = mph.slots(distinct)
+    prints, record, number = np.zeros(len(distinct), "<u4"), np.zeros(len(distinct), "<u8"), np.zeros(len(distinct), "<u4")
+    prints[slots], record[slots], number[slots] = fingerprints(distinct), first, counts
+    arrays = [*mph.levels, prints, record, number, offsets.astype("<u8")]
+    header = {"levels": len(mph.levels), "arrays": [[a.dtype.str, len(a)] for a in arrays]}
+    return json.dumps(header).encode() + b"\n" + b"".join(a.tobytes() for a in arrays)
+
+
+class Shard:
+    """Keyed access to one written shard."""
+
+    def __init__(self, folder: str, name: str, bytes_per_id: int):
+        self._fs, base = _filesystem(folder)
+        with self._fs.open_input_file(f"{base}/{name}.index") as file:
+            raw = file.read()
+        head, _, body = raw.partition(b"\n")
+        header, arrays, at = json.loads(head), [], 0
+        for kind, size in header["arrays"]:
+            arrays.append(np.frombuffer(body, kind, size, at))
+            at += arrays[-1].nbytes
+        self.hash = PerfectHash(arrays[: header["levels"]])
+        self.prints, self.record, self.number, self.offsets = arrays[header["levels"] :]
+        self.path, self.type = f"{base}/{name}.ids", np.dtype(f"<u{bytes_per_id}")
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first record, number of records) of each key; -1 and 0 where it has none."""
+        slots = self.hash.slots(keys)
+        good = slots >= 0
+        good[good] = self.prints[slots[good]] == fingerprints(keys[good])
+        first, number = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
+        first[good], number[good] = self.record[slots[good]], self.number[slots[good]]
+        return first, number
+
+    def read(self, records: np.ndarray, most: int = 1 << 22) -> Iterator[np.ndarray]:
+        """The ids of ascending records; neighbours are fetched together, about most ids at a time."""
+        with self._fs.open_input_file(self.path) as file:
+            i, wide = 0, self.type.itemsize
+            while i < len(records):
+                j = i + 1
+                start = int(self.offsets[records[i]])
+                while j < len(records) and records[j] == records[j - 1] + 1 and int(self.offsets[records[j] + 1]) - start <= most:
+                    j += 1
+                stop = int(self.offsets[records[j - 1] + 1])
+                file.seek(start * wide)
+                ids = np.frombuffer(file.read((stop - start) * wide), self.type)
+                for r in records[i:j].tolist():
+                    yield ids[int(self.offsets[r]) - start : int(self.offsets[r + 1]) - start]
+                i = j
+
+
+def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = END_ID, shards: int | None = None) -> DataFrame:
+    """Write the shards of docs (doc_id, text) to folder, one for each range of keys; the manifest, written beside them, is returned.
+
+    One shuffle of the texts, by ranges of the key.
+    """
+    spark = docs.sparkSession
+    shards = shards or common.shuffle_partitions(spark)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = library_vocabulary(tokenizer)
+        wide = 2 if max([*vocabulary.special.values(), end_id or 0, 1 << 15]) < 1 << 16 else 4
+        task = TaskContext.get()
+        name = f"shard-{task.partitionId():06d}-{task.attemptNumber()}-{uuid.uuid4().hex[:12]}"
+        target, base = _filesystem(folder)
+        keys, sizes, out = [], [], None
+        for batch in batches:
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            keys.append(batch.column(0).fill_null(NULL_KEY).to_numpy())
+            for b, e in common.slices(texts):
+                flat, bounds = vocabulary(texts[b:e])
+                if end_id is not None:
+                    flat, bounds = np.insert(flat, bounds[1:], end_id), bounds + np.arange(len(bounds))
+                if len(flat) and int(flat.max()) >> (8 * wide):
+                    raise ValueError("an id does not fit the payload's type")
+                out = out or target.open_output_stream(f"{base}/{name}.ids")
+                out.write(flat.astype(f"<u{wide}").tobytes())
+                sizes.append(np.diff(bounds))
+        if out is None:
+            return
+        out.close()
+        keys, offsets = np.concatenate(keys), tb.bounds_of(np.concatenate(sizes))
+        with target.open_output_stream(f"{base}/{name}.index") as index:
+            index.write(_index_bytes(keys, offsets))
+        row = [task.partitionId(), name, len(keys), int(offsets[-1]), int(keys[0]), int(keys[-1]), wide]
+        types = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], names=["shard", "name", "n_docs", "n_ids", "first_key", "last_key", "bytes_per_id"])
+
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(hadoop)
+    ordered = docs.select("doc_id", "text").repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered.mapInArrow(write, MANIFEST).write.parquet(f"{folder}/manifest")
+    return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
+
+
+def lookup(keys: DataFrame, manifest: DataFrame, folder: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of the records of keys (doc_id), found through the index and read from the files.
+
+    One shuffle of the keys alone, to the shard whose range holds them.  What the
+    tasks are handed of the manifest is a row for each shard.
+    """
+    rows = sorted((tuple(r) for r in manifest.select("shard", "name", "bytes_per_id", "first_key", "last_key", "n_ids").collect()))
+    firsts = np.array([r[3] for r in rows], np.int64)
+    before = tb.bounds_of([r[5] for r in rows])
+    name = keys.columns[0]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = batch.column(0).fill_null(NULL_KEY)
+            place = np.searchsorted(firsts, key.to_numpy(), "right") - 1
+            yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), key], names=["place", "key"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened, shard = -1, None
+        for batch in batches:
+            place, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for at in np.unique(place[place >= 0]).tolist():
+                asked = np.unique(key[place == at])
+                if at != opened:
+                    opened, shard = at, Shard(folder, rows[at][1], rows[at][2])
+                first, number = shard.find(asked)
+                records = tb.gathered(np.arange(len(shard.offsets)), np.maximum(first, 0), number)
+                crc = [zlib.crc32(ids.astype("<u4").tobytes()) for ids in shard.read(records)]
+                found = np.repeat(asked, number)
+                begin, end = shard.offsets[records].astype(np.int64), shard.offsets[records + 1].astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found, mask=found == NULL_KEY), pa.array(begin + before[at]), pa.array(end - begin), pa.array(crc, pa.int64())],
+                    names=["doc_id", "start", "n_tokens", "ids_crc32"],
+                )
+
+    dealt = keys.select(F.col(name).cast("long")).distinct().mapInArrow(deal, "place int, key long")
+    return dealt.repartition(common.shuffle_partitions(keys.sparkSession), "place").sortWithinPartitions("place", "key").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = common.table(spark, sf_dir, "documents")
+    folder = common.fresh_path(spark, "token-ids")
+    manifest = write_shards(docs, folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return lookup(docs.select("doc_id"), manifest, folder)
