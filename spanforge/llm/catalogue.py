@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from spanforge.llm import packing, sharding, token_files
+from spanforge.llm import bpe, packing, sharding, token_files
 
 QUERIES = {
+    "op3_backtracking_bpe": bpe.query,
     "op8_token_files": token_files.query,
     "op9_stratified_shards": sharding.query,
     "op10_best_fit": packing.query,
