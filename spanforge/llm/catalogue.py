@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from spanforge.llm import bpe, packing, sharding, token_files
+from spanforge.llm import bpe, near_dedup, packing, quality, sharding, token_files
 
 QUERIES = {
     "op3_backtracking_bpe": bpe.query,
+    "op6_host_rules": quality.query,
+    "op7_near_dedup": near_dedup.query,
     "op8_token_files": token_files.query,
     "op9_stratified_shards": sharding.query,
     "op10_best_fit": packing.query,
 }
 
 ORACLES = {
+    "op6_host_rules": quality.ORACLE_SQL,
     "op9_stratified_shards": sharding.ORACLE_SQL,
 }
