@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from spanforge.llm import bpe, near_dedup, packing, quality, sharding, token_files
+from spanforge.llm import bpe, fingerprints, near_dedup, packing, quality, sharding, token_files
 
 QUERIES = {
     "op3_backtracking_bpe": bpe.query,
+    "op4_weighted_sampling": fingerprints.query,
     "op6_host_rules": quality.query,
     "op7_near_dedup": near_dedup.query,
     "op8_token_files": token_files.query,
@@ -14,6 +15,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op4_weighted_sampling": fingerprints.query,
     "op6_host_rules": quality.ORACLE_SQL,
     "op9_stratified_shards": sharding.ORACLE_SQL,
 }
