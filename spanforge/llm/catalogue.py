@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from spanforge.llm import bpe, fingerprints, near_dedup, packing, quality, sharding, token_files
+from spanforge.llm import bpe, fingerprints, language_id, near_dedup, packing, quality, sharding, token_files
 
 QUERIES = {
+    "op1_byte_network": language_id.query,
     "op3_backtracking_bpe": bpe.query,
     "op4_weighted_sampling": fingerprints.query,
     "op6_host_rules": quality.query,

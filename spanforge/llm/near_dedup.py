@@ -235,5 +235,20 @@ def linked(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def deduplicated(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The rows of docs, all columns as they are, one for each component: that of the smallest doc_id.
+
+    Rows without a doc_id stay.  Of rows that repeat a doc_id the least one, in
+    the order of their values, stays.
+    """
+    verdicts = linked(docs.select("doc_id", "text"), shingle)
+    gone = verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    again = common.written(docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1").select("_again"), "repeated")
+    if not again.isEmpty():
+        twice = docs.join(again, F.col("doc_id") == F.col("_again"), "left_semi").groupBy("doc_id").agg(F.min(F.struct(*(F.col(c) for c in docs.columns))).alias("_row"))
+        docs = docs.join(again, F.col("doc_id") == F.col("_again"), "left_anti").unionByName(twice.select("_row.*"))
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked(common.table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spanforge.llm import common
 from spanforge.llm import textbatch as tb
@@ -92,43 +93,75 @@ def counts(texts: list[str]) -> dict[str, np.ndarray]:
     return dict(zip(COUNTS, (n_words, inside, n_symbols, n_dup_lines, n_repeat, n_lines), strict=True))
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """doc_id, source and COUNTS of each document; no shuffle."""
+def measured(docs: DataFrame, prefix: str = "") -> DataFrame:
+    """docs with COUNTS of its text, their names with the prefix; no shuffle."""
+    at = docs.columns.index("text")
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(prefix + c, T.LongType()) for c in COUNTS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
+            texts = [t or "" for t in batch.column(at).to_pylist()]
             for b, e in common.slices(texts):
-                found = counts(texts[b:e])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(b, e - b), batch.column(1).slice(b, e - b), *(pa.array(found[c].astype(np.int64)) for c in COUNTS)], names=["doc_id", "source", *COUNTS])
+                found, part = counts(texts[b:e]), batch.slice(b, e - b)
+                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(found[c].astype(np.int64)) for c in COUNTS)], names=schema.names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), "text").mapInArrow(run, "doc_id long, source string, " + ", ".join(f"{c} long" for c in COUNTS))
+    return docs.mapInArrow(run, schema)
 
 
-def judged(docs: DataFrame) -> DataFrame:
-    """doc_id, source, COUNTS, base_failed, soft_failed, host_rate, kept of each document of docs (doc_id, source, text)."""
-    base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+def ruled(rows: DataFrame, prefix: str = "") -> DataFrame:
+    """rows of measured() with base_failed and soft_failed."""
+    c = {name: F.col(prefix + name) for name in COUNTS}
+    base = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEAT_PERCENT * c["n_words"])
     soft = [
-        100 * F.col("n_symbols") > MAX_SYMBOLS_PERCENT * F.col("n_words"),
-        100 * F.col("n_dup_lines") > MAX_DUP_PERCENT * F.col("n_lines"),
-        ~F.col("word_chars").between(MEAN_WORD[0] * F.col("n_words"), MEAN_WORD[1] * F.col("n_words")),
+        100 * c["n_symbols"] > MAX_SYMBOLS_PERCENT * c["n_words"],
+        100 * c["n_dup_lines"] > MAX_DUP_PERCENT * c["n_lines"],
+        ~c["word_chars"].between(MEAN_WORD[0] * c["n_words"], MEAN_WORD[1] * c["n_words"]),
     ]
-    rows = common.written(measured(docs), "quality")
-    rows = rows.withColumn("base_failed", base).withColumn("soft_failed", sum(x.cast("int") for x in soft))
-    hosts = common.written(
-        rows.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum((F.col("base_failed") | (F.col("soft_failed") > 0)).cast("long")).alias("failed")),
-        "hosts",
-    )
+    return rows.withColumn(prefix + "base_failed", base).withColumn(prefix + "soft_failed", sum((x.cast("int") for x in soft), F.lit(0)))
+
+
+def host_rates(rows: DataFrame) -> tuple[DataFrame, int]:
+    """(host, host_rate of the rows of ruled() by source; number of hosts)."""
+    failed = (F.col("base_failed") | (F.col("soft_failed") > 0)).cast("long")
+    hosts = common.written(rows.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum(failed).alias("failed")), "hosts")
     a, b, n = beta_prior(hosts)
-    verdicts = hosts.select(F.col("source").alias("host"), ((F.col("failed") + a) / (F.col("docs") + a + b)).alias("host_rate"))
-    if n <= BROADCAST_HOSTS:
-        joined = rows.join(F.broadcast(verdicts), F.col("source").eqNullSafe(F.col("host")), "left")
+    return hosts.select(F.col("source").alias("host"), ((F.col("failed") + a) / (F.col("docs") + a + b)).alias("host_rate")), n
+
+
+def with_verdict(rows: DataFrame, rates: DataFrame, hosts: int, prefix: str = "") -> DataFrame:
+    """rows of ruled() with host_rate and kept."""
+    named = rates.select(F.col("host").alias(prefix + "host"), F.col("host_rate").alias(prefix + "host_rate"))
+    same = F.col("source").eqNullSafe(F.col(prefix + "host"))
+    if hosts <= BROADCAST_HOSTS:
+        joined = rows.join(F.broadcast(named), same, "left")
     else:
-        copies = verdicts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        salted = rows.withColumn("dealt", F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(SALTS)).cast("int"))
-        joined = salted.join(copies, F.col("source").eqNullSafe(F.col("host")) & (F.col("dealt") == F.col("salt")), "left").drop("dealt", "salt")
-    allowed = F.when(F.col("host_rate") > DOUBT, DOUBTED).otherwise(TRUSTED)
-    return joined.withColumn("kept", ~F.col("base_failed") & (F.col("soft_failed") <= allowed)).drop("host")
+        copies = named.withColumn(prefix + "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = rows.withColumn(prefix + "dealt", F.pmod(F.xxhash64("doc_id", prefix + "n_words", prefix + "word_chars"), F.lit(SALTS)).cast("int"))
+        joined = salted.join(copies, same & (F.col(prefix + "dealt") == F.col(prefix + "salt")), "left").drop(prefix + "dealt", prefix + "salt")
+    allowed = F.when(F.col(prefix + "host_rate") > DOUBT, DOUBTED).otherwise(TRUSTED)
+    return joined.withColumn(prefix + "kept", ~F.col(prefix + "base_failed") & (F.col(prefix + "soft_failed") <= allowed)).drop(prefix + "host")
+
+
+def _narrow(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), "text")
+
+
+def judged(docs: DataFrame) -> DataFrame:
+    """doc_id, source, COUNTS, base_failed, soft_failed, host_rate, kept of each document of docs (doc_id, source, text)."""
+    rows = ruled(common.written(measured(_narrow(docs)).drop("text"), "quality"))
+    return with_verdict(rows, *host_rates(rows))
+
+
+def accepted(docs: DataFrame) -> DataFrame:
+    """The rows of docs, all columns as they are, that are kept.
+
+    Texts are read twice (for the hosts, then for the rows) and not shuffled.
+    """
+    rates, hosts = host_rates(ruled(measured(_narrow(docs)).drop("text")))
+    prefix = "_"
+    while any(c.startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    return with_verdict(ruled(measured(docs, prefix), prefix), rates, hosts, prefix).where(F.col(prefix + "kept")).select(*docs.columns)
 
 
 def beta_prior(hosts: DataFrame) -> tuple[float, float, int]:
