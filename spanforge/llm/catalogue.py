@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from spanforge.llm import bpe, fingerprints, language_id, near_dedup, packing, quality, sharding, token_files
+from spanforge.llm import bpe, fingerprints, language_id, license_scan, near_dedup, packing, quality, sharding, token_files, transcripts
 
 QUERIES = {
     "op1_byte_network": language_id.query,
+    "op2_license_templates": license_scan.query,
     "op3_backtracking_bpe": bpe.query,
     "op4_weighted_sampling": fingerprints.query,
+    "op5_transcripts": transcripts.query,
     "op6_host_rules": quality.query,
     "op7_near_dedup": near_dedup.query,
     "op8_token_files": token_files.query,
@@ -16,6 +18,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op5_transcripts": transcripts.ORACLE_SQL,
     "op4_weighted_sampling": fingerprints.query,
     "op6_host_rules": quality.ORACLE_SQL,
     "op9_stratified_shards": sharding.ORACLE_SQL,

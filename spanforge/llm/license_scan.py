@@ -1,0 +1,141 @@
+"""License scans by conditional compression.
+
+Places of a text that hold a cue word are widened to candidate blocks.  Each
+block is compressed with Zstandard, once plainly and once with each template as
+a raw-content dictionary.  What the dictionary saves, against the size of the
+template's own compressed text, says how much of the template the block holds;
+templates are ranked by it.  Those that save enough are confirmed by their
+wording: the least number of words to change, add or drop to find the template
+within the block (an alignment that may begin and end anywhere in the block).
+
+Texts without a cue are filtered out by a pattern in the scan; the rest is one
+pass over each text without a shuffle.
+
+Defined cases: null and empty texts have no hits; a block may have hits of
+several licenses, and the best template of each license is reported; repeated
+rows and a null doc_id are scanned like others; an empty table gives no rows;
+extra columns are not read.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+from functools import lru_cache
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from spanforge.llm import common
+
+#: Wordings of license notices, by license.
+TEMPLATES = {
+    "Apache-2.0": [
+        "Licensed under the Apache License, Version 2.0.",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at',
+        'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
+    ],
+    "MIT": [
+        "Released under the MIT License.",
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction',
+    ],
+    "GPL-3.0": [
+        "This work is licensed under the GNU General Public License, version 3.",
+        "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
+    "CC-BY-NC-4.0": [
+        "Licensed under CC BY-NC 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    ],
+    "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
+    "BSD": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"],
+    "Proprietary": ["All rights reserved."],
+}
+CUES = r"(?i)licen[cs]e|all rights reserved|redistribut|permission is hereby|cc by"
+BEFORE, AFTER = 120, 260
+LEAST_SAVED = 0.5
+MOST_DIFFERENCES = 0.15
+LEVEL = 9
+
+HITS = "doc_id long, begin long, end long, license string, template int, saved_percent int, n_words int, n_differences int, exact boolean, block string"
+_words = re.compile(r"[^\s]+")
+
+
+def blocks(text: str) -> list[tuple[int, int]]:
+    """Ranges around cues, those that touch merged."""
+    out: list[tuple[int, int]] = []
+    for m in re.finditer(CUES, text):
+        begin, end = max(0, m.start() - BEFORE), min(len(text), m.end() + AFTER)
+        if out and begin <= out[-1][1]:
+            out[-1] = (out[-1][0], end)
+        else:
+            out.append((begin, end))
+    return out
+
+
+def differences(template: list[str], block: list[str]) -> int:
+    """The least edits of words between template and any stretch of block."""
+    numbers = {w: i for i, w in enumerate(dict.fromkeys([*template, *block]))}
+    there = np.array([numbers[w] for w in block], np.int64)
+    row = np.zeros(len(block) + 1, np.int64)
+    steps = np.arange(len(block) + 1)
+    for i, word in enumerate(template, 1):
+        best = np.minimum(row[1:] + 1, row[:-1] + (there != numbers[word]))
+        full = np.concatenate([[i], best])
+        row = np.minimum.accumulate(full - steps) + steps  # words of the block that the template lacks
+    return int(row.min())
+
+
+@lru_cache(1)
+def _compressors():
+    import zstandard
+
+    def sized(data=None):
+        params = zstandard.ZstdCompressionParameters.from_level(LEVEL, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_dict_id=0, write_checksum=0)
+        compressor = zstandard.ZstdCompressor(compression_params=params, dict_data=data)
+        return lambda raw: len(compressor.compress(raw))
+
+    plain = sized()
+    return plain, [
+        (name, i, sized(zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)), plain(t.encode()), _words.findall(t.lower())) for name, ts in TEMPLATES.items() for i, t in enumerate(ts)
+    ]
+
+
+def scanned(block: str) -> list[tuple[str, int, int, int, int]]:
+    """(license, template, percent saved, words of the template, differing words) of each license found, best first."""
+    plain, templates = _compressors()
+    raw = block.encode()
+    size = plain(raw)
+    ranked = sorted(((size - sized(raw)) / own, name, i, words) for name, i, sized, own, words in templates)[::-1]
+    found: dict[str, tuple[str, int, int, int, int]] = {}
+    have = _words.findall(block.lower())
+    for saved, name, i, words in ranked:
+        if saved < LEAST_SAVED:
+            break
+        differ = differences(words, have)
+        if differ <= MOST_DIFFERENCES * len(words) and (name not in found or (differ, -len(words)) < (found[name][4], -found[name][3])):
+            found[name] = (name, i, round(100 * saved), len(words), differ)
+    return list(found.values())
+
+
+def scan(docs: DataFrame) -> DataFrame:
+    """HITS: a row for each license in each candidate block of docs (doc_id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for begin, end in blocks(text or ""):
+                    rows += [(doc_id, begin, end, *hit, hit[4] == 0, text[begin:end]) for hit in scanned(text[begin:end])]
+            if rows:
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.string()]
+                names = ["doc_id", "begin", "end", "license", "template", "saved_percent", "n_words", "n_differences", "exact", "block"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+    return docs.select(F.col("doc_id").cast("long"), "text").where(F.col("text").rlike(CUES)).mapInArrow(run, HITS)
+
+
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(common.table(spark, sf_dir, "documents")).select("doc_id", "begin", "end", "license", "template", "saved_percent", "n_differences", "exact", F.sha2("block", 256).alias("block_sha256"))
