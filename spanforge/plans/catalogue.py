@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from spanforge.plans import documents
+
+QUERIES = {**documents.QUERIES}
+ORACLES = {**documents.ORACLES}
