@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanforge.plans import documents
+from spanforge.plans import documents, entities
 
-QUERIES = {**documents.QUERIES}
-ORACLES = {**documents.ORACLES}
+QUERIES = {**documents.QUERIES, **entities.QUERIES}
+ORACLES = {**documents.ORACLES, **entities.ORACLES}
