@@ -97,8 +97,8 @@ def tokens(c: Column | str) -> Column:
 def ngrams(c: Column | str, n: int = V.GRAM) -> Column:
     """The set of character n-grams; a shorter string is its own; none of an empty one."""
     s = col(c)
-    grams = F.transform(F.sequence(F.lit(1), F.length(s) - n + 1), lambda i: F.substring(s, i, F.lit(n)))
-    return F.when(F.length(s) == 0, F.array().cast("array<string>")).when(F.length(s) < n, F.array(s)).otherwise(F.array_distinct(grams))
+    grams = F.array_distinct(F.regexp_extract_all(s, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)))
+    return F.when(F.length(s) == 0, F.array().cast("array<string>")).when(F.length(s) < n, F.array(s)).otherwise(grams)
 
 
 def jaccard(a: Column | str, b: Column | str) -> Column:

@@ -230,7 +230,8 @@ def title_matches(wanted: DataFrame, titles: DataFrame, key: str = "doc_id", con
         return pd.DataFrame(rows, columns=[key, "item", "start", "confidence"])
 
     kinds = ", ".join(f"{c} {found.schema[c].dataType.simpleString()}" for c in (key, "item", "start", "confidence"))
-    rest = left.select(key, "item", "letters").groupBy(key).cogroup(free.select(key, "start", "letters").groupBy(key)).applyInPandas(assign, kinds)
+    places = free.select(F.col(key).alias("_k"), "start", "letters").groupBy("_k")
+    rest = left.select(key, "item", "letters").groupBy(key).cogroup(places).applyInPandas(assign, kinds)
     return found.unionByName(rest)
 
 
@@ -287,15 +288,21 @@ def likely_children(headers: DataFrame, allowed: DataFrame, key: str = "doc_id")
     Jaccard of titles with LEAST_GRAM_LETTERS letters; the first line that
     matches wins, ties go to the first allowed title.
     """
-    h, a = title_keys("header"), title_keys("title")
-    pairs = headers.join(allowed, key)
-    la, lh = F.length(a[2]), F.length(h[2])
+    def keyed(rows: DataFrame, c: str, side: str) -> DataFrame:
+        exact, tight, letters = title_keys(c)
+        named = rows.select("*", exact.alias(f"{side}_exact"), tight.alias(f"{side}_tight"), letters.alias(f"{side}_letters"))
+        grams = F.when(F.length(f"{side}_letters") >= V.LEAST_GRAM_LETTERS, T.ngrams(f"{side}_letters"))
+        return named.withColumn(f"{side}_grams", grams)
+
+    pairs = keyed(headers, "header", "h").join(keyed(allowed, "title", "a"), key)
+    la, lh = F.length("a_letters"), F.length("h_letters")
     ratio = F.least(la, lh) / F.greatest(la, lh, F.lit(1))
-    within = (la > 0) & (lh > 0) & (F.contains(a[2], h[2]) | F.contains(h[2], a[2])) & (ratio >= V.LEAST_RATIO)
-    grams = F.when((la >= V.LEAST_GRAM_LETTERS) & (lh >= V.LEAST_GRAM_LETTERS), T.jaccard(T.ngrams(a[2]), T.ngrams(h[2]))).otherwise(0.0)
-    rank = F.when((a[0] == h[0]) & (a[0] != ""), 0).when((a[1] == h[1]) & (a[1] != ""), 1).when((a[2] == h[2]) & (la > 0), 2).when(within, 3).when(grams >= V.LEAST_JACCARD, 4)
-    score = F.when(rank == 3, ratio).when(rank == 4, grams).otherwise(1.0)
-    scored = pairs.withColumn("rank", rank).withColumn("score", score).where("rank is not null")
+    within = (la > 0) & (lh > 0) & (F.contains("a_letters", "h_letters") | F.contains("h_letters", "a_letters")) & (ratio >= V.LEAST_RATIO)
+    alike = F.coalesce(T.jaccard("a_grams", "h_grams"), F.lit(0.0))
+    same = [(F.col(f"a_{k}") == F.col(f"h_{k}")) & (F.col(f"a_{k}") != "") for k in ("exact", "tight", "letters")]
+    level = F.when(same[0], 0).when(same[1], 1).when(same[2], 2).when(within, 3)
+    found = F.when(level.isNotNull(), F.struct(level.alias("rank"), F.when(level == 3, ratio).otherwise(1.0).alias("score"))).otherwise(F.struct(F.lit(4).alias("rank"), alike.alias("score")))
+    scored = pairs.select(key, "block", "line_no", "ord", "title", found.alias("f")).select("*", "f.*").where((F.col("rank") < 4) | (F.col("score") >= V.LEAST_JACCARD))
     best = F.min_by(F.struct("title", "rank", "line_no"), F.struct("line_no", "rank", (-F.col("score")).alias("s"), "ord"))
     return scored.groupBy(key, "block").agg(best.alias("b")).select(key, "block", F.col("b.title").alias("title"), F.col("b.rank").alias("rank"))
 
@@ -304,7 +311,8 @@ def gram_pairs(left: DataFrame, right: DataFrame, least: float = V.LEAST_JACCARD
     """Pairs of texts (a, text) and (b, text) whose trigram Jaccard is least or more; no cross join: grams are joined and shared ones counted."""
 
     def grams(rows: DataFrame, name: str) -> DataFrame:
-        sets = rows.select(name, T.ngrams(T.ascii_letters("text")).alias("g"), F.length(T.ascii_letters("text")).alias("n")).where(F.col("n") >= letters)
+        bare = rows.select(name, T.ascii_letters("text").alias("letters"))
+        sets = bare.where(F.length("letters") >= letters).select(name, T.ngrams("letters").alias("g"))
         return sets.select(name, F.size("g").alias(f"n_{name}"), F.explode("g").alias("gram"))
 
     shared = grams(left, "a").join(grams(right, "b"), "gram").groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("n"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanforge.plans import documents, entities
+from spanforge.plans import documents, entities, matching
 
-QUERIES = {**documents.QUERIES, **entities.QUERIES}
-ORACLES = {**documents.ORACLES, **entities.ORACLES}
+QUERIES = {**documents.QUERIES, **entities.QUERIES, **matching.QUERIES}
+ORACLES = {**documents.ORACLES, **entities.ORACLES, **matching.ORACLES}
