@@ -53,6 +53,8 @@ NUMERATOR, DENOMINATOR = 85, 100
 MINIMA, ROWS, BANDS, BITS = 128, 5, 25, 2
 #: How far under the threshold an estimate may be and still be confirmed: over five standard deviations.
 SLACK = 0.2
+#: Bits of the broadcast bitmap, 16 MB at most, in blocks as Spark builds them.
+FLAG_BITS, _BLOCK = 1 << 27, 1 << 15
 _LANES = 64 // BITS
 SIGNATURE = [f"s{i}" for i in range(MINIMA // _LANES)]
 
@@ -155,15 +157,43 @@ def _possible(a: str, b: str):
     return (DENOMINATOR * F.least(n, m) >= NUMERATOR * F.greatest(n, m)) & (_estimate(a, b) >= NUMERATOR / DENOMINATOR - SLACK)
 
 
+def flagged(rows: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """rows with _flag: false only where the column is surely none of ids (id, not null).
+
+    A bitmap of id hashes is broadcast, its size bounded by FLAG_BITS whatever
+    the number of ids; a fuller bitmap lets more rows pass and loses none.  It
+    spares a shuffle of texts whose ids are not asked for.
+    """
+    bits = FLAG_BITS
+    while bits > _BLOCK and bits >= 32 * max(1, ids.count()):
+        bits //= 2
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    blocks = ids.select(place("id").alias("p")).groupBy(F.floor(F.col("p") / _BLOCK).alias("_block")).agg(F.bitmap_construct_agg(F.col("p") % _BLOCK).alias("_bitmap"))
+    marked = rows.withColumn("_p", place(column)).join(F.broadcast(blocks), F.floor(F.col("_p") / _BLOCK) == F.col("_block"), "left")
+    at = F.col("_p") % _BLOCK
+    byte = F.conv(F.hex(F.substring("_bitmap", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.expr("shiftright(_byte, cast(_p % 8 as int)) & 1") == 1
+    return marked.withColumn("_byte", byte).withColumn("_flag", F.coalesce(bit, F.lit(False)) & F.col(column).isNotNull()).drop("_p", "_block", "_bitmap", "_byte")
+
+
+def needed_sets(pairs: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """Full sets (doc_id, shingles) of the documents in pairs (a, b), and of the few more that their bitmap lets pass."""
+    ids = common.written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "needed")
+    rows = flagged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids)
+    return common.written(shingle_sets(rows.where("_flag"), shingle), "sets")
+
+
+def _linked_sets(x: str, y: str):
+    inter = F.size(F.array_intersect(x, y))
+    return DENOMINATOR * inter >= NUMERATOR * (F.size(x) + F.size(y) - inter)
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
-    needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(needed, F.col("doc_id") == F.col("id"), "left_semi")
-    full = common.written(shingle_sets(texts, shingle), "sets")
+    full = needed_sets(pairs, docs, shingle)
     left = pairs.join(full.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
     both = left.join(full.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
-    inter = F.size(F.array_intersect("x", "y"))
-    out = common.written(both.where(DENOMINATOR * inter >= NUMERATOR * (F.size("x") + F.size("y") - inter)).select("a", "b").distinct(), "links")
+    out = common.written(both.where(_linked_sets("x", "y")).select("a", "b").distinct(), "links")
     common.dropped(full)
     return out
 
@@ -242,12 +272,14 @@ def deduplicated(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     the order of their values, stays.
     """
     verdicts = linked(docs.select("doc_id", "text"), shingle)
-    gone = verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    gone = common.written(verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
     again = common.written(docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1").select("_again"), "repeated")
     if not again.isEmpty():
         twice = docs.join(again, F.col("doc_id") == F.col("_again"), "left_semi").groupBy("doc_id").agg(F.min(F.struct(*(F.col(c) for c in docs.columns))).alias("_row"))
         docs = docs.join(again, F.col("doc_id") == F.col("_again"), "left_anti").unionByName(twice.select("_row.*"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    marked = flagged(docs, gone.select(F.col("_gone").alias("id")))
+    asked = marked.where("_flag").drop("_flag").join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return marked.where("not _flag").drop("_flag").unionByName(asked).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
