@@ -14,11 +14,14 @@
    shingled again and intersected.
 5. Confirmed pairs give components (alternating large and small stars, whose
    rounds grow with the logarithm of a component's size).
-6. The rest: where a bucket still holds several components, the members outside
-   its largest one are paired with all members of the other components, through
-   the same filters.  Pairs within a component cannot change the result.  With
-   these confirmed too, components are final: no candidate pair whose link could
-   join two components is left unchecked.
+6. Where a bucket still holds several components, the members outside its
+   largest one are paired with the most alike of a few sampled members of that
+   one, for ROUNDS rounds, which joins most of what belongs together.
+7. The rest, exactly: outside members that still have a possible partner in
+   another component of a bucket are compared with all of them, with full sets
+   within the join, so that only links come out of it.  Pairs within a component
+   cannot change the result, so no candidate pair that could join two components
+   is left unchecked.
 
 A pair at the threshold 0.85 shares no band with a chance of 4e-7, and falls
 under the estimate's floor with a chance of about 1e-7.
@@ -53,6 +56,8 @@ NUMERATOR, DENOMINATOR = 85, 100
 MINIMA, ROWS, BANDS, BITS = 128, 5, 25, 2
 #: How far under the threshold an estimate may be and still be confirmed: over five standard deviations.
 SLACK = 0.2
+#: Rounds in which members outside a bucket's largest component are paired with sampled members of it; samples a bucket, pairs a member.
+ROUNDS, SAMPLED, BEST = 2, 4, 4
 #: Bits of the broadcast bitmap, 16 MB at most, in blocks as Spark builds them.
 FLAG_BITS, _BLOCK = 1 << 27, 1 << 15
 _LANES = 64 // BITS
@@ -216,6 +221,47 @@ def components(links: DataFrame) -> DataFrame:
             return stars.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
+def _contested(members: DataFrame, features: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of buckets that hold several components: bucket, rep, f, part, top (the largest component there)."""
+    placed = members.join(found, F.col("rep") == F.col("id"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("part"))
+    sizes = placed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("size"))
+    top = sizes.groupBy("bucket").agg(F.max(F.struct("size", "part")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("bucket", F.col("top.part").alias("top"))
+    return placed.join(top, "bucket").join(features, "rep").select("bucket", "rep", "f", "part", "top")
+
+
+def _sides(contested: DataFrame) -> tuple[DataFrame, DataFrame]:
+    outside = contested.where("part <> top").select(F.col("bucket").alias("of"), F.col("rep").alias("a"), F.col("part").alias("part_a"), F.col("f").alias("fa"))
+    return outside, contested.select("bucket", F.col("rep").alias("b"), F.col("part").alias("part_b"), F.col("f").alias("fb"), "top")
+
+
+def _sampled(contested: DataFrame, round_: int) -> DataFrame:
+    """Pairs (a, b): each outside member with the BEST by estimate among SAMPLED members of the largest component in each of its buckets."""
+    outside, others = _sides(contested)
+    turn = F.xxhash64("b", F.lit(round_))
+    picks = others.where("part_b = top").groupBy("bucket", F.pmod(turn, F.lit(SAMPLED)).alias("slot")).agg(F.min_by(F.struct("b", "fb"), turn).alias("pick")).select("bucket", "pick.*")
+    pairs = outside.join(picks, (F.col("of") == F.col("bucket")) & _possible("fa", "fb"))
+    rank = F.struct((-_estimate("fa", "fb")).alias("less"), "b")
+    best = F.slice(F.array_sort(F.collect_set(rank)), 1, BEST)
+    return pairs.groupBy("a").agg(best.alias("best")).select("a", F.explode("best.b").alias("b"))
+
+
+def _exhaustive(contested: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """Links (a, b) between members of different components of a bucket, every pair looked at.
+
+    Only outside members with a possible partner, and the buckets they are in,
+    get their full sets; pairs are confirmed within the join, so what comes out
+    is links.
+    """
+    outside, others = _sides(contested)
+    apart = (F.col("of") == F.col("bucket")) & (F.col("part_a") != F.col("part_b")) & ((F.col("part_b") == F.col("top")) | (F.col("a") < F.col("b")))
+    live = common.written(outside.join(others, apart & _possible("fa", "fb"), "left_semi"), "live")
+    others = common.written(others.join(live.select("of").distinct(), F.col("bucket") == F.col("of"), "left_semi"), "others")
+    full = needed_sets(live.select("a", F.col("a").alias("b")).union(others.select(F.col("b").alias("a"), "b")), docs, shingle)
+    left = live.join(full.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
+    right = others.join(full.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
+    return common.written(left.join(right, apart & _possible("fa", "fb") & _linked_sets("x", "y")).select("a", "b").distinct(), "links")
+
+
 def linked(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each document of docs (doc_id, text)."""
     signed_docs = common.written(signatures(docs, shingle), "signatures")
@@ -244,20 +290,15 @@ def linked(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     first = features_of(members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()).where(_possible("fa", "fb")).select("a", "b").distinct()
     links = confirmed(common.written(first, "pairs"), docs, shingle).union(repeated_ids)
     found = components(links)
-    placed = common.written(
-        members.join(found, F.col("rep") == F.col("id"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("part")).join(features, "rep"),
-        "placed",
-    )
-    parts = placed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("size"))
-    largest = parts.groupBy("bucket").agg(F.max(F.struct("size", "part")).alias("top"), F.count(F.lit(1)).alias("n_parts")).where("n_parts > 1").select("bucket", F.col("top.part").alias("top"))
-    open_ = common.written(placed.join(largest, "bucket"), "open")
-    outside = open_.where("part <> top").select(F.col("bucket").alias("of"), F.col("rep").alias("a"), F.col("part").alias("part_a"), F.col("f").alias("fa"))
-    others = open_.select("bucket", F.col("rep").alias("b"), F.col("part").alias("part_b"), F.col("f").alias("fb"), "top")
-    rest = outside.join(others, (F.col("of") == F.col("bucket")) & (F.col("part_a") != F.col("part_b")) & ((F.col("part_b") == F.col("top")) | (F.col("a") < F.col("b"))) & _possible("fa", "fb"))
-    hubs = members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    seen = hubs.union(hubs.select("b", "a")).distinct()
-    left = common.written(rest.select("a", "b").distinct().join(seen, ["a", "b"], "left_anti"), "pairs")
-    more = confirmed(left, docs, shingle)
+    for round_ in range(ROUNDS):
+        contested = common.written(_contested(members, features, found), "contested")
+        more = confirmed(common.written(_sampled(contested, round_), "pairs"), docs, shingle)
+        common.dropped(contested)
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        found = components(links)
+    more = _exhaustive(common.written(_contested(members, features, found), "contested"), docs, shingle)
     if not more.isEmpty():
         found = components(links.union(more))
     out = classes.join(found, F.col("rep") == F.col("id"), "left").withColumn("component_id", F.coalesce("component", "rep"))
