@@ -52,7 +52,7 @@ def bold_blocks(docs: DataFrame, key: str = "doc_id") -> DataFrame:
         F.lag("piece").over(w).alias("gap"),
         F.lead("i").over(w).alias("closed"),
     ).where("i % 2 = 1 and closed is not null")
-    joined = (F.col("i") > 1) & F.col("gap").rlike(r"(?U)^[\s&&[^\n]]*$")
+    joined = (F.col("i") > 1) & F.col("gap").rlike(r"(?U)^[\s&&[^\n]]*\z")
     runs = placed.withColumn("run", F.sum(F.when(joined, 0).otherwise(1)).over(w))
     piece = F.when(joined, F.concat(F.lit("**"), F.col("gap"), F.lit("**"), F.col("piece"))).otherwise(F.col("piece"))
     blocks = runs.withColumn("shown", piece).groupBy(key, "run").agg(F.min("begin").alias("begin"), F.max(F.col("begin") + F.length("piece")).alias("stop"), F.array_sort(F.collect_list(F.struct("i", "shown"))).alias("parts"))
@@ -122,8 +122,9 @@ def paragraphs(texts: DataFrame, key: str = "doc_id") -> DataFrame:
 def text_lines(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """(spans of phrases, headings, titles and noise, resolved; the lines that none of them covers)."""
     rows = lines(docs, key)
-    ranked = [heading_runs(rows, key).drop("n_lines"), titles(docs, key), phrases(docs, key)]
-    first = longest_first(reduce(DataFrame.unionByName, [x.withColumn("rank", F.lit(i)) for i, x in enumerate(ranked)]), key)
+    first = phrases(docs, key)
+    for found in (heading_runs(rows, key).drop("n_lines"), titles(docs, key)):  # each rule is resolved against what stands
+        first = longest_first(first.withColumn("rank", F.lit(0)).unionByName(found.withColumn("rank", F.lit(1))), key)
     noise = without_overlap(visible(rows.where(P.is_junk_line("line"))).select(key, F.lit(V.JUNK).alias("label"), "start", "end"), first, key)
     spans = first.unionByName(noise)
     free = without_overlap(visible(rows).select(key, "line", "start", "end"), spans, key)

@@ -177,15 +177,20 @@ _PHRASES = ",\n".join(
     WINDOW w AS (PARTITION BY doc_id ORDER BY i)) WHERE after IS NOT NULL)"""
     for n, (p, label) in enumerate(V.PHRASES.items())
 )
-_CHOSEN = """chosen AS (
+
+
+def _chosen(name: str, candidates: str) -> str:
+    return f"""{name} AS (
     SELECT doc_id, unnest(list_reduce(list_prepend([]::STRUCT(less BIGINT, start BIGINT, rank INTEGER, label VARCHAR, "end" BIGINT)[], list_transform(spans, lambda s: [s])),
         lambda acc, x: CASE WHEN len(list_filter(acc, lambda k: k.start < x[1]."end" AND k."end" > x[1].start)) > 0 THEN acc ELSE list_concat(acc, x) END), recursive := true)
-    FROM (SELECT doc_id, list({'less': start - "end", 'start': start, 'rank': rank, 'label': label, 'end': "end"} ORDER BY start - "end", start, rank, label) AS spans FROM candidates GROUP BY doc_id)
+    FROM (SELECT doc_id, list({{'less': start - "end", 'start': start, 'rank': rank, 'label': label, 'end': "end"}} ORDER BY start - "end", start, rank, label) AS spans FROM ({candidates}) GROUP BY doc_id)
 )"""
-_LABELS = f"""{_LINES}, {_RUNS}, {_BOLD}, {_PHRASES}, candidates AS (
-    SELECT doc_id, label, start, "end", 0 AS rank FROM runs UNION ALL SELECT doc_id, '{V.TITLE}', start, "end", 1 FROM bold_titles WHERE is_title
-    {"".join(f" UNION ALL SELECT doc_id, label, start, {chr(34)}end{chr(34)}, 2 FROM phrase{n}" for n in range(len(V.PHRASES)))}
-), {_CHOSEN}, junk AS (
+
+
+_PHRASE_ROWS = " UNION ALL ".join(f'SELECT doc_id, label, start, "end", 0 AS rank FROM phrase{n}' for n in range(len(V.PHRASES)))
+_RUN_ROWS = """SELECT doc_id, label, start, "end", 1 AS rank FROM runs"""
+_TITLE_ROWS = f"""SELECT doc_id, '{V.TITLE}' AS label, start, "end", 2 AS rank FROM bold_titles WHERE is_title"""
+_LABELS = f"""{_LINES}, {_RUNS}, {_BOLD}, {_PHRASES}, {_chosen("headed", _PHRASE_ROWS + " UNION ALL " + _RUN_ROWS)}, {_chosen("chosen", 'SELECT doc_id, label, start, "end", 0 AS rank FROM headed UNION ALL ' + _TITLE_ROWS)}, junk AS (
     SELECT doc_id, start, "end" FROM visible v WHERE {_JUNK} AND NOT EXISTS (SELECT 1 FROM chosen c WHERE c.doc_id = v.doc_id AND c.start < v."end" AND c."end" > v.start)
 ), fixed AS (
     SELECT doc_id, label, start, "end" FROM chosen UNION ALL SELECT doc_id, '{V.JUNK}', start, "end" FROM junk
@@ -230,9 +235,7 @@ ORACLES = {
     "junk_lines": f'WITH {_LINES} SELECT doc_id, line_no, start, "end" FROM visible WHERE {_JUNK}',
     "caps_runs": f"WITH {_LINES}, {_RUNS} SELECT * FROM runs",
     "bold_blocks": f"WITH {_BOLD} SELECT * FROM bold_titles",
-    "span_resolution": f"""WITH {_LINES}, {_RUNS}, {_BOLD}, candidates AS (
-        SELECT doc_id, label, start, "end", 0 AS rank FROM runs UNION ALL SELECT doc_id, '{V.TITLE}', start, "end", 1 FROM bold_titles WHERE is_title), {_CHOSEN}
-        SELECT doc_id, label, start, "end" FROM chosen""",
+    "span_resolution": f"""WITH {_LINES}, {_RUNS}, {_BOLD}, {_chosen("chosen", _RUN_ROWS + " UNION ALL " + _TITLE_ROWS)} SELECT doc_id, label, start, "end" FROM chosen""",
     "doc_text_lines": f'WITH {_LABELS} SELECT doc_id, start, "end" FROM free',
     "paragraph_merge": f"WITH {_LABELS} SELECT * FROM labelled WHERE label IN ('{V.PARAGRAPH}', '{V.BODY}')",
     "span_report": f"""WITH {_LABELS} SELECT lang, label, count(*) AS n_spans, sum("end" - start)::BIGINT AS n_chars, count(DISTINCT doc_id) AS n_docs FROM labelled JOIN documents USING (doc_id) GROUP BY lang, label""",

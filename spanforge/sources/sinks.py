@@ -1,0 +1,75 @@
+"""Sinks: relations and results as NDJSON, JSON, CSV, text files and HTML, all written by the executors."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from spanforge.functions.text import html_escape, slug
+from spanforge.operators import payload
+
+#: Colours of labels.
+COLOURS = {
+    "Sumario": "#ffd166",
+    "ORG_LABEL": "#6e77b8",
+    "ORG_WITH_STAR_LABEL": "#6fffff",
+    "DOC_NAME_LABEL": "#b23bbd",
+    "DOC_TEXT": "#47965e",
+    "PARAGRAPH": "#14b840",
+    "JUNK_LABEL": "#e11111",
+    "SERIE_III": "#D1B1B1",
+}
+
+
+def write_ndjson(relations: DataFrame, path: str) -> None:
+    relations.write.json(path)
+
+
+def write_csv(relations: DataFrame, path: str, key: str = "doc_id") -> None:
+    payload.compact(relations, key).drop("ord").write.csv(path, header=True)
+
+
+def write_grouped_json(relations: DataFrame, path: str, key: str = "doc_id", full: bool = False) -> None:
+    payload.grouped_json(relations, key, full).select("json").write.text(path)
+
+
+def write_by_head(relations: DataFrame, path: str, key: str = "doc_id") -> None:
+    payload.by_head(relations, key).write.json(path)
+
+
+def write_contents(items: DataFrame, path: str, key: str = "doc_id") -> None:
+    """One JSON object for each document, its items in order."""
+    order = F.struct(F.col("paragraph_id").alias("_o"), F.struct(*(c for c in items.columns if c != key)).alias("item"))
+    items.groupBy(key).agg(F.array_sort(F.collect_list(order))["item"].alias("items")).write.json(path)
+
+
+def envelope(org: Column, name: Column, text: Column) -> Column:
+    return F.concat_ws("\n", F.lit("DOC_BEGIN"), F.concat(F.lit("ORG: "), org), F.concat(F.lit("DOC: "), name), text, F.lit("DOC_END"))
+
+
+def write_envelopes(docs: DataFrame, path: str, key: str = "doc_id") -> None:
+    """docs (key, org_idx, doc_idx, org, doc_name, text) as text rows, in folders by document; the whole key is in the name, so none overwrites another."""
+    name = F.concat_ws("_", F.format_string("ORG_%03d_DOC_%03d", "org_idx", "doc_idx"), slug("doc_name"))
+    docs.select(F.col(key).alias("document"), name.alias("name"), envelope(F.col("org"), F.col("doc_name"), F.col("text")).alias("body")).write.partitionBy("document").json(path)
+
+
+def spans_html(spans: DataFrame, texts: DataFrame, key: str = "doc_id") -> DataFrame:
+    """key, html: each document's text with its spans in colour."""
+    colour = F.lit("#dddddd")
+    for label, value in COLOURS.items():
+        colour = F.when(F.col("label") == label, value).otherwise(colour)
+    shown = F.substring("text", (F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int"))
+    mark = F.concat(F.lit('<mark style="background:'), colour, F.lit('" title="'), F.col("label"), F.lit('">'), html_escape(shown), F.lit("</mark>"))
+    parts = spans.select(key, "label", "start", "end").join(texts.select(key, "text"), key).select(key, "start", mark.alias("mark"))
+    return parts.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(F.struct("start", "mark")))["mark"], "\n").alias("html"))
+
+
+def results_html(segments: DataFrame, key: str = "doc_id") -> DataFrame:
+    """key, html: organisations with their status and slices, in order, every value escaped."""
+    row = F.concat(F.lit("<section><h2>"), html_escape(F.coalesce("org_text", F.lit(""))), F.lit("</h2><p>"), html_escape("status"), F.lit("</p></section>"))
+    return segments.select(key, "item", row.alias("row")).groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(F.struct("item", "row")))["row"], "\n").alias("html"))
+
+
+def summary_line(counters: DataFrame) -> Column:
+    """One line of name=value pairs."""
+    return F.concat_ws(", ", *(F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in counters.columns))

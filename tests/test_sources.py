@@ -1,0 +1,75 @@
+from __future__ import annotations
+
+import json
+
+
+from spanforge.operators import payload, relations
+from spanforge.sources import markdown, sinks
+from spanforge.streaming import inbox
+from tests.test_operators import B, D, O, P, spans
+
+
+def test_issues(spark, tmp_path):
+    (tmp_path / "IISerie-055-2025-03-21Supl.md").write_text("A\nb", encoding="utf-8")
+    (tmp_path / "notes.md").write_text("x", encoding="utf-8")
+    got = {r.doc_id: (r.series, r.number, str(r.issue_date), r.is_suppl, r.text) for r in markdown.issues(spark, str(tmp_path)).collect()}
+    assert got == {"IISerie-055-2025-03-21Supl": ("II", 55, "2025-03-21", True, "A\nb"), "notes": (None, None, "None", False, "x")}
+    rows = spark.createDataFrame([("IIIserie-1",), ("IISerie-1",)], "n string")
+    assert [r.x for r in rows.select(markdown.is_title_driven("n").alias("x")).collect()] == [True, False]
+
+
+def test_pages_and_missing(spark):
+    pages = spark.createDataFrame([(0, 0, "a"), (0, 1, "b"), (0, 2, "c")], "doc_id long, page_no int, md string")
+    assert markdown.join_pages(pages).first().text == "a\n\n---\n\nb"
+    assert markdown.missing(pages, pages).count() == 0
+
+
+def test_contents(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"items": [{"paragraph_id": 0, "org": {"text": "A", "label": "x"}, "docs": []}]}), encoding="utf-8")
+    row = markdown.contents(spark, str(tmp_path)).first()
+    assert row["items"][0].org.text == "A" and row["items"][0].top_org is None
+
+
+def test_settings_precedence(tmp_path, monkeypatch):
+    (tmp_path / "config").mkdir()
+    (tmp_path / "config/settings.json").write_text('{"pdf_markup": {"crop_top": 0.2, "input_dir": ""}}')
+    (tmp_path / "config/settings.dev.json").write_text("{broken")
+    markdown.settings.cache_clear()
+    got = markdown.settings(str(tmp_path))
+    assert (got.crop_top, str(got.input_dir)) == (0.2, "input_pdfs")
+    markdown.settings.cache_clear()
+    monkeypatch.setenv("PDF_MARKUP_CROP_TOP", "x")
+    assert markdown.settings(str(tmp_path)).crop_top == 0.10
+    markdown.settings.cache_clear()
+
+
+def test_sinks(spark, tmp_path):
+    found = relations.relations_by_title(spans(spark, [O, D, P, B])).cache()
+    sinks.write_csv(found, f"{tmp_path}/csv")
+    back = spark.read.csv(f"{tmp_path}/csv", header=True)
+    assert back.columns == ["doc_id", "paragraph_id", "kind", "head_label", "head_text", "tail_label", "tail_text"] and back.count() == 2
+    sinks.write_grouped_json(found, f"{tmp_path}/grouped")
+    assert json.loads(spark.read.text(f"{tmp_path}/grouped").first().value)["paragraphs"][0]["relations"][0]["kind"]
+    sinks.write_ndjson(found, f"{tmp_path}/nd")
+    sinks.write_by_head(found, f"{tmp_path}/head")
+    sinks.write_contents(payload.items_by_title(found), f"{tmp_path}/items")
+    assert spark.read.json(f"{tmp_path}/items").count() == 1
+    docs = spark.createDataFrame([(0, 1, 1, "A", "x/y", "t")], "doc_id long, org_idx int, doc_idx int, org string, doc_name string, text string")
+    sinks.write_envelopes(docs, f"{tmp_path}/out")
+    assert spark.read.json(f"{tmp_path}/out").first().body.startswith("DOC_BEGIN\nORG: A")
+
+
+def test_html(spark):
+    rows = spans(spark, [O, B], ["A", "<b>"])
+    texts = spark.createDataFrame([(0, "A <b>")], "doc_id long, text string")
+    assert "&lt;b&gt;" in sinks.spans_html(rows, texts).first().html
+    segments = spark.createDataFrame([(0, 0, "<A>", "ok")], "doc_id long, item int, org_text string, status string")
+    assert "&lt;A&gt;" in sinks.results_html(segments).first().html
+
+
+def test_inbox(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.md").write_text("ORG\nBody text.", encoding="utf-8")
+    for _ in range(2):
+        inbox.watch(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
+    assert sorted(r.label for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [B, O]
