@@ -63,21 +63,21 @@ def titles(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return bold_blocks(docs, key).where(P.is_title_bold("content")).select(key, F.lit(V.TITLE).alias("label"), "start", "end")
 
 
-def without_overlap(rows: DataFrame, spans: DataFrame, key: str = "doc_id") -> DataFrame:
-    """rows (key, ..., start, end) that overlap no span.
+def beside(rows: DataFrame, spans: DataFrame, key: str = "doc_id") -> DataFrame:
+    """spans (key, label, start, end) and those rows (key, ..., start, end) that overlap none of them, in one table; label is null for rows.
 
     Not a range join: rows and spans are one stream in order of start; a row
     overlaps if a span before it reaches beyond its start, or the next span
     starts before its end.
     """
-    extra = [c for c in rows.columns if c not in (key, "start", "end")]
-    both = rows.select(key, "start", "end", *extra, F.lit(0).alias("is_span")).unionByName(spans.select(key, "start", "end", F.lit(1).alias("is_span")), allowMissingColumns=True)
-    w = W.partitionBy(key).orderBy("start", F.desc("is_span"))
-    reach = F.max(F.when(F.col("is_span") == 1, F.col("end"))).over(w.rowsBetween(W.unboundedPreceding, -1))
-    ahead = F.min(F.when(F.col("is_span") == 1, F.col("start"))).over(w.rowsBetween(1, W.unboundedFollowing))
+    both = rows.withColumn("label", F.lit(None).cast("string")).unionByName(spans.select(key, "label", "start", "end"), allowMissingColumns=True)
+    is_span = F.col("label").isNotNull()
+    w = W.partitionBy(key).orderBy("start", F.col("label").isNull().cast("int"))
+    reach = F.max(F.when(is_span, F.col("end"))).over(w.rowsBetween(W.unboundedPreceding, -1))
+    ahead = F.min(F.when(is_span, F.col("start"))).over(w.rowsBetween(1, W.unboundedFollowing))
     marked = both.withColumn("reach", reach).withColumn("ahead", ahead)
     free = (F.coalesce(F.col("reach"), F.lit(0)) <= F.col("start")) & (F.col("ahead").isNull() | (F.col("ahead") >= F.col("end")))
-    return marked.where((F.col("is_span") == 0) & free).drop("is_span", "reach", "ahead")
+    return marked.where(is_span | free).drop("reach", "ahead")
 
 
 def longest_first(spans: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -119,20 +119,20 @@ def paragraphs(texts: DataFrame, key: str = "doc_id") -> DataFrame:
     return alone.unionByName(merged.select(key, label.alias("label"), "start", "end"))
 
 
-def text_lines(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """(spans of phrases, headings, titles and noise, resolved; the lines that none of them covers)."""
+def labelled_lines(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Spans of phrases, headings and titles, resolved, and the lines beside them as noise or text: key, label, start, end, line (of text only).
+
+    Lines do not overlap one another, so one pass beside the spans serves both.
+    """
     rows = lines(docs, key)
     first = phrases(docs, key)
     for found in (heading_runs(rows, key).drop("n_lines"), titles(docs, key)):  # each rule is resolved against what stands
         first = longest_first(first.withColumn("rank", F.lit(0)).unionByName(found.withColumn("rank", F.lit(1))), key)
-    noise = without_overlap(visible(rows.where(P.is_junk_line("line"))).select(key, F.lit(V.JUNK).alias("label"), "start", "end"), first, key)
-    spans = first.unionByName(noise)
-    free = without_overlap(visible(rows).select(key, "line", "start", "end"), spans, key)
-    return spans, free
+    stream = beside(visible(rows).select(key, "line", "start", "end", P.is_junk_line("line").alias("junk")), first, key)
+    label = F.coalesce("label", F.when(F.col("junk"), V.JUNK).otherwise(V.BODY))
+    return stream.select(key, label.alias("label"), "start", "end", F.when(F.col("label").isNull() & ~F.col("junk"), F.col("line")).alias("line"))
 
 
 def label(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """All spans of docs (key, text): key, label, start, end; they do not overlap."""
-    spans, free = text_lines(docs, key)
-    both = spans.withColumn("line", F.lit(None).cast("string")).unionByName(free.withColumn("label", F.lit(V.BODY)))
-    return paragraphs(both, key)
+    return paragraphs(labelled_lines(docs, key), key)

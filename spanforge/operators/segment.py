@@ -318,3 +318,41 @@ def gram_pairs(left: DataFrame, right: DataFrame, least: float = V.LEAST_JACCARD
     shared = grams(left, "a").join(grams(right, "b"), "gram").groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("n"))
     score = F.col("n") / (F.col("n_a") + F.col("n_b") - F.col("n"))
     return shared.where(score >= least).select("a", "b", score.alias("jaccard"))
+
+
+def sub_slices(segments: DataFrame, allowed: DataFrame, key: str = "doc_id", depth: str = "segment") -> DataFrame:
+    """Segments (key, segment, text), labelled again from offset 0, cut at the title blocks that stand for an allowed title (key, segment, ord, title).
+
+    key, segment, sub, title, headers, start, stop: from a block's end to the
+    next approved block.  A segment without an approved block is one slice, from
+    its first block's end (or its start) to its end, without a title.
+    """
+    from spanforge.operators.labels import label
+
+    named = segments.where(F.col("text").isNotNull()).withColumn("_id", F.concat_ws("/", F.col(key).cast("string"), F.col(depth).cast("string")))
+    found = label(named.select("_id", "text"), "_id").join(named.select("_id", key, depth, F.col("text").alias("_text")), "_id")
+    shown = F.substring("_text", (F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int"))
+    rows = found.select("_id", key, depth, "label", "start", "end", shown.alias("text"), F.row_number().over(W.partitionBy("_id").orderBy("start")).alias("seq"))
+    blocks = header_blocks(rows.select("_id", "seq", "label", "text", "start", "end"), "_id").select("_id", "start", "end", "headers")
+    numbered = blocks.withColumn("block", F.row_number().over(W.partitionBy("_id").orderBy("start")))
+    titles = allowed.withColumn("_id", F.concat_ws("/", F.col(key).cast("string"), F.col(depth).cast("string"))).select("_id", "ord", "title")
+    lines = numbered.select("_id", "block", F.posexplode("headers").alias("line_no", "header"))
+    approved = numbered.join(likely_children(lines, titles, "_id"), ["_id", "block"])
+    ends = named.select("_id", key, depth, F.length("text").cast("bigint").alias("n_chars"))
+    w = W.partitionBy("_id").orderBy("start")
+    cut = approved.select("_id", "title", "headers", F.col("end").alias("from"), "start", F.lead("start").over(w).alias("after")).join(ends, "_id")
+    good = cut.select("_id", key, depth, "title", "headers", F.col("from").alias("start"), F.coalesce("after", "n_chars").alias("stop"))
+    first = numbered.where("block = 1").select("_id", F.col("end").alias("from"), "headers")
+    none = ends.join(approved.select("_id").distinct(), "_id", "left_anti").join(first, "_id", "left")
+    whole = none.select("_id", key, depth, F.lit(None).cast("string").alias("title"), F.coalesce("headers", F.array().cast("array<string>")).alias("headers"), F.coalesce("from", F.lit(0)).alias("start"), F.col("n_chars").alias("stop"))
+    sub = F.row_number().over(W.partitionBy("_id").orderBy("start"))
+    return good.unionByName(whole).withColumn("sub", sub).select(key, depth, "sub", "title", "headers", "start", "stop")
+
+
+def summary_titles(segments: DataFrame, orgs: DataFrame, windows: DataFrame, subs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Counters of title-driven documents; n_sub_slices counts slices, segments_with_subdivisions the segments that have a titled one."""
+    a = orgs.groupBy(key).agg(F.count(F.lit(1)).alias("orgs_in_payload"))
+    b = windows.groupBy(key).agg(F.count(F.lit(1)).alias("org_windows_found"))
+    c = segments.groupBy(key).agg(F.count_if(F.col("status") == "doc_type_segment").alias("doc_type_headers_matched"), F.count_if(F.col("status") != "doc_type_unanchored").alias("doc_type_segments"))
+    d = subs.groupBy(key).agg(F.count(F.lit(1)).alias("n_sub_slices"), F.count_distinct(F.when(F.col("title").isNotNull(), F.col("segment"))).alias("segments_with_subdivisions"))
+    return a.join(b, key, "full").join(c, key, "full").join(d, key, "full").na.fill(0)

@@ -53,7 +53,7 @@ def span_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.text_lines(docs(spark, sf_dir))[1].select("doc_id", "start", "end")
+    return L.labelled_lines(docs(spark, sf_dir)).where(F.col("label") == V.BODY).select("doc_id", "start", "end")
 
 
 def paragraph_merge(spark: SparkSession, sf_dir: str) -> DataFrame:

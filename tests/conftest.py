@@ -12,7 +12,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark():
     from spanforge.session import local_session
 
-    session = local_session("4", 4)
+    session = local_session("4", 2)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
