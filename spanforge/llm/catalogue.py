@@ -19,7 +19,6 @@ QUERIES = {
 
 ORACLES = {
     "op5_transcripts": transcripts.ORACLE_SQL,
-    "op4_weighted_sampling": fingerprints.query,
     "op6_host_rules": quality.ORACLE_SQL,
     "op9_stratified_shards": sharding.ORACLE_SQL,
 }
