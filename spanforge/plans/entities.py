@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from spanforge.functions import text as T
 from spanforge.functions import vocabulary as V
 from spanforge.operators import payload as Y
 from spanforge.operators import relations as R
