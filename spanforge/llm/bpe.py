@@ -175,6 +175,8 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_
     """key and ids (array of int) of each row's whole text; no shuffle."""
     kind = docs.schema[key].dataType.simpleString()
 
+    common.bounded_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = vocabulary(tokenizer)
         for batch in batches:
@@ -190,6 +192,8 @@ def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", key: str = "doc
     """encoded with its text as the column decoded; no shuffle."""
     kind = encoded.schema[key].dataType.simpleString()
 
+    common.bounded_batches(encoded.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text_of = decoder(tokenizer)
         for batch in batches:

@@ -63,7 +63,15 @@ def crc32(text: Column) -> Column:
     return F.crc32(text.cast("binary"))
 
 
-def slices(texts: list[str], max_chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of few rows and bytes, so that a Python worker holds little of its partition; smaller settings stay."""
+    for name, most in (("maxRecordsPerBatch", 1000), ("maxBytesPerBatch", 8 << 20)):
+        now = spark.conf.get(f"spark.sql.execution.arrow.{name}").rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
+
+
+def slices(texts: list[str], max_chars: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of texts with about max_chars code points each, so that numpy work stays small; one text is never split."""
     begin, total = 0, 0
     for i, text in enumerate(texts):

@@ -206,6 +206,8 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
         ]
         return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
+    common.bounded_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0

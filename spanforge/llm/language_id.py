@@ -285,6 +285,8 @@ def fitted(docs: DataFrame, per_label: int = PER_LABEL, max_labels: int = MAX_LA
 def identified(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score, position_share of each row of docs (doc_id, text)."""
 
+    common.bounded_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
@@ -299,6 +301,8 @@ def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
     """The rows of docs, all columns as they are, whose language is told with a score of least or more."""
     at = docs.columns.index("text")
 
+    common.bounded_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(at).to_pylist()

@@ -123,6 +123,8 @@ def scanned(block: str) -> list[tuple[str, int, int, int, int]]:
 def scan(docs: DataFrame) -> DataFrame:
     """HITS: a row for each license in each candidate block of docs (doc_id, text)."""
 
+    common.bounded_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []

@@ -104,6 +104,8 @@ def signed(x: np.ndarray) -> np.ndarray:
 def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, key_a, key_b, the packed signature and bands of each document; no shuffle."""
 
+    common.bounded_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
@@ -135,6 +137,8 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 def shingle_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id and its full set as an array; no shuffle."""
 
+    common.bounded_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]

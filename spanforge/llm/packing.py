@@ -77,6 +77,8 @@ def best_fit(sizes: list[int], capacity: int) -> tuple[np.ndarray, np.ndarray, l
 def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int | None = END_ID) -> DataFrame:
     """A row for each piece of each document of docs (doc_id, text); no shuffle."""
 
+    common.bounded_batches(docs.sparkSession)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = library_vocabulary(tokenizer)
         uid = TaskContext.get().partitionId() << 36

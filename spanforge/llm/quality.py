@@ -98,6 +98,8 @@ def measured(docs: DataFrame, prefix: str = "") -> DataFrame:
     at = docs.columns.index("text")
     schema = T.StructType([*docs.schema.fields, *(T.StructField(prefix + c, T.LongType()) for c in COUNTS)])
 
+    common.bounded_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(at).to_pylist()]

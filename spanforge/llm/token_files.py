@@ -156,6 +156,8 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int | Non
     spark = docs.sparkSession
     shards = shards or common.shuffle_partitions(spark)
 
+    common.bounded_batches(docs.sparkSession)
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = library_vocabulary(tokenizer)
         wide = 2 if max([*vocabulary.special.values(), end_id or 0, 1 << 15]) < 1 << 16 else 4
