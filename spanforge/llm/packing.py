@@ -35,7 +35,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanforge.llm import common
-from spanforge.llm import textbatch as tb
 from spanforge.llm.pretoken import library_vocabulary
 
 LENGTH = 4096
