@@ -172,8 +172,8 @@ def flagged(rows: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFram
     the number of ids; a fuller bitmap lets more rows pass and loses none.  It
     spares a shuffle of texts whose ids are not asked for.
     """
-    bits = FLAG_BITS
-    while bits > _BLOCK and bits >= 32 * max(1, ids.count()):
+    bits, wanted = FLAG_BITS, 32 * max(1, ids.count())
+    while bits > _BLOCK and bits >= wanted:
         bits //= 2
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
     blocks = ids.select(place("id").alias("p")).groupBy(F.floor(F.col("p") / _BLOCK).alias("_block")).agg(F.bitmap_construct_agg(F.col("p") % _BLOCK).alias("_bitmap"))
