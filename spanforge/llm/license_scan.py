@@ -2,11 +2,13 @@
 
 Places of a text that hold a cue word are widened to candidate blocks.  Each
 block is compressed with Zstandard, once plainly and once with each template as
-a raw-content dictionary.  What the dictionary saves, against the size of the
-template's own compressed text, says how much of the template the block holds;
-templates are ranked by it.  Those that save enough are confirmed by their
-wording: the least number of words to change, add or drop to find the template
-within the block (an alignment that may begin and end anywhere in the block).
+a raw-content dictionary.  What the dictionary saves, against what it would save
+if the block held the template verbatim at the same place, says how much of the
+template the block holds; it ranks the hits and decides none.  Templates are
+confirmed by their wording: the least number of words to change, add or drop to
+find the template within the block (an alignment that may begin and end anywhere
+in the block).  Each word of a template that the block lacks is a difference, so
+templates that lack too many need no alignment.
 
 Texts without a cue are filtered out by a pattern in the scan; the rest is one
 pass over each text without a shuffle.
@@ -55,7 +57,6 @@ TEMPLATES = {
 }
 CUES = r"(?i)licen[cs]e|all rights reserved|redistribut|permission is hereby|cc by"
 BEFORE, AFTER = 120, 260
-LEAST_SAVED = 0.5
 MOST_DIFFERENCES = 0.15
 LEVEL = 9
 
@@ -75,8 +76,8 @@ def blocks(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def differences(template: list[str], block: list[str]) -> int:
-    """The least edits of words between template and any stretch of block."""
+def _aligned(template: list[str], block: list[str]) -> np.ndarray:
+    """The least edits of words between template and any stretch that ends at each place of block."""
     numbers = {w: i for i, w in enumerate(dict.fromkeys([*template, *block]))}
     there = np.array([numbers[w] for w in block], np.int64)
     row = np.zeros(len(block) + 1, np.int64)
@@ -85,7 +86,20 @@ def differences(template: list[str], block: list[str]) -> int:
         best = np.minimum(row[1:] + 1, row[:-1] + (there != numbers[word]))
         full = np.concatenate([[i], best])
         row = np.minimum.accumulate(full - steps) + steps  # words of the block that the template lacks
-    return int(row.min())
+    return row
+
+
+def differences(template: list[str], block: list[str]) -> int:
+    """The least edits of words between template and any stretch of block."""
+    return int(_aligned(template, block).min())
+
+
+def closest(template: list[str], block: list[str]) -> tuple[int, int, int]:
+    """(differences, begin, end) of the first stretch of block that is closest to template."""
+    row = _aligned(template, block)
+    end = int(row.argmin())
+    size = int(_aligned(template[::-1], block[max(0, end - 2 * len(template)) : end][::-1]).argmin())
+    return int(row[end]), end - size, end
 
 
 @lru_cache(1)
@@ -99,25 +113,32 @@ def _compressors():
 
     plain = sized()
     return plain, [
-        (name, i, sized(zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)), plain(t.encode()), _words.findall(t.lower())) for name, ts in TEMPLATES.items() for i, t in enumerate(ts)
+        (name, i, sized(zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)), t, _words.findall(t.lower())) for name, ts in TEMPLATES.items() for i, t in enumerate(ts)
     ]
 
 
 def scanned(block: str) -> list[tuple[str, int, int, int, int]]:
     """(license, template, percent saved, words of the template, differing words) of each license found, best first."""
     plain, templates = _compressors()
-    raw = block.encode()
-    size = plain(raw)
-    ranked = sorted(((size - sized(raw)) / own, name, i, words) for name, i, sized, own, words in templates)[::-1]
+    spans = [m.span() for m in _words.finditer(block)]
+    have = [block[b:e].lower() for b, e in spans]
+    there = set(have)
     found: dict[str, tuple[str, int, int, int, int]] = {}
-    have = _words.findall(block.lower())
-    for saved, name, i, words in ranked:
-        if saved < LEAST_SAVED:
-            break
-        differ = differences(words, have)
-        if differ <= MOST_DIFFERENCES * len(words) and (name not in found or (differ, -len(words)) < (found[name][4], -found[name][3])):
-            found[name] = (name, i, round(100 * saved), len(words), differ)
-    return list(found.values())
+    for name, i, sized, template, words in templates:
+        most = MOST_DIFFERENCES * len(words)
+        if sum(w not in there for w in words) > most:
+            continue
+        differ, begin, end = closest(words, have)
+        if differ <= most and (name not in found or (differ, -len(words)) < (found[name][4], -found[name][3])):
+            held = block[: spans[begin][0]] + template + block[spans[end - 1][1] :]
+            found[name] = (name, i, round(100 * _saved(plain, sized, block) / max(1, _saved(plain, sized, held))), len(words), differ)
+    return sorted(found.values(), key=lambda hit: -hit[2])
+
+
+def _saved(plain, sized, block: str) -> int:
+    """Bytes that a template as dictionary saves of a block."""
+    raw = block.encode()
+    return plain(raw) - sized(raw)
 
 
 def scan(docs: DataFrame) -> DataFrame:

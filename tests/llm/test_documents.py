@@ -298,6 +298,22 @@ def test_scan_finds_exact_and_changed_wordings(spark):
     assert license_scan.scan(table(spark)).count() == 0
 
 
+def test_scan_finds_every_verbatim_notice_in_prose_and_dense_blocks(spark):
+    rng = random.Random(13)
+    notices = [(name, t) for name, ts in license_scan.TEMPLATES.items() for t in ts]
+    texts, want = [], []
+    for name, t in notices:
+        for _ in range(8):
+            texts.append(prose(rng, 60) + " " + t + " " + prose(rng, 60))
+            want.append((len(texts) - 1, name))
+    texts.append(" ".join(prose(rng, 20) + " license " + t for _, t in notices * 3))
+    want += [(len(texts) - 1, name) for name in license_scan.TEMPLATES]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    hits = license_scan.scan(docs).collect()
+    assert sorted({(r.doc_id, r.license) for r in hits if r.exact}) == sorted(want)
+    assert all(r.saved_percent == 100 for r in hits if r.exact and r.doc_id < len(texts) - 1)
+
+
 def test_word_differences_equal_brute_force():
     def brute(t, b):
         def edit(x, y):
