@@ -1,16 +1,20 @@
 """License scans by conditional compression.
 
-Places of a text that hold a cue word are widened to candidate blocks.  Each
-block is compressed with Zstandard, once plainly and once with each template as
+Places of a text that hold a cue, or a run of words of a template, are widened to
+candidate blocks.  A template is cut in one run more than the differences that it
+may have, so one run is intact in every notice to be found; white space and
+punctuation between words are free.  Each block is compressed with Zstandard, once plainly and once with each template as
 a raw-content dictionary.  What the dictionary saves, against what it would save
 if the block held the template verbatim at the same place, says how much of the
 template the block holds; it ranks the hits and decides none.  Templates are
 confirmed by their wording: the least number of words to change, add or drop to
 find the template within the block (an alignment that may begin and end anywhere
 in the block).  Each word of a template that the block lacks is a difference, so
-templates that lack too many need no alignment.
+templates that lack too many need no alignment.  Words are compared without the
+punctuation around them; a hit is exact if its punctuation is the template's too.
+A stretch that is closer to one license is not a hit of others.
 
-Texts without a cue are filtered out by a pattern in the scan; the rest is one
+Texts without a candidate are filtered out by a pattern in the scan; the rest is one
 pass over each text without a shuffle.
 
 Defined cases: null and empty texts have no hits; a block may have hits of
@@ -24,6 +28,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -55,36 +60,85 @@ TEMPLATES = {
     "BSD": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"],
     "Proprietary": ["All rights reserved."],
 }
-CUES = r"(?i)licen[cs]e|all rights reserved|redistribut|permission is hereby|cc by"
+CUES = r"licen[cs]e|all\s+rights\s+reserved|redistribut|permission\s+is\s+hereby|cc\s+by"
 BEFORE, AFTER = 120, 260
 MOST_DIFFERENCES = 0.15
+#: Templates of fewer words may have words between theirs, but none changed or dropped.
+LEAST_WORDS = 4
 LEVEL = 9
 
 HITS = "doc_id long, begin long, end long, license string, template int, saved_percent int, n_words int, n_differences int, exact boolean, block string"
-_words = re.compile(r"[^\s]+")
+_words = re.compile(r"[^\W_](?:\S*[^\W_])?")
+
+
+def words_of(text: str) -> list[str]:
+    """Words in lower case without the punctuation around them."""
+    return [w.lower() for w in _words.findall(text)]
+
+
+def most_differences(n_words: int) -> int:
+    return max(1, int(MOST_DIFFERENCES * n_words))
+
+
+def _runs() -> list[tuple[str, int, int]]:
+    """(pattern, most words before, most words after) of the runs of words of which a notice keeps one."""
+    out = []
+    for words in (words_of(t) for ts in TEMPLATES.values() for t in ts):
+        most = most_differences(len(words))
+        at = [len(words) * i // (most + 1) for i in range(most + 2)]
+        if len(words) < LEAST_WORDS:  # every word is there, so the last one is
+            at = [len(words) - 1, len(words)]
+        out += [(r"[\W_]+".join(map(re.escape, words[b:e])), b + most, len(words) - e + most) for b, e in zip(at, at[1:], strict=False)]
+    return out
+
+
+#: Any cue or run, for texts in the scan and places in a text.
+CANDIDATES = rf"(?i)(?:{CUES}|{'|'.join(dict.fromkeys(p for p, _, _ in _runs()))})"
+_place = re.compile(rf"(?={CANDIDATES[4:]})", re.ASCII | re.IGNORECASE)
+_kinds = [(re.compile(p, re.ASCII | re.IGNORECASE), before, after) for p, before, after in [(CUES, 0, 0), *_runs()]]
+
+
+def _back(text: str, at: int, n: int) -> int:
+    """Where the n words before a place begin."""
+    size = 16 * n
+    while n:
+        low = max(0, at - size)
+        starts = [m.start() for m in _words.finditer(text, low, at)]
+        if low == 0 or len(starts) > n:  # the first one may be cut
+            return starts[-n] if len(starts) >= n else 0
+        size *= 2
+    return at
+
+
+def _ahead(text: str, at: int, n: int) -> int:
+    """Where the n words after a place end."""
+    return max((m.end() for m in islice(_words.finditer(text, at), n)), default=at)
 
 
 def blocks(text: str) -> list[tuple[int, int]]:
-    """Ranges around cues, those that touch merged."""
+    """Ranges around candidates, those that touch merged; each holds the whole of its notice."""
     out: list[tuple[int, int]] = []
-    for m in re.finditer(CUES, text):
-        begin, end = max(0, m.start() - BEFORE), min(len(text), m.end() + AFTER)
-        if out and begin <= out[-1][1]:
-            out[-1] = (out[-1][0], end)
-        else:
-            out.append((begin, end))
+    for place in _place.finditer(text):
+        for kind, before, after in _kinds:
+            m = kind.match(text, place.start())
+            if m:
+                begin, end = min(max(0, m.start() - BEFORE), _back(text, m.start(), before)), max(min(len(text), m.end() + AFTER), _ahead(text, m.end(), after))
+                while out and begin <= out[-1][1]:
+                    low, high = out.pop()
+                    begin, end = min(begin, low), max(end, high)
+                out.append((begin, end))
     return out
 
 
-def _aligned(template: list[str], block: list[str]) -> np.ndarray:
-    """The least edits of words between template and any stretch that ends at each place of block."""
+def _aligned(template: list[str], block: list[str], lost: int = 1) -> np.ndarray:
+    """The least edits of words between template and any stretch that ends at each place of block; lost: what a word of the template that is not there counts."""
     numbers = {w: i for i, w in enumerate(dict.fromkeys([*template, *block]))}
     there = np.array([numbers[w] for w in block], np.int64)
     row = np.zeros(len(block) + 1, np.int64)
     steps = np.arange(len(block) + 1)
     for i, word in enumerate(template, 1):
-        best = np.minimum(row[1:] + 1, row[:-1] + (there != numbers[word]))
-        full = np.concatenate([[i], best])
+        best = np.minimum(row[1:] + lost, row[:-1] + lost * (there != numbers[word]))
+        full = np.concatenate([[i * lost], best])
         row = np.minimum.accumulate(full - steps) + steps  # words of the block that the template lacks
     return row
 
@@ -94,11 +148,19 @@ def differences(template: list[str], block: list[str]) -> int:
     return int(_aligned(template, block).min())
 
 
-def closest(template: list[str], block: list[str]) -> tuple[int, int, int]:
-    """(differences, begin, end) of the first stretch of block that is closest to template."""
-    row = _aligned(template, block)
+def closest(template: list[str], block: list[str]) -> tuple[int, int, int] | None:
+    """(differences, begin, end) of the first stretch of block that is closest to template; None if it differs too much."""
+    most = most_differences(len(template))
+    short = len(template) < LEAST_WORDS
+    there = set(block)
+    if sum(w not in there for w in template) > (0 if short else most):
+        return None
+    lost = most + 1 if short else 1
+    row = _aligned(template, block, lost)
     end = int(row.argmin())
-    size = int(_aligned(template[::-1], block[max(0, end - 2 * len(template)) : end][::-1]).argmin())
+    if row[end] > most:
+        return None
+    size = int(_aligned(template[::-1], block[max(0, end - 2 * len(template)) : end][::-1], lost).argmin())
     return int(row[end]), end - size, end
 
 
@@ -113,25 +175,30 @@ def _compressors():
 
     plain = sized()
     return plain, [
-        (name, i, sized(zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)), t, _words.findall(t.lower())) for name, ts in TEMPLATES.items() for i, t in enumerate(ts)
+        (name, i, sized(zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)), t, words_of(t)) for name, ts in TEMPLATES.items() for i, t in enumerate(ts)
     ]
 
 
-def scanned(block: str) -> list[tuple[str, int, int, int, int]]:
-    """(license, template, percent saved, words of the template, differing words) of each license found, best first."""
+def scanned(block: str) -> list[tuple[str, int, int, int, int, bool]]:
+    """(license, template, percent saved, words of the template, differing words, exact) of each license found, best first."""
     plain, templates = _compressors()
     spans = [m.span() for m in _words.finditer(block)]
     have = [block[b:e].lower() for b, e in spans]
-    there = set(have)
-    found: dict[str, tuple[str, int, int, int, int]] = {}
-    for name, i, sized, template, words in templates:
-        most = MOST_DIFFERENCES * len(words)
-        if sum(w not in there for w in words) > most:
-            continue
-        differ, begin, end = closest(words, have)
-        if differ <= most and (name not in found or (differ, -len(words)) < (found[name][4], -found[name][3])):
-            held = block[: spans[begin][0]] + template + block[spans[end - 1][1] :]
-            found[name] = (name, i, round(100 * _saved(plain, sized, block) / max(1, _saved(plain, sized, held))), len(words), differ)
+    spelled = f" {' '.join(block.lower().split())} "
+    found: dict[str, tuple[str, int, int, int, int, bool]] = {}
+    left = [(near, t) for t in templates if (near := closest(t[4], have))]
+    while left:
+        least = min(near[0] for near, _ in left)
+        best = [(near, t) for near, t in left if near[0] == least]
+        for (differ, begin, end), (name, i, sized, template, words) in best:
+            if name not in found or len(words) > found[name][3]:
+                bare = [m.span() for m in _words.finditer(template)]
+                held = block[: spans[begin][0]] + template[bare[0][0] : bare[-1][1]] + block[spans[end - 1][1] :]
+                exact = f" {' '.join(template.lower().split())} " in spelled
+                found[name] = (name, i, round(100 * _saved(plain, sized, block) / max(1, _saved(plain, sized, held))), len(words), differ, exact)
+        for (_, begin, end), _ in best:  # these words are taken
+            have[begin:end] = [""] * (end - begin)
+        left = [(near, t) for _, t in left if t[0] not in found and (near := closest(t[4], have))]
     return sorted(found.values(), key=lambda hit: -hit[2])
 
 
@@ -151,13 +218,13 @@ def scan(docs: DataFrame) -> DataFrame:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for begin, end in blocks(text or ""):
-                    rows += [(doc_id, begin, end, *hit, hit[4] == 0, text[begin:end]) for hit in scanned(text[begin:end])]
+                    rows += [(doc_id, begin, end, *hit, text[begin:end]) for hit in scanned(text[begin:end])]
             if rows:
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.string()]
                 names = ["doc_id", "begin", "end", "license", "template", "saved_percent", "n_words", "n_differences", "exact", "block"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").where(F.col("text").rlike(CUES)).mapInArrow(run, HITS)
+    return docs.select(F.col("doc_id").cast("long"), "text").where(F.col("text").rlike(CANDIDATES)).mapInArrow(run, HITS)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -314,6 +314,48 @@ def test_scan_finds_every_verbatim_notice_in_prose_and_dense_blocks(spark):
     assert all(r.saved_percent == 100 for r in hits if r.exact and r.doc_id < len(texts) - 1)
 
 
+def test_scan_finds_wrapped_repunctuated_and_edited_notices(spark):
+    rng = random.Random(14)
+    mit = license_scan.TEMPLATES["MIT"][1]
+    gpl = license_scan.TEMPLATES["GPL-3.0"][1]
+    cases = [
+        ("All rights\nreserved.", ("Proprietary", 0, True)),
+        ("All rights reserved", ("Proprietary", 0, False)),
+        ("All rights are reserved.", ("Proprietary", 1, False)),
+        ("Released under the MIT License,", ("MIT", 0, False)),
+        ("Released under the old MIT License.", ("MIT", 1, False)),
+        ("Published under the MIT License.", ("MIT", 1, False)),
+        ("Licensed under\n   CC BY 4.0;", ("CC-BY-4.0", 0, False)),
+        ("Licensed under CC BY-NC 4.0.", ("CC-BY-NC-4.0", 0, True)),
+        (mit.replace("Permission is hereby", "Permission is\nhereby"), ("MIT", 0, True)),
+        (mit.replace("Permission is hereby", "Permission is herewith"), ("MIT", 1, False)),
+        ("# " + mit.replace(" obtaining", "\n# obtaining"), ("MIT", 0, False)),
+        (gpl.replace("redistribute", "share").replace("License as", "Licence as"), ("GPL-3.0", 2, False)),
+        (" " * 900 + gpl.replace("redistribute", "share").replace(" ", " " * 30), ("GPL-3.0", 1, False)),
+        ("She kept all rights to the film and a reserved seat. Some rights reserved.", None),
+    ]
+    docs = spark.createDataFrame([(i, f"{prose(rng, 60)} {t} {prose(rng, 60)}") for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = sorted((r.doc_id, r.license, r.n_differences, r.exact) for r in license_scan.scan(docs).collect())
+    assert got == [(i, *hit) for i, (_, hit) in enumerate(cases) if hit]
+
+
+def test_scan_misses_no_edit_within_the_limit():
+    rng = random.Random(15)
+    for name, ts in license_scan.TEMPLATES.items():
+        for t in ts:
+            words = t.split()
+            for _ in range(20):
+                some = list(words)
+                for _ in range(license_scan.most_differences(len(license_scan.words_of(t)))):
+                    at = rng.randrange(1, len(some))
+                    if len(words) < license_scan.LEAST_WORDS:
+                        some.insert(at, "zzz")
+                    else:
+                        some[at : at + rng.randint(0, 1)] = rng.choice([["zzz"], []])
+                text = f"{prose(rng, 50)} {' '.join(some)} {prose(rng, 50)}"
+                assert name in {h[0] for b, e in license_scan.blocks(text) for h in license_scan.scanned(text[b:e])}
+
+
 def test_word_differences_equal_brute_force():
     def brute(t, b):
         def edit(x, y):
