@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanforge.functions import predicates as P
@@ -68,9 +68,22 @@ def span_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_doc.join(langs, "doc_id").groupBy("lang", "label").agg(F.sum("n").alias("n_spans"), F.sum("chars").alias("n_chars"), F.count(F.lit(1)).alias("n_docs"))
 
 
+def _keys(name: str) -> list[Column]:
+    return [T.match_key(name).alias("match_key"), T.letters_key(name).alias("letters_key"), T.org_key(name).alias("org_key"), T.ascii_letters(name).alias("ascii_letters"), T.title_norm(name).alias("title_norm"), T.collapse_spaces(T.strip_bold(name)).alias("plain"), T.tighten(name).alias("tight"), F.size(T.tokens(name)).alias("n_tokens")]
+
+
 def norm_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of first lines only, as its SQL has them; norm_keys_lines has those of all lines."""
     rows = table(spark, sf_dir, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("first"))
-    return rows.select("doc_id", T.match_key("first").alias("match_key"), T.letters_key("first").alias("letters_key"), T.org_key("first").alias("org_key"), T.ascii_letters("first").alias("ascii_letters"), T.title_norm("first").alias("title_norm"), T.collapse_spaces(T.strip_bold("first")).alias("plain"), T.tighten("first").alias("tight"), F.size(T.tokens("first")).alias("n_tokens"))
+    return rows.select("doc_id", *_keys("first"))
+
+
+def norm_keys_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of all lines of documents and benchmark."""
+    texts = docs(spark, sf_dir).select(F.lit("documents").alias("source"), F.col("doc_id").alias("id"), "text")
+    items = table(spark, sf_dir, "benchmark").select(F.lit("benchmark").alias("source"), F.col("item_id").alias("id"), "text")
+    rows = texts.unionByName(items).select("source", "id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    return rows.select("source", "id", "line_no", *_keys("line"))
 
 
 def join_spaced_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +140,7 @@ def slice_property(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("end") - F.col("start")).alias("covered"), F.min("start").alias("first"), F.max("end").alias("last"))
 
 
-QUERIES = {f.__name__: f for f in (line_offsets, line_class_counts, junk_lines, caps_runs, bold_blocks, span_resolution, doc_text_lines, paragraph_merge, span_report, norm_keys, join_spaced_caps, markdown_table_rows, merge_bold_runs, inline_bold_clean, html_escape, text_envelope, filename_series, slice_property)}
+QUERIES = {f.__name__: f for f in (line_offsets, line_class_counts, junk_lines, caps_runs, bold_blocks, span_resolution, doc_text_lines, paragraph_merge, span_report, norm_keys, norm_keys_lines, join_spaced_caps, markdown_table_rows, merge_bold_runs, inline_bold_clean, html_escape, text_envelope, filename_series, slice_property)}
 
 # --- The same in SQL ---------------------------------------------------------
 
@@ -260,3 +273,6 @@ ORACLES = {
         TRY_CAST(regexp_extract(url, '/([a-z]{2})/(\\d+)', 2) AS INTEGER) AS number, contains(lower(url), '/en/') AS is_en FROM pages""",
     "slice_property": f'WITH {_LABELS} SELECT doc_id, count(*) AS n, sum("end" - start)::BIGINT AS covered, min(start) AS first, max("end") AS last FROM labelled GROUP BY doc_id',
 }
+
+_ALL_LINES = " UNION ALL ".join(f"SELECT '{t}' AS source, {k} AS id, unnest(range(len(string_split(text, chr(10)))))::INTEGER AS line_no, unnest(string_split(text, chr(10))) AS f FROM {t} WHERE text IS NOT NULL" for t, k in (("documents", "doc_id"), ("benchmark", "item_id")))
+ORACLES["norm_keys_lines"] = ORACLES["norm_keys"].replace("SELECT doc_id,", "SELECT source, id, line_no,", 1).replace(_FIRST, f"({_ALL_LINES})")

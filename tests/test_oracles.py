@@ -21,3 +21,14 @@ def test_entry(spark):
 
     assert {"lang", "label", "n_spans"} <= set(__spark_entry__.entry(spark).columns)
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_keys_of_every_line(spark):
+    import duckdb
+
+    got = {(r.source, r.id, r.line_no) for r in catalogue.QUERIES["norm_keys_lines"](spark, FOLDER).collect()}
+    want = set()
+    for name in ("documents", "benchmark"):
+        for key, text in duckdb.sql(f"SELECT {'doc_id' if name == 'documents' else 'item_id'}, text FROM '{FOLDER}/{name}.parquet'").fetchall():
+            want |= {(name, key, n) for n in range(len(text.split("\n")) if text is not None else 0)}
+    assert got == want
