@@ -61,4 +61,7 @@ CONFIDENCE = {"exact": 1.0, "tight": 0.95, "letters": 0.9, "contained": 0.8}
 LEAST_RATIO = 0.80
 LEAST_JACCARD = 0.60
 GRAM = 3
+GRAM_LETTERS = "0123456789abcdefghijklmnopqrstuvwxyz"
+GRAM_CODES = len(GRAM_LETTERS) ** GRAM
+MOST_LINES = 2000
 LEAST_GRAM_LETTERS = 20

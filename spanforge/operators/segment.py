@@ -5,6 +5,7 @@ Spans are rows (key, seq, label, text, start, end); texts are rows (key, text).
 
 from __future__ import annotations
 
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -320,6 +321,78 @@ def gram_pairs(left: DataFrame, right: DataFrame, least: float = V.LEAST_JACCARD
     return shared.where(score >= least).select("a", "b", score.alias("jaccard"))
 
 
+def _gram_sets(texts: list[str]):
+    """(line, code) of the distinct grams of ASCII letters and digits, sorted."""
+    import numpy as np
+
+    digit = np.zeros(128, np.int64)
+    digit[[ord(c) for c in V.GRAM_LETTERS]] = np.arange(len(V.GRAM_LETTERS))
+    at = digit[np.frombuffer("".join(texts).encode(), np.uint8)]
+    line = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    codes = np.zeros(max(0, len(at) - V.GRAM + 1), np.int64)
+    for k in range(V.GRAM):
+        codes = codes * len(V.GRAM_LETTERS) + at[k : k + len(codes)]
+    whole = line[: len(codes)] == line[V.GRAM - 1 :][: len(codes)]
+    return np.divmod(np.unique(line[: len(codes)][whole] * V.GRAM_CODES + codes[whole]), V.GRAM_CODES)
+
+
+def similar_lines(left: DataFrame, right: DataFrame, least: float = V.LEAST_JACCARD, letters: int = V.LEAST_GRAM_LETTERS) -> DataFrame:
+    """Pairs of lines (a, a_line, text) and (b, b_line, text) whose trigram Jaccard is least or more.
+
+    Left is taken in parts of MOST_LINES lines.  Of each part a table of grams by
+    lines is held in each worker, and each line of right adds up the rows of its
+    grams: the counts shared with all lines of the part.  Right is not shuffled.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    def bare(rows: DataFrame, side: str) -> DataFrame:
+        return rows.select(F.col(side).cast("long"), F.col(f"{side}_line").cast("int"), T.ascii_letters("text").alias("letters")).where(F.length("letters") >= letters)
+
+    def pairs(part: list[tuple[int, int, str]]):
+        def run(batches):
+            mine, codes = _gram_sets([t for _, _, t in part])
+            sizes = np.bincount(mine, minlength=len(part))
+            order = np.argsort(sizes, kind="stable")
+            mine, sizes = np.argsort(order)[mine], sizes[order]
+            known, place = np.unique(codes, return_inverse=True)
+            row_of = np.full(V.GRAM_CODES, -1)
+            row_of[known] = np.arange(len(known))
+            table = np.zeros((len(known), len(part)), np.uint16)
+            table[place, mine] = 1
+            keys, lines_ = np.array([a for a, _, _ in part], object)[order], np.array([n for _, n, _ in part])[order]
+            for batch in batches:
+                texts = batch.column(2).to_pylist()
+                if not texts:
+                    continue
+                line, codes = _gram_sets(texts)
+                n = np.bincount(line, minlength=len(texts))
+                rows = row_of[codes]
+                line, rows = line[rows >= 0], rows[rows >= 0]
+                likely = np.bincount(line, minlength=len(texts)) >= np.maximum(1, least * n - 1e-9)  # no line of the part can share more
+                line, rows = line[likely[line]], rows[likely[line]]
+                starts = np.flatnonzero(np.diff(line, prepend=-1))
+                out = []
+                for begin, end in zip(starts, [*starts[1:], len(line)], strict=True):
+                    size = n[line[begin]]  # sizes that can give the score, sharing end - begin at most
+                    low, high = np.searchsorted(sizes, [least * size - 1e-6, (end - begin) * (1 + least) / least - size + 1e-6])
+                    if low < high:
+                        shared = table[rows[begin:end], low:high].sum(0, dtype=np.uint16).astype(np.int64)
+                        score = shared / (sizes[low:high] + size - shared)
+                        out += [(int(line[begin]), low + i, score[i]) for i in np.flatnonzero(score >= least)]
+                if out:
+                    at, i, score = (np.array(c) for c in zip(*out, strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[i].tolist(), pa.int64()), pa.array(lines_[i], pa.int32()), batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.array(score, pa.float64())], names=["a", "a_line", "b", "b_line", "jaccard"])
+
+        return bare(right, "b").mapInArrow(run, "a long, a_line int, b long, b_line int, jaccard double")
+
+    rows = (tuple(r) for r in bare(left, "a").toLocalIterator())
+    out = pairs(list(islice(rows, V.MOST_LINES)))
+    while part := list(islice(rows, V.MOST_LINES)):
+        out = out.unionByName(pairs(part))
+    return out
+
+
 def sub_slices(segments: DataFrame, allowed: DataFrame, key: str = "doc_id", depth: str = "segment") -> DataFrame:
     """Segments (key, segment, text), labelled again from offset 0, cut at the title blocks that stand for an allowed title (key, segment, ord, title).
 

@@ -41,12 +41,21 @@ def best_window_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark items against the first lines of documents, by trigrams of letters."""
+    """First lines of benchmark items and documents by trigrams of letters, as its SQL has them; ngram_jaccard_lines has all lines."""
     items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("a"), F.substring_index("text", "\n", 1).alias("text"))
     heads = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("b"), F.substring_index("text", "\n", 1).alias("text"))
     return S.gram_pairs(items, heads).withColumn("jaccard", F.round("jaccard", 6))
 
 
+def ngram_jaccard_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines of benchmark items against all lines of documents, by trigrams of letters."""
+
+    def numbered(name: str, key: str, side: str) -> DataFrame:
+        return table(spark, sf_dir, name).select(F.col(key).alias(side), F.posexplode(F.split("text", "\n", -1)).alias(f"{side}_line", "text"))
+
+    return S.similar_lines(numbered("benchmark", "item_id", "a"), numbered("documents", "doc_id", "b")).withColumn("jaccard", F.round("jaccard", 6))
+
+
 def allowed_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct titles of a conversation's texts by their tight key, the first of each kept."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.explode(F.split("text", "\n", -1)).alias("line"), F.lit(0).alias("z"))
@@ -62,7 +71,7 @@ def child_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("conv_id", F.col("block").alias("turn"), F.md5("title").alias("title_md5"), "rank")
 
 
-QUERIES = {f.__name__: f for f in (title_match_equal, title_match_cascade, best_window_jaccard, ngram_jaccard, allowed_children, child_titles)}
+QUERIES = {f.__name__: f for f in (title_match_equal, title_match_cascade, best_window_jaccard, ngram_jaccard, ngram_jaccard_lines, allowed_children, child_titles)}
 
 # --- The same in SQL ---------------------------------------------------------
 
@@ -124,3 +133,12 @@ ORACLES = {
         first AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY line_no, rank, score DESC, ord) AS r FROM scored)
         SELECT conv_id, turn, md5(title) AS title_md5, rank::INTEGER AS rank FROM first WHERE r = 1""",
 }
+
+
+def _line_grams(name: str, key: str, side: str) -> str:
+    split = f"SELECT {key}, unnest(range(len(string_split(text, chr(10)))))::INTEGER AS line_no, unnest(string_split(text, chr(10))) AS line FROM {name} WHERE text IS NOT NULL"
+    return f"""SELECT {side}, {side}_line, len(g) AS n_{side}, unnest(g) AS gram FROM (SELECT {key} AS {side}, line_no AS {side}_line, {_GRAMS} AS g FROM (SELECT {key}, line_no, {_letters("line")} AS l FROM ({split})) WHERE length(l) >= {V.LEAST_GRAM_LETTERS})"""
+
+
+ORACLES["ngram_jaccard_lines"] = f"""WITH a AS ({_line_grams("benchmark", "item_id", "a")}), b AS ({_line_grams("documents", "doc_id", "b")})
+    SELECT a, a_line, b, b_line, round(count(*)::DOUBLE / (n_a + n_b - count(*)), 6) AS jaccard FROM a JOIN b USING (gram) GROUP BY a, a_line, b, b_line, n_a, n_b HAVING count(*)::DOUBLE / (n_a + n_b - count(*)) >= {V.LEAST_JACCARD}"""

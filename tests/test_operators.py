@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import functions as F
 
 from spanforge.functions import vocabulary as V
@@ -195,3 +197,20 @@ def test_untitled_item_takes_the_window(spark):
     items = spark.createDataFrame([(0, 0, [1], None), (0, 1, [1], "x"), (0, 2, [1], "absent"), (0, 3, [], "x")], "doc_id long, item int, org_ids array<int>, title string")
     got = {r.item: (r.status, r.confidence, r.start, r.stop) for r in S.segment_titles(rows, text_of(rows), orgs, items).collect()}
     assert got == {0: ("doc_children_segment", 0.5, 0, 13), 1: ("doc_type_segment", 1.0, 10, 13), 2: ("doc_type_unanchored", 0.0, None, None)}
+
+
+def test_lines_after_the_first_are_matched(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(8)]
+    lines = [" ".join(rng.choice(words) for _ in range(rng.randint(2, 9))) for _ in range(80)]
+    left = [(i % 7, i // 7, t) for i, t in enumerate(lines[:30])]
+    right = [(i % 9, i // 9, t) for i, t in enumerate([*lines[20:], *(t[:-4] for t in lines[:30])])] + [(99, 4, None), (99, 5, ""), (99, 6, "É" * 30)]
+
+    def grams(t):
+        s = "".join(c for c in (t or "").replace("É", "e").lower() if c.isalnum())
+        return {s[i : i + 3] for i in range(len(s) - 2)} if len(s) >= 20 else set()
+
+    want = sorted((a, i, b, j, round(len(grams(s) & grams(t)) / len(grams(s) | grams(t)), 6)) for a, i, s in left for b, j, t in right if grams(s) and grams(t) and len(grams(s) & grams(t)) / len(grams(s) | grams(t)) >= 0.6)
+    got = S.similar_lines(spark.createDataFrame(left, "a long, a_line int, text string"), spark.createDataFrame(right, "b long, b_line int, text string"))
+    assert sorted((r.a, r.a_line, r.b, r.b_line, round(r.jaccard, 6)) for r in got.collect()) == want
+    assert len(want) > 20
