@@ -14,7 +14,8 @@ each block of a longer transcript its matrix, a small table of matrices is
 joined up in order, and a second pass decodes all blocks side by side, each with
 the scores it begins with and the state it has to end in.
 
-Defined cases: a null text is empty, a null role is the role `unknown`; lines
+Defined cases: a null text is empty, a null role is the role `unknown`; rows with a
+null conv_id are one transcript; lines
 with equal places are ordered by their text; an empty table gives no rows; extra
 columns are not read.
 """
@@ -75,6 +76,13 @@ class Model:
         return self.emit.get(symbol(line), self.other)
 
 
+def _joined(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join in which null keys are equal."""
+    other = right.select(*(F.col(k).alias(f"_{k}") for k in keys), *(c for c in right.columns if c not in keys))
+    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return left.join(other, on, how).drop(*(f"_{k}" for k in keys))
+
+
 def fitted(lines: DataFrame) -> Model:
     """A model counted from labelled lines (conv_id, turn, line_no, line, role), whole table.
 
@@ -87,7 +95,7 @@ def fitted(lines: DataFrame) -> Model:
     seen = rows.groupBy("role", "further", "symbol").count().collect()
     ends = rows.groupBy("conv_id", "turn").agg(F.first("role").alias("role"), F.max("line_no").alias("n")).select("conv_id", "turn", "role", "n")
     after = ends.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("role").alias("next"))
-    steps = ends.join(after, ["conv_id", "turn"]).groupBy("role", (F.col("n") > 0).alias("long"), "next").count().collect()
+    steps = _joined(ends, after, ["conv_id", "turn"]).groupBy("role", (F.col("n") > 0).alias("long"), "next").count().collect()
     firsts = ends.where("turn = 0").groupBy("role").count().collect()
     lasts = ends.groupBy("role").agg(F.sum((F.col("n") > 0).cast("long")).alias("long"), F.sum(F.greatest(F.col("n") - 1, F.lit(0))).alias("inner")).collect()
     roles = sorted({r["role"] for r in seen})
@@ -210,10 +218,10 @@ def parsed(lines: DataFrame, model: Model, block: int = BLOCK) -> DataFrame:
 
     ordered = ["conv_id", "block", "turn", "line_no", "line"]
     parts = common.shuffle_partitions(spark)
-    long_lines = dealt.join(longer, "conv_id").select(*ordered, (F.col("block") == F.col("low")).alias("first"))
+    long_lines = _joined(dealt, longer, ["conv_id"]).select(*ordered, (F.col("block") == F.col("low")).alias("first"))
     by_block = long_lines.repartition(parts, "conv_id", "block").sortWithinPartitions(*ordered).mapInArrow(matrices, "conv_id long, block long, matrix array<double>")
     edges = common.written(by_block.repartition(parts, "conv_id").sortWithinPartitions("conv_id", "block").mapInArrow(chained, "conv_id long, block long, enter array<double>, finish int"), "edges")
-    bounded = dealt.join(edges, ["conv_id", "block"], "left").select(*ordered, "enter", "finish")
+    bounded = _joined(dealt, edges, ["conv_id", "block"], "left").select(*ordered, "enter", "finish")
     return bounded.repartition(parts, "conv_id", "block").sortWithinPartitions(*ordered).mapInArrow(decode, OUT)
 
 
@@ -245,7 +253,7 @@ def rendered(states: DataFrame, model: Model) -> DataFrame:
     turns = rows.where(F.col("state") % 2 == 0).select("conv_id", "place", roles[(F.col("state") / 2).cast("int")].alias("role"))
     texts = lines.groupBy("conv_id", "place").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "line_no", F.col("c.text").alias("t")))), lambda x: x["t"]), "\n").alias("text"))
     head = F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n"))
-    return turns.join(texts, ["conv_id", "place"], "left").select("conv_id", F.col("place").alias("turn"), "role", F.concat(head, F.coalesce("text", F.lit("")), F.lit("\n<|end|>")).alias("rendered"))
+    return _joined(turns, texts, ["conv_id", "place"], "left").select("conv_id", F.col("place").alias("turn"), "role", F.concat(head, F.coalesce("text", F.lit("")), F.lit("\n<|end|>")).alias("rendered"))
 
 
 def raw_lines(turns: DataFrame) -> DataFrame:

@@ -64,6 +64,18 @@ def test_awkward_conversations(spark):
     assert got[102, 0] == "<|user|>\n\n\nlate\n\n<|end|>" and got[103, 0].count("long") == 5000
 
 
+def test_null_conv_id_is_one_transcript(spark):
+    rows = talk(8)
+    nulls = [(None, *r[1:]) for r in talk(1, 30)]
+    lines = transcripts.raw_lines(conversation(spark, rows + nulls))
+    model = transcripts.fitted(lines)
+    whole, parts = (transcripts.parsed(lines.drop("role"), model, block=b) for b in (256, 4))
+    assert sorted(map(repr, whole.drop("block").collect())) == sorted(map(repr, parts.drop("block").collect()))
+    for states in (whole, parts):
+        got = sorted(tuple(r) for r in transcripts.rendered(states, model).where("conv_id is null").select("turn", "role", "rendered").collect())
+        assert got == [r[1:] for r in want(nulls)]
+
+
 def test_empty_conversations(spark):
     lines = transcripts.raw_lines(conversation(spark, []))
     model = transcripts.fitted(lines)
