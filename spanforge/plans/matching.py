@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spanforge.functions import text as T
@@ -56,6 +57,15 @@ def ngram_jaccard_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.similar_lines(numbered("benchmark", "item_id", "a"), numbered("documents", "doc_id", "b")).withColumn("jaccard", F.round("jaccard", 6))
 
 
+def ordinal_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The k-th order of a customer with the k-th line of the supplier of the same number; extra orders stay, extra lines drop."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), "o_orderkey")
+    items = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("key"), "l_orderkey", "l_linenumber")
+    slices = orders.withColumn("k", F.row_number().over(W.partitionBy("key").orderBy("o_orderkey")))
+    named = items.withColumn("k", F.row_number().over(W.partitionBy("key").orderBy("l_orderkey", "l_linenumber")))
+    return slices.join(named, ["key", "k"], "left")
+
+
 def allowed_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct titles of a conversation's texts by their tight key, the first of each kept."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.explode(F.split("text", "\n", -1)).alias("line"), F.lit(0).alias("z"))
@@ -71,7 +81,7 @@ def child_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("conv_id", F.col("block").alias("turn"), F.md5("title").alias("title_md5"), "rank")
 
 
-QUERIES = {f.__name__: f for f in (title_match_equal, title_match_cascade, best_window_jaccard, ngram_jaccard, ngram_jaccard_lines, allowed_children, child_titles)}
+QUERIES = {f.__name__: f for f in (title_match_equal, title_match_cascade, best_window_jaccard, ngram_jaccard, ngram_jaccard_lines, ordinal_zip, allowed_children, child_titles)}
 
 # --- The same in SQL ---------------------------------------------------------
 
@@ -142,3 +152,6 @@ def _line_grams(name: str, key: str, side: str) -> str:
 
 ORACLES["ngram_jaccard_lines"] = f"""WITH a AS ({_line_grams("benchmark", "item_id", "a")}), b AS ({_line_grams("documents", "doc_id", "b")})
     SELECT a, a_line, b, b_line, round(count(*)::DOUBLE / (n_a + n_b - count(*)), 6) AS jaccard FROM a JOIN b USING (gram) GROUP BY a, a_line, b, b_line, n_a, n_b HAVING count(*)::DOUBLE / (n_a + n_b - count(*)) >= {V.LEAST_JACCARD}"""
+ORACLES["ordinal_zip"] = """SELECT key, k, o_orderkey, l_orderkey, l_linenumber FROM
+    (SELECT o_custkey AS key, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k FROM orders) LEFT JOIN
+    (SELECT l_suppkey AS key, l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber) AS k FROM lineitem) USING (key, k)"""

@@ -32,3 +32,9 @@ def test_keys_of_every_line(spark):
         for key, text in duckdb.sql(f"SELECT {'doc_id' if name == 'documents' else 'item_id'}, text FROM '{FOLDER}/{name}.parquet'").fetchall():
             want |= {(name, key, n) for n in range(len(text.split("\n")) if text is not None else 0)}
     assert got == want
+
+
+def test_zip_keeps_extra_slices(spark):
+    got = catalogue.QUERIES["ordinal_zip"](spark, FOLDER)
+    assert got.count() == spark.read.parquet(f"{FOLDER}/orders.parquet").count()
+    assert got.where("l_orderkey is null").count() > 0 and got.where("l_orderkey is not null").count() > 0
