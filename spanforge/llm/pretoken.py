@@ -4,7 +4,10 @@ Byte-pair encoding never merges across pre-tokens, so the ids of a text are the
 ids of its pre-tokens in a row.  A batch is cut into pre-tokens with class
 tables and comparisons of neighbouring code points; each distinct pre-token is
 encoded once by the encoder that is handed in, and the ids of the whole batch
-are gathered from the table.  The table is emptied when it holds too many.
+are gathered from the table.  Hashes group equal pre-tokens of a batch, and each
+pre-token is then compared with the one that stands for its group; the table is
+keyed by the pre-tokens themselves, so ids never rest on a hash.  The table is
+emptied when it holds too many.
 """
 
 from __future__ import annotations
@@ -87,20 +90,26 @@ class Vocabulary:
         self._empty()
 
     def _empty(self) -> None:
-        self.place: dict[int, int] = {}
+        self.place: dict[str, int] = {}
         self.begin, self.length = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
         self.ids, self.used = np.zeros(1 << 14, np.int32), 0
 
-    def _learn(self, keys: list[int], pieces: list[str]) -> None:
-        for key, ids in zip(keys, self.encode(pieces), strict=True):
-            at = self.place[key] = len(self.place)
-            if at == len(self.begin):
-                self.begin, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.length))
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.begin[at], self.length[at] = self.used, len(ids)
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
+    def _places(self, pieces: list[str]) -> np.ndarray:
+        """The table's row of each piece; new ones are encoded."""
+        found = [self.place.get(p, -1) for p in pieces]
+        if -1 in found:
+            new = list(dict.fromkeys(p for p, at in zip(pieces, found, strict=True) if at < 0))
+            for piece, ids in zip(new, self.encode(new), strict=True):
+                at = self.place[piece] = len(self.place)
+                if at == len(self.begin):
+                    self.begin, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.length))
+                while self.used + len(ids) > len(self.ids):
+                    self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+                self.begin[at], self.length[at] = self.used, len(ids)
+                self.ids[self.used : self.used + len(ids)] = ids
+                self.used += len(ids)
+            found = [self.place[p] for p in pieces]
+        return np.array(found, np.int64)
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, bounds of each text)."""
@@ -134,21 +143,24 @@ class Vocabulary:
         if self.words_only:
             kept &= kinds[begin] < BLANK
         begin, end = begin[kept], end[kept]
-        which, keys = pd.factorize(tb.span_hashes(codes, begin, end))
-        known = [self.place.get(k, -1) for k in keys.tolist()]
-        if -1 in known:
-            new = [i for i, at in enumerate(known) if at < 0]
+        at = np.zeros(len(begin), np.int64)
+        if len(begin):
+            which, keys = pd.factorize(tb.span_hashes(codes, begin, end))
             first = np.empty(len(keys), np.int64)
             first[which[::-1]] = np.arange(len(which))[::-1]
-            spans = first[new]
-            self._learn([int(keys[i]) for i in new], [joined[b:e] for b, e in zip(begin[spans].tolist(), end[spans].tolist(), strict=True)])
-            known = [self.place[k] for k in keys.tolist()]
-        at = np.array(known, np.int64)[which] if len(which) else np.zeros(0, np.int64)
+            at = self._places(_spelled(joined, begin[first], end[first]))[which]
+            odd = np.flatnonzero(tb.unlike(codes, begin, end, first[which]))
+            if len(odd):  # pre-tokens that share a hash with another
+                at[odd] = self._places(_spelled(joined, begin[odd], end[odd]))
         lengths = self.length[at]
         flat = tb.gathered(self.ids, self.begin[at], lengths)
         return flat, tb.bounds_of(lengths)[np.searchsorted(begin, edges)]
 
 
+def _spelled(text: str, begin: np.ndarray, end: np.ndarray) -> list[str]:
+    return [text[b:e] for b, e in zip(begin.tolist(), end.tolist(), strict=True)]
+
+
 @lru_cache(4)
 def library_vocabulary(path: str) -> Vocabulary:
     """Pre-tokens are encoded by the tokenizers library; one for each worker process and file."""

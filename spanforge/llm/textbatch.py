@@ -11,9 +11,8 @@ import numpy as np
 #: Odd 64-bit constants of the hashes here.
 _BASE = 0x9E3779B97F4A7C15
 _STEP = 0xD1342543DE82EF95
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _U64 = np.uint64
-_power: dict[int, np.ndarray] = {}
+_place_keys = np.zeros(0, _U64)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -27,15 +26,15 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    have = _power.get(base)
-    if have is None or len(have) < n:
-        steps = np.full(max(n, 1 << 16), base, _U64)
-        steps[0] = 1
-        have = np.cumprod(steps, dtype=_U64)
-        if len(have) <= 1 << 22:  # longer ones are for one very long text: not kept
-            _power[base] = have
-    return have[:n]
+def _keys(n: int) -> np.ndarray:
+    """A key for each place in a span."""
+    global _place_keys
+    if len(_place_keys) >= n:
+        return _place_keys
+    keys = mixed(np.arange(1, max(n, 1 << 12) + 1, dtype=_U64) * _U64(_BASE))
+    if len(keys) <= 1 << 20:  # longer ones are for one very long span: not kept
+        _place_keys = keys
+    return keys
 
 
 def code_points(text: str) -> np.ndarray:
@@ -59,10 +58,40 @@ def folded(codes: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(codes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of code points, whatever its place."""
-    sums = np.zeros(len(codes) + 1, _U64)
-    np.cumsum((codes.astype(_U64) + _U64(1)) * _U64(_STEP) * _powers(_BASE, len(codes)), dtype=_U64, out=sums[1:])
-    return mixed((sums[end] - sums[begin]) * _powers(_BASE_INVERSE, len(codes) + 1)[begin] + (end - begin).astype(_U64))
+    """A 64-bit hash of each span of code points, wherever it stands; spans ascend and do not overlap.
+
+    Each code point is mixed with its place in the span before they are summed.
+    A sum of powers of one base instead would be equal for some pairs of patterned
+    texts (Thue-Morse words and their complements), whatever the base.
+    """
+    if not len(begin):
+        return np.zeros(0, _U64)
+    low = int(begin[0])
+    lengths = np.diff(begin, append=len(codes))
+    place = np.arange(low, len(codes)) - np.repeat(begin, lengths)
+    x = codes[low:].astype(_U64)
+    x *= _U64(_STEP)
+    x += _keys(int(lengths.max()))[place]
+    x ^= x >> _U64(29)
+    x *= _U64(0xBF58476D1CE4E5B9)
+    x ^= x >> _U64(32)
+    total = np.zeros(len(x) + 1, _U64)
+    np.cumsum(x, out=total[1:])
+    return mixed(total[end - low] - total[begin - low] + (end - begin).astype(_U64))
+
+
+def unlike(codes: np.ndarray, begin: np.ndarray, end: np.ndarray, twin: np.ndarray) -> np.ndarray:
+    """Which spans are not, code point by code point, the same as the span whose number twin gives."""
+    size = end - begin
+    out = size != size[twin]
+    own = np.flatnonzero(~out & (twin != np.arange(len(twin))) & (size > 0))
+    if len(own):
+        n = size[own]
+        first = np.cumsum(n) - n
+        at = np.arange(int(n.sum())) + np.repeat(begin[own] - first, n)
+        other = at + np.repeat(begin[twin[own]] - begin[own], n)
+        out[own] = np.logical_or.reduceat(codes[at] != codes[other], first)
+    return out
 
 
 def words(codes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -414,3 +414,20 @@ def test_pipeline_of_awkward_and_empty_tables(spark, tmp_path):
             docs = common.written(stage(spark, docs, str(tmp_path)), "stage")
         assert (docs.count() > 0) == (n == 0)
     assert SCHEMA
+
+
+# --- Patterned texts ---------------------------------------------------------
+
+
+def test_patterned_texts_are_told_apart(spark):
+    for n in (1024, 2048, 4096):
+        word = "".join("ab"[i.bit_count() & 1] for i in range(n))
+        other = word.translate(str.maketrans("ab", "ba"))
+        found = quality.counts([f"{word}\n{other}", f"{word}\n{word}"])
+        assert found["n_dup_lines"].tolist() == [0, 1]
+        a, b = fingerprints.signatures([word, other])
+        assert (a != b).any()
+        hashes, bounds = near_dedup.sets([word, other])
+        assert bounds.tolist() == [0, 1, 2] and hashes[0] != hashes[1]
+    docs = spark.createDataFrame([(0, word), (1, other), (2, word)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_dedup.linked(docs).collect()} == {0: 0, 1: 1, 2: 0}

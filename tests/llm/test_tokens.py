@@ -153,3 +153,28 @@ def test_one_very_long_text():
     text = prose(random.Random(2), 60_000)
     flat, bounds = pretoken.library_vocabulary(BYTE)([text, ""])
     assert bounds.tolist() == [0, len(flat), len(flat)]
+
+
+def thue_morse(n: int) -> tuple[str, str]:
+    word = "".join("ab"[i.bit_count() & 1] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_patterned_words_keep_their_own_ids(path, monkeypatch):
+    texts = [t for n in (512, 1024, 4096) for t in thue_morse(n)]
+    library = Tokenizer.from_file(path)
+    want = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    encoders = [pretoken.library_vocabulary(path)] + ([bpe.vocabulary(path)] if path == BYTE else [])
+    for ids_of in encoders:
+        flat, bounds = ids_of(texts)
+        assert [flat[b:e].tolist() for b, e in zip(bounds[:-1], bounds[1:], strict=True)] == want
+    monkeypatch.setattr(tb, "span_hashes", lambda codes, begin, end: np.zeros(len(begin), np.uint64))
+    for ids_of in encoders:  # even if all hashes are equal
+        flat, bounds = ids_of(texts + TEXTS[:9])
+        assert [flat[b:e].tolist() for b, e in zip(bounds[:-1], bounds[1:], strict=True)][: len(want)] == want
+
+
+def test_unlike_spans():
+    codes, bounds = tb.pack(["abc", "abd", "abc", "ab"])
+    assert tb.unlike(codes, bounds[:-1], bounds[1:], np.zeros(4, np.int64)).tolist() == [False, True, False, True]
