@@ -35,15 +35,7 @@ from pyspark.sql import functions as F
 
 from spanforge.llm import common
 from spanforge.llm import textbatch as tb
-from spanforge.llm.pretoken import Vocabulary
-
-
-@lru_cache(1)
-def byte_chars() -> list[str]:
-    """The character that stands for each byte in a byte-level vocabulary: printable Latin-1 as it is, the rest from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = iter(range(0x100, 0x200))
-    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+from spanforge.llm.pretoken import Vocabulary, byte_chars
 
 
 class Encoder:

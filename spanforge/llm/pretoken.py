@@ -161,13 +161,20 @@ def _spelled(text: str, begin: np.ndarray, end: np.ndarray) -> list[str]:
     return [text[b:e] for b, e in zip(begin.tolist(), end.tolist(), strict=True)]
 
 
+@lru_cache(1)
+def byte_chars() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable Latin-1 as it is, the rest from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(0x100, 0x200))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
 @lru_cache(4)
 def library_vocabulary(path: str) -> Vocabulary:
-    """Pre-tokens are encoded by the tokenizers library; one for each worker process and file."""
+    """Pre-tokens are encoded by the library's model of the file, which is handed their bytes' characters; one for each worker process and file."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return Vocabulary(path, lambda pieces: [x.ids for x in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)])
+    model = Tokenizer.from_file(path).model
+    chars = dict(enumerate(byte_chars()))
+    return Vocabulary(path, lambda pieces: [[x.id for x in model.tokenize(p.encode().decode("latin-1").translate(chars))] for p in pieces])
