@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -58,6 +59,25 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+def running_totals(counts: DataFrame, order: str, value: str, by: str | None = None, chunk: int = 4096) -> DataFrame:
+    """counts with `ahead`, the sum of value over the rows of lower order (of the same `by`, null being one), and `of_all`, that over all of them.
+
+    Sums are taken in two levels, within chunks of the order and over chunks, so
+    no task sees more than chunk rows or one row for each chunk.  order is a
+    whole number from 0, once for each `by`.
+    """
+    if by is None:
+        counts, by = counts.withColumn("_by", F.lit(0)), "_by"
+    counts = counts.withColumn("_chunk", F.floor(F.col(order) / chunk))
+    totals = counts.groupBy(by, "_chunk").agg(F.sum(value).alias("_sum"))
+    earlier = W.partitionBy(by).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    totals = totals.select(F.col(by).alias("_of"), F.col("_chunk").alias("_at"), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"), F.sum("_sum").over(W.partitionBy(by)).alias("of_all"))
+    within = W.partitionBy(by, "_chunk").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    rows = counts.withColumn("_within", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    rows = rows.join(totals, (F.col("_chunk") == F.col("_at")) & F.col(by).eqNullSafe(F.col("_of")))
+    return rows.withColumn("ahead", F.col("_before") + F.col("_within")).drop("_by", "_chunk", "_of", "_at", "_before", "_within")
+
+
 def crc32(text: Column) -> Column:
     """Unsigned crc32 of the UTF-8 bytes."""
     return F.crc32(text.cast("binary"))

@@ -8,13 +8,16 @@ the mixture of the whole and differ in count by one row at most.
 No window runs over a whole source or the whole table.  Rows are dealt into
 digest buckets (for the rank in a source) and into rank buckets (for the place
 in the interleaved order) of a few thousand rows each; the bucket counts alone
-are summed up in order.  A source with a third of all rows is thus ranked by as
-many tasks as its buckets.
+are summed up in order, within chunks of buckets and over chunks.  A source with
+a third of all rows is thus ranked by as many tasks as its buckets.
 
-Defined cases: a null source is a source of its own; a null text has no bytes;
-equal doc_ids are ordered by the digest of their text, and rows equal in both
-are interchangeable; an empty table gives no rows; other columns of the input
-are not carried, so their names cannot clash.
+Defined cases: a null source is a source of its own; a null text has no bytes; a
+very long text counts and is digested as a whole, and only its digest moves;
+equal texts are rows like others, spread over the shards as their digests fall
+(the law is `rows`, the strata are sources); equal doc_ids are ordered by the
+digest of their text, and rows equal in both are interchangeable; an empty table
+gives no rows; other columns of the input are not carried, so their names cannot
+clash.
 """
 
 from __future__ import annotations
@@ -53,16 +56,8 @@ def stratified_shards(
     ).withColumn("dealt", F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") * F.lit(buckets) / F.lit(1 << 32))
     # Written once: the text is read and digested one time, and both uses below read narrow rows.
     rows = common.written(rows.withColumn("dealt", F.floor("dealt")), "shard-rows")
-    in_source = W.partitionBy("source").orderBy("dealt")
-    before = (
-        rows.groupBy("source", "dealt")
-        .agg(F.count(F.lit(1)).alias("here"))
-        .select(
-            F.col("source").alias("of_source"),
-            F.col("dealt").alias("of_dealt"),
-            (F.sum("here").over(in_source) - F.col("here")).alias("ahead"),
-            F.sum("here").over(W.partitionBy("source")).alias("in_source"),
-        )
+    before = common.running_totals(rows.groupBy("source", "dealt").agg(F.count(F.lit(1)).alias("here")), "dealt", "here", "source").select(
+        F.col("source").alias("of_source"), F.col("dealt").alias("of_dealt"), "ahead", F.col("of_all").alias("in_source")
     )
     ranked = (
         rows.withColumn("rank", F.row_number().over(W.partitionBy("source", "dealt").orderBy("digest", "doc_id", "text_crc32")))
@@ -70,8 +65,7 @@ def stratified_shards(
         .withColumn("share", (2 * (F.col("ahead") + F.col("rank")) - 1).cast("double") / (2 * F.col("in_source")).cast("double"))
         .withColumn("place", F.floor(F.col("share") * F.lit(buckets)).cast("long"))
     )
-    counts = ranked.groupBy("place").agg(F.count(F.lit(1)).alias("here"))
-    starts = counts.select(F.col("place").alias("of_place"), (F.sum("here").over(W.orderBy("place")) - F.col("here")).alias("first"))
+    starts = common.running_totals(ranked.groupBy("place").agg(F.count(F.lit(1)).alias("here")), "place", "here").select(F.col("place").alias("of_place"), F.col("ahead").alias("first"))
     in_place = W.partitionBy("place").orderBy("share", "digest", "doc_id", "text_crc32")
     position = F.col("first") + F.col("row") - 1
     shard = F.floor(position * F.lit(shards) / F.lit(max(1, total))).cast("int")

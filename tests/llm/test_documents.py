@@ -37,6 +37,24 @@ def test_shards_awkward(spark):
     assert sharding.stratified_shards(empty(spark)).count() == 0
 
 
+def test_running_totals_in_chunks(spark):
+    rng = random.Random(3)
+    rows = [(by, i, rng.randint(1, 9)) for by in ("a", None, "b") for i in range(50) if rng.random() < 0.8]
+    got = common.running_totals(spark.createDataFrame(rows, "by string, place long, n long"), "place", "n", "by", chunk=7).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        same = [x for x in rows if x[0] == r.by]
+        assert (r.ahead, r.of_all) == (sum(n for _, i, n in same if i < r.place), sum(n for _, _, n in same))
+
+
+def test_shards_spread_equal_texts(spark):
+    rows = [(i, "the same" if i % 2 else f"text {i} " * 2000, None, None, None, None, None, None) for i in range(480)]
+    got = sharding.stratified_shards(table(spark, rows), bucket_rows=16).collect()
+    same = Counter(r.shard for r in got if r["size"] == 16)
+    assert sum(same.values()) == 240 and len(same) == sharding.SHARDS
+    assert sorted((r.shard, r.slot) for r in got) == [(s, n) for s in range(24) for n in range(20)]
+
+
 # --- Fingerprints ------------------------------------------------------------
 
 
