@@ -5,24 +5,32 @@ end to end, unsigned little-endian 16-bit where the vocabulary allows it, else
 32-bit, nothing else.  `<name>.index` is a JSON header line and arrays: the
 levels of a minimal perfect hash over the shard's distinct keys, and by hash
 slot a stored 32-bit fingerprint, the first record and the number of records of
-the key; then the offsets of all records in the payload.  A lookup computes the
-slot with a few probes, compares the fingerprint, and reads one slice, whatever
-the size of the shard.
+the key; then the offsets of all records in the payload.  Records without a key
+come first; the header counts them.  A lookup computes the slot with a few
+probes, compares the fingerprint, and reads one slice, whatever the size of the
+shard.
 
 The hash: at each level the keys left over are thrown into a bit array of GAMMA
 bits a key; keys alone in their bit settle there, the others go to the next
-level.  A key's slot is the number of set bits before its own, counted when the
-index is opened.  Keys outside the index are refused by the fingerprint, but for
-one in 2^32.
+level.  A key's slot is the number of set bits before its own: a count kept for
+each word of 64 bits, and the bits of the word.  Keys outside the index are
+refused by the fingerprint, but for one in 2^32.
 
 Rows are dealt by ranges of the key and sorted in each range, so shards in
-order hold the keys in order.  Each task streams its payload to a file whose
+order hold the keys in order.  There is a shard for each SHARD_ROWS rows, or for
+each shuffle partition if that gives more, so neither a shard nor what its
+writer holds of it (a key and a size a record) grows with the table.  The rows of
+one key, or those without a key, may be a third of all: ranges also part them by
+the beginning of their text and then by their place in the input, and a lookup
+asks every shard whose range holds the key.  Each task streams its payload to a file whose
 name carries the attempt; only files that a successful task reported are in the
 manifest, so a lost executor or a second attempt cannot mix files.
 
 Defined cases: a null text is empty and has the end id only; null keys come
-first in the order and are stored under the key NULL_KEY; rows that repeat a key
-are kept, in the order of their text; an empty table has no shards.
+first in the order and are kept apart from all 64-bit keys; rows that repeat a
+key are kept, in the order of the first PART_CHARS code points of their text (in
+a shard, of the whole text); a very long text is one record, encoded as a whole;
+an empty table has no shards; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -43,19 +51,22 @@ from spanforge.llm import textbatch as tb
 from spanforge.llm.pretoken import library_vocabulary
 
 GAMMA = 2.0
-NULL_KEY = -(1 << 63)
 END_ID = 2
-MANIFEST = "shard int, name string, n_docs long, n_ids long, first_key long, last_key long, bytes_per_id int"
+SHARD_ROWS = 200_000
+PART_CHARS = 64
+#: first_key and last_key are null in a shard that holds records without a key only.
+MANIFEST = "shard int, name string, n_docs long, n_nulls long, n_ids long, first_key long, last_key long, bytes_per_id int"
 
 
 class PerfectHash:
     """A minimal perfect hash of distinct 64-bit keys; see the module's text."""
 
     def __init__(self, levels: list[np.ndarray]):
-        self.levels = levels  # bit arrays as bytes, little bit order
-        self._bits = [np.unpackbits(x, bitorder="little") for x in levels]
-        self._rank = [np.cumsum(b, dtype=np.int64) for b in self._bits]
-        self._first = tb.bounds_of([r[-1] for r in self._rank])
+        self.levels = levels  # bit arrays as bytes, little bit order, whole words of 64 bits
+        self._words = [x.view("<u8") for x in levels]
+        ends = [np.cumsum(np.bitwise_count(w), dtype=np.int64) for w in self._words]
+        self._before = [np.concatenate([[0], e[:-1]]) for e in ends]  # set bits before each word
+        self._first = tb.bounds_of([e[-1] for e in ends])
 
     @staticmethod
     def _places(keys: np.ndarray, level: int, size: int) -> np.ndarray:
@@ -65,7 +76,7 @@ class PerfectHash:
     def built(cls, keys: np.ndarray) -> PerfectHash:
         levels, left = [], keys
         while len(left):
-            size = -(-int(GAMMA * len(left) + 1) // 8) * 8
+            size = -(-int(GAMMA * len(left) + 1) // 64) * 64
             at = cls._places(left, len(levels), size)
             alone = np.bincount(at.astype(np.int64), minlength=size) == 1
             levels.append(np.packbits(alone, bitorder="little"))
@@ -76,10 +87,12 @@ class PerfectHash:
         """The slot of each key; -1 for keys that surely are not in it."""
         out = np.full(len(keys), -1, np.int64)
         left = np.arange(len(keys))
-        for level, bits in enumerate(self._bits):
-            at = self._places(keys[left], level, len(bits)).astype(np.int64)
-            hit = bits[at] == 1
-            out[left[hit]] = self._first[level] + self._rank[level][at[hit]] - 1
+        for level, words in enumerate(self._words):
+            at = self._places(keys[left], level, 64 * len(words))
+            word, place = words[(at >> np.uint64(6)).astype(np.int64)], at & np.uint64(63)
+            hit = (word >> place) & np.uint64(1) == 1
+            lower = np.bitwise_count(word & ((np.uint64(1) << place) - np.uint64(1)))
+            out[left[hit]] = self._first[level] + self._before[level][(at[hit] >> np.uint64(6)).astype(np.int64)] + lower[hit]
             left = left[~hit]
         return out
 
@@ -94,15 +107,15 @@ def _filesystem(folder: str):
     return fs.FileSystem.from_uri(folder)
 
 
-def _index_bytes(keys: np.ndarray, offsets: np.ndarray) -> bytes:
-    """keys: of the records in order, equal ones adjacent."""
+def _index_bytes(keys: np.ndarray, offsets: np.ndarray, nulls: int) -> bytes:
+    """keys: of the records in order, equal ones adjacent, after the records without a key."""
     distinct, first, counts = np.unique(keys, return_index=True, return_counts=True)
     mph = PerfectHash.built(distinct)
     slots = mph.slots(distinct)
     prints, record, number = np.zeros(len(distinct), "<u4"), np.zeros(len(distinct), "<u8"), np.zeros(len(distinct), "<u4")
-    prints[slots], record[slots], number[slots] = fingerprints(distinct), first, counts
+    prints[slots], record[slots], number[slots] = fingerprints(distinct), first + nulls, counts
     arrays = [*mph.levels, prints, record, number, offsets.astype("<u8")]
-    header = {"levels": len(mph.levels), "arrays": [[a.dtype.str, len(a)] for a in arrays]}
+    header = {"levels": len(mph.levels), "nulls": nulls, "arrays": [[a.dtype.str, len(a)] for a in arrays]}
     return json.dumps(header).encode() + b"\n" + b"".join(a.tobytes() for a in arrays)
 
 
@@ -118,6 +131,7 @@ class Shard:
         for kind, size in header["arrays"]:
             arrays.append(np.frombuffer(body, kind, size, at))
             at += arrays[-1].nbytes
+        self.nulls = header["nulls"]
         self.hash = PerfectHash(arrays[: header["levels"]])
         self.prints, self.record, self.number, self.offsets = arrays[header["levels"] :]
         self.path, self.type = f"{base}/{name}.ids", np.dtype(f"<u{bytes_per_id}")
@@ -154,7 +168,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int | Non
     One shuffle of the texts, by ranges of the key.
     """
     spark = docs.sparkSession
-    shards = shards or common.shuffle_partitions(spark)
+    shards = shards or max(common.shuffle_partitions(spark), -(-docs.count() // SHARD_ROWS))
 
     common.bounded_batches(docs.sparkSession)
 
@@ -164,10 +178,11 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int | Non
         task = TaskContext.get()
         name = f"shard-{task.partitionId():06d}-{task.attemptNumber()}-{uuid.uuid4().hex[:12]}"
         target, base = _filesystem(folder)
-        keys, sizes, out = [], [], None
+        keys, sizes, nulls, out = [], [], 0, None
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            keys.append(batch.column(0).fill_null(NULL_KEY).to_numpy())
+            nulls += batch.column(0).null_count  # they come first
+            keys.append(batch.column(0).drop_null().to_numpy())
             for b, e in common.slices(texts):
                 flat, bounds = vocabulary(texts[b:e])
                 if end_id is not None:
@@ -182,14 +197,16 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int | Non
         out.close()
         keys, offsets = np.concatenate(keys), tb.bounds_of(np.concatenate(sizes))
         with target.open_output_stream(f"{base}/{name}.index") as index:
-            index.write(_index_bytes(keys, offsets))
-        row = [task.partitionId(), name, len(keys), int(offsets[-1]), int(keys[0]), int(keys[-1]), wide]
-        types = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
-        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], names=["shard", "name", "n_docs", "n_ids", "first_key", "last_key", "bytes_per_id"])
+            index.write(_index_bytes(keys, offsets, nulls))
+        ends = [int(keys[0]), int(keys[-1])] if len(keys) else [None, None]
+        row = [task.partitionId(), name, len(offsets) - 1, nulls, int(offsets[-1]), *ends, wide]
+        types = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], names=["shard", "name", "n_docs", "n_nulls", "n_ids", "first_key", "last_key", "bytes_per_id"])
 
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(folder)
     hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(hadoop)
-    ordered = docs.select("doc_id", "text").repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("row"))
+    ordered = rows.repartitionByRange(shards, "doc_id", F.substring("text", 1, PART_CHARS), "row").sortWithinPartitions("doc_id", "text").drop("row")
     ordered.mapInArrow(write, MANIFEST).write.parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
@@ -197,37 +214,44 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int | Non
 def lookup(keys: DataFrame, manifest: DataFrame, folder: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of the records of keys (doc_id), found through the index and read from the files.
 
-    One shuffle of the keys alone, to the shard whose range holds them.  What the
+    One shuffle of the keys alone, to the shards whose ranges hold them.  What the
     tasks are handed of the manifest is a row for each shard.
     """
-    rows = sorted((tuple(r) for r in manifest.select("shard", "name", "bytes_per_id", "first_key", "last_key", "n_ids").collect()))
-    firsts = np.array([r[3] for r in rows], np.int64)
-    before = tb.bounds_of([r[5] for r in rows])
+    rows = sorted(tuple(r) for r in manifest.select("shard", "name", "bytes_per_id", "n_ids", "n_nulls", "first_key", "last_key").collect())
+    before = tb.bounds_of([r[3] for r in rows])
+    with_nulls = np.array([at for at, r in enumerate(rows) if r[4]], np.int64)
+    keyed = np.array([at for at, r in enumerate(rows) if r[5] is not None], np.int64)
+    firsts, lasts = (np.array([rows[at][c] for at in keyed], np.int64) for c in (5, 6))
     name = keys.columns[0]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key = batch.column(0).fill_null(NULL_KEY)
-            place = np.searchsorted(firsts, key.to_numpy(), "right") - 1
-            yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), key], names=["place", "key"])
+            key = batch.column(0).drop_null().to_numpy()
+            low = np.searchsorted(lasts, key, "left")
+            number = np.maximum(0, np.searchsorted(firsts, key, "right") - low)
+            place, key = keyed[tb.gathered(np.arange(len(keyed)), low, number)], np.repeat(key, number)
+            yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(key)], names=["place", "key"])
+            if batch.column(0).null_count:
+                yield pa.RecordBatch.from_arrays([pa.array(with_nulls.astype(np.int32)), pa.nulls(len(with_nulls), pa.int64())], names=["place", "key"])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened, shard = -1, None
         for batch in batches:
-            place, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for at in np.unique(place[place >= 0]).tolist():
-                asked = np.unique(key[place == at])
+            places, keys_ = batch.column(0).to_numpy(), batch.column(1)
+            for at in np.unique(places).tolist():
+                asked = keys_.filter(pa.array(places == at))
+                nulls, asked = asked.null_count, np.unique(asked.drop_null().to_numpy())
                 if at != opened:
                     opened, shard = at, Shard(folder, rows[at][1], rows[at][2])
                 first, number = shard.find(asked)
                 records = tb.gathered(np.arange(len(shard.offsets)), np.maximum(first, 0), number)
+                found = pa.array(np.repeat(asked, number))
+                if nulls:
+                    records = np.concatenate([np.arange(shard.nulls), records])
+                    found = pa.concat_arrays([pa.nulls(shard.nulls, pa.int64()), found])
                 crc = [zlib.crc32(ids.astype("<u4").tobytes()) for ids in shard.read(records)]
-                found = np.repeat(asked, number)
                 begin, end = shard.offsets[records].astype(np.int64), shard.offsets[records + 1].astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found, mask=found == NULL_KEY), pa.array(begin + before[at]), pa.array(end - begin), pa.array(crc, pa.int64())],
-                    names=["doc_id", "start", "n_tokens", "ids_crc32"],
-                )
+                yield pa.RecordBatch.from_arrays([found, pa.array(begin + before[at]), pa.array(end - begin), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     dealt = keys.select(F.col(name).cast("long")).distinct().mapInArrow(deal, "place int, key long")
     return dealt.repartition(common.shuffle_partitions(keys.sparkSession), "place").sortWithinPartitions("place", "key").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")

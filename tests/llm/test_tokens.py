@@ -94,6 +94,26 @@ def test_shards_round_trip(spark, tmp_path):
     assert token_files.lookup(unknown, manifest, folder).count() == 0
 
 
+def test_shards_part_hot_keys_and_keep_null_apart(spark, tmp_path):
+    rows = [(-(1 << 63), "the least key", "x")] + [(None, f"no key {i % 7}", "x") for i in range(60)] + [(5, "hot", "x")] * 60 + [(i, f"text {i}", "x") for i in range(10, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string").repartition(3)
+    folder = f"file://{tmp_path}/hot"
+    manifest = token_files.write_shards(docs, folder, BYTE, shards=6)
+    shards = sorted(manifest.collect())
+    assert sum(r.n_docs for r in shards) == len(rows) and sum(r.n_nulls for r in shards) == 60
+    assert max(r.n_docs for r in shards) < 50 and sum(r.first_key is not None and r.first_key <= 5 <= r.last_key for r in shards) > 1
+    got = token_files.lookup(docs.select("doc_id"), manifest, folder).collect()
+    library = Tokenizer.from_file(BYTE)
+    ids = [(d, [*library.encode(t, add_special_tokens=False).ids, token_files.END_ID]) for d, t, _ in rows]
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == Counter((d, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for d, x in ids)
+    at = 0
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+    order = [r.doc_id for r in sorted(got, key=lambda r: r.start)]
+    assert order == sorted(order, key=lambda d: (d is not None, d or 0))
+
+
 def test_shards_of_an_empty_table(spark, tmp_path):
     folder = f"file://{tmp_path}/none"
     manifest = token_files.write_shards(empty(spark), folder, BYTE)
