@@ -11,15 +11,23 @@ documents are cut.  Pieces are packed in three steps:
 3. the underfull bins of FAN_IN groups meet and are packed as items, again by
    best fit, and so on up a tree until one group is left.
 
-After step 1 a group has at most one bin that is half full or less, so what a
-group hands up is small for most inputs.  Where nearly all pieces are longer
-than half a sequence no two bins can meet at all; a group then hands up its
-small bin and its MOST_UP emptiest bins, and the others are done, since small
-bins alone can fill them.  Only rows of numbers move; ids stay where they are.
-
-Defined cases: a null text has the end id only; a null doc_id is an ordinary
-document; repeated rows are packed as often as they are there; an empty table
-gives no rows.
+After a group is packed at most one of its bins is half full or less (two such
+bins would have been one), and two bins that are more than half full can never
+meet.  So of the bins that the FAN_IN groups of a node hand up, at most FAN_IN
+are small, and all that packing them can do is to lay each into a bin with room
+for it.  It needs no more than the FAN_IN emptiest bins of the node for that,
+and uses up at most as many.  A group therefore hands up its small bin and its
+emptiest bins: with at least FAN_IN of them for each level of the tree, all that
+any node above can use are there, and the others are done.  MOST_UP is far more
+(and is raised to that number if it is less), so that best fit can choose among
+many; it bounds what a node holds and costs no sequence.  Only rows of numbers
+move; ids stay where they are.
+
+Defined cases: a null text has the end id only; a very long text is cut into
+pieces and encoded as a whole; a null doc_id is an ordinary document; repeated
+rows are packed as often as they are there; pieces of equal length are taken in
+the order of the rows; an empty table gives no rows; extra columns of documents
+are not read.
 """
 
 from __future__ import annotations
@@ -32,6 +40,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spanforge.llm import common
@@ -113,6 +122,10 @@ def pack(items: DataFrame, length: int = LENGTH, group_rows: int = GROUP_ROWS, f
     spark = items.sparkSession
     groups = max(1, -(-items.count() // group_rows))
     least_room = max(1, int(length * DONE))
+    levels, left = 1, groups
+    while left > 1:
+        levels, left = levels + 1, -(-left // fan_in)
+    most_up = max(most_up, fan_in * levels)
 
     def first(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("uid", ignore_index=True)
@@ -132,8 +145,6 @@ def pack(items: DataFrame, length: int = LENGTH, group_rows: int = GROUP_ROWS, f
 
     def underfull(bins: DataFrame) -> DataFrame:
         """What each group hands up: its emptiest bins with room left."""
-        from pyspark.sql import Window as W
-
         rank = F.row_number().over(W.partitionBy("group").orderBy("use", "bin"))
         return bins.where(F.col("use") <= length - least_room).withColumn("rank", rank).where(F.col("rank") <= most_up).drop("rank")
 

@@ -165,6 +165,38 @@ def test_tree_of_groups(spark):
     assert packed_ok(rows, 1000) <= best * 1.03 + 1
 
 
+@pytest.mark.parametrize("mix", ["small", "halves", "large and few small", "large", "long tail"])
+def test_bins_left_behind_cost_no_sequence(spark, mix):
+    from spanforge.llm import common
+
+    rng = random.Random(6)
+    draw = {
+        "small": lambda: rng.randint(1, 60),
+        "halves": lambda: rng.randint(480, 520),
+        "large and few small": lambda: rng.randint(501, 990) if rng.random() < 0.98 else rng.randint(1, 400),
+        "large": lambda: rng.randint(501, 995),
+        "long tail": lambda: min(1000, int(rng.paretovariate(0.6) * 5)),
+    }[mix]
+    sizes = [(i, draw()) for i in range(3000)]
+    items = common.written(spark.createDataFrame(sizes, "uid long, length long"), "items")
+    used = {}
+    for most_up in (1, 10**9):  # 1: raised to what the tree needs
+        rows = packing.pack(items, 1000, group_rows=100, fan_in=3, most_up=most_up).collect()
+        assert sorted((r.uid, r.length) for r in rows) == sizes
+        used[most_up] = packed_ok(rows, 1000)
+    assert used[1] <= used[10**9]
+
+
+def test_very_long_text_is_cut(spark):
+    text = prose(random.Random(4), 30_000)
+    rows = packing.packed_documents(spark.createDataFrame([(7, text), (8, "short")], "doc_id long, text string"), WORD).collect()
+    ids = [*Tokenizer.from_file(WORD).encode(text, add_special_tokens=False).ids, packing.END_ID]
+    assert sorted((r.piece, r.start, r.length, r.ids_crc32) for r in rows if r.doc_id == 7) == [
+        (n, s, len(ids[s : s + 4096]), zlib.crc32(np.array(ids[s : s + 4096], "<u4").tobytes())) for n, s in enumerate(range(0, len(ids), 4096))
+    ]
+    assert packed_ok(rows, 4096) == -(-sum(r.length for r in rows) // 4096)
+
+
 def test_gathered():
     assert tb.gathered(np.arange(10), np.array([7, 0, 3]), np.array([2, 0, 3])).tolist() == [7, 8, 3, 4, 5]
 
