@@ -20,9 +20,10 @@ ln a is the sum of two table rows.
 
 Defined cases: a null text is empty; a text without words has the empty
 signature's fixed value, which is equal among such texts and has no likeness to
-others; a table of one document has itself as its next; equal doc_ids follow in
-the order of their text; null doc_ids come first; an empty table gives no rows;
-extra columns are not read.
+others; a very long text is drawn from whole, some of its terms at a time; a
+table of one document has itself as its next; equal doc_ids follow in the order
+of a digest of their text, then of the text; null doc_ids come first; an empty
+table gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -153,32 +154,39 @@ def with_next(docs: DataFrame) -> DataFrame:
     """Rows part, rank, doc_id, text, so dealt that each part holds a run of the ascending order and, last, the row after it.
 
     One shuffle of the texts.  Parts are ranges between cut points, which come
-    from a sample of ids and matter for balance only; the first row of each part
-    is added to the part before it (of the first part, to the last).  The driver
-    and the broadcast hold one row for each part.
+    from a sample of (doc_id, digest of the text) and matter for balance only, so
+    rows of one doc_id, or without one, are parted too unless their texts are
+    equal.  The first row of each part is added to the part before it (of the
+    first part, to the last).  The driver and the broadcast hold one row for each
+    part.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("digest"))
     parts = common.shuffle_partitions(spark)
-    share = min(1.0, CUT_SAMPLE * parts / max(1, rows.count()))
-    ids = np.sort(np.array([r.doc_id for r in rows.select("doc_id").where("doc_id is not null").sample(share, seed=SEED).collect()], np.int64))
-    cuts = np.unique(ids[[len(ids) * i // parts for i in range(1, parts)]]) if len(ids) else ids
+    key = F.coalesce("doc_id", F.lit(-(1 << 63)))
+    pair = np.dtype([("k", np.int64), ("d", np.int64)])
+    drawn = F.rand(SEED) < min(1.0, CUT_SAMPLE * parts / max(1, docs.count()))
+    sample = np.sort(np.array([(r.k, r.digest) for r in rows.select(key.alias("k"), "digest").where(drawn).collect()], pair))
+    cuts = np.unique(sample[[len(sample) * i // parts for i in range(1, parts)]]) if len(sample) else sample
 
     @F.pandas_udf("int")
-    def place(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, key.to_numpy(), "right").astype(np.int32))
-
-    key = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    rows = rows.withColumn("part", place(key))
-    order = sorted((r.part, r.k) for r in rows.groupBy("part").agg(F.min(key).alias("k")).collect())
+    def place(k: pd.Series, digest: pd.Series) -> pd.Series:
+        both = np.empty(len(k), pair)
+        both["k"], both["d"] = k.to_numpy(), digest.to_numpy()
+        return pd.Series(np.searchsorted(cuts, both, "right").astype(np.int32))
+
+    rows = rows.withColumn("part", place(key, "digest"))
+    first = F.min(F.struct(key.alias("k"), "digest")).alias("first")
+    order = sorted((r.part, *r["first"]) for r in rows.groupBy("part").agg(first).collect())
     if not order:
-        return rows.select("part", F.lit(0).alias("rank"), "doc_id", "text")
-    to = spark.createDataFrame([(k, order[i - 1][0]) for i, (_, k) in enumerate(order)], "k long, to int")
+        return rows.select("part", F.lit(0).alias("rank"), "doc_id", "digest", "text")
+    to = spark.createDataFrame([(k, d, order[i - 1][0]) for i, (_, k, d) in enumerate(order)], "k long, d long, to int")
     head = (
-        rows.select("doc_id", "text").join(F.broadcast(to), key == F.col("k")).groupBy("to", "doc_id").agg(F.min("text").alias("text")).select(F.col("to").alias("part"), F.lit(1).alias("rank"), "doc_id", "text")
-    )
-    both = rows.select("part", F.lit(0).alias("rank"), "doc_id", "text").union(head)
-    return both.repartitionById(parts, "part").sortWithinPartitions("part", "rank", "doc_id", "text")
+        rows.select("doc_id", "digest", "text").join(F.broadcast(to), (key == F.col("k")) & (F.col("digest") == F.col("d"))).groupBy("to", "doc_id", "digest").agg(F.min("text").alias("text"))
+    ).select(F.col("to").alias("part"), F.lit(1).alias("rank"), "doc_id", "digest", "text")
+    both = rows.select("part", F.lit(0).alias("rank"), "doc_id", "digest", "text").union(head)
+    return both.repartitionById(parts, "part").sortWithinPartitions("part", "rank", "doc_id", "digest", "text").drop("digest")
 
 
 def fingerprinted(docs: DataFrame) -> DataFrame:

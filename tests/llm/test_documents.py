@@ -107,6 +107,17 @@ def test_fingerprints_awkward(spark):
     assert fingerprints.fingerprinted(table(spark)).count() == len(awkward())
 
 
+def test_fingerprints_of_one_hot_doc_id(spark):
+    rng = random.Random(5)
+    texts = [prose(rng, 12) for _ in range(300)]
+    docs = spark.createDataFrame([(None, t) for t in texts] + [(1, "after them")], "doc_id long, text string").repartition(4)
+    dealt = fingerprints.with_next(docs).withColumn("task", fingerprints.F.spark_partition_id()).where("rank = 0 and doc_id is null").groupBy("task").count().collect()
+    assert len(dealt) > 1
+    got = fingerprints.fingerprinted(docs).collect()
+    assert Counter(r.n_chars for r in got) == Counter([*map(len, texts), 10])
+    assert len({r.edited_sha256 for r in got}) == 301
+
+
 # --- Quality -----------------------------------------------------------------
 
 
