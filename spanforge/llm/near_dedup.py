@@ -5,7 +5,9 @@
    into longs, and a hash of each band of ROWS full minima.  No shingle leaves
    the task.
 2. Documents with equal sets are one class, represented by the smallest doc_id.
-   All else works on representatives, so copies cost one row each.
+   All else works on representatives, so copies cost one row each.  Copies find
+   their representative through salted keys, so a group of copies is dealt over
+   many tasks however large it is.
 3. Representatives that share a band are candidates.  Within a band bucket each
    member is paired with one hub (the smallest id), not with all members.  Pairs
    whose sizes or whose collision-corrected estimate (bit counts of the packed
@@ -33,8 +35,10 @@ aggregates.  Loops cut their lineage with tables in the shared folder.
 Defined cases: A-Z is lower-cased; a text with fewer words than a shingle is one
 shingle; null texts and texts without words have an empty set and are linked
 with nothing; a null doc_id is linked with nothing and has no component (kept);
-rows that repeat a doc_id are one document (the union of their links); an empty
-table gives no rows; extra columns are not read.
+rows that repeat a doc_id are one document (the union of their links); of equal
+candidates the smaller id goes first, which no result depends on; a very long
+text is one set, handled whole in one task; an empty table gives no rows; extra
+columns are not read.
 """
 
 from __future__ import annotations
@@ -59,6 +63,8 @@ SLACK = 0.2
 ROUNDS, SAMPLED, BEST = 2, 4, 4
 #: Bits of the broadcast bitmap, 16 MB at most, in blocks as Spark builds them.
 FLAG_BITS, _BLOCK = 1 << 27, 1 << 15
+#: Copies of a set are dealt over salts, one for each SALT_ROWS documents, LEAST_SALTS at least.
+LEAST_SALTS, SALT_ROWS = 32, 100_000
 _LANES = 64 // BITS
 SIGNATURE = [f"s{i}" for i in range(MINIMA // _LANES)]
 
@@ -269,16 +275,21 @@ def linked(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each document of docs (doc_id, text)."""
     signed_docs = common.written(signatures(docs, shingle), "signatures")
     known = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    by_set = signed_docs.where(known).groupBy("key_a", "key_b", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    same_set = [F.col(f"d.{c}") == F.col(f"s.{c}") for c in ("key_a", "key_b", "n_shingles")]
+    key = ["key_a", "key_b", "n_shingles"]
+    salts = max(LEAST_SALTS, signed_docs.count() // SALT_ROWS)
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(salts))
+    salted = signed_docs.where(known).groupBy(*key, salt.alias("salt")).agg(F.min("doc_id").alias("rep"))
+    least = salted.groupBy(*(F.col(c).alias(f"_{c}") for c in key)).agg(F.min("rep").alias("_rep"))
+    by_set = common.written(salted.join(least, [F.col(c) == F.col(f"_{c}") for c in key]).select(*key, "salt", F.col("_rep").alias("rep")), "sets")
+    same_set = [F.col(f"d.{c}") == F.col(f"s.{c}") for c in (*key, "salt")]
     is_rep = F.col("doc_id") == F.col("rep")
     classes = common.written(
-        signed_docs.alias("d").join(by_set.alias("s"), same_set, "left").select("doc_id", "d.n_shingles", "rep", *SIGNATURE, F.when(is_rep, F.col("bands")).alias("bands")),
+        signed_docs.withColumn("salt", salt).alias("d").join(by_set.alias("s"), same_set, "left").select("doc_id", "d.n_shingles", "rep", *SIGNATURE, F.when(is_rep, F.col("bands")).alias("bands")),
         "classes",
     )
     reps = classes.where(is_rep).select("rep", F.col("n_shingles").alias("n"), *SIGNATURE, "bands").dropDuplicates(["rep", "n", *SIGNATURE])
     reps = common.written(reps, "representatives")
-    common.dropped(signed_docs)
+    common.dropped(signed_docs, by_set)
     of_id = classes.where(known).groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("most")).where("b <> most")
     repeated_ids = classes.join(of_id, "doc_id").select(F.col("rep").alias("a"), "b").where("a <> b").distinct()
     features = reps.select("rep", F.struct("n", *SIGNATURE).alias("f"))
