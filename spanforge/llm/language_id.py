@@ -8,16 +8,24 @@ prediction, its average the score.
 
 The network is trained here, in numpy, by backpropagation through time with
 Adam, every byte of a training window carrying the label of its document.
-Training rows are a bounded sample: at most PER_LABEL documents of each of the
-MAX_LABELS most frequent labels, WINDOWS windows of each; ids, sources and
-labels are never inputs.  Prediction reads the whole of every text, in one pass
-without a shuffle; the model (about 60 kB, its size fixed by the constants)
-travels with the task.
+Training rows are a bounded sample: PER_LABEL documents of each label, fewer of
+each if that makes more than SAMPLE documents in all, but at least one; WINDOWS
+windows of each.  Every label is learned.  Ids, sources and labels are never
+inputs.  Prediction reads the whole of every text, in one pass without a
+shuffle; the model (about 60 kB with a few labels) travels with the task.
+
+As a filter, a text goes if it has no letters, if its language is not one of
+those expected, or if its score is under the model's floor.  That is LIFT of the
+way from a blind guess among its labels to certainty, but no more than what all
+but FLOOR_SHARE of the sample windows score; a whole text has more bytes to pool
+than a window, so clean texts stay, however many labels share the probability.
 
 Defined cases: `und` with score 0 for a null text, a text without a letter, or
-if no row is labelled; rows without a label or id are not trained on; repeated
-rows are predicted alike; an empty table gives no rows; extra columns are not
-read.
+if no row is labelled (a filter then keeps all texts with letters); a very long
+text is pooled over all its windows; equal probabilities give the label that
+comes first in order; rows without a label or id are not trained on; repeated
+rows are drawn once and predicted alike; an empty table gives no rows; extra
+columns are not read.
 """
 
 from __future__ import annotations
@@ -28,6 +36,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spanforge.llm import common
@@ -36,7 +45,8 @@ from spanforge.llm.pretoken import LETTER, classes
 
 WINDOW = 64
 HIDDEN = 8
-PER_LABEL, MAX_LABELS, WINDOWS = 400, 64, 3
+PER_LABEL, SAMPLE, WINDOWS = 400, 25_600, 3
+FLOOR_SHARE, LIFT = 0.01, 0.2
 EPOCHS, BATCH, RATE = 10, 256, 0.02
 SEED = 1
 UNKNOWN = "und"
@@ -58,6 +68,7 @@ class Model:
     layers: tuple[Layer, Layer]  # from the left, from the right
     out: tuple[np.ndarray, np.ndarray]  # H x labels, for each layer
     bias: np.ndarray
+    floor: float = 0.0
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -260,26 +271,37 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fitted(docs: DataFrame, per_label: int = PER_LABEL, max_labels: int = MAX_LABELS, windows: int = WINDOWS) -> Model:
+def floor_of(model: Model, samples: list[tuple[str, str]]) -> float:
+    """LIFT of the way from a blind guess to certainty, or the score that all but FLOOR_SHARE of the sample windows reach if that is less."""
+    if not samples or not model.labels:
+        return 0.0
+    _, score, _ = predicted(model, [text for text, _ in samples])
+    guess = 1 / len(model.labels)
+    return min(guess + LIFT * (1 - guess), float(np.quantile(score[score > 0], FLOOR_SHARE)) if score.any() else 0.0)
+
+
+def fitted(docs: DataFrame, per_label: int = PER_LABEL, sample: int = SAMPLE, windows: int = WINDOWS) -> Model:
     """A model from the labelled rows of docs (doc_id, text, lang) that are not held out; see the module's text for the bounds."""
     rows = docs.select("doc_id", "text", "lang").where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.length("text") > 0))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_labels).collect()
-    if not counts:
+    # Copies of a row have one draw; the least one of each label is always in.
+    rows = rows.withColumn("_draw", F.pmod(F.xxhash64("doc_id", "text", F.lit(SEED)), F.lit(1 << 40)))
+    counts = rows.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("_rows"), F.min("_draw").alias("_least"))
+    labels = counts.count()
+    if not labels:
         return trained([])
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1_000_000))
-    chosen = F.lit(False)
-    for r in counts:
-        chosen = chosen | ((F.col("lang") == r["lang"]) & (draw < min(1_000_000, int(1_500_000 * per_label / r["count"]) + 1)))
+    per_label = max(1, min(per_label, sample // labels))
+    # About twice as many rows as wanted pass the first draw; a label of few rows passes whole.
+    share = F.least(F.lit(1.0), F.lit(2.0 * per_label + 20) / F.col("_rows"))
+    passed = rows.join(counts, F.col("lang") == F.col("_lang")).where((F.col("_draw") < share * float(1 << 40)) | (F.col("_draw") == F.col("_least")))
     span = F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1
-    starts = [F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1 + k)), span).cast("int") + 1 for k in range(windows)]
-    got = rows.where(chosen).select("lang", draw.alias("draw"), "doc_id", *(F.substring(F.col("text"), s, F.lit(WINDOW)).alias(f"w{k}") for k, s in enumerate(starts))).collect()
-    taken: dict[str, int] = {}
-    samples = []
-    for r in sorted(got, key=lambda r: (r["lang"], r["draw"], r["doc_id"], r["w0"])):
-        if taken.setdefault(r["lang"], 0) < per_label:
-            taken[r["lang"]] += 1
-            samples += [(r[f"w{k}"], r["lang"]) for k in range(windows)]
-    return trained(samples)
+    starts = [F.pmod(F.xxhash64("doc_id", "text", F.lit(SEED + 1 + k)), span).cast("int") + 1 for k in range(windows)]
+    cut = [F.substring(F.col("text"), s, F.lit(WINDOW)).alias(f"w{k}") for k, s in enumerate(starts)]
+    once = passed.select("lang", "_draw", *cut).dropDuplicates(["lang", "_draw"])
+    best = once.withColumn("_place", F.row_number().over(W.partitionBy("lang").orderBy("_draw"))).where(F.col("_place") <= per_label)
+    samples = [(r[f"w{k}"], r["lang"]) for r in sorted(best.collect(), key=lambda r: (r["lang"], r["_draw"])) for k in range(windows)]
+    model = trained(samples)
+    model.floor = floor_of(model, samples)
+    return model
 
 
 def identified(docs: DataFrame, model: Model) -> DataFrame:
@@ -297,9 +319,10 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double, position_share double")
 
 
-def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
-    """The rows of docs, all columns as they are, whose language is told with a score of least or more."""
+def accepted(docs: DataFrame, model: Model, languages: list[str] | None = None) -> DataFrame:
+    """The rows of docs, all columns as they are, whose language is told, is one of languages (None: any learned one) and reaches the model's floor."""
     at = docs.columns.index("text")
+    expected = {x for x in model.labels if languages is None or x in languages}
 
     common.bounded_batches(docs.sparkSession)
 
@@ -307,8 +330,12 @@ def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
         for batch in batches:
             texts = batch.column(at).to_pylist()
             for b, e in common.slices([t or "" for t in texts]):
-                best, score, _ = predicted(model, texts[b:e])
-                yield batch.slice(b, e - b).filter(pa.array(np.array([x != UNKNOWN for x in best]) & (score >= least)))
+                if model.labels:
+                    best, score, _ = predicted(model, texts[b:e])
+                    kept = np.array([x in expected for x in best], bool) & (score >= model.floor)
+                else:  # nothing to tell languages by
+                    kept = np.array([bool(t) and bool((classes()[tb.code_points(t)] == LETTER).any()) for t in texts[b:e]], bool)
+                yield batch.slice(b, e - b).filter(pa.array(kept))
 
     return docs.mapInArrow(run, docs.schema)
 

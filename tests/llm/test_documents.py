@@ -300,8 +300,72 @@ def test_language_awkward(spark):
     assert language_id.identified(empty(spark), language_id.fitted(empty(spark))).count() == 0
     nothing = language_id.identified(table(spark), language_id.trained([])).collect()
     assert {r.lang_pred for r in nothing} == {"und"}
-    kept = language_id.accepted(table(spark), model, 0.0)
+    kept = language_id.accepted(table(spark), model)
     assert kept.schema == table(spark).schema and {3, 4, 5, 11}.isdisjoint({r.doc_id for r in kept.collect()})
+    untold = language_id.accepted(table(spark), language_id.trained([]))
+    assert sorted(str(r.doc_id) for r in untold.collect()) == sorted(str(r[0]) for r in awkward() if r[1] and re.search(r"[^\W\d_]", r[1]))
+
+
+def brute_pooled(model, text: str) -> dict:
+    """Probabilities of a whole text, byte by byte, from the network's equations."""
+
+    def sigmoid(x):
+        return 1 / (1 + np.exp(-x))
+
+    raw, pooled = text.encode(), np.zeros(len(model.labels))
+    for low in range(0, len(raw), language_id.WINDOW):
+        window = list(raw[low : low + language_id.WINDOW])
+        filled = window + [0] * (language_id.WINDOW - len(window))
+        logits = [model.bias.astype(float).copy() for _ in filled]
+        for layer, out, order in zip(model.layers, model.out, (range(len(filled)), reversed(range(len(filled)))), strict=True):
+            size = out.shape[0]
+            h = np.zeros(size)
+            for t in order:
+                gates = sigmoid(layer.gates_in[filled[t]] + h @ layer.gates)
+                new = np.tanh(layer.cand_in[filled[t]] + gates[size:] * (h @ layer.cand))
+                h = gates[:size] * h + (1 - gates[:size]) * new
+                logits[t] = logits[t] + h @ out
+        for x in logits[: len(window)]:
+            pooled += np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    return dict(zip(model.labels, pooled / len(raw), strict=True))
+
+
+def test_pooled_predictions_equal_brute_force(spark):
+    model = language_id.fitted(table(spark, labelled(90)))
+    rng = random.Random(16)
+    texts = [speech(rng, lang, n) for lang in TONGUES for n in (1, 9, 200)] + ["é", "a" * 64, "x" * 65, prose(rng, 3000)]
+    best, score, _ = language_id.predicted(model, texts)
+    for text, lang, got in zip(texts, best, score, strict=True):
+        want = brute_pooled(model, text)
+        assert abs(got - max(want.values())) < 1e-4 and want[lang] > max(want.values()) - 1e-4
+
+
+def test_every_label_is_learned_within_the_sample(spark):
+    rng = random.Random(17)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, " ".join(rng.choice(letters[k % 26] + letters[(k // 26) * 7 % 26]) * 3 for _ in range(30)), f"l{k:03d}", "s", 0, None, None, None) for i, k in enumerate(list(range(100)) * 8)]
+    model = language_id.fitted(table(spark, rows), sample=200, windows=1)
+    assert model.labels == [f"l{k:03d}" for k in range(100)]
+    same = [(6, speech(rng, "aa", 30), "aa", "s", 0, None, None, None)] * 500 + [(8, speech(rng, "bb", 30), "bb", "s", 0, None, None, None)]
+    assert language_id.fitted(table(spark, same)).labels == ["aa", "bb"]
+
+
+def test_filter_rejects_unexpected_languages_and_low_scores(spark):
+    docs = table(spark, labelled())
+    model = language_id.fitted(docs)
+    assert 1 / 3 < model.floor <= 1 / 3 + language_id.LIFT
+    assert language_id.accepted(docs, model).count() == 240
+    kept = language_id.accepted(docs, model, ["aa", "cc", "zz"]).collect()
+    assert {r.lang for r in kept} == {"aa", "cc"} and len(kept) == 160
+    model.floor = 1.1
+    assert language_id.accepted(docs, model).count() == 0
+
+
+def test_language_of_the_documents_table(spark):
+    docs = common.table(spark, "/root/testdata/sf0.01", "documents")
+    rows = language_id.query(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang", "text"), "doc_id").where("lang is not null").collect()
+    held = [r for r in rows if r.held_out and r.lang_pred != "und"]
+    assert len(held) > 100 and np.mean([r.lang_pred == r.lang for r in held]) >= 0.97
 
 
 # --- Licenses ----------------------------------------------------------------
