@@ -16,13 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spanforge.llm import common, language_id, near_dedup, packing, quality
 
-#: A document is rejected as of no known language under this score; clean texts of some words score 0.7 and more.
-LEAST_SCORE = 0.4
+#: Languages to keep, as labels of the column lang; None for all that are labelled there.
+LANGUAGES: list[str] | None = None
 
 
 def tell_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without letters and texts whose language cannot be told."""
-    return language_id.accepted(docs, language_id.fitted(docs), LEAST_SCORE)
+    """Rejects texts without letters, in languages that are not expected, or under the model's floor."""
+    return language_id.accepted(docs, language_id.fitted(docs), LANGUAGES)
 
 
 def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
