@@ -472,6 +472,73 @@ def test_word_differences_equal_brute_force():
         assert license_scan.differences(t, b) == brute(t, b)
 
 
+def test_scan_reports_each_occurrence_with_its_own_range(spark):
+    rng = random.Random(18)
+    mit, full = "Released under the MIT License.", license_scan.FULL_TEXTS["MIT"]
+    changed = full.replace("merge, ", "").replace("FITNESS", "SUITABILITY")
+    texts = [
+        f"{prose(rng, 30)} {mit} {mit}\n{prose(rng, 300)} {mit} {prose(rng, 9)}",
+        f"{prose(rng, 200)}\n{full}\n{prose(rng, 200)}",
+        f"{prose(rng, 20)} {changed} All rights reserved. {prose(rng, 20)}",
+        " ".join([mit, "All rights reserved."] * 400),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(9, texts[0]), (9, texts[0]), (None, mit)], "doc_id long, text string")
+    rows = license_scan.scan(docs).collect()
+    by = {d: sorted((r.begin, r.end, r.license, r.n_differences, r.exact, r.changes) for r in rows if r.doc_id == d) for d in {r.doc_id for r in rows}}
+    at = [m.start() for m in re.finditer(re.escape(mit), texts[0])]
+    assert by[0] == [(b, b + len(mit) - 1, "MIT", 0, True, "") for b in at]
+    assert by[1] == [(texts[1].index(full), texts[1].index(full) + len(full) - 1, "MIT", 0, True, "")]
+    assert [x[2:] for x in by[2]] == [("MIT", 2, False, "-merge -fitness +suitability"), ("Proprietary", 0, True, "")]
+    assert Counter(x[2] for x in by[3]) == {"MIT": 400, "Proprietary": 400}
+    assert len(by[9]) == 6 and len(by[None]) == 1
+
+
+def test_scan_recall_on_planted_and_edited_full_texts():
+    rng = random.Random(19)
+    found = total = 0
+    for name, t in license_scan.FULL_TEXTS.items():
+        words = t.split()
+        for edits in (0, 3, len(words) // 12):
+            for _ in range(4):
+                some = list(words)
+                for _ in range(edits):
+                    at = rng.randrange(len(some))
+                    some[at : at + rng.randint(0, 1)] = rng.choice([["zzz"], [], ["some", "more"]])
+                text = f"{prose(rng, 80)}\n{' '.join(some)}\n{prose(rng, 80)}"
+                hits = [h for b, e in license_scan.blocks(text) for h in license_scan.scanned(text[b:e])]
+                total += 1
+                found += any(h[0] == name and h[5] == len(license_scan.words_of(t)) for h in hits)
+    assert found >= 0.98 * total
+
+
+def test_scan_equals_brute_force():
+    """The best stretch of every template over all stretches of the whole text."""
+    rng = random.Random(20)
+    templates = [(name, license_scan.words_of(t)) for name, ts in license_scan.TEMPLATES.items() for t in ts if len(t) < 80]
+    for name, words in templates * 2:
+        some = list(words)
+        if len(words) >= license_scan.LEAST_WORDS:
+            some[rng.randrange(len(some))] = rng.choice(["zzz", "old"])
+        text = f"{prose(rng, 12)} {' '.join(some)} {prose(rng, 12)}"
+        block = license_scan.words_of(text)
+        best = {}
+        for other, t in templates:
+            for i in range(len(block)):
+                for j in range(max(i + 1, i + len(t) - 1), min(len(block), i + len(t) + 1) + 1):
+                    if set(t) & set(block[i:j]):
+                        n = len(license_scan.changes(t, block[i:j]).split())
+                        least = license_scan.differences(t, block[i:j])
+                        assert n >= least
+                        short = len(t) < license_scan.LEAST_WORDS and not set(t) <= set(block[i:j])
+                        if least <= license_scan.most_differences(len(t)) and not short:
+                            best[other] = max(best.get(other, 0), len(t) - least)
+        top = {k for k, v in best.items() if v == max(best.values())}
+        hits = [(b + h[2], b + h[3], h) for b, e in license_scan.blocks(text) for h in license_scan.scanned(text[b:e])]
+        assert name in top and top <= {h[0] for _, _, h in hits} <= set(best)
+        for low, high, h in hits:
+            assert license_scan.differences(license_scan.words_of(license_scan.TEMPLATES[h[0]][h[1]]), license_scan.words_of(text[low:high])) == h[6]
+
+
 # --- Pipeline ----------------------------------------------------------------
 
 
