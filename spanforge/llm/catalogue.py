@@ -18,7 +18,6 @@ QUERIES = {
 }
 
 ORACLES = {
-    "op5_transcripts": transcripts.ORACLE_SQL,
     "op6_host_rules": quality.ORACLE_SQL,
     "op9_stratified_shards": sharding.ORACLE_SQL,
 }
