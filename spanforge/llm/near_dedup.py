@@ -194,7 +194,9 @@ def needed_sets(pairs: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
     """Full sets (doc_id, shingles) of the documents in pairs (a, b), and of the few more that their bitmap lets pass."""
     ids = common.written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "needed")
     rows = flagged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids)
-    return common.written(shingle_sets(rows.where("_flag"), shingle), "sets")
+    out = common.written(shingle_sets(rows.where("_flag"), shingle), "sets")
+    common.dropped(ids)
+    return out
 
 
 def _linked_sets(x: str, y: str):
@@ -203,12 +205,12 @@ def _linked_sets(x: str, y: str):
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
+    """The pairs (a, b; a written table, which is deleted) whose full sets reach the threshold."""
     full = needed_sets(pairs, docs, shingle)
     left = pairs.join(full.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
     both = left.join(full.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
     out = common.written(both.where(_linked_sets("x", "y")).select("a", "b").distinct(), "links")
-    common.dropped(full)
+    common.dropped(full, pairs)
     return out
 
 
@@ -227,7 +229,9 @@ def components(links: DataFrame) -> DataFrame:
         common.dropped(stars, large)
         stars = new
         if same:
-            return stars.select(F.col("u").alias("id"), F.col("v").alias("component"))
+            out = stars.select(F.col("u").alias("id"), F.col("v").alias("component"))
+            out._spanforge_path = stars._spanforge_path
+            return out
 
 
 def _contested(members: DataFrame, features: DataFrame, found: DataFrame) -> DataFrame:
@@ -268,7 +272,9 @@ def _exhaustive(contested: DataFrame, docs: DataFrame, shingle: int) -> DataFram
     full = needed_sets(live.select("a", F.col("a").alias("b")).union(others.select(F.col("b").alias("a"), "b")), docs, shingle)
     left = live.join(full.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
     right = others.join(full.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
-    return common.written(left.join(right, apart & _possible("fa", "fb") & _linked_sets("x", "y")).select("a", "b").distinct(), "links")
+    out = common.written(left.join(right, apart & _possible("fa", "fb") & _linked_sets("x", "y")).select("a", "b").distinct(), "links")
+    common.dropped(full, live, others)
+    return out
 
 
 def linked(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -302,19 +308,25 @@ def linked(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         return left.join(features.select(F.col("rep").alias("b"), F.col("f").alias("fb")), "b")
 
     first = features_of(members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()).where(_possible("fa", "fb")).select("a", "b").distinct()
-    links = confirmed(common.written(first, "pairs"), docs, shingle).union(repeated_ids)
+    made = [confirmed(common.written(first, "pairs"), docs, shingle)]
+    links = made[0].union(repeated_ids)
     found = components(links)
     for round_ in range(ROUNDS):
         contested = common.written(_contested(members, features, found), "contested")
         more = confirmed(common.written(_sampled(contested, round_), "pairs"), docs, shingle)
         common.dropped(contested)
+        made.append(more)
         if more.isEmpty():
             break
         links = links.union(more)
+        common.dropped(found)
         found = components(links)
-    more = _exhaustive(common.written(_contested(members, features, found), "contested"), docs, shingle)
+    contested = common.written(_contested(members, features, found), "contested")
+    more = _exhaustive(contested, docs, shingle)
     if not more.isEmpty():
+        common.dropped(found)
         found = components(links.union(more))
+    common.dropped(contested, more, *made, members, buckets, reps)
     out = classes.join(found, F.col("rep") == F.col("id"), "left").withColumn("component_id", F.coalesce("component", "rep"))
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -150,17 +150,24 @@ def pack(items: DataFrame, length: int = LENGTH, group_rows: int = GROUP_ROWS, f
 
     open_bins = common.written(underfull(use), "open")
     moved = open_bins.select(F.col("bin").alias("of"), F.col("bin").alias("into"), F.lit(0).cast("long").alias("at"))
+    if groups > 1:  # the tables that it reads are deleted on the way
+        moved = common.written(moved, "moved")
     while groups > 1:
         groups = -(-groups // fan_in)
         merged = common.written(
             open_bins.withColumn("group", F.floor(F.col("group") / fan_in)).groupBy("group").applyInPandas(again, "bin long, into long, at long, use long").join(open_bins.select("bin", F.floor(F.col("group") / fan_in).alias("group")), "bin"),
             "merged",
         )
+        common.dropped(open_bins)
         step = merged.select(F.col("bin").alias("old"), F.col("into").alias("new"), F.col("at").alias("more"))
-        moved = common.written(
+        shifted = common.written(
             moved.join(step, F.col("into") == F.col("old"), "left").select("of", F.coalesce("new", "into").alias("into"), (F.col("at") + F.coalesce("more", F.lit(0))).alias("at")), "moved"
         )
-        open_bins = common.written(underfull(merged.groupBy("group", F.col("into").alias("bin")).agg(F.max("use").alias("use"))), "open")
+        common.dropped(moved)
+        moved = shifted
+        handed = common.written(underfull(merged.groupBy("group", F.col("into").alias("bin")).agg(F.max("use").alias("use"))), "open")
+        common.dropped(merged)
+        open_bins = handed
     return (
         local.join(moved, F.col("bin") == F.col("of"), "left")
         .withColumn("sequence_id", F.coalesce("into", "bin"))
@@ -177,4 +184,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def packed_documents(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int | None = END_ID) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of docs."""
-    return pack(common.written(pieces(docs, tokenizer, length, end_id), "pieces"), length).drop("uid")
+    items = common.written(pieces(docs, tokenizer, length, end_id), "pieces")
+    out = pack(items, length).drop("uid")
+    common.dropped(items)
+    return out

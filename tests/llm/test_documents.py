@@ -211,6 +211,29 @@ def test_components_equal_brute_force(spark, edits):
     assert got == brute_components(rows)
 
 
+def test_rest_of_hot_buckets_is_compared_exactly(spark, monkeypatch):
+    rng = random.Random(21)
+    base = prose(rng, 120).split()
+    texts = near_group(rng, base, 150, 8) + near_group(rng, base[:100] + prose(rng, 12).split(), 60, 5) + near_group(rng, base[15:] + prose(rng, 9).split(), 40, 6) + [" ".join(base)] * 30
+    rows = list(enumerate(texts))
+    reached = []
+    exhaustive = near_dedup._exhaustive
+
+    def watched(contested, docs, shingle):
+        parts = contested.select("part").distinct().count()
+        out = exhaustive(contested, docs, shingle)
+        reached.append((parts, out.count()))
+        return out
+
+    monkeypatch.setattr(near_dedup, "_exhaustive", watched)
+    for rounds in (0, 2):
+        monkeypatch.setattr(near_dedup, "ROUNDS", rounds)
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.linked(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got == brute_components(rows)
+    parts, links = reached[0]
+    assert parts > 2 and links > 0
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (102, 101), (103, 103)], "a long, b long")
     got = {r.id: r.component for r in near_dedup.components(links).collect()}
