@@ -18,6 +18,7 @@ import re
 import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -99,15 +100,18 @@ class Vocabulary:
         found = [self.place.get(p, -1) for p in pieces]
         if -1 in found:
             new = list(dict.fromkeys(p for p, at in zip(pieces, found, strict=True) if at < 0))
-            for piece, ids in zip(new, self.encode(new), strict=True):
-                at = self.place[piece] = len(self.place)
-                if at == len(self.begin):
-                    self.begin, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.length))
-                while self.used + len(ids) > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-                self.begin[at], self.length[at] = self.used, len(ids)
-                self.ids[self.used : self.used + len(ids)] = ids
-                self.used += len(ids)
+            ids = self.encode(new)
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
+            low, high, used = len(self.place), len(self.place) + len(new), self.used + len(flat)
+            self.place.update(zip(new, range(low, high), strict=True))
+            while high > len(self.begin):
+                self.begin, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.length))
+            while used > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            self.begin[low:high], self.length[low:high] = self.used + np.cumsum(sizes) - sizes, sizes
+            self.ids[self.used : used] = flat
+            self.used = used
             found = [self.place[p] for p in pieces]
         return np.array(found, np.int64)
 

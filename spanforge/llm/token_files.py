@@ -183,7 +183,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int | Non
             texts = [t or "" for t in batch.column(1).to_pylist()]
             nulls += batch.column(0).null_count  # they come first
             keys.append(batch.column(0).drop_null().to_numpy())
-            for b, e in common.slices(texts):
+            for b, e in common.slices(texts, 1 << 20):
                 flat, bounds = vocabulary(texts[b:e])
                 if end_id is not None:
                     flat, bounds = np.insert(flat, bounds[1:], end_id), bounds + np.arange(len(bounds))
