@@ -190,6 +190,17 @@ def flagged(rows: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFram
     return marked.withColumn("_byte", byte).withColumn("_flag", F.coalesce(bit, F.lit(False)) & F.col(column).isNotNull()).drop("_p", "_block", "_bitmap", "_byte")
 
 
+def joined_to_hubs(pairs: DataFrame, rows: DataFrame, hub: str, member: str) -> DataFrame:
+    """pairs joined with rows on hub, which a third of all pairs may share.
+
+    Pairs are dealt by hub and a salt of the member; only the salts that occur
+    with a hub fetch a copy of its row.
+    """
+    dealt = pairs.withColumn("_salt", F.pmod(F.xxhash64(member), F.lit(max(LEAST_SALTS, pairs.count() // SALT_ROWS))))
+    copies = dealt.select(hub, "_salt").distinct().join(rows, hub)
+    return dealt.join(copies, [hub, "_salt"]).drop("_salt")
+
+
 def needed_sets(pairs: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
     """Full sets (doc_id, shingles) of the documents in pairs (a, b), and of the few more that their bitmap lets pass."""
     ids = common.written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "needed")
@@ -207,8 +218,8 @@ def _linked_sets(x: str, y: str):
 def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """The pairs (a, b; a written table, which is deleted) whose full sets reach the threshold."""
     full = needed_sets(pairs, docs, shingle)
-    left = pairs.join(full.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
-    both = left.join(full.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
+    both = joined_to_hubs(pairs, full.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b", "a")
+    both = both.join(full.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
     out = common.written(both.where(_linked_sets("x", "y")).select("a", "b").distinct(), "links")
     common.dropped(full, pairs)
     return out
@@ -303,12 +314,12 @@ def linked(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     buckets = common.written(dealt.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("members")).where("members > 1"), "buckets")
     members = common.written(dealt.join(buckets, "bucket").select("bucket", "rep", "hub"), "members")
 
-    def features_of(pairs: DataFrame) -> DataFrame:
-        left = pairs.join(features.select(F.col("rep").alias("a"), F.col("f").alias("fa")), "a")
-        return left.join(features.select(F.col("rep").alias("b"), F.col("f").alias("fb")), "b")
-
-    first = features_of(members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()).where(_possible("fa", "fb")).select("a", "b").distinct()
-    made = [confirmed(common.written(first, "pairs"), docs, shingle)]
+    hubs = common.written(members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), "hubs")
+    both = joined_to_hubs(hubs, features.select(F.col("rep").alias("b"), F.col("f").alias("fb")), "b", "a")
+    both = both.join(features.select(F.col("rep").alias("a"), F.col("f").alias("fa")), "a")
+    first = common.written(both.where(_possible("fa", "fb")).select("a", "b").distinct(), "pairs")
+    common.dropped(hubs)
+    made = [confirmed(first, docs, shingle)]
     links = made[0].union(repeated_ids)
     found = components(links)
     for round_ in range(ROUNDS):
