@@ -84,6 +84,11 @@ def title_norm(c: Column | str) -> Column:
     return strip(F.regexp_replace(collapse_spaces(inner), r":$", ""))
 
 
+def unwrapped(c: Column | str) -> Column:
+    """Spaces collapsed, then outer bold unwrapped; null is empty."""
+    return strip(F.regexp_replace(collapse_spaces(F.coalesce(col(c), F.lit(""))), r"(?s)^\*\*(.*)\*\*$", "$1"))
+
+
 def tighten(c: Column | str) -> Column:
     return F.replace(col(c), F.lit(" "), F.lit(""))
 

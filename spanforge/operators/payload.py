@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from spanforge.functions import text as T
 from spanforge.functions import vocabulary as V
 
 _LABELLED = "struct<text: string, label: string>"
@@ -64,6 +65,39 @@ def items_by_title(relations: DataFrame, key: str = "doc_id") -> DataFrame:
     return grouped.select(key, "paragraph_id", "org_ids", name.alias("doc_name"), F.when(name.isNotNull(), F.col("under_title.v")).otherwise(F.col("under_org.v")).alias("children"))
 
 
+def allowed_children(items: DataFrame, key: str = "doc_id", item: str = "item") -> DataFrame:
+    """The titles that may head a part of an item: key, item, ord, title.
+
+    Taken, as far as items has them, from allowed_children (texts), children
+    (structs with the first filled of doc_name.text, text, child) and bodies
+    (doc_name.text); normalised, of those with one key without spaces the first.
+    """
+    texts = F.array().cast("array<string>")
+
+    def fields(column: str, *paths: str) -> Column:
+        kind = items.schema[column].dataType.elementType
+        have = [p for p in paths if p.split(".")[0] in kind.names and (("." not in p) or p.split(".")[1] in getattr(kind[p.split(".")[0]].dataType, "names", []))]
+        one = lambda x: F.coalesce(*(F.nullif(_at(x, p), F.lit("")) for p in have)) if have else F.lit(None).cast("string")
+        return F.coalesce(F.transform(column, one), texts)
+
+    parts = []
+    if "allowed_children" in items.columns:
+        parts.append(F.coalesce("allowed_children", texts))
+    if "children" in items.columns:
+        parts.append(fields("children", "doc_name.text", "text", "child"))
+    if "bodies" in items.columns:
+        parts.append(fields("bodies", "doc_name.text"))
+    rows = items.select(key, item, F.posexplode(F.concat(*parts) if parts else texts).alias("ord", "_raw")).select(key, item, "ord", T.title_norm("_raw").alias("title"))
+    first = W.partitionBy(key, item, F.lower(T.tighten("title"))).orderBy("ord")
+    return rows.where("title <> ''").withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
+
+
+def _at(x: Column, path: str) -> Column:
+    for name in path.split("."):
+        x = x[name]
+    return x
+
+
 def compact(relations: DataFrame, key: str = "doc_id") -> DataFrame:
     """Six columns of a flat export, in order."""
     return relations.select(key, "ord", "paragraph_id", "kind", F.col("head.label").alias("head_label"), F.col("head.text").alias("head_text"), F.col("tail.label").alias("tail_label"), F.col("tail.text").alias("tail_text"))

@@ -17,6 +17,9 @@ from spanforge.functions import text as T
 from spanforge.functions import vocabulary as V
 from spanforge.operators.relations import ORGS
 
+#: The made-up organisation of a table of contents without any.
+NO_ORG_ID, NO_ORG = -1, "(Sem organização)"
+
 
 def split_at_repeat(spans: DataFrame, keys: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row for each of keys (key, n_chars): reason, marker_end, first_org, boundary, ranges of summary and body.
@@ -46,7 +49,7 @@ def slices(anchors: DataFrame, ends: DataFrame, key: str = "doc_id", within: lis
 
 
 def coalesced_anchors(spans: DataFrame, texts: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Headings, up to MAX_MERGE neighbours as one, whose key is wanted: key, start, end, org_key, label.
+    """Headings, up to MAX_MERGE neighbours as one, whose key is wanted: key, start, end, org_key, label, width, text.
 
     wanted: rows (key, org_key).  From left to right the longest merge wins and
     the next one begins after it.
@@ -71,7 +74,8 @@ def coalesced_anchors(spans: DataFrame, texts: DataFrame, wanted: DataFrame, key
         hit = ok & F.array_contains("_keys", T.org_key(text))
         width, name = F.when(hit, n + 1).otherwise(width), F.when(hit, T.org_key(text)).otherwise(name)
     stop = F.element_at(F.array("end", *(f"end{n}" for n in range(1, V.MAX_MERGE))), F.greatest(F.col("width"), F.lit(1)))
-    candidates = rows.withColumn("width", width).withColumn("org_key", name).where("width > 0").select(key, F.struct("i", "width", "start", stop.alias("end"), "org_key", "label").alias("c"))
+    shown = F.substring("_text", (F.col("start") + 1).cast("int"), (stop - F.col("start")).cast("int"))
+    candidates = rows.withColumn("width", width).withColumn("org_key", name).where("width > 0").select(key, F.struct("i", "width", "start", stop.alias("end"), "org_key", "label", shown.alias("text")).alias("c"))
     lists = candidates.groupBy(key).agg(F.array_sort(F.collect_list("c")).alias("all"))
     empty = F.struct(F.lit(0).alias("next"), F.filter("all", lambda x: F.lit(False)).alias("kept"))
 
@@ -79,7 +83,7 @@ def coalesced_anchors(spans: DataFrame, texts: DataFrame, wanted: DataFrame, key
         taken = F.struct((c["i"] + c["width"]).alias("next"), F.array_append(state["kept"], c).alias("kept"))
         return F.when(c["i"] >= state["next"], taken).otherwise(state)
 
-    return lists.select(key, F.inline(F.aggregate("all", empty, step, lambda s: s["kept"]))).select(key, "start", "end", "org_key", "label", "width")
+    return lists.select(key, F.inline(F.aggregate("all", empty, step, lambda s: s["kept"]))).select(key, "start", "end", "org_key", "label", "width", "text")
 
 
 def ordered_match(headers: Column, wanted: Column) -> Column:
@@ -139,22 +143,28 @@ def segment_flat(spans: DataFrame, texts: DataFrame, items: DataFrame, key: str
 
 
 def segment_nested(spans: DataFrame, texts: DataFrame, items: DataFrame, key: str = "doc_id") -> DataFrame:
-    """One row for each sub-organisation of starred items (key, item, top_text, sub, sub_text, docs) and each of its places in the top block.
-
-    Names are given to slices by place: extra slices keep their own title.
+    """One row for each sub-organisation of starred items (key, item, top_text, sub, sub_text, docs): status, start, stop, slices (doc_name, start, stop).
+
+    Within the first block of the item's top organisation, headings (up to
+    MAX_MERGE neighbours as one) with the key of any sub-organisation are cut
+    from one to the next.  Each place of a sub-organisation is a slice of its
+    own; the n-th takes the name of the n-th document, further ones keep their
+    heading.  Status: ok if there are as many slices as documents, else partial;
+    org_missing without a place.
     """
-    top = segment_tops(spans, texts, items, key)
-    subs = items.select(key, "item", "sub", "sub_text", "docs").join(top, [key, "item"], "left")
-    inside = spans.where(F.col("label").isin(ORGS)).select(F.col(key).alias("_k"), F.col("start").alias("_at"), T.org_key("text").alias("_key"))
-    places = subs.join(inside, (F.col(key) == F.col("_k")) & (F.col("_key") == T.org_key("sub_text")) & (F.col("_key") != "") & (F.col("_at") > F.col("top_start")) & (F.col("_at") < F.col("top_stop")), "left")
-    w = W.partitionBy(key, "item").orderBy("_at", "sub")
-    bounded = places.where("_at is not null").withColumn("stop", F.coalesce(F.lead("_at").over(w), "top_stop")).withColumn("start", F.col("_at"))
-    nth = F.row_number().over(W.partitionBy(key).orderBy("item", "start", "sub"))
-    blocks = bounded.withColumn("block", nth).select(key, "block", "item", "sub", "sub_text", "start", "stop", "docs")
-    cut = doc_slices(blocks.select(key, "block", "start", "stop", "docs"), spans, key).select(key, "block", "slices", "status")
-    found = blocks.join(cut, [key, "block"]).select(key, "item", "sub", "sub_text", "start", "stop", "status", F.size("docs").alias("n_docs"), F.size("slices").alias("n_slices"))
-    lost = places.where("_at is null").select(key, "item", "sub", "sub_text", F.lit(None).cast("bigint").alias("start"), F.lit(None).cast("bigint").alias("stop"), F.lit("org_missing").alias("status"), F.size("docs").alias("n_docs"), F.lit(0).alias("n_slices"))
-    return found.unionByName(lost)
+    tops = segment_tops(spans, texts, items, key).withColumn("_id", F.concat_ws("/", F.col(key).cast("string"), F.col("item").cast("string")))
+    heads = spans.where(F.col("label").isin(ORGS)).join(tops, key).where("start >= top_start and start < top_stop").select("_id", "label", "text", "start", "end")
+    subs = items.select(key, "item", "sub", "sub_text", "docs", T.org_key("sub_text").alias("org_key")).join(tops, [key, "item"], "left")
+    anchors = coalesced_anchors(heads, tops.join(texts.select(key, "text"), key).select("_id", "text"), subs.where("_id is not null").select("_id", "org_key").distinct(), "_id")
+    places = slices(anchors, tops.select("_id", F.col("top_stop").alias("n_chars")), "_id")
+    found = places.groupBy("_id", "org_key").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "text"))).alias("at"))
+    rows = subs.join(found, ["_id", "org_key"], "left")
+    name = lambda x, n: F.when(n < F.size("docs"), F.try_element_at("docs", n + 1)).otherwise(x["text"])
+    cut = F.transform(F.coalesce("at", F.array().cast("array<struct<start:bigint,stop:bigint,text:string>>")), lambda x, n: F.struct(T.strip_bold(name(x, n)).alias("doc_name"), x["start"].alias("start"), x["stop"].alias("stop")))
+    n_docs, n_slices = F.size("docs"), F.size("slices")
+    status = F.when(n_slices == 0, "org_missing").when(n_slices == n_docs, "ok").otherwise("partial")
+    named = rows.withColumn("slices", cut).withColumn("status", status)
+    return named.select(key, "item", "sub", "sub_text", "status", F.try_element_at("slices", F.lit(1))["start"].alias("start"), F.try_element_at("slices", F.lit(-1))["stop"].alias("stop"), n_docs.alias("n_docs"), n_slices.alias("n_slices"), "slices", F.col("_id").isNotNull().alias("top_found"))
 
 
 def segment_tops(spans: DataFrame, texts: DataFrame, items: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -166,11 +176,12 @@ def segment_tops(spans: DataFrame, texts: DataFrame, items: DataFrame, key: str
 
 
 def summary(segments: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Counters of each document over its segments."""
+    """Counters of each document over its segments, flat or nested; documents of a sub-organisation whose top organisation is missing are not expected."""
+    expected = F.when(F.col("top_found"), F.col("n_docs")).otherwise(0) if "top_found" in segments.columns else F.col("n_docs")
     return segments.groupBy(key).agg(
         F.count(F.lit(1)).alias("orgs_total"),
         *(F.count_if(F.col("status") == s).alias(n) for s, n in (("ok", "org_ok"), ("partial", "org_partial"), ("doc_missing", "org_doc_missing"), ("org_missing", "org_missing"))),
-        F.sum(F.col("n_docs").cast("long")).alias("docs_expected"),
+        F.sum(expected.cast("long")).alias("docs_expected"),
         F.sum(F.col("n_slices").cast("long")).alias("docs_matched"),
     )
 
@@ -246,40 +257,65 @@ def best_windows(orgs: DataFrame, windows: DataFrame, key: str = "doc_id") -> Da
 def kept_windows(spans: DataFrame, orgs: DataFrame, ends: DataFrame, key: str = "doc_id") -> DataFrame:
     """Windows of plain headings that match an organisation (tight containment, or two shared words): key, idx, name, start, stop; one global window where none does."""
     heads = spans.where(F.col("label") == V.ORG).select(key, "start", F.col("text").alias("name"))
-    allowed = orgs.where(F.trim("text") != "").groupBy(key).agg(F.collect_set(T.collapse_spaces("text")).alias("_orgs"))
-    tight = lambda c: F.lower(T.tighten(T.collapse_spaces(c)))
-    alike = F.exists("_orgs", lambda o: F.contains(tight("name"), tight(o)) | F.contains(tight(o), tight("name")) | (F.size(F.array_intersect(T.tokens("name"), T.tokens(o))) >= 2))
+    allowed = orgs.where(F.col("id") != NO_ORG_ID).where(T.unwrapped("text") != "").groupBy(key).agg(F.collect_set(T.unwrapped("text")).alias("_orgs"))
+    tight = lambda c: F.lower(T.tighten(c))
+    name = T.unwrapped("name")
+    alike = F.exists("_orgs", lambda o: F.contains(tight(name), tight(o)) | F.contains(tight(o), tight(name)) | (F.size(F.array_intersect(T.tokens(name), T.tokens(o))) >= 2))
     kept = slices(heads.join(allowed, key).where(alike).drop("_orgs"), ends, key)
     numbered = kept.withColumn("idx", F.row_number().over(W.partitionBy(key).orderBy("start")) - 1)
     none = ends.join(kept.select(key).distinct(), key, "left_anti").select(key, F.lit(0).cast("bigint").alias("start"), F.lit("(global)").alias("name"), F.col("n_chars").alias("stop"), F.lit(0).alias("idx"))
     return numbered.select(key, "start", "name", "stop", "idx").unionByName(none.select(key, F.col("start"), "name", "stop", "idx"))
 
 
-def bounded_by_window(starts: DataFrame, windows: DataFrame, key: str = "doc_id") -> DataFrame:
-    """starts (key, start, ...) with the window they lie in and stop: the next start in that window, or its end."""
-    inside = starts.join(windows.select(key, "idx", F.col("start").alias("_from"), F.col("stop").alias("_to")), key).where("start >= _from and start < _to")
+def bounded_by_window(starts: DataFrame, windows: DataFrame, ends: DataFrame, key: str = "doc_id") -> DataFrame:
+    """starts (key, start, ...) with idx, the window they lie in, and stop: the next start in that window, or its end; without a window (idx null) the end in ends (key, n_chars)."""
+    named = windows.select(F.col(key).alias("_k"), "idx", F.col("start").alias("_from"), F.col("stop").alias("_to"))
+    inside = starts.join(named, (F.col(key) == F.col("_k")) & (F.col("start") >= F.col("_from")) & (F.col("start") < F.col("_to")), "left")
     w = W.partitionBy(key, "idx").orderBy("start")
-    return inside.withColumn("stop", F.coalesce(F.lead("start").over(w), "_to")).drop("_from", "_to")
+    stop = F.when(F.col("idx").isNull(), F.col("n_chars")).otherwise(F.coalesce(F.lead("start").over(w), "_to"))
+    return inside.join(ends, key).withColumn("stop", stop).drop("_k", "_from", "_to", "n_chars")
+
+
+def located_titles(spans: DataFrame, windows: DataFrame, ends: DataFrame, items: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The titles of items (key, item, title) found in a body: key, item, idx, confidence, header_start, start (the header's end), stop."""
+    titles = spans.where(F.col("label") == V.TITLE).select(key, "start", "end", F.col("text").alias("title"))
+    matched = title_matches(items.where(~_untitled("title")).select(key, "item", "title"), titles.drop("end"), key)
+    bounded = bounded_by_window(matched, windows, ends, key).join(titles.select(key, "start", "end"), [key, "start"])
+    return bounded.select(key, "item", "idx", "confidence", F.col("start").alias("header_start"), F.col("end").alias("start"), "stop")
+
 
+def _untitled(c: str) -> Column:
+    return F.coalesce(T.title_norm(c), F.lit("")) == ""
 
-def segment_titles(spans: DataFrame, texts: DataFrame, orgs: DataFrame, items: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Segments of a title-driven body: key, item, org_id, status, confidence, start, stop.
+
+def org_map(orgs: DataFrame, docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """orgs (key, id, text), and for each of docs (key) that has none one made-up organisation."""
+    none = docs.select(key).distinct().join(orgs.select(key).distinct(), key, "left_anti")
+    made_up = none.select(key, F.lit(NO_ORG_ID).alias("id"), F.lit(NO_ORG).alias("text"))
+    return orgs.withColumn("id", F.col("id").cast("int")).withColumn("text", F.trim("text")).unionByName(made_up, allowMissingColumns=True)
+
+
+def segment_titles(spans: DataFrame, texts: DataFrame, orgs: DataFrame, items: DataFrame, key: str = "doc_id", located: DataFrame | None = None) -> DataFrame:
+    """Segments of a title-driven body: key, item, org_id, title, status, confidence, start, stop.
 
     items (key, item, org_ids, title or null); orgs (key, id, text).  A title
-    that is matched runs to the next matched title of its window; an untitled
-    item takes its organisation's whole window; an item without organisations
-    claims its title, but is in no result.
+    that is matched gives what stands between its header and the next matched
+    title of its window, or the end of that window, or of the text if it is in
+    none.  An item without a title, or with one that normalises to nothing, takes
+    its organisation's whole window; an item without organisations claims its
+    title, but is in no result.
     """
     ends = texts.select(key, F.length("text").cast("bigint").alias("n_chars"))
     windows = kept_windows(spans, orgs, ends, key)
-    titles = spans.where(F.col("label") == V.TITLE).select(key, "start", F.col("text").alias("title"))
-    matched = title_matches(items.where("title is not null").select(key, "item", "title"), titles, key)
-    located = bounded_by_window(matched, windows, key).select(key, "item", "start", "stop", "confidence")
+    if located is None:
+        located = located_titles(spans, windows, ends, items, key)
+    found = located.select(key, "item", "start", F.greatest("start", "stop").alias("stop"), "confidence")
     anchored = best_windows(orgs, windows, key).join(windows.select(key, "idx", F.col("start").alias("w_start"), F.col("stop").alias("w_stop")), [key, "idx"])
-    by_org = items.select(key, "item", "title", F.explode("org_ids").alias("id")).join(anchored.select(key, "id", "w_start", "w_stop"), [key, "id"]).join(located, [key, "item"], "left")
-    untitled = F.col("title").isNull()
+    by_org = items.select(key, "item", "title", F.explode("org_ids").alias("id")).join(anchored.select(key, "id", "w_start", "w_stop"), [key, "id"]).join(found, [key, "item"], "left")
+    untitled = _untitled("title")
     status = F.when(untitled, "doc_children_segment").when(F.col("start").isNull(), "doc_type_unanchored").otherwise("doc_type_segment")
-    return by_org.select(key, "item", F.col("id").alias("org_id"), F.coalesce("title", F.lit("(Preambulo)")).alias("title"), status.alias("status"), F.when(untitled, 0.5).otherwise(F.coalesce("confidence", F.lit(0.0))).alias("confidence"), F.when(untitled, F.col("w_start")).otherwise(F.col("start")).alias("start"), F.when(untitled, F.col("w_stop")).otherwise(F.col("stop")).alias("stop"))
+    title = F.when(untitled, "(Preambulo)").otherwise(T.title_norm("title"))
+    return by_org.select(key, "item", F.col("id").alias("org_id"), title.alias("title"), status.alias("status"), F.when(untitled, 0.5).otherwise(F.coalesce("confidence", F.lit(0.0))).alias("confidence"), F.when(untitled, F.col("w_start")).otherwise(F.col("start")).alias("start"), F.when(untitled, F.col("w_stop")).otherwise(F.col("stop")).alias("stop"))
 
 
 def likely_children(headers: DataFrame, allowed: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -398,7 +434,8 @@ def sub_slices(segments: DataFrame, allowed: DataFrame, key: str = "doc_id", dep
 
     key, segment, sub, title, headers, start, stop: from a block's end to the
     next approved block.  A segment without an approved block is one slice, from
-    its first block's end (or its start) to its end, without a title.
+    its first block's end (or its start) to its end, titled by that block's first
+    header; empty without one.
     """
     from spanforge.operators.labels import label
 
@@ -417,15 +454,23 @@ def sub_slices(segments: DataFrame, allowed: DataFrame, key: str = "doc_id", dep
     good = cut.select("_id", key, depth, "title", "headers", F.col("from").alias("start"), F.coalesce("after", "n_chars").alias("stop"))
     first = numbered.where("block = 1").select("_id", F.col("end").alias("from"), "headers")
     none = ends.join(approved.select("_id").distinct(), "_id", "left_anti").join(first, "_id", "left")
-    whole = none.select("_id", key, depth, F.lit(None).cast("string").alias("title"), F.coalesce("headers", F.array().cast("array<string>")).alias("headers"), F.coalesce("from", F.lit(0)).alias("start"), F.col("n_chars").alias("stop"))
+    whole = none.select("_id", key, depth, F.coalesce(T.title_norm(F.try_element_at("headers", F.lit(1))), F.lit("")).alias("title"), F.coalesce("headers", F.array().cast("array<string>")).alias("headers"), F.coalesce("from", F.lit(0)).alias("start"), F.col("n_chars").alias("stop"))
     sub = F.row_number().over(W.partitionBy("_id").orderBy("start"))
-    return good.unionByName(whole).withColumn("sub", sub).select(key, depth, "sub", "title", "headers", "start", "stop")
+    shown = F.transform("headers", lambda h: T.title_norm(h))
+    return good.unionByName(whole).withColumn("sub", sub).select(key, depth, "sub", "title", shown.alias("headers"), "start", "stop")
 
 
-def summary_titles(segments: DataFrame, orgs: DataFrame, windows: DataFrame, subs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Counters of title-driven documents; n_sub_slices counts slices, segments_with_subdivisions the segments that have a titled one."""
+def summary_titles(segments: DataFrame, orgs: DataFrame, windows: DataFrame, subs: DataFrame, located: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Counters of title-driven documents.
+
+    doc_type_headers_matched counts items with a header found, whatever their
+    organisations; doc_type_segments the segments of all organisations;
+    segments_with_subdivisions their sub-slices.
+    """
     a = orgs.groupBy(key).agg(F.count(F.lit(1)).alias("orgs_in_payload"))
     b = windows.groupBy(key).agg(F.count(F.lit(1)).alias("org_windows_found"))
-    c = segments.groupBy(key).agg(F.count_if(F.col("status") == "doc_type_segment").alias("doc_type_headers_matched"), F.count_if(F.col("status") != "doc_type_unanchored").alias("doc_type_segments"))
-    d = subs.groupBy(key).agg(F.count(F.lit(1)).alias("n_sub_slices"), F.count_distinct(F.when(F.col("title").isNotNull(), F.col("segment"))).alias("segments_with_subdivisions"))
-    return a.join(b, key, "full").join(c, key, "full").join(d, key, "full").na.fill(0)
+    c = located.groupBy(key).agg(F.count(F.lit(1)).alias("doc_type_headers_matched"))
+    d = segments.groupBy(key).agg(F.count_if(F.col("status") != "doc_type_unanchored").alias("doc_type_segments"))
+    e = subs.groupBy(key).agg(F.count(F.lit(1)).alias("segments_with_subdivisions"))
+    out = a.join(b, key, "full").join(c, key, "full").join(d, key, "full").join(e, key, "full").na.fill(0)
+    return out.withColumn("segment_reparsed", F.lit(True))

@@ -14,6 +14,7 @@ from spanforge.functions import vocabulary as V
 from spanforge.operators import payload as Y
 from spanforge.operators import relations as R
 from spanforge.operators import segment as S
+from spanforge.plans import matching
 from spanforge.sources.tables import table
 
 #: Labels of event types: with starred headings, and with markers.
@@ -103,7 +104,7 @@ WANTED = ["VIEWA", "VIEWVIEW", "VIEWABVIEW", "VIEWVIEWABC", "VIEWVIEWVIEWAB", "S
 def coalesced_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spans(spark, sf_dir, STARRED)
     wanted = rows.select("doc_id").distinct().withColumn("org_key", F.explode(F.array(*(F.lit(k) for k in WANTED))))
-    return S.coalesced_anchors(rows, texts(rows), wanted)
+    return S.coalesced_anchors(rows, texts(rows), wanted).drop("text")
 
 
 def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -126,10 +127,11 @@ def summary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nested_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Starred items of a user's whole sequence, found again in that sequence."""
+    """Starred items of a user's whole sequence, found again in that sequence, with their slices."""
     rows = spans(spark, sf_dir, STARRED)
     items = Y.items_by_star(R.relations_by_star(rows)).where("top_org is not null").select("doc_id", F.col("paragraph_id").alias("item"), F.col("top_org.text").alias("top_text"), F.posexplode("sub_orgs").alias("sub", "s"))
-    return S.segment_nested(rows, texts(rows), items.select("doc_id", "item", "top_text", "sub", F.col("s.org.text").alias("sub_text"), F.col("s.docs.text").alias("docs")))
+    out = S.segment_nested(rows, texts(rows), items.select("doc_id", "item", "top_text", "sub", F.col("s.org.text").alias("sub_text"), F.col("s.docs.text").alias("docs")))
+    return out.withColumn("slices", F.array_join(F.transform("slices", lambda s: F.concat_ws(":", s["doc_name"], s["start"].cast("string"), s["stop"].cast("string"))), "|"))
 
 
 def title_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,7 +139,7 @@ def title_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = R.relations_by_title(rows)
     orgs = Y.title_orgs(found)
     items = Y.items_by_title(found).select("doc_id", F.col("paragraph_id").alias("item"), "org_ids", F.col("doc_name.text").alias("title"))
-    return S.segment_titles(rows, texts(rows), orgs, items)
+    return S.segment_titles(rows, texts(rows), orgs, items).withColumn("confidence", F.round("confidence", 6))
 
 
 def ordered_doc_match(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,7 +174,7 @@ def window_locate(spark: SparkSession, sf_dir: str) -> DataFrame:
     ends = rows.groupBy("doc_id").agg(F.max("end").alias("n_chars"))
     anchors = S.slices(rows.where(F.col("label") == V.ORG).select("doc_id", "start"), ends)
     windows = anchors.withColumn("idx", F.row_number().over(W.partitionBy("doc_id").orderBy("start")) - 1)
-    return S.bounded_by_window(rows.where(F.col("label") == V.TITLE).select("doc_id", "start"), windows)
+    return S.bounded_by_window(rows.where(F.col("label") == V.TITLE).select("doc_id", "start"), windows, ends)
 
 
 QUERIES = {
@@ -200,8 +202,8 @@ _NUMBERED = """rel AS (
 )"""
 
 
-def _star(labels: dict[str, str]) -> str:
-    return f"""{_spans(labels)}, para AS (
+def _star(labels: dict[str, str], head: str | None = None) -> str:
+    return f"""{head or _spans(labels)}, para AS (
     SELECT *, nullif(sum(opens) OVER (PARTITION BY doc_id ORDER BY seq) - 1, -1)::INTEGER AS pid FROM (
         SELECT *, (label = '{V.ORG_STAR}' OR (label = '{V.ORG}' AND NOT EXISTS (SELECT 1 FROM ev s WHERE s.doc_id = e.doc_id AND s.label = '{V.ORG_STAR}' AND s.seq < e.seq)))::INTEGER AS opens FROM ev e
         WHERE label IN ('{V.ORG}', '{V.ORG_STAR}', '{V.TITLE}', '{V.BODY}', '{V.PARAGRAPH}'))
@@ -257,7 +259,80 @@ walk(doc_id, k, nxt, hit) AS (
     GROUP BY p.doc_id, p.k
 )"""
 
+
+def _anchors(name: str, heads: str, wanted: str, ends: str) -> str:
+    """CTEs up to name (id, start, stop, org_key, text): merges of neighbours among heads (id, seq, text, start, "end") whose key is in wanted (id, k), each up to the next or the end (id, n)."""
+    key3, key2, key1 = (_KEY.format(x) for x in ("o.text || t1 || t2", "o.text || t1", "o.text"))
+    return f"""{name}_keys AS (SELECT id, list(DISTINCT k) AS ks FROM {wanted} WHERE k <> '' GROUP BY id),
+{name}_orgs AS (SELECT *, row_number() OVER w AS i, lead(text) OVER w AS t1, lead(text, 2) OVER w AS t2, lead(seq) OVER w = seq + 1 AS g1, lead(seq, 2) OVER w = seq + 2 AS g2, lead("end") OVER w AS e1, lead("end", 2) OVER w AS e2
+    FROM {heads} WINDOW w AS (PARTITION BY id ORDER BY start)),
+{name}_wide AS (SELECT o.*, CASE WHEN g1 AND g2 AND list_contains(ks, {key3}) THEN 3 WHEN g1 AND list_contains(ks, {key2}) THEN 2 WHEN list_contains(ks, {key1}) THEN 1 ELSE 0 END AS width FROM {name}_orgs o JOIN {name}_keys USING (id)),
+{name}_walk(id, i) AS (SELECT DISTINCT id, 1::BIGINT FROM {name}_wide UNION ALL SELECT p.id, p.i + greatest(width, 1) FROM {name}_walk p JOIN {name}_wide USING (id, i)),
+{name}_found AS (SELECT id, start, CASE width WHEN 3 THEN text || ' ' || t1 || ' ' || t2 WHEN 2 THEN text || ' ' || t1 ELSE text END AS text FROM {name}_walk JOIN {name}_wide USING (id, i) WHERE width > 0),
+{name} AS (SELECT id, start, coalesce(lead(start) OVER (PARTITION BY id ORDER BY start), n) AS stop, {_KEY.format("text")} AS org_key, text FROM {name}_found JOIN {ends} USING (id))"""
+
+
+_FIRST_HALF = f"""{_spans(FLAT).replace("ev AS", "ev_all AS", 1)}, halves AS (SELECT *, seq > count(*) OVER (PARTITION BY doc_id) / 2 AS second FROM ev_all),
+ev AS (SELECT doc_id, seq, label, text, start, "end" FROM halves WHERE NOT second),
+body AS (SELECT doc_id, seq, label, text, start - min(start) OVER (PARTITION BY doc_id) AS start, "end" - min(start) OVER (PARTITION BY doc_id) AS "end" FROM halves WHERE second)"""
+_BLOCKS = f"""WITH RECURSIVE {_star(FLAT, _FIRST_HALF)},
+items AS (SELECT doc_id, paragraph_id AS item, head_text AS org_text, {_KEY.format("head_text")} AS org_key, list(tail_text ORDER BY ord) AS docs FROM rel WHERE kind = '{V.ORG_TITLE}' GROUP BY 1, 2, 3),
+orgs_in AS (SELECT doc_id AS id, seq, text, start, "end" FROM body WHERE label = '{V.ORG}'), wanted_in AS (SELECT doc_id AS id, org_key AS k FROM items), ends_in AS (SELECT doc_id AS id, max("end") AS n FROM body GROUP BY 1),
+{_anchors("anchors", "orgs_in", "wanted_in", "ends_in")},
+firsts AS (SELECT id AS doc_id, org_key, min(start) AS start, arg_min(stop, start) AS stop FROM anchors GROUP BY 1, 2),
+blocks AS (SELECT i.doc_id, item, org_text, docs, start, stop FROM items i LEFT JOIN firsts f ON f.doc_id = i.doc_id AND f.org_key = i.org_key),
+heads AS (SELECT b.doc_id, item, h.start, h.text, row_number() OVER (PARTITION BY b.doc_id, item ORDER BY h.start) - 1 AS i, coalesce(lead(h.start) OVER (PARTITION BY b.doc_id, item ORDER BY h.start), b.stop) AS stop
+    FROM blocks b JOIN body h ON h.doc_id = b.doc_id AND h.label = '{V.TITLE}' AND h.start >= b.start AND h.start < b.stop),
+asked AS (SELECT doc_id, item, unnest(docs) AS text, unnest(range(1, len(docs) + 1)) AS k FROM blocks WHERE start IS NOT NULL),
+walk(doc_id, item, k, nxt, hit, text) AS (
+    SELECT DISTINCT doc_id, item, 0::BIGINT, 0::BIGINT, -1::BIGINT, NULL::VARCHAR FROM asked
+    UNION ALL
+    SELECT p.doc_id, p.item, a.k, coalesce(min(h.i) + 1, 1000000000), coalesce(min(h.i), -1), a.text FROM walk p JOIN asked a ON a.doc_id = p.doc_id AND a.item = p.item AND a.k = p.k + 1
+    LEFT JOIN heads h ON h.doc_id = p.doc_id AND h.item = p.item AND h.text = a.text AND h.i >= p.nxt GROUP BY p.doc_id, p.item, a.k, a.text
+), by_name AS (SELECT w.doc_id, w.item, count(*) AS n, string_agg(concat_ws(':', w.text, h.start::VARCHAR, h.stop::VARCHAR), '|' ORDER BY w.k) AS s FROM walk w JOIN heads h ON h.doc_id = w.doc_id AND h.item = w.item AND h.i = w.hit WHERE w.k > 0 GROUP BY 1, 2),
+every AS (SELECT doc_id, item, count(*) AS n, string_agg(concat_ws(':', text, start::VARCHAR, stop::VARCHAR), '|' ORDER BY start) AS s FROM heads GROUP BY 1, 2),
+cut AS (SELECT b.*, coalesce(e.n, 0) = 0 AND len(docs) = 1 AS alone, n.n AS n_named, coalesce(n.n, e.n, 0) AS n_cut, coalesce(n.s, e.s, '') AS s FROM blocks b LEFT JOIN by_name n USING (doc_id, item) LEFT JOIN every e USING (doc_id, item)),
+status AS (SELECT doc_id, item, org_text, CASE WHEN start IS NULL THEN 'org_missing' WHEN alone OR len(docs) = 0 THEN 'ok' WHEN n_cut = 0 THEN 'doc_missing' WHEN coalesce(n_named, 0) < len(docs) THEN 'partial' ELSE 'ok' END AS status,
+    start, stop, len(docs)::INTEGER AS n_docs, (CASE WHEN start IS NULL THEN 0 WHEN alone THEN 1 ELSE n_cut END)::INTEGER AS n_slices,
+    CASE WHEN start IS NULL THEN NULL WHEN alone THEN concat_ws(':', docs[1], start::VARCHAR, stop::VARCHAR) ELSE s END AS slices FROM cut)"""
+_NESTED = f"""WITH RECURSIVE {_star(STARRED)}, subs0 AS (
+    SELECT doc_id, paragraph_id AS item, head_text AS top_text, tail_text AS sub_text, min(ord) AS o FROM rel WHERE kind = '{V.STAR_ORG}' GROUP BY 1, 2, 3, 4),
+subs AS (SELECT s.doc_id, item, top_text, sub_text, {_KEY.format("sub_text")} AS org_key, doc_id || '/' || item AS id, (row_number() OVER (PARTITION BY doc_id, item ORDER BY o) - 1)::INTEGER AS sub,
+    coalesce((SELECT list(tail_text ORDER BY ord) FROM rel r WHERE r.kind = '{V.ORG_TITLE}' AND r.doc_id = s.doc_id AND r.paragraph_id = s.item AND r.head_text = s.sub_text), []) AS docs FROM subs0 s),
+all_orgs AS (SELECT doc_id AS id, seq, text, start, "end" FROM ev WHERE label IN ({_ORGS})), all_ends AS (SELECT doc_id AS id, max("end") AS n FROM ev GROUP BY 1), all_tops AS (SELECT doc_id AS id, {_KEY.format("top_text")} AS k FROM subs),
+{_anchors("tops", "all_orgs", "all_tops", "all_ends")},
+first_tops AS (SELECT id AS doc_id, org_key, min(start) AS start, arg_min(stop, start) AS stop FROM tops GROUP BY 1, 2),
+ranges AS (SELECT DISTINCT s.id, s.doc_id, f.start, f.stop FROM subs s JOIN first_tops f ON f.doc_id = s.doc_id AND f.org_key = {_KEY.format("s.top_text")}),
+in_orgs AS (SELECT r.id, e.seq, e.text, e.start, e."end" FROM ranges r JOIN ev e ON e.doc_id = r.doc_id AND e.label IN ({_ORGS}) AND e.start >= r.start AND e.start < r.stop),
+in_wanted AS (SELECT id, org_key AS k FROM subs SEMI JOIN ranges USING (id)), in_ends AS (SELECT id, stop AS n FROM ranges),
+{_anchors("places", "in_orgs", "in_wanted", "in_ends")},
+nth AS (SELECT *, row_number() OVER (PARTITION BY id, org_key ORDER BY start) AS k FROM places),
+cut AS (SELECT s.id, s.sub, count(*) AS n, min(p.start) AS start, max(p.stop) AS stop, string_agg(concat_ws(':', CASE WHEN k <= len(docs) THEN docs[k] ELSE p.text END, p.start::VARCHAR, p.stop::VARCHAR), '|' ORDER BY k) AS slices
+    FROM subs s JOIN nth p ON p.id = s.id AND p.org_key = s.org_key GROUP BY 1, 2)
+SELECT s.doc_id, s.item, s.sub, sub_text, CASE WHEN n IS NULL THEN 'org_missing' WHEN n = len(docs) THEN 'ok' ELSE 'partial' END AS status, c.start, c.stop, len(docs)::INTEGER AS n_docs, coalesce(n, 0)::INTEGER AS n_slices, coalesce(slices, '') AS slices, r.id IS NOT NULL AS top_found
+FROM subs s LEFT JOIN cut c ON c.id = s.id AND c.sub = s.sub LEFT JOIN ranges r ON r.id = s.id"""
+_TITLE_SEGMENTS = f"""WITH RECURSIVE {_TITLED}, {_IDS}, names AS (
+    SELECT doc_id, paragraph_id AS item, coalesce(min_by(CASE WHEN kind = '{V.ORG_TITLE}' THEN tail_text END, CASE WHEN kind = '{V.ORG_TITLE}' THEN ord END), min_by(CASE WHEN head_label = '{V.TITLE}' THEN head_text END, CASE WHEN head_label = '{V.TITLE}' THEN ord END)) AS title FROM rel GROUP BY 1, 2),
+n AS (SELECT doc_id, max("end") AS n_chars FROM ev GROUP BY 1),
+kept AS (SELECT e.doc_id, e.start, e.text AS name FROM ev e WHERE label = '{V.ORG}' AND EXISTS (SELECT 1 FROM ids WHERE ids.doc_id = e.doc_id AND (contains(e.text, ids.text) OR contains(ids.text, e.text)))),
+wins AS (SELECT doc_id, row_number() OVER w - 1 AS idx, name, start AS a, coalesce(lead(start) OVER w, n_chars) AS b FROM kept JOIN n USING (doc_id) WINDOW w AS (PARTITION BY doc_id ORDER BY start)
+    UNION ALL SELECT doc_id, 0, '(global)', 0, n_chars FROM n ANTI JOIN kept USING (doc_id)),
+best AS (SELECT doc_id, id, a, b FROM (SELECT i.doc_id, i.id, w.a, w.b, row_number() OVER (PARTITION BY i.doc_id, i.id ORDER BY (w.name = i.text) DESC, idx) AS r FROM ids i JOIN wins w USING (doc_id)) WHERE r = 1),
+wanted AS (SELECT doc_id, item, {matching.KEYS} FROM names WHERE title IS NOT NULL), titles AS (SELECT doc_id, start, "end", {matching.KEYS} FROM (SELECT *, text AS title FROM ev WHERE label = '{V.TITLE}')),
+{matching.passes()}, {matching.CONTAINED},
+located AS (SELECT m.doc_id, m.item, t."end" AS start, CASE WHEN idx IS NULL THEN n_chars ELSE coalesce(lead(m.start) OVER (PARTITION BY m.doc_id, idx ORDER BY m.start), b) END AS stop, confidence
+    FROM matched m JOIN titles t ON t.doc_id = m.doc_id AND t.start = m.start JOIN n ON n.doc_id = m.doc_id LEFT JOIN wins w ON w.doc_id = m.doc_id AND m.start >= a AND m.start < b),
+members AS (SELECT DISTINCT r.doc_id, paragraph_id AS item, id FROM rel r JOIN ids i ON i.doc_id = r.doc_id AND i.text = r.head_text AND i.label = r.head_label)
+SELECT doc_id, item, m.id AS org_id, coalesce(title, '(Preambulo)') AS title, CASE WHEN title IS NULL THEN 'doc_children_segment' WHEN l.start IS NULL THEN 'doc_type_unanchored' ELSE 'doc_type_segment' END AS status,
+    CASE WHEN title IS NULL THEN 0.5 ELSE coalesce(confidence, 0.0) END::DOUBLE AS confidence, CASE WHEN title IS NULL THEN b.a ELSE l.start END AS start, CASE WHEN title IS NULL THEN b.b ELSE greatest(l.start, l.stop) END AS stop
+FROM names JOIN members m USING (doc_id, item) JOIN best b ON b.doc_id = m.doc_id AND b.id = m.id LEFT JOIN located l USING (doc_id, item)"""
+
 ORACLES = {
+    "block_status": f"{_BLOCKS} SELECT * FROM status",
+    "summary_counts": f"""{_BLOCKS} SELECT doc_id, count(*) AS orgs_total, {", ".join(f"count_if(status = '{a}')::BIGINT AS {b}" for a, b in (("ok", "org_ok"), ("partial", "org_partial"), ("doc_missing", "org_doc_missing"), ("org_missing", "org_missing")))},
+        sum(n_docs)::BIGINT AS docs_expected, sum(n_slices)::BIGINT AS docs_matched FROM status GROUP BY doc_id""",
+    "nested_segments": _NESTED,
+    "title_segments": _TITLE_SEGMENTS,
     "paragraph_ids_star": f"WITH {_star(STARRED)} SELECT doc_id, seq::INTEGER AS seq, label, pid AS paragraph_id FROM para",
     "paragraph_ids_title": f"WITH {_TITLED} SELECT doc_id, at_seq::INTEGER AS at_seq, part, pid AS paragraph_id, seq::INTEGER AS seq, label FROM collected",
     "relations_pairs": f"""WITH RECURSIVE {_star(FLAT)}, texts AS (SELECT doc_id, string_agg(text, ' ' ORDER BY seq) AS t FROM ev GROUP BY doc_id)
@@ -299,5 +374,6 @@ ORACLES = {
         SELECT doc_id, md5('{{"paragraphs":[' || string_agg('{{"paragraph_id":' || coalesce(paragraph_id::VARCHAR, 'null') || ',"relations":[' || r || ']}}', ',' ORDER BY o) || ']}}') AS json_md5 FROM paras GROUP BY doc_id""",
     "window_locate": f"""WITH {_spans(FLAT)}, wins AS (SELECT doc_id, start AS a, coalesce(lead(start) OVER (PARTITION BY doc_id ORDER BY start), n) AS b, row_number() OVER (PARTITION BY doc_id ORDER BY start) - 1 AS idx
             FROM ev JOIN (SELECT doc_id, max("end") AS n FROM ev GROUP BY 1) USING (doc_id) WHERE label = '{V.ORG}')
-        SELECT t.doc_id, t.start, idx::INTEGER AS idx, coalesce(lead(t.start) OVER (PARTITION BY t.doc_id, idx ORDER BY t.start), b) AS stop FROM ev t JOIN wins w ON w.doc_id = t.doc_id AND t.start >= a AND t.start < b WHERE t.label = '{V.TITLE}'""",
+        SELECT t.doc_id, t.start, idx::INTEGER AS idx, CASE WHEN idx IS NULL THEN n ELSE coalesce(lead(t.start) OVER (PARTITION BY t.doc_id, idx ORDER BY t.start), b) END AS stop
+        FROM ev t JOIN (SELECT doc_id, max("end") AS n FROM ev GROUP BY 1) USING (doc_id) LEFT JOIN wins w ON w.doc_id = t.doc_id AND t.start >= a AND t.start < b WHERE t.label = '{V.TITLE}'""",
 }

@@ -63,21 +63,52 @@ def starred(docs: DataFrame, key: str = "doc_id") -> dict[str, DataFrame]:
     flat = items.where("org is not null").join(nested.select(key).distinct(), key, "left_anti").select(key, F.col("paragraph_id").alias("item"), F.col("org.text").alias("org_text"), F.col("docs.text").alias("docs"))
     subs = nested.select(key, F.col("paragraph_id").alias("item"), F.col("top_org.text").alias("top_text"), F.posexplode("sub_orgs").alias("sub", "s")).select(key, "item", "top_text", "sub", F.col("s.org.text").alias("sub_text"), F.col("s.docs.text").alias("docs"))
     segments = staged(segment.segment_flat(made.body_spans, made.bodies, flat, key), "segments")
-    return {"relations": found, "items": items, "segments": segments, "nested": segment.segment_nested(made.body_spans, made.bodies, subs, key), "summary": segment.summary(segments, key)}
+    inner = staged(segment.segment_nested(made.body_spans, made.bodies, subs, key), "nested")
+    counted = [key, "status", "n_docs", "n_slices", "top_found"]
+    both = segments.withColumn("top_found", F.lit(True)).select(*counted).unionByName(inner.select(*counted))
+    return {"relations": found, "items": items, "segments": segments, "nested": inner, "summary": segment.summary(both, key)}
+
+
+def slice_texts(rows: DataFrame, bodies: DataFrame, key: str = "doc_id") -> DataFrame:
+    """A row for each slice of flat or nested segments: their columns, nth (from 1), doc_name, and the slice's text."""
+    cut = rows.select("*", F.posexplode("slices").alias("_n", "_s")).drop("slices").join(bodies.select(key, F.col("text").alias("_text")), key)
+    shown = F.substring("_text", (F.col("_s.start") + 1).cast("int"), (F.col("_s.stop") - F.col("_s.start")).cast("int"))
+    return cut.withColumn("nth", F.col("_n") + 1).withColumn("doc_name", F.col("_s.doc_name")).withColumn("text", shown).drop("_n", "_s", "_text")
 
 
 def titled(docs: DataFrame, key: str = "doc_id") -> dict[str, DataFrame]:
-    """relations, organisations, items, segments, sub-slices and counters of title-driven documents."""
+    """relations, organisations, items, segments, their entities, sub-slices and counters of title-driven documents.
+
+    Segments are labelled again from offset 0; a blank one has no entities and
+    no sub-slices.  A document without organisations has one made-up one.
+    """
     made = labelled_parts(docs, key)
     found = staged(relations.relations_by_title(made.summary_spans, key), "relations")
-    orgs, items = staged(payload.title_orgs(found, key), "orgs"), staged(payload.items_by_title(found, key), "items")
+    items = staged(payload.items_by_title(found, key), "items")
+    orgs = staged(segment.org_map(payload.title_orgs(found, key), made.bodies, key), "orgs")
     named = items.select(key, F.col("paragraph_id").alias("item"), "org_ids", F.col("doc_name.text").alias("title"))
-    segments = staged(segment.segment_titles(made.body_spans, made.bodies, orgs, named, key), "segments")
+    ends = made.bodies.select(key, F.length("text").cast("bigint").alias("n_chars"))
+    windows = staged(segment.kept_windows(made.body_spans, orgs, ends, key), "windows")
+    located = staged(segment.located_titles(made.body_spans, windows, ends, named, key), "located")
+    segments = staged(segment.segment_titles(made.body_spans, made.bodies, orgs, named, key, located), "segments")
     shown = F.substring("_text", (F.col("start") + 1).cast("int"), (F.col("stop") - F.col("start")).cast("int"))
     texts = segments.where("start is not null").join(made.bodies.select(key, F.col("text").alias("_text")), key).select(key, F.concat_ws(".", "org_id", "item").alias("segment"), "item", shown.alias("text"))
-    children = items.select(key, F.col("paragraph_id").alias("item"), F.posexplode("children").alias("ord", "c")).select(key, "item", "ord", F.col("c.child").alias("title"))
-    texts = staged(texts, "segment-texts")
-    subs = segment.sub_slices(texts.drop("item"), texts.select(key, "segment", "item").join(children, [key, "item"]).drop("item"), key)
-    ends = made.bodies.select(key, F.length("text").cast("bigint").alias("n_chars"))
-    windows = segment.kept_windows(made.body_spans, orgs, ends, key)
-    return {"relations": found, "orgs": orgs, "items": items, "segments": segments, "subs": subs, "summary": segment.summary_titles(segments, orgs, windows, subs, key)}
+    texts = staged(texts.where(F.trim("text") != ""), "segment-texts")
+    allowed = payload.allowed_children(items.withColumnRenamed("paragraph_id", "item"), key)
+    subs = staged(segment.sub_slices(texts.drop("item"), texts.select(key, "segment", "item").join(allowed, [key, "item"]).drop("item"), key), "subs")
+    return {
+        "relations": found,
+        "orgs": orgs,
+        "items": items,
+        "segments": segments,
+        "texts": texts,
+        "entities": segment_entities(texts, key),
+        "subs": subs,
+        "summary": segment.summary_titles(segments, orgs, windows, subs, located, key),
+    }
+
+
+def segment_entities(texts: DataFrame, key: str = "doc_id") -> DataFrame:
+    """key, segment, seq, label, text, start, end of what stands in each of texts (key, segment, text), with offsets from 0."""
+    rows = texts.select(F.concat_ws("/", F.col(key).cast("string"), "segment").alias("_id"), key, "segment", "text")
+    return numbered(label(rows.select("_id", "text"), "_id"), rows.select("_id", "text"), "_id").join(rows.select("_id", key, "segment"), "_id").select(key, "segment", "seq", "label", "text", "start", "end")

@@ -100,7 +100,7 @@ def _letters(c: str) -> str:
     return f"regexp_replace(lower({_PLAIN.format(c)}), '[^a-z0-9]', '', 'g')"
 
 
-def _passes() -> str:
+def passes() -> str:
     out, left, free = [], "wanted", "titles"
     for n, name in enumerate(("exact", "tight", "letters")):
         out.append(f"""hit{n} AS (SELECT doc_id, item, start, {V.CONFIDENCE[name]}::DOUBLE AS confidence FROM
@@ -111,17 +111,33 @@ def _passes() -> str:
     return ",\n".join(out)
 
 
-_KEYS = f"lower({_norm('title')}) AS exact, replace(lower({_norm('title')}), ' ', '') AS tight, {_letters(_norm('title'))} AS letters"
+#: After passes(): what is left, contained in one another, the longest wanted title first, each taking its best free place.
+CONTAINED = f"""near AS (
+    SELECT a.doc_id, a.item, b.start, least(length(a.letters), length(b.letters))::DOUBLE / greatest(length(a.letters), length(b.letters)) AS ratio
+    FROM left2 a JOIN free2 b ON a.doc_id = b.doc_id AND a.letters <> '' AND b.letters <> '' AND (contains(a.letters, b.letters) OR contains(b.letters, a.letters))
+), close AS (SELECT * FROM near WHERE ratio >= {V.LEAST_RATIO}),
+turns AS (SELECT doc_id, item, row_number() OVER (PARTITION BY doc_id ORDER BY length(letters) DESC, item) AS k FROM left2 SEMI JOIN close USING (doc_id, item)),
+assign(doc_id, k, taken, item, start, ratio) AS (
+    SELECT doc_id, 0::BIGINT, []::BIGINT[], NULL::BIGINT, NULL::BIGINT, NULL::DOUBLE FROM (SELECT DISTINCT doc_id FROM turns)
+    UNION ALL
+    SELECT p.doc_id, t.k, CASE WHEN count(c.start) > 0 THEN list_append(p.taken, arg_min(c.start, (-c.ratio, c.start))) ELSE p.taken END, t.item, arg_min(c.start, (-c.ratio, c.start)), max(c.ratio)
+    FROM assign p JOIN turns t ON t.doc_id = p.doc_id AND t.k = p.k + 1 LEFT JOIN close c ON c.doc_id = t.doc_id AND c.item = t.item AND NOT list_contains(p.taken, c.start)
+    GROUP BY p.doc_id, t.k, t.item, p.taken
+), hit3 AS (SELECT doc_id, item, start, {V.CONFIDENCE["contained"]}::DOUBLE * ratio AS confidence FROM assign WHERE start IS NOT NULL),
+matched AS (SELECT doc_id, item, start, round(confidence, 6) AS confidence FROM (SELECT * FROM hit0 UNION ALL SELECT * FROM hit1 UNION ALL SELECT * FROM hit2 UNION ALL SELECT * FROM hit3))"""
+
+KEYS = f"lower({_norm('title')}) AS exact, replace(lower({_norm('title')}), ' ', '') AS tight, {_letters(_norm('title'))} AS letters"
 _TITLES = f"""names AS (
     SELECT p_size::BIGINT AS doc_id, p_partkey, p_name, CASE p_partkey % 5 WHEN 0 THEN p_name WHEN 1 THEN upper(p_name) WHEN 2 THEN trim(regexp_replace(p_name, '(.)', '\\1 ', 'g'))
         WHEN 3 THEN left(p_name, length(p_name) - 2) ELSE '**' || p_name || ':**' END AS changed FROM part
-), wanted AS (SELECT doc_id, p_partkey AS item, {_KEYS} FROM (SELECT *, p_name AS title FROM names)),
-titles AS (SELECT doc_id, p_partkey * 7 % 10007 AS start, {_KEYS} FROM (SELECT *, changed AS title FROM names))"""
+), wanted AS (SELECT doc_id, p_partkey AS item, {KEYS} FROM (SELECT *, p_name AS title FROM names)),
+titles AS (SELECT doc_id, p_partkey * 7 % 10007 AS start, {KEYS} FROM (SELECT *, changed AS title FROM names))"""
 _TOKENS = "list_distinct(list_filter(regexp_split_to_array(lower({0}), '\\s+'), lambda t: t <> ''))"
 _GRAMS = "list_distinct(list_transform(range(1, length(l) - 1), lambda i: l[i:i + 2]))"
 
 ORACLES = {
-    "title_match_equal": f"WITH {_TITLES}, {_passes()} SELECT * FROM hit0 UNION ALL SELECT * FROM hit1 UNION ALL SELECT * FROM hit2",
+    "title_match_cascade": f"WITH RECURSIVE {_TITLES}, {passes()}, {CONTAINED} SELECT * FROM matched",
+    "title_match_equal": f"WITH {_TITLES}, {passes()} SELECT * FROM hit0 UNION ALL SELECT * FROM hit1 UNION ALL SELECT * FROM hit2",
     "best_window_jaccard": f"""WITH orgs AS (SELECT p_size::BIGINT AS doc_id, p_partkey AS id, {_TOKENS.format("p_name || ' ' || p_type")} AS a FROM part),
         wins AS (SELECT p_size::BIGINT AS doc_id, {_TOKENS.format("p_type")} AS b, min(p_partkey) AS idx FROM part GROUP BY p_size, p_type),
         scored AS (SELECT doc_id, id, idx, len(list_intersect(a, b))::DOUBLE / len(list_distinct(list_concat(a, b))) AS score FROM orgs JOIN wins USING (doc_id)),

@@ -60,4 +60,28 @@ def test_sub_slices(spark):
     segments = spark.createDataFrame([(0, "a", text), (0, "b", "sem titulos")], "doc_id long, segment string, text string")
     allowed = spark.createDataFrame([(0, "a", 0, "Um Titulo Longo"), (0, "a", 1, "Outro titulo:")], "doc_id long, segment string, ord int, title string")
     got = [(r.segment, r.title, text[r.start : r.stop] if r.segment == "a" else (r.start, r.stop)) for r in segment.sub_slices(segments, allowed).orderBy("segment", "sub").collect()]
-    assert got == [("a", "Um Titulo Longo", "\ncorpo um\n**Ignorado aqui**\ncorpo dois\n"), ("a", "Outro titulo:", "\nfim"), ("b", None, (0, 11))]
+    assert got == [("a", "Um Titulo Longo", "\ncorpo um\n**Ignorado aqui**\ncorpo dois\n"), ("a", "Outro titulo:", "\nfim"), ("b", "", (0, 11))]
+    other = spark.createDataFrame([(0, "a", 0, "Nada disto")], "doc_id long, segment string, ord int, title string")
+    lead = segment.sub_slices(segments.where("segment = 'a'"), other).collect()
+    assert [(r.title, r.headers, text[r.start : r.stop][:9]) for r in lead] == [("Um titulo longo", ["Um titulo longo"], "\ncorpo um")]
+
+
+def test_titled_flow_counts_and_entities(spark):
+    out = flow.titled(docs(spark, TITLED, "sem nada"))
+    rows = {r.doc_id: r for r in out["summary"].collect()}
+    assert (rows[0].orgs_in_payload, rows[0].org_windows_found, rows[0].doc_type_headers_matched, rows[0].doc_type_segments, rows[0].segments_with_subdivisions) == (1, 1, 1, 1, 1)
+    assert (rows[1].orgs_in_payload, rows[1].org_windows_found, rows[1].doc_type_segments) == (1, 1, 0)
+    assert [r.text for r in out["orgs"].where("doc_id = 1").collect()] == [segment.NO_ORG]
+    (text,) = [r.text for r in out["texts"].collect()]
+    assert "Regulamentos" not in text and "Corpo do aviso." in text
+    assert all(text[r.start : r.end] == r.text for r in out["entities"].collect()) and out["entities"].count() > 0
+
+
+def test_nested_flow(spark):
+    body = "**TOPO GERAL**\nCAMARA UM\n**Despacho um**\nTexto.\nCAMARA DOIS\n**Despacho dois**\nTexto dois."
+    out = flow.starred(docs(spark, f"**Sumário**\n{body}\n{body}"))
+    got = {r.sub_text: (r.status, r.n_docs, r.n_slices) for r in out["nested"].collect()}
+    assert got == {"CAMARA UM": ("ok", 1, 1), "CAMARA DOIS": ("ok", 1, 1)}
+    assert (out["summary"].first().orgs_total, out["summary"].first().org_ok) == (2, 2)
+    made = flow.slice_texts(out["nested"], flow.labelled_parts(docs(spark, f"**Sumário**\n{body}\n{body}")).bodies)
+    assert {r.doc_name: r.text.split("\n")[0] for r in made.collect()} == {"Despacho um": "CAMARA UM", "Despacho dois": "CAMARA DOIS"}

@@ -196,7 +196,7 @@ def test_untitled_item_takes_the_window(spark):
     orgs = spark.createDataFrame([(0, 1, "CAMARA UM")], "doc_id long, id int, text string")
     items = spark.createDataFrame([(0, 0, [1], None), (0, 1, [1], "x"), (0, 2, [1], "absent"), (0, 3, [], "x")], "doc_id long, item int, org_ids array<int>, title string")
     got = {r.item: (r.status, r.confidence, r.start, r.stop) for r in S.segment_titles(rows, text_of(rows), orgs, items).collect()}
-    assert got == {0: ("doc_children_segment", 0.5, 0, 13), 1: ("doc_type_segment", 1.0, 10, 13), 2: ("doc_type_unanchored", 0.0, None, None)}
+    assert got == {0: ("doc_children_segment", 0.5, 0, 13), 1: ("doc_type_segment", 1.0, 11, 13), 2: ("doc_type_unanchored", 0.0, None, None)}
 
 
 def test_lines_after_the_first_are_matched(spark):
@@ -214,3 +214,55 @@ def test_lines_after_the_first_are_matched(spark):
     got = S.similar_lines(spark.createDataFrame(left, "a long, a_line int, text string"), spark.createDataFrame(right, "b long, b_line int, text string"))
     assert sorted((r.a, r.a_line, r.b, r.b_line, round(r.jaccard, 6)) for r in got.collect()) == want
     assert len(want) > 20
+
+
+def test_title_outside_every_window_runs_to_the_end(spark):
+    rows = spans(spark, [D, P, O, D], ["antes", "corpo um", "CAMARA UM", "depois"])
+    orgs = spark.createDataFrame([(0, 1, "CAMARA UM")], "doc_id long, id int, text string")
+    items = spark.createDataFrame([(0, 0, [1], "antes"), (0, 1, [1], "**:**"), (0, 2, [1], "Depois:")], "doc_id long, item int, org_ids array<int>, title string")
+    got = {r.item: (r.title, r.status, r.confidence, r.start, r.stop) for r in S.segment_titles(rows, text_of(rows), orgs, items).collect()}
+    assert got == {0: ("antes", "doc_type_segment", 1.0, 5, 31), 1: ("(Preambulo)", "doc_children_segment", 0.5, 15, 31), 2: ("Depois", "doc_type_segment", 1.0, 31, 31)}
+
+
+def test_windows_unwrap_bold_organisations(spark):
+    rows = spans(spark, [O, D], ["CAMARA DO PORTO NOVO", "x"])
+    ends = rows.groupBy("doc_id").agg(F.max("end").alias("n_chars"))
+    for name in ("CAMARA PORTO", "**CAMARA PORTO**"):
+        orgs = spark.createDataFrame([(0, 1, name)], "doc_id long, id int, text string")
+        assert S.kept_windows(rows, orgs, ends).first().name == "CAMARA DO PORTO NOVO"
+
+
+def nested(spark, labels, names, subs):
+    rows = spans(spark, labels, names)
+    items = spark.createDataFrame([(0, 7, names[0], i, name, docs_) for i, (name, docs_) in enumerate(subs)], "doc_id long, item int, top_text string, sub int, sub_text string, docs array<string>")
+    text = text_of(rows).first().text
+    out = S.segment_nested(rows, text_of(rows), items)
+    return [(r.sub, r.status, [(s.doc_name, text[s.start : s.stop].strip()) for s in r.slices]) for r in out.orderBy("sub").collect()], S.summary(out).first()
+
+
+def test_nested_places_are_coalesced_and_named_in_order(spark):
+    got, total = nested(spark, [O_, O, O, B, O, B, O, B], ["TOPO", "SUB UM", "DOIS", "um", "OUTRA", "dois", "SUB UM DOIS", "tres"], [("SUB UM DOIS", ["**a**"]), ("OUTRA", ["x"]), ("AUSENTE", ["y"])])
+    assert got == [
+        (0, "partial", [("a", "SUB UM DOIS um"), ("SUB UM DOIS", "SUB UM DOIS tres")]),
+        (1, "ok", [("x", "OUTRA dois")]),
+        (2, "org_missing", []),
+    ]
+    assert (total.orgs_total, total.org_ok, total.org_partial, total.org_missing, total.docs_expected, total.docs_matched) == (3, 1, 1, 1, 3, 3)
+
+
+def test_nested_without_its_top(spark):
+    rows = spans(spark, [O, B], ["SUB", "x"])
+    items = spark.createDataFrame([(0, 0, "TOPO", 0, "SUB", ["a", "b"])], "doc_id long, item int, top_text string, sub int, sub_text string, docs array<string>")
+    out = S.segment_nested(rows, text_of(rows), items)
+    assert [(r.status, r.n_slices, r.top_found) for r in out.collect()] == [("org_missing", 0, False)]
+    assert S.summary(out).first().docs_expected == 0
+
+
+def test_allowed_children_of_all_fields(spark):
+    items = spark.createDataFrame(
+        [(0, 1, ["Titulo A:", "t i t u l o a"], [(None, "Titulo B", None), (("Titulo C",), "ignored", "x"), (None, None, "um paragrafo\nlongo")], [(("**Titulo D**",),), ((None,),)]), (0, 2, None, None, None)],
+        "doc_id long, item int, allowed_children array<string>, children array<struct<doc_name: struct<text: string>, text: string, child: string>>, bodies array<struct<doc_name: struct<text: string>>>",
+    )
+    got = [r.title for r in Y.allowed_children(items).orderBy("item", "ord").collect()]
+    assert got == ["Titulo A", "Titulo B", "Titulo C", "um paragrafo longo", "Titulo D"]
+    assert Y.allowed_children(items.select("doc_id", "item")).count() == 0
