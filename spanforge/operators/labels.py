@@ -14,22 +14,24 @@ from pyspark.sql import functions as F
 
 from spanforge.functions import predicates as P
 from spanforge.functions import vocabulary as V
-from spanforge.operators.lines import lines, visible
+from spanforge.operators.lines import lines, starts_of, visible
 
 SPAN = ["label", "start", "end"]
 
 
 def phrases(docs: DataFrame, key: str = "doc_id", wanted: dict[str, str] | None = None) -> DataFrame:
-    """Every place of each fixed phrase: the text is split at the phrase and lengths add up."""
-    found = []
-    for phrase, label in (wanted or V.PHRASES).items():
-        n = len(phrase)
-        some = docs.where(F.col("text").contains(phrase))
-        pieces = some.select(key, F.posexplode(F.split("text", "\\Q" + phrase + "\\E", -1)).alias("i", "piece"))
-        w = W.partitionBy(key).orderBy("i")
-        ends = pieces.select(key, "i", F.sum(F.length("piece") + n).over(w).alias("end"), F.lead("i").over(w).alias("after"))
-        found.append(ends.where("after is not null").select(key, F.lit(label).alias("label"), (F.col("end") - n).alias("start"), "end"))
-    return reduce(DataFrame.unionByName, found)
+    """Every place of each fixed phrase, found in one pass: the text is split at the phrase and lengths add up."""
+    wanted = wanted or V.PHRASES
+
+    def places(phrase: str, label: str) -> Column:
+        pieces = F.split("text", "\\Q" + phrase + "\\E", -1)
+        lengths = F.transform(F.slice(pieces, 1, F.size(pieces) - 1), lambda x: F.length(x).cast("bigint") + len(phrase))
+        begins = F.zip_with(starts_of(lengths), lengths, lambda s, n: s + n - len(phrase))
+        found = F.transform(begins, lambda s: F.struct(F.lit(label).alias("label"), s.alias("start"), (s + len(phrase)).alias("end")))
+        return F.when(F.col("text").contains(phrase), found).otherwise(F.array().cast("array<struct<label:string,start:bigint,end:bigint>>"))
+
+    some = docs.where(reduce(Column.__or__, (F.col("text").contains(p) for p in wanted)))
+    return some.select(key, F.inline(F.concat(*(places(*x) for x in wanted.items()))))
 
 
 def heading_runs(rows: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -84,53 +86,65 @@ def longest_first(spans: DataFrame, key: str = "doc_id") -> DataFrame:
     """Greedy choice: the longest span first, ties by start and then rank, each kept if it overlaps none kept.
 
     spans: key, label, start, end, rank (the order in which rules gave them).
-    One fold over each document's array.
+    Spans that overlap, at first or second hand, are an island; islands do not
+    touch one another, so a fold goes over each alone, and work is linear in a
+    document of any length.
     """
+    w = W.partitionBy(key).orderBy("start", "end")
+    opens = F.col("start") >= F.coalesce(F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    islands = spans.withColumn("_opens", opens).withColumn("_island", F.sum(F.col("_opens").cast("int")).over(w))
     item = F.struct((F.col("start") - F.col("end")).alias("less"), "start", "rank", "label", "end")
-    ordered = spans.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("all"))
+    ordered = islands.groupBy(key, "_island").agg(F.array_sort(F.collect_list(item)).alias("all"))
 
     def step(kept: Column, s: Column) -> Column:
         clash = F.exists(kept, lambda k: (k["start"] < s["end"]) & (k["end"] > s["start"]))
         return F.when(clash, kept).otherwise(F.array_append(kept, s))
 
     empty = F.filter("all", lambda x: F.lit(False))
-    return ordered.select(key, F.inline(F.aggregate("all", empty, step))).select(key, "label", "start", "end")
+    resolved = F.when(F.size("all") == 1, F.col("all")).otherwise(F.aggregate("all", empty, step))
+    return ordered.select(key, F.inline(resolved)).select(key, "label", "start", "end")
 
 
 def paragraphs(texts: DataFrame, key: str = "doc_id") -> DataFrame:
     """Text lines merged into paragraphs.
 
-    texts: all spans of a document in order (key, label, start, end, line; line
-    is null but for text lines).  A run goes on from a text line to the next
-    span if that is a text line too and the sentence goes on (no end mark, or a
-    lower-case start).  Leading lines of a run that start in lower case stay
-    single.  Runs of one line stay text lines.
+    texts: all spans of a document in order (key, label, start, end, look; look
+    is null but for text lines, see look_of()).  A run goes on from a text line
+    to the next span if that is a text line too and the sentence goes on (no end
+    mark, or a lower-case start).  Leading lines of a run that start in lower
+    case stay single.  Runs of one line stay text lines.
     """
     w = W.partitionBy(key).orderBy("start")
-    before = F.lag("line").over(w)
-    breaks = before.isNull() | F.col("line").isNull() | (P.ends_sentence(before) & ~P.starts_lower("line"))
+    before = F.lag("look").over(w)
+    breaks = before.isNull() | F.col("look").isNull() | (before["ended"] & ~F.col("look.lower"))
     runs = texts.withColumn("run", F.sum(breaks.cast("int")).over(w))
     in_run = W.partitionBy(key, "run").orderBy("start").rowsBetween(W.unboundedPreceding, 0)
-    upper = F.max(P.starts_upper("line")).over(in_run)
-    marked = runs.withColumn("opened", F.col("line").isNotNull() & F.coalesce(upper, F.lit(False)))
+    upper = F.max("look.upper").over(in_run)
+    marked = runs.withColumn("opened", F.col("look").isNotNull() & F.coalesce(upper, F.lit(False)))
     alone = marked.where("not opened").select(key, *SPAN)
     merged = marked.where("opened").groupBy(key, "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n"))
     label = F.when(F.col("n") > 1, V.PARAGRAPH).otherwise(V.BODY)
     return alone.unionByName(merged.select(key, label.alias("label"), "start", "end"))
 
 
+def look_of(line: str) -> Column:
+    """What merging needs of a text line, so that the line itself need not move."""
+    return F.struct(P.ends_sentence(line).alias("ended"), P.starts_lower(line).alias("lower"), P.starts_upper(line).alias("upper"))
+
+
 def labelled_lines(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Spans of phrases, headings and titles, resolved, and the lines beside them as noise or text: key, label, start, end, line (of text only).
+    """Spans of phrases, headings and titles, resolved, and the lines beside them as noise or text: key, label, start, end, look (of text only).
 
     Lines do not overlap one another, so one pass beside the spans serves both.
+    Only numbers and flags are shuffled.
     """
     rows = lines(docs, key)
     first = phrases(docs, key)
     for found in (heading_runs(rows, key).drop("n_lines"), titles(docs, key)):  # each rule is resolved against what stands
         first = longest_first(first.withColumn("rank", F.lit(0)).unionByName(found.withColumn("rank", F.lit(1))), key)
-    stream = beside(visible(rows).select(key, "line", "start", "end", P.is_junk_line("line").alias("junk")), first, key)
+    stream = beside(visible(rows).select(key, look_of("line").alias("look"), "start", "end", P.is_junk_line("line").alias("junk")), first, key)
     label = F.coalesce("label", F.when(F.col("junk"), V.JUNK).otherwise(V.BODY))
-    return stream.select(key, label.alias("label"), "start", "end", F.when(F.col("label").isNull() & ~F.col("junk"), F.col("line")).alias("line"))
+    return stream.select(key, label.alias("label"), "start", "end", F.when(F.col("label").isNull() & ~F.col("junk"), F.col("look")).alias("look"))
 
 
 def label(docs: DataFrame, key: str = "doc_id") -> DataFrame:

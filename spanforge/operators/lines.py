@@ -2,22 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanforge.functions.text import strip
 
 
+#: Lines whose offsets are summed up together.
+CHUNK = 256
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once however often and wherever use has it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _sums(lengths: Column, first: Column) -> Column:
+    """first, and first with each of lengths but the last added in turn."""
+    return F.slice(F.aggregate(lengths, F.array(first), lambda sums, n: F.array_append(sums, F.element_at(sums, -1) + n)), 1, F.size(lengths))
+
+
+def starts_of(lengths: Column) -> Column:
+    """The sum of the lengths before each, taken in chunks and over chunks."""
+    zero = F.lit(0).cast("bigint")
+    total = lambda chunk: F.aggregate(chunk, zero, lambda s, n: s + n)
+    chunked = lambda all_: F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / CHUNK).cast("int")), lambda c: F.slice(all_, c * CHUNK + 1, F.lit(CHUNK)))
+    summed = lambda chunks: F.flatten(F.zip_with(chunks, _sums(F.transform(chunks, total), zero), _sums))
+    return _bound(lengths, lambda all_: _bound(chunked(all_), summed))
+
+
 def lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, line_no, line, start, end (half-open, in code points; the line break is outside).
 
-    The one shuffle here is by key; windows by the same key that follow reuse it.
+    Offsets are summed up within the row, in chunks and over chunks, so no text
+    is shuffled.  Rows that repeat a key are lines of texts of their own, each
+    with offsets from 0.
     """
-    split = docs.where(F.col(text).isNotNull()).select(F.col(key), F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"))
-    before = W.partitionBy(key).orderBy("line_no").rowsBetween(W.unboundedPreceding, -1)
-    start = F.coalesce(F.sum(F.length("line") + 1).over(before), F.lit(0))
-    return split.withColumn("start", start).withColumn("end", F.col("start") + F.length("line"))
+    split = docs.where(F.col(text).isNotNull()).select(F.col(key), F.split(F.col(text), "\n", -1).alias("_lines"))
+    starts = starts_of(F.transform("_lines", lambda x: F.length(x).cast("bigint") + 1))
+    out = split.select(key, F.posexplode(F.arrays_zip(F.col("_lines").alias("line"), starts.alias("start"))).alias("line_no", "_l"))
+    return out.select(key, "line_no", F.col("_l.line").alias("line"), F.col("_l.start").alias("start"), (F.col("_l.start") + F.length("_l.line")).alias("end"))
 
 
 def visible(rows: DataFrame) -> DataFrame:
