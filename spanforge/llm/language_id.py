@@ -47,6 +47,7 @@ WINDOW = 64
 HIDDEN = 8
 PER_LABEL, SAMPLE, WINDOWS = 400, 25_600, 3
 FLOOR_SHARE, LIFT = 0.01, 0.2
+BROADCAST_LABELS = 50_000
 EPOCHS, BATCH, RATE = 10, 256, 0.02
 SEED = 1
 UNKNOWN = "und"
@@ -292,6 +293,8 @@ def fitted(docs: DataFrame, per_label: int = PER_LABEL, sample: int = SAMPLE, wi
     per_label = max(1, min(per_label, sample // labels))
     # About twice as many rows as wanted pass the first draw; a label of few rows passes whole.
     share = F.least(F.lit(1.0), F.lit(2.0 * per_label + 20) / F.col("_rows"))
+    if labels <= BROADCAST_LABELS:  # counted; the model on the driver has a row for each as well
+        counts = F.broadcast(counts)
     passed = rows.join(counts, F.col("lang") == F.col("_lang")).where((F.col("_draw") < share * float(1 << 40)) | (F.col("_draw") == F.col("_least")))
     span = F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1
     starts = [F.pmod(F.xxhash64("doc_id", "text", F.lit(SEED + 1 + k)), span).cast("int") + 1 for k in range(windows)]
