@@ -344,19 +344,6 @@ def likely_children(headers: DataFrame, allowed: DataFrame, key: str = "doc_id")
     return scored.groupBy(key, "block").agg(best.alias("b")).select(key, "block", F.col("b.title").alias("title"), F.col("b.rank").alias("rank"))
 
 
-def gram_pairs(left: DataFrame, right: DataFrame, least: float = V.LEAST_JACCARD, letters: int = V.LEAST_GRAM_LETTERS) -> DataFrame:
-    """Pairs of texts (a, text) and (b, text) whose trigram Jaccard is least or more; no cross join: grams are joined and shared ones counted."""
-
-    def grams(rows: DataFrame, name: str) -> DataFrame:
-        bare = rows.select(name, T.ascii_letters("text").alias("letters"))
-        sets = bare.where(F.length("letters") >= letters).select(name, T.ngrams("letters").alias("g"))
-        return sets.select(name, F.size("g").alias(f"n_{name}"), F.explode("g").alias("gram"))
-
-    shared = grams(left, "a").join(grams(right, "b"), "gram").groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("n"))
-    score = F.col("n") / (F.col("n_a") + F.col("n_b") - F.col("n"))
-    return shared.where(score >= least).select("a", "b", score.alias("jaccard"))
-
-
 def _gram_sets(texts: list[str]):
     """(line, code) of the distinct grams of ASCII letters and digits, sorted."""
     import numpy as np

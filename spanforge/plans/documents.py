@@ -11,6 +11,7 @@ from spanforge.functions import vocabulary as V
 from spanforge.operators import labels as L
 from spanforge.operators import markdown as M
 from spanforge.operators.lines import lines, visible
+from spanforge.sources import markdown as issues
 from spanforge.sources.tables import table
 
 
@@ -73,12 +74,6 @@ def _keys(name: str) -> list[Column]:
 
 
 def norm_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys of first lines only, as its SQL has them; norm_keys_lines has those of all lines."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("first"))
-    return rows.select("doc_id", *_keys("first"))
-
-
-def norm_keys_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of all lines of documents and benchmark."""
     texts = docs(spark, sf_dir).select(F.lit("documents").alias("source"), F.col("doc_id").alias("id"), "text")
     items = table(spark, sf_dir, "benchmark").select(F.lit("benchmark").alias("source"), F.col("item_id").alias("id"), "text")
@@ -91,6 +86,13 @@ def join_spaced_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "line_no", T.plain_text("line").alias("plain")).where(F.length("plain") > 0)
 
 
+def issue_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of a conversation as the pages of an issue, each under two bold lines in capitals: joined without the last page, bold lines merged."""
+    page = F.concat(F.lit("**"), F.upper("role"), F.lit("**\n**TURN**\n"), F.coalesce("text", F.lit("")))
+    pages = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("page_no"), page.alias("md"))
+    return issues.issue_texts(pages, "conv_id").select("conv_id", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
 def markdown_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").where(F.col("text").contains("|")).select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     return rows.where(F.col("line").contains("|")).select("doc_id", "line_no", P.is_table_row("line").alias("is_row"), P.is_all_caps("line").alias("is_caps"))
@@ -140,7 +142,7 @@ def slice_property(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("end") - F.col("start")).alias("covered"), F.min("start").alias("first"), F.max("end").alias("last"))
 
 
-QUERIES = {f.__name__: f for f in (line_offsets, line_class_counts, junk_lines, caps_runs, bold_blocks, span_resolution, doc_text_lines, paragraph_merge, span_report, norm_keys, norm_keys_lines, join_spaced_caps, markdown_table_rows, merge_bold_runs, inline_bold_clean, html_escape, text_envelope, filename_series, slice_property)}
+QUERIES = {f.__name__: f for f in (line_offsets, line_class_counts, junk_lines, caps_runs, bold_blocks, span_resolution, doc_text_lines, paragraph_merge, span_report, norm_keys, join_spaced_caps, issue_texts, markdown_table_rows, merge_bold_runs, inline_bold_clean, html_escape, text_envelope, filename_series, slice_property)}
 
 # --- The same in SQL ---------------------------------------------------------
 
@@ -260,6 +262,9 @@ ORACLES = {
     "join_spaced_caps": f"""SELECT doc_id, line_no, array_to_string(list_filter(list_transform(range(1, length(p) + 1), lambda i: CASE
             WHEN p[i] = ' ' AND i > 1 AND regexp_matches(p[i - 1], '[ {_CAPS_CLASS}]') AND regexp_matches(p[i + 1], '[{_CAPS_CLASS}]') THEN '' ELSE p[i] END), lambda c: c <> ''), '') AS plain
         FROM (SELECT doc_id, line_no, {_COLLAPSED.format(_NO_BOLD.format("line"))} AS p FROM {_SPLIT}) WHERE p <> ''""",
+    "issue_texts": r"""SELECT conv_id, length(t)::INTEGER AS n_chars, md5(t) AS text_md5 FROM (
+        SELECT conv_id, regexp_replace(coalesce(string_agg('**' || upper(role) || chr(10) || 'TURN**' || chr(10) || coalesce(text, ''), chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY turn) FILTER (turn < last), ''), '\n$', '') AS t
+        FROM (SELECT *, max(turn) OVER (PARTITION BY conv_id) AS last FROM conversations) GROUP BY conv_id)""",
     "markdown_table_rows": f"""SELECT doc_id, line_no, {_ROW} AS is_row, length(regexp_replace(line, '[^A-Za-zÀ-ÖØ-öø-ÿ]', '', 'g')) >= 2 AND upper(regexp_replace(line, '[^A-Za-zÀ-ÖØ-öø-ÿ]', '', 'g')) = regexp_replace(line, '[^A-Za-zÀ-ÖØ-öø-ÿ]', '', 'g') AS is_caps
         FROM {_SPLIT} WHERE contains(line, '|')""",
     "merge_bold_runs": f"""{_merged("any", f"{_INNER} <> '' AND NOT {_ROW}")} UNION ALL {_merged("caps", f"{_INNER} <> '' AND NOT {_ROW} AND length({_LATIN}) >= 2 AND upper({_LATIN}) = {_LATIN}")}""",
@@ -275,4 +280,4 @@ ORACLES = {
 }
 
 _ALL_LINES = " UNION ALL ".join(f"SELECT '{t}' AS source, {k} AS id, unnest(range(len(string_split(text, chr(10)))))::INTEGER AS line_no, unnest(string_split(text, chr(10))) AS f FROM {t} WHERE text IS NOT NULL" for t, k in (("documents", "doc_id"), ("benchmark", "item_id")))
-ORACLES["norm_keys_lines"] = ORACLES["norm_keys"].replace("SELECT doc_id,", "SELECT source, id, line_no,", 1).replace(_FIRST, f"({_ALL_LINES})")
+ORACLES["norm_keys"] = ORACLES["norm_keys"].replace("SELECT doc_id,", "SELECT source, id, line_no,", 1).replace(_FIRST, f"({_ALL_LINES})")

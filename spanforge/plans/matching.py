@@ -42,13 +42,6 @@ def best_window_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First lines of benchmark items and documents by trigrams of letters, as its SQL has them; ngram_jaccard_lines has all lines."""
-    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("a"), F.substring_index("text", "\n", 1).alias("text"))
-    heads = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("b"), F.substring_index("text", "\n", 1).alias("text"))
-    return S.gram_pairs(items, heads).withColumn("jaccard", F.round("jaccard", 6))
-
-
-def ngram_jaccard_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines of benchmark items against all lines of documents, by trigrams of letters."""
 
     def numbered(name: str, key: str, side: str) -> DataFrame:
@@ -81,7 +74,7 @@ def child_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("conv_id", F.col("block").alias("turn"), F.md5("title").alias("title_md5"), "rank")
 
 
-QUERIES = {f.__name__: f for f in (title_match_equal, title_match_cascade, best_window_jaccard, ngram_jaccard, ngram_jaccard_lines, ordinal_zip, allowed_children, child_titles)}
+QUERIES = {f.__name__: f for f in (title_match_equal, title_match_cascade, best_window_jaccard, ngram_jaccard, ordinal_zip, allowed_children, child_titles)}
 
 # --- The same in SQL ---------------------------------------------------------
 
@@ -143,9 +136,6 @@ ORACLES = {
         scored AS (SELECT doc_id, id, idx, len(list_intersect(a, b))::DOUBLE / len(list_distinct(list_concat(a, b))) AS score FROM orgs JOIN wins USING (doc_id)),
         ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, id ORDER BY score DESC, idx) AS r FROM scored)
         SELECT doc_id, id, idx, round(score, 6) AS score, CASE WHEN score > 0 THEN 'org_anchored' ELSE 'org_unanchored' END AS status FROM ranked WHERE r = 1""",
-    "ngram_jaccard": f"""WITH a AS (SELECT a, len(g) AS n_a, unnest(g) AS gram FROM (SELECT item_id AS a, {_GRAMS} AS g FROM (SELECT item_id, {_letters("string_split(text, chr(10))[1]")} AS l FROM benchmark) WHERE length(l) >= {V.LEAST_GRAM_LETTERS})),
-        b AS (SELECT b, len(g) AS n_b, unnest(g) AS gram FROM (SELECT doc_id AS b, {_GRAMS} AS g FROM (SELECT doc_id, {_letters("string_split(text, chr(10))[1]")} AS l FROM documents) WHERE length(l) >= {V.LEAST_GRAM_LETTERS}))
-        SELECT a, b, round(count(*)::DOUBLE / (n_a + n_b - count(*)), 6) AS jaccard FROM a JOIN b USING (gram) GROUP BY a, b, n_a, n_b HAVING count(*)::DOUBLE / (n_a + n_b - count(*)) >= {V.LEAST_JACCARD}""",
     "allowed_children": f"""SELECT conv_id, key, min(turn) AS turn, arg_min(title, (turn, title)) AS title FROM (
         SELECT conv_id, turn, {_norm("line")} AS title, replace(lower(replace({_norm("line")}, ' ', '')), 'ß', 'ss') AS key FROM (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line FROM conversations)) WHERE key <> '' GROUP BY conv_id, key""",
     "child_titles": f"""WITH rows_ AS (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS header, unnest(range(len(string_split(text, chr(10))))) AS line_no FROM conversations),
@@ -166,7 +156,7 @@ def _line_grams(name: str, key: str, side: str) -> str:
     return f"""SELECT {side}, {side}_line, len(g) AS n_{side}, unnest(g) AS gram FROM (SELECT {key} AS {side}, line_no AS {side}_line, {_GRAMS} AS g FROM (SELECT {key}, line_no, {_letters("line")} AS l FROM ({split})) WHERE length(l) >= {V.LEAST_GRAM_LETTERS})"""
 
 
-ORACLES["ngram_jaccard_lines"] = f"""WITH a AS ({_line_grams("benchmark", "item_id", "a")}), b AS ({_line_grams("documents", "doc_id", "b")})
+ORACLES["ngram_jaccard"] = f"""WITH a AS ({_line_grams("benchmark", "item_id", "a")}), b AS ({_line_grams("documents", "doc_id", "b")})
     SELECT a, a_line, b, b_line, round(count(*)::DOUBLE / (n_a + n_b - count(*)), 6) AS jaccard FROM a JOIN b USING (gram) GROUP BY a, a_line, b, b_line, n_a, n_b HAVING count(*)::DOUBLE / (n_a + n_b - count(*)) >= {V.LEAST_JACCARD}"""
 ORACLES["ordinal_zip"] = """SELECT key, k, o_orderkey, l_orderkey, l_linenumber FROM
     (SELECT o_custkey AS key, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k FROM orders) LEFT JOIN

@@ -11,8 +11,11 @@ from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from spanforge.operators.markdown import merge_bold_runs, rejoin
+
 #: Fixed value: the schema of a table of contents as JSON.
 CONTENTS = (
     "items array<struct<paragraph_id: int, org: struct<text: string, label: string>, docs: array<struct<text: string, label: string>>, "
@@ -53,11 +56,30 @@ def contents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def join_pages(pages: DataFrame, key: str = "doc_id", skip_last: bool = True) -> DataFrame:
-    """Pages (key, page_no, md) as one text for each document; the last page is left out on demand."""
-    last = pages.groupBy(key).agg(F.max("page_no").alias("_last"))
-    kept = pages.join(last, key).where(F.col("page_no") < F.col("_last")) if skip_last else pages
-    parts = F.array_sort(F.collect_list(F.struct("page_no", "md")))
-    return kept.groupBy(key).agg(F.array_join(parts["md"], PAGE_BREAK).alias("text"))
+    """Pages (key, page_no, md) as one text for each document; the last page is left out on demand, so a document of one page has an empty text."""
+    last = F.col("page_no") == F.max("page_no").over(W.partitionBy(key))
+    kept = pages.select(key, "page_no", F.when(last & F.lit(skip_last), None).otherwise(F.coalesce("md", F.lit(""))).alias("md"))
+    return kept.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(F.when(F.col("md").isNotNull(), F.struct("page_no", "md"))))["md"], PAGE_BREAK).alias("text"))
+
+
+def merged_text(docs: DataFrame, key: str = "doc_id", all_caps: bool = False) -> DataFrame:
+    """docs (key, text) with neighbouring bold-only lines (those in capitals only, on demand) as one bold block."""
+    # A line break at the very end ends a line and begins none.
+    rows = docs.select(key, F.posexplode(F.split(F.regexp_replace("text", r"\n\z", ""), "\n", -1)).alias("line_no", "line"))
+    return rejoin(merge_bold_runs(rows, key, all_caps), key)
+
+
+def page_texts(pages: DataFrame, key: str = "doc_id") -> DataFrame:
+    """key, page_no, text of each page by itself, neighbouring bold-only lines merged."""
+    named = pages.select(F.struct(key, "page_no").alias("_id"), F.coalesce("md", F.lit("")).alias("text"))
+    return merged_text(named, "_id").select(f"_id.{key}", "_id.page_no", "text")
+
+
+def issue_texts(pages: DataFrame, key: str = "doc_id", skip_last: bool = True, title_driven: str = "IIISerie") -> DataFrame:
+    """Pages (key, page_no, md) as the text of each issue: joined, bold lines in capitals merged, and all bold lines in issues whose key has title_driven."""
+    caps = merged_text(join_pages(pages, key, skip_last), key, all_caps=True)
+    driven = F.contains(F.col(key).cast("string"), F.lit(title_driven))
+    return caps.where(~driven).unionByName(merged_text(caps.where(driven), key))
 
 
 def pdf_pages(spark: SparkSession, folder: str, crop_top: float = 0.10) -> DataFrame:

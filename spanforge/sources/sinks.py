@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from spanforge.functions.text import html_escape, slug
+from spanforge.functions.text import html_escape, plain_text, slug, strip_bold
 from spanforge.operators import payload
 
 #: Colours of labels.
@@ -47,27 +48,112 @@ def envelope(org: Column, name: Column, text: Column) -> Column:
     return F.concat_ws("\n", F.lit("DOC_BEGIN"), F.concat(F.lit("ORG: "), org), F.concat(F.lit("DOC: "), name), text, F.lit("DOC_END"))
 
 
+#: Folders that envelopes are dealt into, however many documents there are.
+FOLDERS = 64
+
+
 def write_envelopes(docs: DataFrame, path: str, key: str = "doc_id") -> None:
-    """docs (key, org_idx, doc_idx, org, doc_name, text) as text rows, in folders by document; the whole key is in the name, so none overwrites another."""
+    """docs (key, org_idx, doc_idx, org, doc_name, text) as rows of name and body; the whole key is a column beside the name, so none overwrites another."""
     name = F.concat_ws("_", F.format_string("ORG_%03d_DOC_%03d", "org_idx", "doc_idx"), slug("doc_name"))
-    docs.select(F.col(key).alias("document"), name.alias("name"), envelope(F.col("org"), F.col("doc_name"), F.col("text")).alias("body")).write.partitionBy("document").json(path)
+    rows = docs.select(F.col(key).alias("document"), name.alias("name"), envelope(F.col("org"), F.col("doc_name"), F.col("text")).alias("body"))
+    rows.withColumn("folder", F.pmod(F.xxhash64("document"), F.lit(FOLDERS))).write.partitionBy("folder").json(path)
+
+
+def org_files(segments: DataFrame, texts: DataFrame, prefix: str, key: str = "doc_id") -> DataFrame:
+    """key, name, body of a text file for each organisation found: segments (key, item, org_text, start, stop), texts (key, text)."""
+    nth = F.row_number().over(W.partitionBy(key).orderBy("item"))
+    block = F.substring("_text", (F.col("start") + 1).cast("int"), (F.col("stop") - F.col("start")).cast("int"))
+    rows = segments.withColumn("nth", nth).where("start is not null").join(texts.select(key, F.col("text").alias("_text")), key)
+    name = F.concat(F.lit(f"{prefix}_ORG_"), F.lpad(F.col("nth").cast("string"), 3, "0"), F.lit("_"), slug(plain_text("org_text")), F.lit(".txt"))
+    body = F.concat(F.lit("DOC_BEGIN\nORG: "), strip_bold("org_text"), F.lit("\n"), block, F.lit("\nDOC_END\n"))
+    return rows.select(key, name.alias("name"), body.alias("body"))
+
+
+def doc_files(slices: DataFrame, prefix: str, key: str = "doc_id") -> DataFrame:
+    """key, name, body of a text file for each slice of an organisation: slices (key, item, org_text, nth, doc_name, text)."""
+    org = F.dense_rank().over(W.partitionBy(key).orderBy("item"))
+    number = lambda c: F.lpad(F.col(c).cast("string"), 3, "0")
+    rows = slices.withColumn("org", org)
+    name = F.concat(F.lit(f"{prefix}_ORG_"), number("org"), F.lit("_DOC_"), number("nth"), F.lit("_"), slug(plain_text("doc_name")), F.lit(".txt"))
+    body = F.concat(F.lit("DOC_BEGIN\nORG: "), strip_bold("org_text"), F.lit("\nDOC: "), F.col("doc_name"), F.lit("\n"), F.col("text"), F.lit("\nDOC_END\n"))
+    return rows.select(key, name.alias("name"), body.alias("body"))
+
+
+def write_markdown(docs: DataFrame, path: str, key: str = "doc_id") -> None:
+    """Add the texts of docs (key, text) that are not in path yet, as rows of name and text."""
+    rows = docs.select(F.concat(F.col(key).cast("string"), F.lit(".md")).alias("name"), "text")
+    spark = docs.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder):
+        rows = rows.join(spark.read.schema("name string, text string").parquet(path).select("name"), "name", "left_anti")
+    rows.select("name", "text").write.mode("append").parquet(path)
 
 
 def spans_html(spans: DataFrame, texts: DataFrame, key: str = "doc_id") -> DataFrame:
-    """key, html: each document's text with its spans in colour."""
+    """key, html: each document's whole text, its spans in colour with their labels."""
     colour = F.lit("#dddddd")
     for label, value in COLOURS.items():
         colour = F.when(F.col("label") == label, value).otherwise(colour)
-    shown = F.substring("text", (F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int"))
-    mark = F.concat(F.lit('<mark style="background:'), colour, F.lit('" title="'), F.col("label"), F.lit('">'), html_escape(shown), F.lit("</mark>"))
-    parts = spans.select(key, "label", "start", "end").join(texts.select(key, "text"), key).select(key, "start", mark.alias("mark"))
-    return parts.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(F.struct("start", "mark")))["mark"], "\n").alias("html"))
-
-
-def results_html(segments: DataFrame, key: str = "doc_id") -> DataFrame:
-    """key, html: organisations with their status and slices, in order, every value escaped."""
-    row = F.concat(F.lit("<section><h2>"), html_escape(F.coalesce("org_text", F.lit(""))), F.lit("</h2><p>"), html_escape("status"), F.lit("</p></section>"))
-    return segments.select(key, "item", row.alias("row")).groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(F.struct("item", "row")))["row"], "\n").alias("html"))
+    part = lambda a, b: html_escape(F.substring("text", (a + 1).cast("int"), (b - a).cast("int")))
+    mark = F.concat(F.lit('<mark style="background:'), colour, F.lit('" title="'), F.col("label"), F.lit('">'), part(F.col("start"), F.col("end")), F.lit("</mark>"))
+    before = F.coalesce(F.lag("end").over(W.partitionBy(key).orderBy("start")), F.lit(0))
+    placed = spans.select(key, "label", "start", "end", before.alias("before")).join(texts.select(key, "text"), key)
+    marks = placed.select(key, "start", "end", F.concat(part(F.col("before"), F.col("start")), mark).alias("mark"))
+    joined = marks.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(F.struct("start", "mark")))["mark"], "").alias("marks"), F.max("end").alias("last"))
+    rows = texts.select(key, F.coalesce("text", F.lit("")).alias("text")).join(joined, key, "left")
+    rest = part(F.coalesce("last", F.lit(0)), F.length("text"))
+    return rows.select(key, F.concat(F.lit(PAGE.format(title="Entidades")), F.coalesce("marks", F.lit("")), rest, F.lit("</body>")).alias("html"))
+
+
+#: What the pages say.
+PAGE = '<!doctype html><meta charset="utf-8"><title>{title}</title><body style="white-space:pre-wrap">'
+NO_DOCS, WHOLE, ENTITIES = "Sem documentos neste bloco.", "Segmento completo", "Entidades no segmento (segunda passagem)"
+SUBS, HEADERS, NO_SUBS = "Subdivisões", "Headers colapsados:", "Sem subdivisões para este segmento."
+
+
+def _listed(rows: DataFrame, by: list[str], order: str, html: Column, name: str) -> DataFrame:
+    return rows.select(*by, F.struct(F.col(order).alias("o"), html.alias("h")).alias("_x")).groupBy(*by).agg(F.array_join(F.array_sort(F.collect_list("_x"))["h"], "").alias(name))
+
+
+def results_html(segments: DataFrame, key: str = "doc_id", slices: DataFrame | None = None, entities: DataFrame | None = None, subs: DataFrame | None = None, summary: DataFrame | None = None) -> DataFrame:
+    """key, html: the counters, organisations with their status, their documents, and of each its entities and sub-slices, in order, every value escaped.
+
+    segments (key, item, org_text, status); slices (key, item, nth, doc_name,
+    text); entities (key, item, nth, label, text, start, end); subs (key, item,
+    nth, sub, title, headers, text); summary (key and counters).
+    """
+    e = lambda c: html_escape(F.coalesce(F.col(c).cast("string"), F.lit("")))
+    two = lambda c: F.lpad(F.col(c).cast("string"), 2, "0")
+    orgs = segments.select(key, "item", "org_text", "status", F.row_number().over(W.partitionBy(key).orderBy("item")).alias("i"))
+    rows = orgs.withColumn("docs", F.lit(None).cast("string"))
+    if slices is not None:
+        by = [key, "item", "nth"]
+        one = slices.select(*by, "doc_name", "text").join(orgs.select(key, "item", "i"), [key, "item"])
+        if entities is not None:
+            entry = F.concat(F.lit("<li><code>"), e("label"), F.lit("</code> — "), e("text"), F.lit(" <small>["), F.col("start").cast("string"), F.lit(":"), F.col("end").cast("string"), F.lit("]</small></li>"))
+            one = one.join(_listed(entities, by, "start", entry, "ents"), by, "left")
+        if subs is not None:
+            heads = F.array_join(F.transform("headers", lambda h: F.concat(F.lit("<li>"), html_escape(h), F.lit("</li>"))), "")
+            named = subs.join(orgs.select(key, "item", "i"), [key, "item"])
+            entry = F.concat(
+                F.lit("<h5>"), two("i"), F.lit("."), two("nth"), F.lit("."), two("sub"), F.lit(" — "), e("title"), F.lit("</h5>"),
+                F.when(F.size("headers") > 0, F.concat(F.lit(f"<p><strong>{HEADERS}</strong></p><ul>"), heads, F.lit("</ul>"))).otherwise(""),
+                F.lit("<pre>"), e("text"), F.lit("</pre>"),
+            )
+            one = one.join(_listed(named, by, "sub", entry, "parts"), by, "left")
+        shown = [F.lit("<h3>"), two("i"), F.lit("."), two("nth"), F.lit(" — "), e("doc_name"), F.lit(f"</h3><details open><summary>{WHOLE}</summary><pre>"), e("text"), F.lit("</pre></details>")]
+        if entities is not None:
+            shown.append(F.coalesce(F.concat(F.lit(f"<details><summary>{ENTITIES}</summary><ul>"), F.col("ents"), F.lit("</ul></details>")), F.lit("")))
+        parts = F.concat(F.lit(f"<h4>{SUBS}</h4>"), F.col("parts")) if subs is not None else F.lit(None).cast("string")
+        shown.append(F.coalesce(parts, F.lit(f"<p><em>{NO_SUBS}</em></p>")))
+        rows = orgs.join(_listed(one, [key, "item"], "nth", F.concat(*shown), "docs"), [key, "item"], "left")
+    body = F.concat(F.lit("<h2>"), two("i"), F.lit(". "), e("org_text"), F.lit(" <small>["), e("status"), F.lit("]</small></h2>"), F.coalesce("docs", F.lit(f"<p><em>{NO_DOCS}</em></p>")))
+    out = _listed(rows, [key], "i", body, "body")
+    head = F.lit("")
+    if summary is not None:
+        out = out.join(summary.select(key, F.concat(F.lit("<p><strong>Resumo:</strong> "), html_escape(summary_line(summary.drop(key))), F.lit("</p>")).alias("head")), key, "left")
+        head = F.coalesce("head", F.lit(""))
+    return out.select(key, F.concat(F.lit(PAGE.format(title="Results") + "<h1>Resultados</h1>"), head, "body", F.lit("</body>")).alias("html"))
 
 
 def summary_line(counters: DataFrame) -> Column:

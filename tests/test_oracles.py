@@ -26,7 +26,7 @@ def test_entry(spark):
 def test_keys_of_every_line(spark):
     import duckdb
 
-    got = {(r.source, r.id, r.line_no) for r in catalogue.QUERIES["norm_keys_lines"](spark, FOLDER).collect()}
+    got = {(r.source, r.id, r.line_no) for r in catalogue.QUERIES["norm_keys"](spark, FOLDER).collect()}
     want = set()
     for name in ("documents", "benchmark"):
         for key, text in duckdb.sql(f"SELECT {'doc_id' if name == 'documents' else 'item_id'}, text FROM '{FOLDER}/{name}.parquet'").fetchall():

@@ -24,6 +24,48 @@ def test_pages_and_missing(spark):
     assert markdown.missing(pages, pages).count() == 0
 
 
+def test_issue_texts(spark):
+    page = "**CAMARA**\n**DO FUNCHAL**\n**Um aviso**\n**outro**\ntexto\n"
+    pages = [("IISerie-1", 0, page), ("IISerie-1", 1, "|**A**|\n**B**"), ("IISerie-1", 2, "last"), ("IIISerie-2", 0, page), ("IIISerie-2", 1, "last"), ("one", 0, "only")]
+    rows = spark.createDataFrame(pages, "doc_id string, page_no int, md string")
+    got = {r.doc_id: r.text for r in markdown.issue_texts(rows).collect()}
+    assert got == {
+        "IISerie-1": "**CAMARA\nDO FUNCHAL**\n**Um aviso**\n**outro**\ntexto\n\n\n---\n\n|**A**|\n**B**",
+        "IIISerie-2": "**CAMARA\nDO FUNCHAL**\n**Um aviso\noutro**\ntexto",
+        "one": "",
+    }
+    one = {(r.doc_id, r.page_no): r.text for r in markdown.page_texts(rows).collect()}
+    assert one["IISerie-1", 0] == "**CAMARA\nDO FUNCHAL\nUm aviso\noutro**\ntexto" and len(one) == 6
+
+
+def test_files_and_markdown_sink(spark, tmp_path):
+    segments = spark.createDataFrame([(0, 3, "**Camara  UM**", 0, 6), (0, 4, "falta", None, None)], "doc_id long, item int, org_text string, start long, stop long")
+    texts = spark.createDataFrame([(0, "bloco: resto")], "doc_id long, text string")
+    (org,) = sinks.org_files(segments, texts, "serie").collect()
+    assert (org.name, org.body) == ("serie_ORG_001_Camara_UM.txt", "DOC_BEGIN\nORG: Camara  UM\nbloco:\nDOC_END\n")
+    slices = spark.createDataFrame([(0, 3, "Camara UM", 2, "Aviso n.o 1", "corpo")], "doc_id long, item int, org_text string, nth int, doc_name string, text string")
+    (doc,) = sinks.doc_files(slices, "serie").collect()
+    assert (doc.name, doc.body) == ("serie_ORG_001_DOC_002_Aviso_n.o_1.txt", "DOC_BEGIN\nORG: Camara UM\nDOC: Aviso n.o 1\ncorpo\nDOC_END\n")
+    for _ in range(2):
+        sinks.write_markdown(texts, f"{tmp_path}/md")
+    assert [tuple(r) for r in spark.read.parquet(f"{tmp_path}/md").collect()] == [("0.md", "bloco: resto")]
+
+
+def test_results_page(spark):
+    segments = spark.createDataFrame([(0, 0, "<A>", "ok"), (0, 1, "B", "org_missing")], "doc_id long, item int, org_text string, status string")
+    slices = spark.createDataFrame([(0, 0, 1, "T&t", "corpo <x>"), (0, 0, 2, "U", "fim")], "doc_id long, item int, nth int, doc_name string, text string")
+    entities = spark.createDataFrame([(0, 0, 1, "ORG_LABEL", "CAMARA", 3, 9)], "doc_id long, item int, nth int, label string, text string, start long, end long")
+    subs = spark.createDataFrame([(0, 0, 1, 1, "Sub", ["h1", "h<2>"], "parte")], "doc_id long, item int, nth int, sub int, title string, headers array<string>, text string")
+    summary = spark.createDataFrame([(0, 2, 1)], "doc_id long, orgs_total int, org_ok int")
+    html = sinks.results_html(segments, "doc_id", slices, entities, subs, summary).first().html
+    order = ["orgs_total=2, org_ok=1", "01. &lt;A&gt; <small>[ok]", "01.01 — T&amp;t", "corpo &lt;x&gt;", "<code>ORG_LABEL</code> — CAMARA <small>[3:9]", "01.01.01 — Sub", "<li>h&lt;2&gt;</li>", "<pre>parte</pre>", "01.02 — U", sinks.NO_SUBS, "02. B <small>[org_missing]", sinks.NO_DOCS]
+    at = [html.index(x) for x in order]
+    assert at == sorted(at)
+    whole = sinks.spans_html(spark.createDataFrame([(0, "ORG_LABEL", 2, 5)], "doc_id long, label string, start long, end long"), spark.createDataFrame([(0, "a <b> c"), (1, "none & all")], "doc_id long, text string"))
+    got = {r.doc_id: r.html for r in whole.collect()}
+    assert 'a <mark style="background:#6e77b8" title="ORG_LABEL">&lt;b&gt;</mark> c</body>' in got[0] and "none &amp; all</body>" in got[1]
+
+
 def test_contents(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({"items": [{"paragraph_id": 0, "org": {"text": "A", "label": "x"}, "docs": []}]}), encoding="utf-8")
     row = markdown.contents(spark, str(tmp_path)).first()
