@@ -19,7 +19,11 @@ runs by an offset table, without a loop over tokens.
 
 Defined cases: a null text is encoded as an empty one, with no ids; null ids
 decode to an empty text; special tokens that stand in a text become their id,
-as in the tokenizers library; bytes that are no UTF-8 decode to U+FFFD.
+as in the tokenizers library; bytes that are no UTF-8 decode to U+FFFD; a null
+key is kept; repeated rows are encoded alike, row by row; a very long text is
+handled whole in one task; of tokens that fit at a place the longest is tried
+first, and the result is that of the merge rules, so there are no ties; an empty
+table gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations

@@ -21,8 +21,10 @@ verdicts are broadcast if they are at most BROADCAST_HOSTS rows (they are
 counted), else joined with SALTS copies of each.
 
 Defined cases: a null text has no words (base_failed, not kept); a null source
-is a host of its own; repeated rows are judged alike; an empty table gives no
-rows; extra columns of the input are not read.
+is a host of its own; a rate of exactly DOUBT is not doubted; repeated rows are
+judged alike; a very long text is counted whole in one task; an empty table gives
+no rows; extra columns of the input are not read by judged() and are carried as
+they are by accepted(), whatever their names.
 """
 
 from __future__ import annotations
