@@ -5,8 +5,13 @@ Parquet and read again as the docs of the next.  All but the last return the
 columns of their input, with the rows that stay.  Each stage works on all rows
 that the stage before it kept, and gathers what it needs from them.
 
-Defined cases are those of the operators; an empty table passes through all
-stages as an empty table.
+Defined cases: a null or empty text goes in the first stage (no letters), as does
+one without a word in the second; a null doc_id or source is a value like others
+and no near copy of anything; rows that repeat a doc_id become one in the third
+stage; a very long text is handled whole in every stage; ties follow the
+operators (smallest doc_id of a group, first label in order); extra columns are
+carried through the filtering stages whatever their names; an empty table passes
+through all stages as an empty table.
 """
 
 from __future__ import annotations
