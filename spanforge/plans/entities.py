@@ -15,6 +15,7 @@ from spanforge.operators import payload as Y
 from spanforge.operators import relations as R
 from spanforge.operators import segment as S
 from spanforge.plans import matching
+from spanforge.sources.staging import staged
 from spanforge.sources.tables import table
 
 #: Labels of event types: with starred headings, and with markers.
@@ -118,7 +119,8 @@ def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def block_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, body = _halves(spark, sf_dir)
     items = Y.items_by_star(R.relations_by_star(first)).where("org is not null").select("doc_id", F.col("paragraph_id").alias("item"), F.col("org.text").alias("org_text"), F.col("docs.text").alias("docs"))
-    out = S.segment_flat(body, texts(body), items)
+    body = staged(body, "body")
+    out = S.segment_flat(body, staged(texts(body), "texts"), staged(items, "items"))
     return out.select("doc_id", "item", "org_text", "status", "start", "stop", "n_docs", "n_slices", F.array_join(F.transform("slices", lambda s: F.concat_ws(":", s["doc_name"], s["start"].cast("string"), s["stop"].cast("string"))), "|").alias("slices"))
 
 
@@ -128,18 +130,19 @@ def summary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nested_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starred items of a user's whole sequence, found again in that sequence, with their slices."""
-    rows = spans(spark, sf_dir, STARRED)
+    rows = staged(spans(spark, sf_dir, STARRED), "spans")  # read by each of the branches below
     items = Y.items_by_star(R.relations_by_star(rows)).where("top_org is not null").select("doc_id", F.col("paragraph_id").alias("item"), F.col("top_org.text").alias("top_text"), F.posexplode("sub_orgs").alias("sub", "s"))
-    out = S.segment_nested(rows, texts(rows), items.select("doc_id", "item", "top_text", "sub", F.col("s.org.text").alias("sub_text"), F.col("s.docs.text").alias("docs")))
+    named = staged(items.select("doc_id", "item", "top_text", "sub", F.col("s.org.text").alias("sub_text"), F.col("s.docs.text").alias("docs")), "items")
+    out = S.segment_nested(rows, staged(texts(rows), "texts"), named)
     return out.withColumn("slices", F.array_join(F.transform("slices", lambda s: F.concat_ws(":", s["doc_name"], s["start"].cast("string"), s["stop"].cast("string"))), "|"))
 
 
 def title_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spans(spark, sf_dir, MARKED)
-    found = R.relations_by_title(rows)
-    orgs = Y.title_orgs(found)
-    items = Y.items_by_title(found).select("doc_id", F.col("paragraph_id").alias("item"), "org_ids", F.col("doc_name.text").alias("title"))
-    return S.segment_titles(rows, texts(rows), orgs, items).withColumn("confidence", F.round("confidence", 6))
+    rows = staged(spans(spark, sf_dir, MARKED), "spans")
+    found = staged(R.relations_by_title(rows), "relations")
+    orgs = staged(Y.title_orgs(found), "orgs")
+    items = staged(Y.items_by_title(found).select("doc_id", F.col("paragraph_id").alias("item"), "org_ids", F.col("doc_name.text").alias("title")), "items")
+    return S.segment_titles(rows, staged(texts(rows), "texts"), orgs, items).withColumn("confidence", F.round("confidence", 6))
 
 
 def ordered_doc_match(spark: SparkSession, sf_dir: str) -> DataFrame:
