@@ -21,7 +21,11 @@
    one, for ROUNDS rounds, which joins most of what belongs together.
 7. The rest, exactly: outside members that still have a possible partner in
    another component of a bucket are compared with all of them, with full sets
-   within the join, so that only links come out of it.  Pairs within a component
+   within the join, so that only links come out of it.  In a bucket of more than
+   DIRECT members that would be too many pairs; there each full set gives its
+   prefix, the shingles that are rarest over all these sets, one more than a
+   linked set may lack, and only members of different components that share one
+   of them are compared: two linked sets always do.  Pairs within a component
    cannot change the result, so no candidate pair that could join two components
    is left unchecked.
 
@@ -61,6 +65,8 @@ MINIMA, ROWS, BANDS, BITS = 128, 5, 25, 2
 SLACK = 0.2
 #: Rounds in which members outside a bucket's largest component are paired with sampled members of it; samples a bucket, pairs a member.
 ROUNDS, SAMPLED, BEST = 2, 4, 4
+#: Members a bucket up to which all pairs are looked at; slots in which shingles of larger ones are counted.
+DIRECT, SLOTS = 512, 1 << 18
 #: Bits of the broadcast bitmap, 16 MB at most, in blocks as Spark builds them.
 FLAG_BITS, _BLOCK = 1 << 27, 1 << 15
 #: Copies of a set are dealt over salts, one for each SALT_ROWS documents, LEAST_SALTS at least.
@@ -215,9 +221,7 @@ def _linked_sets(x: str, y: str):
     return DENOMINATOR * inter >= NUMERATOR * (F.size(x) + F.size(y) - inter)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """The pairs (a, b; a written table, which is deleted) whose full sets reach the threshold."""
-    full = needed_sets(pairs, docs, shingle)
+def _confirmed_on(full: DataFrame, pairs: DataFrame) -> DataFrame:
     both = joined_to_hubs(pairs, full.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b", "a")
     both = both.join(full.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
     out = common.written(both.where(_linked_sets("x", "y")).select("a", "b").distinct(), "links")
@@ -225,6 +229,11 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> Data
     return out
 
 
+def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The pairs (a, b; a written table, which is deleted) whose full sets reach the threshold."""
+    return _confirmed_on(needed_sets(pairs, docs, shingle), pairs)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) for each id in links (a, b): the smallest id reachable, by alternating stars."""
     stars = common.written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "stars")
@@ -288,6 +297,58 @@ def _exhaustive(contested: DataFrame, docs: DataFrame, shingle: int) -> DataFram
     return out
 
 
+def _rare_prefixes(full: DataFrame) -> DataFrame:
+    """doc_id, token: of each set of n shingles those n - ceil(threshold * n) + 1 that come first by their number, then by hash.
+
+    Numbers are counted in SLOTS slots, whose table goes to the tasks; slots that
+    several shingles share make the order less apt, never the result wrong.
+    """
+    counted = full.select(F.explode("shingles").alias("h")).groupBy(F.pmod("h", F.lit(SLOTS)).alias("slot")).count().toArrow()
+    often = np.zeros(SLOTS, np.int64)
+    often[counted["slot"].to_numpy()] = counted["count"].to_numpy()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = batch.column(1).value_lengths().to_numpy().astype(np.int64)
+            hashes = batch.column(1).flatten().to_numpy().view(np.uint64)
+            of = np.repeat(np.arange(len(size)), size)
+            order = np.lexsort((hashes, often[(hashes % np.uint64(SLOTS)).astype(np.int64)], of))
+            least = -(-NUMERATOR * size // DENOMINATOR)
+            first = np.arange(len(hashes)) - np.repeat(tb.bounds_of(size)[:-1], size) <= (size - least)[of]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of[first])), pa.array(signed(hashes[order][first]))], names=["doc_id", "token"])
+
+    return full.mapInArrow(run, "doc_id long, token long")
+
+
+def _by_prefixes(contested: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """Links (a, b) between members of different components, those that are outside in a bucket against all; candidates share a shingle of their prefixes."""
+    members = contested.groupBy("rep", "f", "part").agg(F.max(F.col("part") != F.col("top")).alias("outside"))
+    members = common.written(members, "prefix-members")
+    full = needed_sets(members.select(F.col("rep").alias("a"), F.col("rep").alias("b")), docs, shingle)
+    tokens = common.written(_rare_prefixes(full).join(members, F.col("doc_id") == F.col("rep")).select("token", "rep", "f", "part", "outside"), "prefixes")
+    mixed = tokens.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("token")
+    left = tokens.where("outside").join(mixed, "token", "left_semi").select("token", F.col("rep").alias("a"), F.col("part").alias("part_a"), F.col("f").alias("fa"))
+    right = tokens.select(F.col("token").alias("of"), F.col("rep").alias("b"), F.col("part").alias("part_b"), F.col("f").alias("fb"), F.col("outside").alias("both"))
+    apart = (F.col("token") == F.col("of")) & (F.col("part_a") != F.col("part_b")) & (~F.col("both") | (F.col("a") < F.col("b")))
+    pairs = common.written(left.join(right, apart & _possible("fa", "fb")).select("a", "b").distinct(), "pairs")
+    common.dropped(tokens, members)
+    return _confirmed_on(full, pairs)
+
+
+def _rest(contested: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """Links (a, b) between members of different components of a bucket: directly in small buckets, through prefixes in large ones."""
+    large = common.written(contested.groupBy("bucket").count().where(F.col("count") > DIRECT).select(F.col("bucket").alias("large")), "large")
+    if large.isEmpty():
+        common.dropped(large)
+        return _exhaustive(contested, docs, shingle)
+    in_large = F.col("bucket") == F.col("large")
+    direct = _exhaustive(contested.join(large, in_large, "left_anti"), docs, shingle)
+    other = _by_prefixes(contested.join(large, in_large, "left_semi"), docs, shingle)
+    out = common.written(direct.union(other).distinct(), "links")
+    common.dropped(large, direct, other)
+    return out
+
+
 def linked(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each document of docs (doc_id, text)."""
     signed_docs = common.written(signatures(docs, shingle), "signatures")
@@ -333,7 +394,7 @@ def linked(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         common.dropped(found)
         found = components(links)
     contested = common.written(_contested(members, features, found), "contested")
-    more = _exhaustive(contested, docs, shingle)
+    more = _rest(contested, docs, shingle)
     if not more.isEmpty():
         common.dropped(found)
         found = components(links.union(more))

@@ -218,21 +218,24 @@ def test_components_equal_brute_force(spark, edits):
     assert got == brute_components(rows)
 
 
-def test_rest_of_hot_buckets_is_compared_exactly(spark, monkeypatch):
+@pytest.mark.parametrize("step", ["_exhaustive", "_by_prefixes"])
+def test_rest_of_hot_buckets_is_compared_exactly(spark, monkeypatch, step):
     rng = random.Random(21)
     base = prose(rng, 120).split()
     texts = near_group(rng, base, 150, 8) + near_group(rng, base[:100] + prose(rng, 12).split(), 60, 5) + near_group(rng, base[15:] + prose(rng, 9).split(), 40, 6) + [" ".join(base)] * 30
     rows = list(enumerate(texts))
     reached = []
-    exhaustive = near_dedup._exhaustive
+    compared = getattr(near_dedup, step)
 
     def watched(contested, docs, shingle):
         parts = contested.select("part").distinct().count()
-        out = exhaustive(contested, docs, shingle)
+        out = compared(contested, docs, shingle)
         reached.append((parts, out.count()))
         return out
 
-    monkeypatch.setattr(near_dedup, "_exhaustive", watched)
+    monkeypatch.setattr(near_dedup, step, watched)
+    if step == "_by_prefixes":
+        monkeypatch.setattr(near_dedup, "DIRECT", 1)
     for rounds in (0, 2):
         monkeypatch.setattr(near_dedup, "ROUNDS", rounds)
         got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.linked(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
@@ -241,6 +244,22 @@ def test_rest_of_hot_buckets_is_compared_exactly(spark, monkeypatch):
     assert parts > 2 and links > 0
 
 
+def test_linked_sets_share_a_rare_shingle(spark):
+    rng = random.Random(22)
+    sets = {}
+    for i in range(60):
+        base = [rng.randint(-(2**63), 2**63 - 1) for _ in range(rng.randint(1, 60))]
+        sets[2 * i], sets[2 * i + 1] = set(base), {rng.randint(0, 2**40) if rng.random() < 0.08 else x for x in base}
+    rows = spark.createDataFrame([(k, sorted(v)) for k, v in sets.items()], "doc_id long, shingles array<long>")
+    first = {}
+    for r in near_dedup._rare_prefixes(rows).collect():
+        first.setdefault(r.doc_id, set()).add(r.token)
+    for a, x in sets.items():
+        assert first[a] <= x and len(first[a]) == len(x) - -(-85 * len(x) // 100) + 1
+        for b, y in sets.items():
+            assert 100 * len(x & y) < 85 * len(x | y) or first[a] & first[b]
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (102, 101), (103, 103)], "a long, b long")
     got = {r.id: r.component for r in near_dedup.components(links).collect()}
