@@ -23,9 +23,10 @@
    another component of a bucket are compared with all of them, with full sets
    within the join, so that only links come out of it.  In a bucket of more than
    DIRECT members that would be too many pairs; there each full set gives its
-   prefix, the shingles that are rarest over all these sets, one more than a
-   linked set may lack, and only members of different components that share one
-   of them are compared: two linked sets always do.  Pairs within a component
+   prefix, the shingles that are rarest over all these sets.  Of two linked sets
+   the first shingle that they share is among the first 8.2 % of the smaller and
+   15 % of the larger one, so only members of different components that share one
+   there, with enough shingles after it, are compared.  Pairs within a component
    cannot change the result, so no candidate pair that could join two components
    is left unchecked.
 
@@ -66,7 +67,7 @@ SLACK = 0.2
 #: Rounds in which members outside a bucket's largest component are paired with sampled members of it; samples a bucket, pairs a member.
 ROUNDS, SAMPLED, BEST = 2, 4, 4
 #: Members a bucket up to which all pairs are looked at; slots in which shingles of larger ones are counted.
-DIRECT, SLOTS = 512, 1 << 18
+DIRECT, SLOTS = 128, 1 << 18
 #: Bits of the broadcast bitmap, 16 MB at most, in blocks as Spark builds them.
 FLAG_BITS, _BLOCK = 1 << 27, 1 << 15
 #: Copies of a set are dealt over salts, one for each SALT_ROWS documents, LEAST_SALTS at least.
@@ -298,7 +299,7 @@ def _exhaustive(contested: DataFrame, docs: DataFrame, shingle: int) -> DataFram
 
 
 def _rare_prefixes(full: DataFrame) -> DataFrame:
-    """doc_id, token: of each set of n shingles those n - ceil(threshold * n) + 1 that come first by their number, then by hash.
+    """doc_id, n, place, token: of each set of n shingles those n - ceil(threshold * n) + 1 that come first by their number, then by hash.
 
     Numbers are counted in SLOTS slots, whose table goes to the tasks; slots that
     several shingles share make the order less apt, never the result wrong.
@@ -313,25 +314,37 @@ def _rare_prefixes(full: DataFrame) -> DataFrame:
             hashes = batch.column(1).flatten().to_numpy().view(np.uint64)
             of = np.repeat(np.arange(len(size)), size)
             order = np.lexsort((hashes, often[(hashes % np.uint64(SLOTS)).astype(np.int64)], of))
-            least = -(-NUMERATOR * size // DENOMINATOR)
-            first = np.arange(len(hashes)) - np.repeat(tb.bounds_of(size)[:-1], size) <= (size - least)[of]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of[first])), pa.array(signed(hashes[order][first]))], names=["doc_id", "token"])
+            place = np.arange(len(hashes)) - np.repeat(tb.bounds_of(size)[:-1], size)
+            first = place <= (size - -(-NUMERATOR * size // DENOMINATOR))[of]
+            columns = [batch.column(0).take(pa.array(of[first])), pa.array(size[of][first]), pa.array(place[first]), pa.array(signed(hashes[order][first]))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "place", "token"])
 
-    return full.mapInArrow(run, "doc_id long, token long")
+    return full.mapInArrow(run, "doc_id long, n long, place long, token long")
 
 
 def _by_prefixes(contested: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
-    """Links (a, b) between members of different components, those that are outside in a bucket against all; candidates share a shingle of their prefixes."""
+    """Links (a, b) between members of different components, those that are outside in a bucket against all.
+
+    A linked pair has at least t / (1 + t) of the sum of its sizes in common (t
+    the threshold), and all of that from its first common shingle on.  Of the
+    smaller set that shingle is therefore within n - 2 t / (1 + t) n.  Two
+    members that are both in their largest components meet in neither join.
+    """
     members = contested.groupBy("rep", "f", "part").agg(F.max(F.col("part") != F.col("top")).alias("outside"))
     members = common.written(members, "prefix-members")
     full = needed_sets(members.select(F.col("rep").alias("a"), F.col("rep").alias("b")), docs, shingle)
-    tokens = common.written(_rare_prefixes(full).join(members, F.col("doc_id") == F.col("rep")).select("token", "rep", "f", "part", "outside"), "prefixes")
+    found = _rare_prefixes(full).join(members, (F.col("doc_id") == F.col("rep")) & (F.col("n") == F.col("f.n")))
+    tokens = common.written(found.select("token", "rep", "f", "part", "outside", (F.col("n") - F.col("place")).alias("left")), "prefixes")
     mixed = tokens.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("token")
-    left = tokens.where("outside").join(mixed, "token", "left_semi").select("token", F.col("rep").alias("a"), F.col("part").alias("part_a"), F.col("f").alias("fa"))
-    right = tokens.select(F.col("token").alias("of"), F.col("rep").alias("b"), F.col("part").alias("part_b"), F.col("f").alias("fb"), F.col("outside").alias("both"))
-    apart = (F.col("token") == F.col("of")) & (F.col("part_a") != F.col("part_b")) & (~F.col("both") | (F.col("a") < F.col("b")))
-    pairs = common.written(left.join(right, apart & _possible("fa", "fb")).select("a", "b").distinct(), "pairs")
-    common.dropped(tokens, members)
+    tokens_mixed = common.written(tokens.join(mixed, "token", "left_semi"), "mixed")
+    n, m, total = F.col("fa.n"), F.col("fb.n"), NUMERATOR + DENOMINATOR
+    smaller = tokens_mixed.where(total * F.col("left") >= 2 * NUMERATOR * F.col("f.n")).select("token", F.col("rep").alias("a"), F.col("part").alias("part_a"), F.col("f").alias("fa"), F.col("left").alias("left_a"), "outside")
+    larger = tokens_mixed.select(F.col("token").alias("of"), F.col("rep").alias("b"), F.col("part").alias("part_b"), F.col("f").alias("fb"), F.col("left").alias("left_b"), F.col("outside").alias("_outside"))
+    apart = (F.col("token") == F.col("of")) & (F.col("part_a") != F.col("part_b")) & (n <= m)
+    apart = apart & (total * F.least("left_a", "left_b") >= NUMERATOR * (n + m)) & _possible("fa", "fb")
+    met = smaller.where("outside").join(larger, apart).select("a", "b").union(smaller.where("not outside").join(larger.where("_outside"), apart).select("a", "b"))
+    pairs = common.written(met.distinct(), "pairs")
+    common.dropped(tokens, tokens_mixed, members)
     return _confirmed_on(full, pairs)
 
 

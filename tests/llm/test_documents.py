@@ -253,11 +253,13 @@ def test_linked_sets_share_a_rare_shingle(spark):
     rows = spark.createDataFrame([(k, sorted(v)) for k, v in sets.items()], "doc_id long, shingles array<long>")
     first = {}
     for r in near_dedup._rare_prefixes(rows).collect():
-        first.setdefault(r.doc_id, set()).add(r.token)
+        assert r.n == len(sets[r.doc_id])
+        first.setdefault(r.doc_id, {})[r.token] = r.n - r.place
     for a, x in sets.items():
-        assert first[a] <= x and len(first[a]) == len(x) - -(-85 * len(x) // 100) + 1
+        assert set(first[a]) <= x and sorted(first[a].values(), reverse=True) == [len(x) - i for i in range(len(x) - -(-85 * len(x) // 100) + 1)]
         for b, y in sets.items():
-            assert 100 * len(x & y) < 85 * len(x | y) or first[a] & first[b]
+            if len(x) <= len(y) and 100 * len(x & y) >= 85 * len(x | y):
+                assert any(185 * first[a][s] >= 170 * len(x) and 185 * min(first[a][s], first[b][s]) >= 85 * (len(x) + len(y)) for s in first[a].keys() & first[b].keys())
 
 
 def test_components_of_a_chain(spark):
