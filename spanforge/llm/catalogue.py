@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanforge.llm import bpe, fingerprints, language_id, license_scan, near_dedup, packing, quality, sharding, token_files, transcripts
+from spanforge.llm import bpe, fill_middle, fingerprints, language_id, license_scan, near_dedup, packing, quality, sharding, token_files, transcripts
 
 QUERIES = {
     "op1_byte_network": language_id.query,
@@ -15,9 +15,11 @@ QUERIES = {
     "op8_token_files": token_files.query,
     "op9_stratified_shards": sharding.query,
     "op10_best_fit": packing.query,
+    "op12_fill_middle": fill_middle.query,
 }
 
 ORACLES = {
     "op6_host_rules": quality.ORACLE_SQL,
     "op9_stratified_shards": sharding.ORACLE_SQL,
+    "op12_fill_middle": fill_middle.ORACLE_SQL,
 }
