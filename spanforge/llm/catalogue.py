@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanforge.llm import bpe, fill_middle, fingerprints, language_id, license_scan, near_dedup, packing, quality, sharding, token_files, transcripts
+from spanforge.llm import bpe, change_points, fill_middle, fingerprints, language_id, license_scan, near_dedup, packing, quality, sharding, token_files, transcripts
 
 QUERIES = {
     "op1_byte_network": language_id.query,
@@ -16,10 +16,12 @@ QUERIES = {
     "op9_stratified_shards": sharding.query,
     "op10_best_fit": packing.query,
     "op12_fill_middle": fill_middle.query,
+    "op13_change_points": change_points.query,
 }
 
 ORACLES = {
     "op6_host_rules": quality.ORACLE_SQL,
     "op9_stratified_shards": sharding.ORACLE_SQL,
     "op12_fill_middle": fill_middle.ORACLE_SQL,
+    "op13_change_points": change_points.ORACLE_SQL,
 }
