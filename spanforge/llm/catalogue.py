@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanforge.llm import bpe, change_points, fill_middle, fingerprints, language_id, license_scan, near_dedup, packing, quality, sharding, token_files, transcripts
+from spanforge.llm import bpe, change_points, fill_middle, fingerprints, language_id, license_scan, near_dedup, packing, quality, sharding, token_files, transcripts, vector_packing
 
 QUERIES = {
     "op1_byte_network": language_id.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_token_files": token_files.query,
     "op9_stratified_shards": sharding.query,
     "op10_best_fit": packing.query,
+    "op11_vector_packing": vector_packing.query,
     "op12_fill_middle": fill_middle.query,
     "op13_change_points": change_points.query,
 }
