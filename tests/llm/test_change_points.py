@@ -66,6 +66,34 @@ def test_segments_equal_all_cuts(spark):
     assert series(spark, values) == [brute(v) for v in values]
 
 
+def weighed(values, least=5, penalty=10_000):
+    """The same by dynamic programming, for long series: (cost, segments, starts from the last) of every first part."""
+    n = len(values)
+    best = [(-penalty, 0, ())] + [None] * n
+    for j in range(least, n + 1):
+        found = [(best[i][0] + cost(values[i:j])[2] + penalty, best[i][1] + 1, (i, *best[i][2])) for i in range(j - least + 1) if best[i]]
+        best[j] = min(found)
+    total, number, starts = best[n]
+    bounds = [*starts[::-1], n]
+    return [(k + 1, a, b - a, *cost(values[a:b]), number, total) for k, (a, b) in enumerate(pairwise(bounds))]
+
+
+def test_long_series(spark):
+    """Here most places are passed over."""
+    rng = random.Random(5)
+    values = []
+    for _ in range(12):
+        one = []
+        for _ in range(rng.choice([1, 2, 5, 9])):
+            level, noise = rng.choice([0, 20, 300, 5000]), rng.choice([0, 1, 30, 400])
+            one += [max(0, level + round(rng.gauss(0, noise))) for _ in range(rng.randint(3, 60))]
+        values.append(one)
+    values += [[0] * 90, [1, 2] * 50, [0] * 40 + [1] + [0] * 60, [rng.choice([0, 0, 0, 7]) for _ in range(160)]]
+    assert series(spark, values) == [weighed(v) for v in values]
+    assert series(spark, values[:6], least_days=3, penalty=900) == [weighed(v, 3, 900) for v in values[:6]]
+    assert series(spark, values[:6], least_days=8, penalty=20_000) == [weighed(v, 8, 20_000) for v in values[:6]]
+
+
 def test_ties_and_other_parameters(spark):
     values = [[3] * 20, [1, 1, 1, 5, 5, 5, 1, 1, 1], *drawn()[:20]]
     short = [v[:14] for v in values]
