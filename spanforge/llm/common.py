@@ -18,7 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the session.
 
-    Only where that is unset, and all tasks run on this machine, is one made.
+    Only where that is unset, and all tasks run on this machine, is one made; on a
+    cluster there is no other folder that all executors are sure to see.
     """
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
@@ -55,6 +56,19 @@ def dropped(*tables: DataFrame) -> None:
             jvm_path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(jvm_path, True)
 
 
+def free_prefix(*tables: DataFrame) -> str:
+    """Underscores with which no column of the tables begins."""
+    prefix, taken = "_", [c for df in tables for c in df.columns]
+    while any(c.startswith(prefix) for c in taken):
+        prefix += "_"
+    return prefix
+
+
+def quoted(name: str) -> str:
+    """A column's name for F.col(), whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 

@@ -246,6 +246,7 @@ def predicted(model: Model, texts: list[str | None], block: int = 2048) -> tuple
     if not raws:
         return best, score, share
     windows, number = windows_of(raws)
+    block = max(1, min(block, block * 8 // len(model.labels)))  # logits of a block stay as small with many labels
     sums, votes = np.zeros((windows.shape[1], len(model.labels))), np.zeros((windows.shape[1], len(model.labels)))
     size = np.full(windows.shape[1], WINDOW)
     size[np.cumsum(number) - 1] = [(len(r) - 1) % WINDOW + 1 for r in raws]

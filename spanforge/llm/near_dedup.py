@@ -178,8 +178,8 @@ def _possible(a: str, b: str):
     return (DENOMINATOR * F.least(n, m) >= NUMERATOR * F.greatest(n, m)) & (_estimate(a, b) >= NUMERATOR / DENOMINATOR - SLACK)
 
 
-def flagged(rows: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
-    """rows with _flag: false only where the column is surely none of ids (id, not null).
+def flagged(rows: DataFrame, ids: DataFrame, flag: str, column: str = "doc_id") -> DataFrame:
+    """rows with a flag: false only where the column is surely none of ids (id, not null).
 
     A bitmap of id hashes is broadcast, its size bounded by FLAG_BITS whatever
     the number of ids; a fuller bitmap lets more rows pass and loses none.  It
@@ -188,13 +188,15 @@ def flagged(rows: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFram
     bits, wanted = FLAG_BITS, 32 * max(1, ids.count())
     while bits > _BLOCK and bits >= wanted:
         bits //= 2
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
-    blocks = ids.select(place("id").alias("p")).groupBy(F.floor(F.col("p") / _BLOCK).alias("_block")).agg(F.bitmap_construct_agg(F.col("p") % _BLOCK).alias("_bitmap"))
-    marked = rows.withColumn("_p", place(column)).join(F.broadcast(blocks), F.floor(F.col("_p") / _BLOCK) == F.col("_block"), "left")
-    at = F.col("_p") % _BLOCK
-    byte = F.conv(F.hex(F.substring("_bitmap", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    bit = F.expr("shiftright(_byte, cast(_p % 8 as int)) & 1") == 1
-    return marked.withColumn("_byte", byte).withColumn("_flag", F.coalesce(bit, F.lit(False)) & F.col(column).isNotNull()).drop("_p", "_block", "_bitmap", "_byte")
+    prefix = common.free_prefix(rows)
+    place, block, bitmap, byte = (prefix + c for c in ("place", "block", "bitmap", "byte"))
+    placed = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    blocks = ids.select(placed("id").alias("p")).groupBy(F.floor(F.col("p") / _BLOCK).alias(block)).agg(F.bitmap_construct_agg(F.col("p") % _BLOCK).alias(bitmap))
+    marked = rows.withColumn(place, placed(column)).join(F.broadcast(blocks), F.floor(F.col(place) / _BLOCK) == F.col(block), "left")
+    at = F.col(place) % _BLOCK
+    held = F.conv(F.hex(F.substring(bitmap, (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.expr(f"shiftright({byte}, cast({place} % 8 as int)) & 1") == 1
+    return marked.withColumn(byte, held).withColumn(flag, F.coalesce(bit, F.lit(False)) & F.col(column).isNotNull()).drop(place, block, bitmap, byte)
 
 
 def joined_to_hubs(pairs: DataFrame, rows: DataFrame, hub: str, member: str) -> DataFrame:
@@ -211,8 +213,8 @@ def joined_to_hubs(pairs: DataFrame, rows: DataFrame, hub: str, member: str) ->
 def needed_sets(pairs: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
     """Full sets (doc_id, shingles) of the documents in pairs (a, b), and of the few more that their bitmap lets pass."""
     ids = common.written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "needed")
-    rows = flagged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids)
-    out = common.written(shingle_sets(rows.where("_flag"), shingle), "sets")
+    rows = flagged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids, "asked")
+    out = common.written(shingle_sets(rows.where("asked"), shingle), "sets")
     common.dropped(ids)
     return out
 
@@ -420,18 +422,24 @@ def linked(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 def deduplicated(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """The rows of docs, all columns as they are, one for each component: that of the smallest doc_id.
 
-    Rows without a doc_id stay.  Of rows that repeat a doc_id the least one, in
-    the order of their values, stays.
+    Rows without a doc_id stay.  Of rows that repeat a doc_id that of the least
+    text stays, of equal ones that of the least hash of all columns.  Columns may
+    have any names and types.
     """
     verdicts = linked(docs.select("doc_id", "text"), shingle)
-    gone = common.written(verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    again = common.written(docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1").select("_again"), "repeated")
+    prefix = common.free_prefix(docs)
+    id_, n, flag, row = (prefix + c for c in ("id", "n", "flag", "row"))
+    columns = [F.col(common.quoted(c)) for c in docs.columns]
+    gone = common.written(verdicts.where(~F.col("kept")).select(F.col("doc_id").alias(id_)).distinct(), "gone")
+    again = common.written(docs.where("doc_id is not null").groupBy(F.col("doc_id").alias(id_)).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > 1).select(id_), "repeated")
     if not again.isEmpty():
-        twice = docs.join(again, F.col("doc_id") == F.col("_again"), "left_semi").groupBy("doc_id").agg(F.min(F.struct(*(F.col(c) for c in docs.columns))).alias("_row"))
-        docs = docs.join(again, F.col("doc_id") == F.col("_again"), "left_anti").unionByName(twice.select("_row.*"))
-    marked = flagged(docs, gone.select(F.col("_gone").alias("id")))
-    asked = marked.where("_flag").drop("_flag").join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    return marked.where("not _flag").drop("_flag").unionByName(asked).select(*docs.columns)
+        same = F.col("doc_id") == F.col(id_)
+        order = F.struct("text", F.xxhash64(*(c.cast("string") for c in columns)))
+        least = docs.join(again, same, "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*columns), order).alias(row))
+        docs = docs.join(again, same, "left_anti").unionByName(least.select(f"{row}.*"))
+    marked = flagged(docs, gone.select(F.col(id_).alias("id")), flag)
+    asked = marked.where(F.col(flag)).drop(flag).join(gone, F.col("doc_id") == F.col(id_), "left_anti")
+    return marked.where(~F.col(flag)).drop(flag).unionByName(asked).select(*columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,8 +23,10 @@ each with the scores it begins with and the state it has to end in.
 
 Defined cases: a null text is empty, a null role is the role `unknown`; rows with
 a null conv_id are one transcript; a null turn comes before all others; rows that
-repeat a turn are lines of it, and lines with equal places are ordered by their
-text; of paths with equal scores the one with the lower states is taken; an
+are equal in conversation, turn, role and text are one; other rows of one turn
+are lines of it, and lines with equal places are ordered by their text; roles
+beyond the ROLES most frequent ones are `unknown`, so the tables of a model are
+bounded; of paths with equal scores the one with the lower states is taken; an
 empty table gives no rows; extra columns are not read.
 """
 
@@ -47,6 +49,8 @@ FIRST, FURTHER, GAP = range(3)
 #: Lines in a block of a transcript, about.
 BLOCK = 4096
 SMOOTHING = 0.1
+#: Roles that a model tells apart.
+ROLES = 64
 #: Turns whose pieces are summed up together.
 TURNS = 1024
 WORDS = 512
@@ -114,6 +118,9 @@ def fitted(lines: DataFrame) -> Model:
     """
     symbols = F.pandas_udf(lambda s: s.map(symbol), "string")
     role, turn = F.coalesce(F.col("role"), F.lit("unknown")), F.coalesce(F.col("turn"), F.lit(-1)).cast("long")
+    often = [r["role"] for r in lines.groupBy(role.alias("role")).count().orderBy(F.desc("count"), "role").limit(ROLES + 1).collect()]
+    if len(often) > ROLES:
+        role = F.when(role.isin(often[: ROLES - 1]), role).otherwise("unknown")
     rows = lines.select("conv_id", turn.alias("turn"), "line_no", role.alias("role"), symbols("line").alias("symbol"), "part")
     seen = rows.groupBy("role", "part", "symbol").count().collect()
     of_part = [F.count(F.when(F.col("part") == part, 1)).alias(name) for part, name in ((FURTHER, "further"), (GAP, "gap"))]
@@ -312,8 +319,8 @@ def rendered(states: DataFrame, model: Model) -> DataFrame:
 def raw_lines(turns: DataFrame, unmarked: int = UNMARKED) -> DataFrame:
     """Lines of raw transcripts of turns (conv_id, turn, role, text), labelled: conv_id, turn, line_no, part, line, role.
 
-    Turns are parted by blank lines and marked in one of four styles by
-    conversation; one in `unmarked` turns, by a hash of its place, has lost its
+    Rows that repeat are taken once.  Turns are parted by blank lines and marked
+    in one of four styles by conversation; one in `unmarked` turns, by a hash of its place, has lost its
     marker (0: none).
     """
     role = F.coalesce(F.col("role"), F.lit("unknown"))
@@ -330,7 +337,7 @@ def raw_lines(turns: DataFrame, unmarked: int = UNMARKED) -> DataFrame:
     )
     lines = F.transform(F.split(whole, "\n", -1), lambda line, i: F.struct(F.when(i == 0, FIRST).otherwise(FURTHER).alias("part"), line.alias("line")))
     gap = F.array(F.struct(F.lit(GAP).alias("part"), F.lit("").alias("line")))
-    return turns.select("conv_id", "turn", role.alias("role"), F.posexplode(F.concat(lines, gap)).alias("line_no", "_line")).select("conv_id", "turn", "line_no", "_line.part", "_line.line", "role")
+    return turns.select("conv_id", "turn", "role", "text").distinct().select("conv_id", "turn", role.alias("role"), F.posexplode(F.concat(lines, gap)).alias("line_no", "_line")).select("conv_id", "turn", "line_no", "_line.part", "_line.line", "role")
 
 
 def held_out() -> Column:

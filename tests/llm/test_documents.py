@@ -291,10 +291,20 @@ def test_dedup_awkward(spark):
     assert near_dedup.linked(empty(spark)).count() == 0 and near_dedup.deduplicated(empty(spark)).count() == 0
 
 
+def test_columns_of_any_name_and_type_are_carried(spark):
+    schema = "doc_id long, text string, _p int, _flag boolean, _gone long, _byte int, _again long, `__odd.name` string, m map<string, int>, _bitmap binary"
+    rows = [(i, prose(random.Random(i % 3), 60), 1, True, 5, 2, i, "x", {"a": i}, b"z") for i in range(6)]
+    rows += [(4, "twice the id", 1, None, 5, 2, 4, "y", {"b": 1}, b"z"), rows[5], (None, "no id", 1, False, None, 0, 0, None, None, None)]
+    docs = spark.createDataFrame(rows, schema)
+    kept = near_dedup.deduplicated(docs)
+    assert kept.schema == docs.schema
+    assert sorted((r.doc_id is None, r.doc_id or 0, r["__odd.name"]) for r in kept.collect()) == [(False, 0, "x"), (False, 1, "x"), (False, 2, "x"), (True, 0, None)]
+
+
 def test_flags_lose_no_id(spark):
     rows = spark.range(3000).withColumnRenamed("id", "doc_id")
     ids = spark.range(0, 3000, 17)
-    got = near_dedup.flagged(rows, ids).where("_flag").select("doc_id").collect()
+    got = near_dedup.flagged(rows, ids, "asked").where("asked").select("doc_id").collect()
     assert {r.doc_id for r in got} >= set(range(0, 3000, 17)) and len(got) < 600
 
 

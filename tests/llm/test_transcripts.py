@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from spanforge.llm import catalogue, common, transcripts
-from tests.llm.data import prose
+from tests.llm.data import plain_rows, prose
 from tests.oracle import compare
 
 
@@ -83,12 +83,25 @@ def test_one_very_long_turn_is_dealt_in_blocks(spark):
     assert got == [(0, "system", "<|system|>\nbefore all\n<|end|>"), (1, "user", f"<|user|>\n{rows[-3][3]}\n<|end|>"), (2, "assistant", "<|assistant|>\nand so on\n<|end|>")]
 
 
-def test_repeated_turns_are_lines_of_one(spark):
-    rows = [*talk(8), (60, 0, "user", "same"), (60, 0, "user", "same"), (60, 1, "assistant", "reply")]
-    lines = transcripts.raw_lines(conversation(spark, rows), unmarked=0)
-    model = transcripts.fitted(lines)
-    got = transcripts.rendered(transcripts.parsed(lines.drop("role"), model), model).where("conv_id = 60").collect()
-    assert "".join(r.rendered for r in got).count("same") == 2 and "reply" in "".join(r.rendered for r in got)
+def test_a_table_taken_twice_gives_the_same_turns(spark):
+    rows = [*talk(12), (60, 0, "user", "same"), (60, 0, "user", "same"), (60, 1, "assistant", "reply"), (None, 0, "user", "no id"), (None, 1, "assistant", "here")]
+    once = transcripts.raw_lines(conversation(spark, rows))
+    model = transcripts.fitted(once)
+    twice = transcripts.raw_lines(conversation(spark, rows + rows))
+    same = transcripts.fitted(twice)
+    assert same.roles == model.roles and np.allclose(same.step, model.step)
+    got = [plain_rows(transcripts.rendered(transcripts.parsed(x.drop("role"), model), model)) for x in (once, twice)]
+    assert got[0] == got[1] and all(r[3].split("\n")[1] for r in got[0])
+    marked = transcripts.raw_lines(conversation(spark, rows + rows), unmarked=0)
+    turns = transcripts.rendered(transcripts.parsed(marked.drop("role"), model), model).where("conv_id = 60").orderBy("turn").collect()
+    assert [(r.turn, r.role, r.rendered.split("\n")[1]) for r in turns] == [(0, "user", "same"), (1, "assistant", "reply")]
+
+
+def test_many_roles_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(transcripts, "ROLES", 3)
+    rows = [(i, t, "user" if t % 2 == 0 else "assistant", f"line {t}") for i in range(5) for t in range(4)] + [(9, t, f"guest{t}", "hello") for t in range(6)]
+    model = transcripts.fitted(transcripts.raw_lines(conversation(spark, rows)))
+    assert model.roles == ["assistant", "unknown", "user"] and model.step.shape == (9, 9)
 
 
 def test_viterbi_equals_all_paths():
