@@ -63,5 +63,4 @@ LEAST_JACCARD = 0.60
 GRAM = 3
 GRAM_LETTERS = "0123456789abcdefghijklmnopqrstuvwxyz"
 GRAM_CODES = len(GRAM_LETTERS) ** GRAM
-MOST_LINES = 2000
 LEAST_GRAM_LETTERS = 20

@@ -10,39 +10,50 @@ from pyspark.sql import functions as F
 from spanforge.functions.text import strip
 
 
-#: Lines whose offsets are summed up together.
+#: Values that are folded together.
 CHUNK = 256
 
 
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value), with value computed once however often and wherever use has it."""
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _sums(lengths: Column, first: Column) -> Column:
-    """first, and first with each of lengths but the last added in turn."""
-    return F.slice(F.aggregate(lengths, F.array(first), lambda sums, n: F.array_append(sums, F.element_at(sums, -1) + n)), 1, F.size(lengths))
+def before(values: Column, zero: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """For each of values the fold of zero and all values before it, in the order of the array.
 
+    Folds are taken in chunks and over chunks, so that work is not quadratic in a
+    long array.
+    """
 
-def starts_of(lengths: Column) -> Column:
-    """The sum of the lengths before each, taken in chunks and over chunks."""
-    zero = F.lit(0).cast("bigint")
-    total = lambda chunk: F.aggregate(chunk, zero, lambda s, n: s + n)
+    def folds(some: Column, first: Column) -> Column:
+        return F.slice(F.aggregate(some, F.array(first), lambda all_, x: F.array_append(all_, add(F.element_at(all_, -1), x))), 1, F.size(some))
+
+    total = lambda chunk: F.aggregate(chunk, zero, add)
     chunked = lambda all_: F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / CHUNK).cast("int")), lambda c: F.slice(all_, c * CHUNK + 1, F.lit(CHUNK)))
-    summed = lambda chunks: F.flatten(F.zip_with(chunks, _sums(F.transform(chunks, total), zero), _sums))
-    return _bound(lengths, lambda all_: _bound(chunked(all_), summed))
+    folded = lambda chunks: F.flatten(F.zip_with(chunks, folds(F.transform(chunks, total), zero), folds))
+    return bound(values, lambda all_: bound(chunked(all_), folded))
+
+
+def starts_of(lengths: Column) -> Column:
+    """The sum of the lengths before each."""
+    return before(lengths, F.lit(0).cast("bigint"), lambda s, n: s + n)
+
+
+def line_array(text: Column) -> Column:
+    """The lines of a text in order: line and start, in code points; the line break is outside."""
+    return bound(F.split(text, "\n", -1), lambda all_: F.arrays_zip(all_.alias("line"), starts_of(F.transform(all_, lambda x: F.length(x).cast("bigint") + 1)).alias("start")))
 
 
 def lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, line_no, line, start, end (half-open, in code points; the line break is outside).
 
-    Offsets are summed up within the row, in chunks and over chunks, so no text
-    is shuffled.  Rows that repeat a key are lines of texts of their own, each
-    with offsets from 0.
+    Offsets are summed up within the row, so no text is shuffled.  Rows that
+    repeat a key are lines of texts of their own, each with offsets from 0.
     """
     split = docs.where(F.col(text).isNotNull()).select(F.col(key), F.split(F.col(text), "\n", -1).alias("_lines"))
     starts = starts_of(F.transform("_lines", lambda x: F.length(x).cast("bigint") + 1))
-    out = split.select(key, F.posexplode(F.arrays_zip(F.col("_lines").alias("line"), starts.alias("start"))).alias("line_no", "_l"))
+    out = split.select(key, F.posexplode_outer(F.arrays_zip(F.col("_lines").alias("line"), starts.alias("start"))).alias("line_no", "_l"))
     return out.select(key, "line_no", F.col("_l.line").alias("line"), F.col("_l.start").alias("start"), (F.col("_l.start") + F.length("_l.line")).alias("end"))
 
 

@@ -5,9 +5,8 @@ Spans are rows (key, seq, label, text, start, end); texts are rows (key, text).
 
 from __future__ import annotations
 
-from itertools import islice
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,7 +14,9 @@ from pyspark.sql import functions as F
 from spanforge.functions import predicates as P
 from spanforge.functions import text as T
 from spanforge.functions import vocabulary as V
-from spanforge.operators.relations import ORGS
+from spanforge.operators.relations import ORGS, paragraphs_by_star
+from spanforge.operators.similarity import contained_pairs, similar_pairs
+from spanforge.sources.staging import dropped, staged
 
 #: The made-up organisation of a table of contents without any.
 NO_ORG_ID, NO_ORG = -1, "(Sem organização)"
@@ -48,6 +49,23 @@ def slices(anchors: DataFrame, ends: DataFrame, key: str = "doc_id", within: lis
     return anchors.withColumn("after", F.lead("start").over(w)).join(ends, key).withColumn("stop", F.coalesce("after", "n_chars")).drop("after", "n_chars")
 
 
+def within(points: DataFrame, ranges: DataFrame, key: str, at: str = "start", kept: list[str] | None = None) -> DataFrame:
+    """points (key, at, ...) with the range that holds them: the columns kept of ranges (key, start, stop, ...), null outside.
+
+    Ranges of a key do not overlap, so this is one ordered stream of both, in
+    which the last range that began is looked at: no join, and no pairs.
+    """
+    own = [c for c in points.columns if c != key]
+    kept = kept or ["start", "stop"]
+    opened = ranges.select(F.col(key).alias("_k"), F.col("start").cast("long").alias("_at"), F.lit(0).alias("_o"), F.lit(None).cast(points.select(F.struct(*own)).schema[0].dataType).alias("_row"), F.col("stop").alias("_stop"), F.struct(*kept).alias("_range"))
+    rows = points.select(F.col(key).alias("_k"), F.col(at).cast("long").alias("_at"), F.lit(1).alias("_o"), F.struct(*own).alias("_row"), F.lit(None).cast(ranges.schema["stop"].dataType).alias("_stop"), F.lit(None).cast(ranges.select(F.struct(*kept)).schema[0].dataType).alias("_range"))
+    w = W.partitionBy("_k").orderBy("_at", "_o").rowsBetween(W.unboundedPreceding, 0)
+    last = F.last(F.when(F.col("_o") == 0, F.struct("_stop", "_range")), ignorenulls=True).over(w)
+    stream = opened.unionByName(rows).withColumn("_last", last).where("_o = 1")
+    inside = F.when(F.col("_at") < F.col("_last._stop"), F.col("_last._range"))
+    return stream.select(F.col("_k").alias(key), "_row.*", *(inside[c].alias(f"_{c}") for c in kept))
+
+
 def coalesced_anchors(spans: DataFrame, texts: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataFrame:
     """Headings, up to MAX_MERGE neighbours as one, whose key is wanted: key, start, end, org_key, label, width, text.
 
@@ -102,11 +120,13 @@ def ordered_match(headers: Column, wanted: Column) -> Column:
 def doc_slices(blocks: DataFrame, spans: DataFrame, key: str = "doc_id") -> DataFrame:
     """blocks (key, block, start, stop, docs: texts wanted) with status and slices (doc_name, start, stop).
 
-    No title and one text wanted: the whole block.  Titles are matched in order;
+    Blocks of a key are the same or apart.  No title and one text wanted: the
+    whole block.  Titles are matched in order;
     where none matches, all are sliced.  Status: ok, partial or doc_missing.
     """
-    heads = spans.where(F.col("label") == V.TITLE).select(F.col(key).alias("_k"), F.col("start").alias("_at"), F.col("text").alias("_title"))
-    inside = blocks.join(heads, (F.col(key) == F.col("_k")) & (F.col("_at") >= F.col("start")) & (F.col("_at") < F.col("stop")), "left")
+    heads = spans.where(F.col("label") == V.TITLE).select(key, F.col("start").alias("_at"), F.col("text").alias("_title"))
+    placed = within(heads, blocks.select(key, "start", "stop").distinct(), key, "_at").where("_start is not null").select(F.col(key).alias("_k"), "_at", "_title", "_start")
+    inside = blocks.join(placed, (F.col(key) == F.col("_k")) & (F.col("start") == F.col("_start")), "left")
     rows = inside.groupBy(key, "block", "start", "stop", "docs").agg(F.array_sort(F.collect_list(F.when(F.col("_at").isNotNull(), F.struct(F.col("_at").alias("at"), F.col("_title").alias("title"))))).alias("heads"))
     titles = F.transform("heads", lambda h: T.plain_text(h["title"]))
     rows = rows.withColumn("hits", ordered_match(titles, F.transform("docs", lambda d: T.plain_text(d))))
@@ -139,7 +159,7 @@ def segment_flat(spans: DataFrame, texts: DataFrame, items: DataFrame, key: str
     matched = items.withColumn("org_key", T.org_key("org_text")).join(first, [key, "org_key"], "left").select(key, F.col("item").alias("block"), "org_text", "docs", F.col("b.start").alias("start"), F.col("b.stop").alias("stop"))
     cut = doc_slices(matched.where("start is not null").drop("org_text"), spans, key).select(key, "block", "slices", "missed", "status")
     out = matched.join(cut, [key, "block"], "left")
-    return out.select(key, F.col("block").alias("item"), "org_text", F.coalesce("status", F.lit("org_missing")).alias("status"), "start", "stop", F.size("docs").alias("n_docs"), "slices", F.coalesce(F.size("slices"), F.lit(0)).alias("n_slices"))
+    return out.select(key, F.col("block").alias("item"), "org_text", F.coalesce("status", F.lit("org_missing")).alias("status"), "start", "stop", F.size("docs").alias("n_docs"), F.coalesce("missed", F.size("docs")).alias("n_missed"), "slices", F.coalesce(F.size("slices"), F.lit(0)).alias("n_slices"))
 
 
 def segment_nested(spans: DataFrame, texts: DataFrame, items: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -153,7 +173,9 @@ def segment_nested(spans: DataFrame, texts: DataFrame, items: DataFrame, key: st
     org_missing without a place.
     """
     tops = segment_tops(spans, texts, items, key).withColumn("_id", F.concat_ws("/", F.col(key).cast("string"), F.col("item").cast("string")))
-    heads = spans.where(F.col("label").isin(ORGS)).join(tops, key).where("start >= top_start and start < top_stop").select("_id", "label", "text", "start", "end")
+    ranges = tops.select(key, F.col("top_start").alias("start"), F.col("top_stop").alias("stop")).distinct()
+    placed = within(spans.where(F.col("label").isin(ORGS)).select(key, "label", "text", "start", "end"), ranges, key).where("_start is not null")
+    heads = placed.join(tops, (placed[key] == tops[key]) & (F.col("_start") == F.col("top_start"))).select("_id", "label", "text", "start", "end")
     subs = items.select(key, "item", "sub", "sub_text", "docs", T.org_key("sub_text").alias("org_key")).join(tops, [key, "item"], "left")
     anchors = coalesced_anchors(heads, tops.join(texts.select(key, "text"), key).select("_id", "text"), subs.where("_id is not null").select("_id", "org_key").distinct(), "_id")
     places = slices(anchors, tops.select("_id", F.col("top_stop").alias("n_chars")), "_id")
@@ -164,7 +186,7 @@ def segment_nested(spans: DataFrame, texts: DataFrame, items: DataFrame, key: st
     n_docs, n_slices = F.size("docs"), F.size("slices")
     status = F.when(n_slices == 0, "org_missing").when(n_slices == n_docs, "ok").otherwise("partial")
     named = rows.withColumn("slices", cut).withColumn("status", status)
-    return named.select(key, "item", "sub", "sub_text", "status", F.try_element_at("slices", F.lit(1))["start"].alias("start"), F.try_element_at("slices", F.lit(-1))["stop"].alias("stop"), n_docs.alias("n_docs"), n_slices.alias("n_slices"), "slices", F.col("_id").isNotNull().alias("top_found"))
+    return named.select(key, "item", "sub", "sub_text", "docs", "status", F.try_element_at("slices", F.lit(1))["start"].alias("start"), F.try_element_at("slices", F.lit(-1))["stop"].alias("stop"), n_docs.alias("n_docs"), F.greatest(n_docs - n_slices, F.lit(0)).alias("n_missed"), n_slices.alias("n_slices"), "slices", F.col("_id").isNotNull().alias("top_found"))
 
 
 def segment_tops(spans: DataFrame, texts: DataFrame, items: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -176,16 +198,63 @@ def segment_tops(spans: DataFrame, texts: DataFrame, items: DataFrame, key: str
 
 
 def summary(segments: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Counters of each document over its segments, flat or nested; documents of a sub-organisation whose top organisation is missing are not expected."""
-    expected = F.when(F.col("top_found"), F.col("n_docs")).otherwise(0) if "top_found" in segments.columns else F.col("n_docs")
+    """Counters of each document over its segments, flat or nested (those have top_found), in two families.
+
+    The plain ones count what is so: documents that the contents name, and those
+    of them that have a slice.  Those with _ref count slices, whatever named
+    them, no documents of a missing top organisation, and of nested segments
+    neither ok nor partial ones.
+    """
+    found = F.col("top_found") if "top_found" in segments.columns else F.lit(None).cast("boolean")
+    status = lambda s, also=None: F.count_if((F.col("status") == s) & (F.lit(True) if also is None else also))
     return segments.groupBy(key).agg(
         F.count(F.lit(1)).alias("orgs_total"),
-        *(F.count_if(F.col("status") == s).alias(n) for s, n in (("ok", "org_ok"), ("partial", "org_partial"), ("doc_missing", "org_doc_missing"), ("org_missing", "org_missing"))),
-        F.sum(expected.cast("long")).alias("docs_expected"),
-        F.sum(F.col("n_slices").cast("long")).alias("docs_matched"),
+        *(status(s).alias(n) for s, n in (("ok", "org_ok"), ("partial", "org_partial"), ("doc_missing", "org_doc_missing"), ("org_missing", "org_missing"))),
+        F.sum(F.col("n_docs").cast("long")).alias("docs_expected"),
+        F.sum((F.col("n_docs") - F.col("n_missed")).cast("long")).alias("docs_matched"),
+        status("ok", found.isNull()).alias("org_ok_ref"),
+        status("partial", found.isNull()).alias("org_partial_ref"),
+        F.sum(F.when(F.coalesce(found, F.lit(True)), F.col("n_docs")).otherwise(0).cast("long")).alias("docs_expected_ref"),
+        F.sum(F.col("n_slices").cast("long")).alias("docs_matched_ref"),
     )
 
 
+def losses_starred(spans: DataFrame, items: DataFrame, nested: DataFrame, key: str = "doc_id") -> DataFrame:
+    """What the rules for starred contents drop, a row each: key, reason, item, sub, name.
+
+    before_org: a title or text of a starred paragraph above its first plain
+    heading, which gets no relation.  beside_starred: a document of a flat item,
+    of contents that have a starred one.  top_missing, org_missing: a document
+    whose top organisation, or own one, is not in the body.  unmatched: a
+    document beyond the places of its organisation.
+
+    spans are those of the contents; items as items_by_star() gives them; nested
+    as segment_nested(), with docs.
+    """
+    first = W.partitionBy(key, "paragraph_id").orderBy("seq")
+    placed = paragraphs_by_star(spans, key).withColumn("_star", F.first("label").over(first) == V.ORG_STAR).withColumn("_orgs", F.sum((F.col("label") == V.ORG).cast("int")).over(first))
+    columns = lambda reason, item, sub, name: [key, F.lit(reason).alias("reason") if isinstance(reason, str) else reason.alias("reason"), item.cast("int").alias("item"), sub.cast("int").alias("sub"), name.alias("name")]
+    none = F.lit(None)
+    above = placed.where(F.col("_star") & (F.col("_orgs") == 0) & F.col("label").isin(V.TITLE, V.BODY, V.PARAGRAPH)).select(*columns("before_org", F.col("paragraph_id"), none, F.col("text")))
+    starred = items.where("top_org is not null").select(key).distinct()
+    flat = items.where("org is not null").join(starred, key, "left_semi").select(key, F.col("paragraph_id"), F.explode("docs.text").alias("_name")).select(*columns("beside_starred", F.col("paragraph_id"), none, F.col("_name")))
+    reason = F.when(~F.col("top_found"), "top_missing").when(F.col("status") == "org_missing", "org_missing").otherwise("unmatched")
+    missed = nested.where("n_missed > 0").select(key, "item", "sub", reason.alias("_reason"), F.explode(F.slice("docs", F.col("n_docs") - F.col("n_missed") + 1, F.col("n_missed"))).alias("_name"))
+    return above.unionByName(flat).unionByName(missed.select(*columns(F.col("_reason"), F.col("item"), F.col("sub"), F.col("_name"))))
+
+
+def losses_titled(items: DataFrame, located: DataFrame, key: str = "doc_id") -> DataFrame:
+    """What the rules for title-driven contents drop, a row each: key, reason, item, name.
+
+    no_org: an item without organisations, which claims its title but is in no
+    result.  unanchored: one whose title is not found.
+    """
+    there = located.select(key, "item").distinct().withColumn("_there", F.lit(True))
+    rows = items.join(there, [key, "item"], "left")
+    reason = F.when(F.size("org_ids") == 0, "no_org").when(~_untitled("title") & F.col("_there").isNull(), "unanchored")
+    return rows.withColumn("reason", reason).where("reason is not null").select(key, "reason", "item", F.col("title").alias("name"))
+
+
 def header_blocks(spans: DataFrame, key: str = "doc_id") -> DataFrame:
     """Islands of titles with nothing between: key, start, end, headers; body_stop is the next island's start."""
     w = W.partitionBy(key).orderBy("seq")
@@ -202,49 +271,75 @@ def title_keys(c: str) -> list[Column]:
     return [exact, T.tighten(exact), T.ascii_letters(T.title_norm(c))]
 
 
+def _kth_with_kth(rows: DataFrame, name: str) -> DataFrame:
+    """rows (_k, _side, _id, keys, _other, confidence) with the k-th free row of side 0 and of side 1 of each value of a key matched to each other.
+
+    One shuffle: both sides lie in one window by document and value, which the
+    window of equal k shares; rows that are matched, or have no value, are windows
+    of their own.
+    """
+    free = F.col("_other").isNull() & F.coalesce(F.col(name) != "", F.lit(False))
+    rows = rows.withColumn("_v", F.when(free, F.concat(F.lit("="), F.col(name))).otherwise(F.concat_ws("#", F.lit(""), "_side", F.col("_id").cast("string"))))
+    w = W.partitionBy("_k", "_v")
+    before = F.when(F.col("_side") == 1, F.count_if(F.col("_side") == 0).over(w)).otherwise(0)
+    rows = rows.withColumn("_n", F.row_number().over(w.orderBy("_side", "_id")) - before)
+    same = W.partitionBy("_k", "_v", "_n")
+    partner = F.when(F.col("_side") == 0, F.max(F.when(F.col("_side") == 1, F.col("_id"))).over(same)).otherwise(F.max(F.when(F.col("_side") == 0, F.col("_id"))).over(same))
+    hit = rows.withColumn("_hit", F.when(F.col("_v").startswith("="), partner))
+    return hit.withColumn("confidence", F.when(F.col("_hit").isNotNull(), V.CONFIDENCE[name]).otherwise(F.col("confidence"))).withColumn("_other", F.coalesce("_other", "_hit")).drop("_v", "_n", "_hit")
+
+
+def best_places(edges: DataFrame, key: str) -> DataFrame:
+    """Of edges (key, a, b, ratio, size) those that a greedy assignment takes: the a of the greatest size first (ties: the least), each its b of the greatest ratio (ties: the least) that is still free.
+
+    As all b prefer the same a, this is what deferred acceptance gives: each a
+    asks its best b; a b drops all edges that it would decline for the best that
+    asks it; until nothing is dropped.  Rounds are as many as declined wishes
+    follow on one another, and every round is a job over all documents at once.
+    """
+    edges = staged(edges, "edges")
+    n = edges.count()
+    while n:
+        asked = F.row_number().over(W.partitionBy(key, "a").orderBy(F.desc("ratio"), "b")) == 1
+        rank = F.struct((-F.col("size")).alias("less"), "a")
+        cut = F.min(F.when(F.col("asked"), rank)).over(W.partitionBy(key, "b"))
+        kept = staged(edges.withColumn("asked", asked).withColumn("cut", cut).where(F.col("cut").isNull() | (rank <= F.col("cut"))), "edges")
+        dropped(edges)
+        left = kept.count()
+        if left == n:
+            return kept.where("asked").drop("asked", "cut")
+        edges, n = kept.drop("asked", "cut"), left
+        edges._spanforge_path = kept._spanforge_path
+    return edges
+
+
 def title_matches(wanted: DataFrame, titles: DataFrame, key: str = "doc_id", contained: bool = True) -> DataFrame:
     """wanted (key, item, title) matched one to one to titles (key, start, title): key, item, start, confidence.
 
     Passes by exact, tight and letters keys match the k-th wanted title of a key
-    to its k-th free place, which is what a first-free scan gives.  What is left
-    may be contained in one another with a ratio of lengths of LEAST_RATIO: the
-    longest wanted title first, each taking its best free place.
+    to its k-th free place, which is what a first-free scan gives: both sides are
+    one table, and a pass is one shuffle of it.  What is left may be contained in
+    one another with a ratio of lengths of LEAST_RATIO: the longest wanted title
+    first, each taking its best free place.
     """
     names = list(V.CONFIDENCE)
-    left = wanted.select(key, "item", "title", *(k.alias(n) for k, n in zip(title_keys("title"), names[:3], strict=True)))
-    free = titles.select(key, "start", *(k.alias(n) for k, n in zip(title_keys("title"), names[:3], strict=True)))
-    found = None
+    keys = [k.alias(n) for k, n in zip(title_keys("title"), names[:3], strict=True)]
+    side = lambda rows, c, n: rows.select(F.col(key).alias("_k"), F.lit(n).alias("_side"), F.col(c).cast("long").alias("_id"), *keys, F.lit(None).cast("long").alias("_other"), F.lit(None).cast("double").alias("confidence"))
+    rows = side(wanted, "item", 0).unionByName(side(titles, "start", 1))
     for name in names[:3]:
-        a = left.where(F.col(name) != "").withColumn("k", F.row_number().over(W.partitionBy(key, name).orderBy("item"))).select(key, name, "k", "item")
-        b = free.where(F.col(name) != "").withColumn("k", F.row_number().over(W.partitionBy(key, name).orderBy("start"))).select(key, name, "k", "start")
-        hit = a.join(b, [key, name, "k"]).select(key, "item", "start", F.lit(V.CONFIDENCE[name]).alias("confidence"))
-        found = hit if found is None else found.unionByName(hit)
-        left = left.join(hit.select(key, "item"), [key, "item"], "left_anti")
-        free = free.join(hit.select(key, "start"), [key, "start"], "left_anti")
+        rows = _kth_with_kth(rows, name)
+    kinds = [F.col("_k").alias(key), F.col("a").cast(wanted.schema["item"].dataType).alias("item"), F.col("b").cast(titles.schema["start"].dataType).alias("start"), "confidence"]
+    hits = lambda of: of.where("_side = 0 and _other is not null").select("_k", F.col("_id").alias("a"), F.col("_other").alias("b"), "confidence").select(*kinds)
     if not contained:
-        return found
-
-    def assign(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        rows, taken = [], set()
-        places = [(s, t) for s, t in zip(b["start"], b["letters"], strict=True) if t]
-        places.sort()
-        order = sorted(zip(a["item"], a["letters"], a[key], strict=True), key=lambda x: (-len(x[1]), x[0]))
-        for item, letters, doc in order:
-            best, where = 0.0, None
-            for start, other in places:
-                if letters and start not in taken and (letters in other or other in letters):
-                    ratio = min(len(letters), len(other)) / max(len(letters), len(other))
-                    if ratio >= V.LEAST_RATIO and ratio > best:
-                        best, where = ratio, start
-            if where is not None:
-                taken.add(where)
-                rows.append((doc, item, where, V.CONFIDENCE["contained"] * best))
-        return pd.DataFrame(rows, columns=[key, "item", "start", "confidence"])
-
-    kinds = ", ".join(f"{c} {found.schema[c].dataType.simpleString()}" for c in (key, "item", "start", "confidence"))
-    places = free.select(F.col(key).alias("_k"), "start", "letters").groupBy("_k")
-    rest = left.select(key, "item", "letters").groupBy(key).cogroup(places).applyInPandas(assign, kinds)
-    return found.unionByName(rest)
+        return hits(rows)
+    rows = staged(rows.select("_k", "_side", "_id", "letters", "_other", "confidence"), "title-rows")
+    free = [rows.where(f"_other is null and _side = {n} and letters <> ''").select("_k", F.col("_id").alias(c), F.col("letters").alias(f"_{c}")) for n, c in ((0, "a"), (1, "b"))]
+    near = contained_pairs(*(f.select("_k", F.col(f"_{c}").alias("letters")).distinct() for f, c in zip(free, "ab", strict=True)), "_k")
+    near = near.select(F.col("_k").alias("_nk"), F.col("a").alias("_na"), F.col("b").alias("_nb"), "ratio")
+    edges = free[0].join(near, (F.col("_k") == F.col("_nk")) & (F.col("_a") == F.col("_na"))).select("_k", "a", F.length("_a").alias("size"), "_nb", "ratio")
+    edges = edges.join(free[1].withColumnRenamed("_k", "_bk"), (F.col("_k") == F.col("_bk")) & (F.col("_nb") == F.col("_b"))).select("_k", "a", "b", "ratio", "size")
+    rest = best_places(edges, "_k").select("_k", "a", "b", (F.col("ratio") * V.CONFIDENCE["contained"]).alias("confidence")).select(*kinds)
+    return hits(rows).unionByName(rest)
 
 
 def best_windows(orgs: DataFrame, windows: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -269,11 +364,10 @@ def kept_windows(spans: DataFrame, orgs: DataFrame, ends: DataFrame, key: str =
 
 def bounded_by_window(starts: DataFrame, windows: DataFrame, ends: DataFrame, key: str = "doc_id") -> DataFrame:
     """starts (key, start, ...) with idx, the window they lie in, and stop: the next start in that window, or its end; without a window (idx null) the end in ends (key, n_chars)."""
-    named = windows.select(F.col(key).alias("_k"), "idx", F.col("start").alias("_from"), F.col("stop").alias("_to"))
-    inside = starts.join(named, (F.col(key) == F.col("_k")) & (F.col("start") >= F.col("_from")) & (F.col("start") < F.col("_to")), "left")
+    inside = within(starts, windows.select(key, "idx", "start", "stop"), key, kept=["idx", "stop"]).withColumnRenamed("_idx", "idx")
     w = W.partitionBy(key, "idx").orderBy("start")
-    stop = F.when(F.col("idx").isNull(), F.col("n_chars")).otherwise(F.coalesce(F.lead("start").over(w), "_to"))
-    return inside.join(ends, key).withColumn("stop", stop).drop("_k", "_from", "_to", "n_chars")
+    stop = F.when(F.col("idx").isNull(), F.col("n_chars")).otherwise(F.coalesce(F.lead("start").over(w), "_stop"))
+    return inside.join(ends, key).withColumn("stop", stop).drop("_stop", "n_chars")
 
 
 def located_titles(spans: DataFrame, windows: DataFrame, ends: DataFrame, items: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -295,7 +389,7 @@ def org_map(orgs: DataFrame, docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return orgs.withColumn("id", F.col("id").cast("int")).withColumn("text", F.trim("text")).unionByName(made_up, allowMissingColumns=True)
 
 
-def segment_titles(spans: DataFrame, texts: DataFrame, orgs: DataFrame, items: DataFrame, key: str = "doc_id", located: DataFrame | None = None) -> DataFrame:
+def segment_titles(spans: DataFrame, texts: DataFrame, orgs: DataFrame, items: DataFrame, key: str = "doc_id", located: DataFrame | None = None, windows: DataFrame | None = None) -> DataFrame:
     """Segments of a title-driven body: key, item, org_id, title, status, confidence, start, stop.
 
     items (key, item, org_ids, title or null); orgs (key, id, text).  A title
@@ -306,7 +400,8 @@ def segment_titles(spans: DataFrame, texts: DataFrame, orgs: DataFrame, items: D
     title, but is in no result.
     """
     ends = texts.select(key, F.length("text").cast("bigint").alias("n_chars"))
-    windows = kept_windows(spans, orgs, ends, key)
+    if windows is None:
+        windows = kept_windows(spans, orgs, ends, key)
     if located is None:
         located = located_titles(spans, windows, ends, items, key)
     found = located.select(key, "item", "start", F.greatest("start", "stop").alias("stop"), "confidence")
@@ -325,95 +420,32 @@ def likely_children(headers: DataFrame, allowed: DataFrame, key: str = "doc_id")
     Jaccard of titles with LEAST_GRAM_LETTERS letters; the first line that
     matches wins, ties go to the first allowed title.
     """
-    def keyed(rows: DataFrame, c: str, side: str) -> DataFrame:
-        exact, tight, letters = title_keys(c)
-        named = rows.select("*", exact.alias(f"{side}_exact"), tight.alias(f"{side}_tight"), letters.alias(f"{side}_letters"))
-        grams = F.when(F.length(f"{side}_letters") >= V.LEAST_GRAM_LETTERS, T.ngrams(f"{side}_letters"))
-        return named.withColumn(f"{side}_grams", grams)
-
-    pairs = keyed(headers, "header", "h").join(keyed(allowed, "title", "a"), key)
-    la, lh = F.length("a_letters"), F.length("h_letters")
-    ratio = F.least(la, lh) / F.greatest(la, lh, F.lit(1))
-    within = (la > 0) & (lh > 0) & (F.contains("a_letters", "h_letters") | F.contains("h_letters", "a_letters")) & (ratio >= V.LEAST_RATIO)
-    alike = F.coalesce(T.jaccard("a_grams", "h_grams"), F.lit(0.0))
-    same = [(F.col(f"a_{k}") == F.col(f"h_{k}")) & (F.col(f"a_{k}") != "") for k in ("exact", "tight", "letters")]
-    level = F.when(same[0], 0).when(same[1], 1).when(same[2], 2).when(within, 3)
-    found = F.when(level.isNotNull(), F.struct(level.alias("rank"), F.when(level == 3, ratio).otherwise(1.0).alias("score"))).otherwise(F.struct(F.lit(4).alias("rank"), alike.alias("score")))
-    scored = pairs.select(key, "block", "line_no", "ord", "title", found.alias("f")).select("*", "f.*").where((F.col("rank") < 4) | (F.col("score") >= V.LEAST_JACCARD))
-    best = F.min_by(F.struct("title", "rank", "line_no"), F.struct("line_no", "rank", (-F.col("score")).alias("s"), "ord"))
-    return scored.groupBy(key, "block").agg(best.alias("b")).select(key, "block", F.col("b.title").alias("title"), F.col("b.rank").alias("rank"))
-
-
-def _gram_sets(texts: list[str]):
-    """(line, code) of the distinct grams of ASCII letters and digits, sorted."""
-    import numpy as np
-
-    digit = np.zeros(128, np.int64)
-    digit[[ord(c) for c in V.GRAM_LETTERS]] = np.arange(len(V.GRAM_LETTERS))
-    at = digit[np.frombuffer("".join(texts).encode(), np.uint8)]
-    line = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    codes = np.zeros(max(0, len(at) - V.GRAM + 1), np.int64)
-    for k in range(V.GRAM):
-        codes = codes * len(V.GRAM_LETTERS) + at[k : k + len(codes)]
-    whole = line[: len(codes)] == line[V.GRAM - 1 :][: len(codes)]
-    return np.divmod(np.unique(line[: len(codes)][whole] * V.GRAM_CODES + codes[whole]), V.GRAM_CODES)
+    names = ["exact", "tight", "letters"]
+    keyed = lambda rows, c: rows.select("*", *(k.alias(n) for k, n in zip(title_keys(c), names, strict=True)))
+    head = keyed(headers, "header").select(key, "block", "line_no", *names)
+    good = keyed(allowed, "title").select(key, "ord", *names)
+    found = []
+    for rank, name in enumerate(names):  # of equal titles the first one is taken
+        first = good.where(F.col(name) != "").groupBy(key, name).agg(F.min("ord").alias("ord"))
+        found.append(head.where(F.col(name) != "").join(first, [key, name]).select(key, "block", "line_no", "ord", F.lit(rank).alias("rank"), F.lit(1.0).alias("score")))
+    of_head, of_title = (rows.where("letters <> ''").select(key, "letters").distinct() for rows in (head, good))
+    within = contained_pairs(of_head, of_title, key).select(key, "a", "b", F.lit(3).alias("rank"), F.col("ratio").alias("score"))
+    long = F.length("letters") >= V.LEAST_GRAM_LETTERS
+    alike = similar_pairs(of_head.where(long).withColumnRenamed("letters", "a"), of_title.where(long).withColumnRenamed("letters", "b"), key)
+    near = within.unionByName(alike.select(key, "a", "b", F.lit(4).alias("rank"), F.col("jaccard").alias("score")))
+    titles = good.groupBy(key, F.col("letters").alias("b")).agg(F.min("ord").alias("ord"))
+    found.append(head.withColumnRenamed("letters", "a").join(near, [key, "a"]).join(titles, [key, "b"]).select(key, "block", "line_no", "ord", "rank", "score"))
+    scored = reduce(DataFrame.unionByName, found)
+    best = F.min_by(F.struct("ord", "rank"), F.struct("line_no", "rank", (-F.col("score")).alias("s"), "ord"))
+    chosen = scored.groupBy(key, "block").agg(best.alias("b")).select(key, "block", F.col("b.ord").alias("ord"), F.col("b.rank").alias("rank"))
+    return chosen.join(allowed.select(key, "ord", "title"), [key, "ord"]).select(key, "block", "title", "rank")
 
 
 def similar_lines(left: DataFrame, right: DataFrame, least: float = V.LEAST_JACCARD, letters: int = V.LEAST_GRAM_LETTERS) -> DataFrame:
-    """Pairs of lines (a, a_line, text) and (b, b_line, text) whose trigram Jaccard is least or more.
-
-    Left is taken in parts of MOST_LINES lines.  Of each part a table of grams by
-    lines is held in each worker, and each line of right adds up the rows of its
-    grams: the counts shared with all lines of the part.  Right is not shuffled.
-    """
-    import numpy as np
-    import pyarrow as pa
-
-    def bare(rows: DataFrame, side: str) -> DataFrame:
-        return rows.select(F.col(side).cast("long"), F.col(f"{side}_line").cast("int"), T.ascii_letters("text").alias("letters")).where(F.length("letters") >= letters)
-
-    def pairs(part: list[tuple[int, int, str]]):
-        def run(batches):
-            mine, codes = _gram_sets([t for _, _, t in part])
-            sizes = np.bincount(mine, minlength=len(part))
-            order = np.argsort(sizes, kind="stable")
-            mine, sizes = np.argsort(order)[mine], sizes[order]
-            known, place = np.unique(codes, return_inverse=True)
-            row_of = np.full(V.GRAM_CODES, -1)
-            row_of[known] = np.arange(len(known))
-            table = np.zeros((len(known), len(part)), np.uint16)
-            table[place, mine] = 1
-            keys, lines_ = np.array([a for a, _, _ in part], object)[order], np.array([n for _, n, _ in part])[order]
-            for batch in batches:
-                texts = batch.column(2).to_pylist()
-                if not texts:
-                    continue
-                line, codes = _gram_sets(texts)
-                n = np.bincount(line, minlength=len(texts))
-                rows = row_of[codes]
-                line, rows = line[rows >= 0], rows[rows >= 0]
-                likely = np.bincount(line, minlength=len(texts)) >= np.maximum(1, least * n - 1e-9)  # no line of the part can share more
-                line, rows = line[likely[line]], rows[likely[line]]
-                starts = np.flatnonzero(np.diff(line, prepend=-1))
-                out = []
-                for begin, end in zip(starts, [*starts[1:], len(line)], strict=True):
-                    size = n[line[begin]]  # sizes that can give the score, sharing end - begin at most
-                    low, high = np.searchsorted(sizes, [least * size - 1e-6, (end - begin) * (1 + least) / least - size + 1e-6])
-                    if low < high:
-                        shared = table[rows[begin:end], low:high].sum(0, dtype=np.uint16).astype(np.int64)
-                        score = shared / (sizes[low:high] + size - shared)
-                        out += [(int(line[begin]), low + i, score[i]) for i in np.flatnonzero(score >= least)]
-                if out:
-                    at, i, score = (np.array(c) for c in zip(*out, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[i].tolist(), pa.int64()), pa.array(lines_[i], pa.int32()), batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.array(score, pa.float64())], names=["a", "a_line", "b", "b_line", "jaccard"])
-
-        return bare(right, "b").mapInArrow(run, "a long, a_line int, b long, b_line int, jaccard double")
-
-    rows = (tuple(r) for r in bare(left, "a").toLocalIterator())
-    out = pairs(list(islice(rows, V.MOST_LINES)))
-    while part := list(islice(rows, V.MOST_LINES)):
-        out = out.unionByName(pairs(part))
-    return out
+    """Pairs of lines (a, a_line, text) and (b, b_line, text) whose trigram Jaccard is least or more, of those with so many letters."""
+    bare = lambda rows, side: rows.select(F.col(side).alias(f"{side}_id"), f"{side}_line", T.ascii_letters("text").alias(side)).where(F.length(side) >= letters)
+    found = similar_pairs(bare(left, "a"), bare(right, "b"), least=least)
+    return found.select(F.col("a_id").cast("long").alias("a"), F.col("a_line").cast("int").alias("a_line"), F.col("b_id").cast("long").alias("b"), F.col("b_line").cast("int").alias("b_line"), "jaccard")
 
 
 def sub_slices(segments: DataFrame, allowed: DataFrame, key: str = "doc_id", depth: str = "segment") -> DataFrame:
@@ -424,13 +456,10 @@ def sub_slices(segments: DataFrame, allowed: DataFrame, key: str = "doc_id", dep
     its first block's end (or its start) to its end, titled by that block's first
     header; empty without one.
     """
-    from spanforge.operators.labels import label
+    from spanforge.operators.labels import numbered as spans_of
 
     named = segments.where(F.col("text").isNotNull()).withColumn("_id", F.concat_ws("/", F.col(key).cast("string"), F.col(depth).cast("string")))
-    found = label(named.select("_id", "text"), "_id").join(named.select("_id", key, depth, F.col("text").alias("_text")), "_id")
-    shown = F.substring("_text", (F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int"))
-    rows = found.select("_id", key, depth, "label", "start", "end", shown.alias("text"), F.row_number().over(W.partitionBy("_id").orderBy("start")).alias("seq"))
-    blocks = header_blocks(rows.select("_id", "seq", "label", "text", "start", "end"), "_id").select("_id", "start", "end", "headers")
+    blocks = header_blocks(spans_of(named.select("_id", "text"), "_id"), "_id").select("_id", "start", "end", "headers")
     numbered = blocks.withColumn("block", F.row_number().over(W.partitionBy("_id").orderBy("start")))
     titles = allowed.withColumn("_id", F.concat_ws("/", F.col(key).cast("string"), F.col(depth).cast("string"))).select("_id", "ord", "title")
     lines = numbered.select("_id", "block", F.posexplode("headers").alias("line_no", "header"))

@@ -35,12 +35,19 @@ def line_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def noisy_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with noise and fixed phrases, which those of the table lack: of each third line a short one becomes a noise line, a heading gets a phrase behind it, another one before it."""
+    line = lambda x: F.when(F.length(x) < 12, F.concat(F.lit("- "), F.length(x).cast("string"), F.lit(" ·"))).when(P.is_org_line(x), F.concat(x, F.lit(" Direção Regional do Trabalho"))).otherwise(F.concat(F.lit("**Sumário** "), x))
+    text = F.array_join(F.transform(F.split("text", "\n", -1), lambda x, i: F.when(i % 3 == 0, line(x)).otherwise(x)), "\n")
+    return docs(spark, sf_dir).select("doc_id", text.alias("text"))
+
+
 def junk_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return visible(lines(docs(spark, sf_dir)).where(P.is_junk_line("line"))).select("doc_id", "line_no", "start", "end")
+    return visible(lines(noisy_docs(spark, sf_dir)).where(P.is_junk_line("line"))).select("doc_id", "line_no", "start", "end")
 
 
 def caps_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.heading_runs(lines(docs(spark, sf_dir)))
+    return L.heading_runs(docs(spark, sf_dir))
 
 
 def bold_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,9 +55,7 @@ def bold_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def span_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = docs(spark, sf_dir)
-    both = L.heading_runs(lines(rows)).drop("n_lines").withColumn("rank", F.lit(0)).unionByName(L.titles(rows).withColumn("rank", F.lit(1)))
-    return L.longest_first(both)
+    return L.headings_and_titles(docs(spark, sf_dir))
 
 
 def doc_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,12 +66,22 @@ def paragraph_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.label(docs(spark, sf_dir)).where(F.col("label").isin(V.PARAGRAPH, V.BODY))
 
 
+def repeated_key_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose keys repeat or are null: each row has the spans that it would have alone."""
+    key = F.when(F.col("doc_id") % 50 != 0, F.col("doc_id") % 50)
+    return L.label(docs(spark, sf_dir).select(key.alias("doc_id"), "text"))
+
+
+def noisy_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All spans of texts with noise and fixed phrases."""
+    return L.label(noisy_docs(spark, sf_dir))
+
+
 def span_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flagship: spans and characters of each label by language."""
-    spans = L.label(docs(spark, sf_dir))
-    by_doc = spans.groupBy("doc_id", "label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("end") - F.col("start")).alias("chars"))
-    langs = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    return by_doc.join(langs, "doc_id").groupBy("lang", "label").agg(F.sum("n").alias("n_spans"), F.sum("chars").alias("n_chars"), F.count(F.lit(1)).alias("n_docs"))
+    """The flagship: spans and characters of each label by language, from one scan: language and row go through labelling as the key."""
+    rows = table(spark, sf_dir, "documents").select(F.struct("doc_id", "lang").alias("doc"), "text")
+    by_doc = L.label(rows, "doc").groupBy("doc", "label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("end") - F.col("start")).alias("chars"))
+    return by_doc.groupBy(F.col("doc.lang").alias("lang"), "label").agg(F.sum("n").alias("n_spans"), F.sum("chars").alias("n_chars"), F.count(F.lit(1)).alias("n_docs"))
 
 
 def _keys(name: str) -> list[Column]:
@@ -142,7 +157,7 @@ def slice_property(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("end") - F.col("start")).alias("covered"), F.min("start").alias("first"), F.max("end").alias("last"))
 
 
-QUERIES = {f.__name__: f for f in (line_offsets, line_class_counts, junk_lines, caps_runs, bold_blocks, span_resolution, doc_text_lines, paragraph_merge, span_report, norm_keys, join_spaced_caps, issue_texts, markdown_table_rows, merge_bold_runs, inline_bold_clean, html_escape, text_envelope, filename_series, slice_property)}
+QUERIES = {f.__name__: f for f in (line_offsets, line_class_counts, junk_lines, caps_runs, bold_blocks, span_resolution, doc_text_lines, paragraph_merge, repeated_key_spans, noisy_spans, span_report, norm_keys, join_spaced_caps, issue_texts, markdown_table_rows, merge_bold_runs, inline_bold_clean, html_escape, text_envelope, filename_series, slice_property)}
 
 # --- The same in SQL ---------------------------------------------------------
 
@@ -221,6 +236,8 @@ _LABELS = f"""{_LINES}, {_RUNS}, {_BOLD}, {_PHRASES}, {_chosen("headed", _PHRASE
     SELECT doc_id, label, start, "end" FROM opened WHERE NOT opened
     UNION ALL SELECT doc_id, CASE WHEN count(*) > 1 THEN '{V.PARAGRAPH}' ELSE '{V.BODY}' END, min(start), max("end") FROM opened WHERE opened GROUP BY doc_id, run
 )"""
+_NOISY = f"""made AS (SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda line, i: CASE WHEN i % 3 <> 1 THEN line WHEN length(line) < 12 THEN '- ' || length(line) || ' ·'
+    WHEN {_ORG} THEN line || ' Direção Regional do Trabalho' ELSE '**Sumário** ' || line END), chr(10)) AS text FROM documents)"""
 _BOLDED = f"(SELECT doc_id, line_no, CASE WHEN {_ORG} OR length(line) < 40 THEN '**' || line || '**' ELSE line END AS line FROM {_SPLIT})"
 _INNER = "regexp_extract(line, '^\\s*\\*\\*(.+)\\*\\*\\s*$', 1)"
 _LATIN = f"regexp_replace({_INNER}, '[^A-Za-zÀ-ÖØ-öø-ÿ]', '', 'g')"
@@ -234,6 +251,10 @@ def _merged(rule: str, bold: str) -> str:
     GROUP BY doc_id, run"""
 
 
+def _made(ctes: str) -> str:
+    return ctes.replace("FROM documents", "FROM made")
+
+
 _FIRST = "(SELECT doc_id, string_split(text, chr(10))[1] AS f FROM documents)"
 _CAPS_CLASS = V.SPACED_CAPS
 _NO_BOLD = "regexp_replace(replace({0}, '**', ''), '^\\s+|\\s+$', '', 'g')"
@@ -247,7 +268,9 @@ ORACLES = {
     "line_class_counts": f"""SELECT lang, CASE WHEN NOT regexp_matches(line, '\\S') THEN 'blank' WHEN {_ROW} THEN 'table' WHEN {_JUNK} THEN 'junk' WHEN {_ORG} AND contains(line, '*') THEN 'org_star' WHEN {_ORG} THEN 'org' ELSE 'text' END AS kind,
         count(*) AS n, sum({_UPPER}::INTEGER)::BIGINT AS n_upper, sum({_ENDED}::INTEGER)::BIGINT AS n_ended, sum(regexp_matches(line, '^\\s*(?:[-•—–]|\\d+\\s*[).])')::INTEGER)::BIGINT AS n_listed
         FROM (SELECT lang, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY 1, 2""",
-    "junk_lines": f'WITH {_LINES} SELECT doc_id, line_no, start, "end" FROM visible WHERE {_JUNK}',
+    "junk_lines": f'WITH {_NOISY}, {_made(_LINES)} SELECT doc_id, line_no, start, "end" FROM visible WHERE {_JUNK}',
+    "noisy_spans": f"WITH {_NOISY}, {_made(_LABELS)} SELECT * FROM labelled",
+    "repeated_key_spans": f'WITH {_LABELS} SELECT CASE WHEN doc_id % 50 <> 0 THEN doc_id % 50 END AS doc_id, label, start, "end" FROM labelled',
     "caps_runs": f"WITH {_LINES}, {_RUNS} SELECT * FROM runs",
     "bold_blocks": f"WITH {_BOLD} SELECT * FROM bold_titles",
     "span_resolution": f"""WITH {_LINES}, {_RUNS}, {_BOLD}, {_chosen("chosen", _RUN_ROWS + " UNION ALL " + _TITLE_ROWS)} SELECT doc_id, label, start, "end" FROM chosen""",

@@ -6,7 +6,7 @@ space, so spans have true offsets and evidence.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -14,7 +14,7 @@ from spanforge.functions import vocabulary as V
 from spanforge.operators import payload as Y
 from spanforge.operators import relations as R
 from spanforge.operators import segment as S
-from spanforge.plans import matching
+from spanforge.plans import flow, matching
 from spanforge.sources.staging import staged
 from spanforge.sources.tables import table
 
@@ -121,28 +121,77 @@ def block_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = Y.items_by_star(R.relations_by_star(first)).where("org is not null").select("doc_id", F.col("paragraph_id").alias("item"), F.col("org.text").alias("org_text"), F.col("docs.text").alias("docs"))
     body = staged(body, "body")
     out = S.segment_flat(body, staged(texts(body), "texts"), staged(items, "items"))
-    return out.select("doc_id", "item", "org_text", "status", "start", "stop", "n_docs", "n_slices", F.array_join(F.transform("slices", lambda s: F.concat_ws(":", s["doc_name"], s["start"].cast("string"), s["stop"].cast("string"))), "|").alias("slices"))
+    return out.select("doc_id", "item", "org_text", "status", "start", "stop", "n_docs", "n_missed", "n_slices", _shown("slices").alias("slices"))
+
+
+def _shown(c: str) -> Column:
+    return F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["doc_name"], s["start"].cast("string"), s["stop"].cast("string"))), "|")
 
 
 def summary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.summary(block_status(spark, sf_dir))
 
 
+def _nested(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Spans of users' whole sequences, their items, and starred items found again in that sequence."""
+    rows = staged(spans(spark, sf_dir, STARRED), "spans")  # read by each of the branches below
+    items = staged(Y.items_by_star(R.relations_by_star(rows)), "items")
+    subs = items.where("top_org is not null").select("doc_id", F.col("paragraph_id").alias("item"), F.col("top_org.text").alias("top_text"), F.posexplode("sub_orgs").alias("sub", "s"))
+    named = staged(subs.select("doc_id", "item", "top_text", "sub", F.col("s.org.text").alias("sub_text"), F.col("s.docs.text").alias("docs")), "subs")
+    return rows, items, S.segment_nested(rows, staged(texts(rows), "texts"), named)
+
+
 def nested_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starred items of a user's whole sequence, found again in that sequence, with their slices."""
-    rows = staged(spans(spark, sf_dir, STARRED), "spans")  # read by each of the branches below
-    items = Y.items_by_star(R.relations_by_star(rows)).where("top_org is not null").select("doc_id", F.col("paragraph_id").alias("item"), F.col("top_org.text").alias("top_text"), F.posexplode("sub_orgs").alias("sub", "s"))
-    named = staged(items.select("doc_id", "item", "top_text", "sub", F.col("s.org.text").alias("sub_text"), F.col("s.docs.text").alias("docs")), "items")
-    out = S.segment_nested(rows, staged(texts(rows), "texts"), named)
-    return out.withColumn("slices", F.array_join(F.transform("slices", lambda s: F.concat_ws(":", s["doc_name"], s["start"].cast("string"), s["stop"].cast("string"))), "|"))
+    return _nested(spark, sf_dir)[2].drop("docs").withColumn("slices", _shown("slices"))
 
 
-def title_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def nested_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.summary(_nested(spark, sf_dir)[2])
+
+
+def loss_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the rules for starred contents drop, by user and reason."""
+    rows, items, nested = _nested(spark, sf_dir)
+    lost = S.losses_starred(rows, items, staged(nested, "nested"))
+    return lost.groupBy("doc_id", "reason").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_set("name")), "|").alias("names"))
+
+
+def nested_slice_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of every slice of nested segments."""
+    rows, _, nested = _nested(spark, sf_dir)
+    made = flow.slice_texts(nested, texts(rows))
+    return made.select("doc_id", "item", "sub", "nth", "doc_name", F.md5("text").alias("text_md5"))
+
+
+def _titled(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     rows = staged(spans(spark, sf_dir, MARKED), "spans")
     found = staged(R.relations_by_title(rows), "relations")
+    bodies = staged(texts(rows), "texts")
     orgs = staged(Y.title_orgs(found), "orgs")
     items = staged(Y.items_by_title(found).select("doc_id", F.col("paragraph_id").alias("item"), "org_ids", F.col("doc_name.text").alias("title")), "items")
-    return S.segment_titles(rows, staged(texts(rows), "texts"), orgs, items).withColumn("confidence", F.round("confidence", 6))
+    windows = staged(S.kept_windows(rows, orgs, bodies.select("doc_id", F.length("text").cast("bigint").alias("n_chars"))), "windows")
+    located = staged(S.located_titles(rows, windows, bodies.select("doc_id", F.length("text").cast("bigint").alias("n_chars")), items), "located")
+    return {"bodies": bodies, "orgs": orgs, "items": items, "windows": windows, "located": located, "segments": S.segment_titles(rows, bodies, orgs, items, located=located, windows=windows)}
+
+
+def title_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _titled(spark, sf_dir)["segments"].withColumn("confidence", F.round("confidence", 6))
+
+
+def title_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = _titled(spark, sf_dir)
+    return S.losses_titled(made["items"], made["located"])
+
+
+def title_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of title-driven sequences, with the sub-slices of their segments."""
+    made = _titled(spark, sf_dir)
+    segments = staged(made["segments"], "segments")
+    shown = F.substring("_text", (F.col("start") + 1).cast("int"), (F.col("stop") - F.col("start")).cast("int"))
+    parts = segments.where("start is not null").join(made["bodies"].select("doc_id", F.col("text").alias("_text")), "doc_id").select("doc_id", F.concat_ws(".", "org_id", "item").alias("segment"), shown.alias("text")).where(F.trim("text") != "")
+    none = parts.select("doc_id", "segment", F.lit(0).alias("ord"), F.lit("").alias("title")).limit(0)
+    return S.summary_titles(segments, made["orgs"], made["windows"], S.sub_slices(parts, none), made["located"])
 
 
 def ordered_doc_match(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,7 +231,7 @@ def window_locate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (paragraph_ids_star, paragraph_ids_title, relations_pairs, relations_star_blocks, relations_mode_ab, toc_flat, toc_star, toc_org_ids, toc_items, split_on_repeat_key, anchor_slices, coalesced_anchors, block_status, summary_counts, nested_segments, title_segments, ordered_doc_match, header_blocks, export_csv_rows, export_by_head, export_grouped_json, window_locate)
+    for f in (paragraph_ids_star, paragraph_ids_title, relations_pairs, relations_star_blocks, relations_mode_ab, toc_flat, toc_star, toc_org_ids, toc_items, split_on_repeat_key, anchor_slices, coalesced_anchors, block_status, summary_counts, nested_segments, nested_summary, nested_slice_texts, loss_counts, title_segments, title_summary, title_losses, ordered_doc_match, header_blocks, export_csv_rows, export_by_head, export_grouped_json, window_locate)
 }
 
 # --- The same in SQL ---------------------------------------------------------
@@ -296,7 +345,7 @@ walk(doc_id, item, k, nxt, hit, text) AS (
 every AS (SELECT doc_id, item, count(*) AS n, string_agg(concat_ws(':', text, start::VARCHAR, stop::VARCHAR), '|' ORDER BY start) AS s FROM heads GROUP BY 1, 2),
 cut AS (SELECT b.*, coalesce(e.n, 0) = 0 AND len(docs) = 1 AS alone, n.n AS n_named, coalesce(n.n, e.n, 0) AS n_cut, coalesce(n.s, e.s, '') AS s FROM blocks b LEFT JOIN by_name n USING (doc_id, item) LEFT JOIN every e USING (doc_id, item)),
 status AS (SELECT doc_id, item, org_text, CASE WHEN start IS NULL THEN 'org_missing' WHEN alone OR len(docs) = 0 THEN 'ok' WHEN n_cut = 0 THEN 'doc_missing' WHEN coalesce(n_named, 0) < len(docs) THEN 'partial' ELSE 'ok' END AS status,
-    start, stop, len(docs)::INTEGER AS n_docs, (CASE WHEN start IS NULL THEN 0 WHEN alone THEN 1 ELSE n_cut END)::INTEGER AS n_slices,
+    start, stop, len(docs)::INTEGER AS n_docs, (CASE WHEN start IS NULL THEN len(docs) WHEN alone THEN 0 ELSE len(docs) - coalesce(n_named, 0) END)::INTEGER AS n_missed, (CASE WHEN start IS NULL THEN 0 WHEN alone THEN 1 ELSE n_cut END)::INTEGER AS n_slices,
     CASE WHEN start IS NULL THEN NULL WHEN alone THEN concat_ws(':', docs[1], start::VARCHAR, stop::VARCHAR) ELSE s END AS slices FROM cut)"""
 _NESTED = f"""WITH RECURSIVE {_star(STARRED)}, subs0 AS (
     SELECT doc_id, paragraph_id AS item, head_text AS top_text, tail_text AS sub_text, min(ord) AS o FROM rel WHERE kind = '{V.STAR_ORG}' GROUP BY 1, 2, 3, 4),
@@ -312,7 +361,7 @@ in_wanted AS (SELECT id, org_key AS k FROM subs SEMI JOIN ranges USING (id)), in
 nth AS (SELECT *, row_number() OVER (PARTITION BY id, org_key ORDER BY start) AS k FROM places),
 cut AS (SELECT s.id, s.sub, count(*) AS n, min(p.start) AS start, max(p.stop) AS stop, string_agg(concat_ws(':', CASE WHEN k <= len(docs) THEN docs[k] ELSE p.text END, p.start::VARCHAR, p.stop::VARCHAR), '|' ORDER BY k) AS slices
     FROM subs s JOIN nth p ON p.id = s.id AND p.org_key = s.org_key GROUP BY 1, 2)
-SELECT s.doc_id, s.item, s.sub, sub_text, CASE WHEN n IS NULL THEN 'org_missing' WHEN n = len(docs) THEN 'ok' ELSE 'partial' END AS status, c.start, c.stop, len(docs)::INTEGER AS n_docs, coalesce(n, 0)::INTEGER AS n_slices, coalesce(slices, '') AS slices, r.id IS NOT NULL AS top_found
+SELECT s.doc_id, s.item, s.sub, sub_text, CASE WHEN n IS NULL THEN 'org_missing' WHEN n = len(docs) THEN 'ok' ELSE 'partial' END AS status, c.start, c.stop, len(docs)::INTEGER AS n_docs, greatest(len(docs) - coalesce(n, 0), 0)::INTEGER AS n_missed, coalesce(n, 0)::INTEGER AS n_slices, coalesce(slices, '') AS slices, r.id IS NOT NULL AS top_found
 FROM subs s LEFT JOIN cut c ON c.id = s.id AND c.sub = s.sub LEFT JOIN ranges r ON r.id = s.id"""
 _TITLE_SEGMENTS = f"""WITH RECURSIVE {_TITLED}, {_IDS}, names AS (
     SELECT doc_id, paragraph_id AS item, coalesce(min_by(CASE WHEN kind = '{V.ORG_TITLE}' THEN tail_text END, CASE WHEN kind = '{V.ORG_TITLE}' THEN ord END), min_by(CASE WHEN head_label = '{V.TITLE}' THEN head_text END, CASE WHEN head_label = '{V.TITLE}' THEN ord END)) AS title FROM rel GROUP BY 1, 2),
@@ -330,10 +379,30 @@ SELECT doc_id, item, m.id AS org_id, coalesce(title, '(Preambulo)') AS title, CA
     CASE WHEN title IS NULL THEN 0.5 ELSE coalesce(confidence, 0.0) END::DOUBLE AS confidence, CASE WHEN title IS NULL THEN b.a ELSE l.start END AS start, CASE WHEN title IS NULL THEN b.b ELSE greatest(l.start, l.stop) END AS stop
 FROM names JOIN members m USING (doc_id, item) JOIN best b ON b.doc_id = m.doc_id AND b.id = m.id LEFT JOIN located l USING (doc_id, item)"""
 
+_NESTED_CTES, _NESTED_ROWS = _NESTED.rsplit("\n", 2)[0], "\n".join(_NESTED.rsplit("\n", 2)[1:])
+_TITLE_CTES, _TITLE_ROWS = _TITLE_SEGMENTS.rsplit("\n", 3)[0], "\n".join(_TITLE_SEGMENTS.rsplit("\n", 3)[1:])
+_STATUSES = ", ".join(f"count_if(status = '{a}')::BIGINT AS {b}" for a, b in (("ok", "org_ok"), ("partial", "org_partial"), ("doc_missing", "org_doc_missing"), ("org_missing", "org_missing")))
+_COUNTED = "sum(n_docs)::BIGINT AS docs_expected, sum(n_docs - n_missed)::BIGINT AS docs_matched, sum(n_slices)::BIGINT AS docs_matched_ref"
+
 ORACLES = {
     "block_status": f"{_BLOCKS} SELECT * FROM status",
-    "summary_counts": f"""{_BLOCKS} SELECT doc_id, count(*) AS orgs_total, {", ".join(f"count_if(status = '{a}')::BIGINT AS {b}" for a, b in (("ok", "org_ok"), ("partial", "org_partial"), ("doc_missing", "org_doc_missing"), ("org_missing", "org_missing")))},
-        sum(n_docs)::BIGINT AS docs_expected, sum(n_slices)::BIGINT AS docs_matched FROM status GROUP BY doc_id""",
+    "summary_counts": f"""{_BLOCKS} SELECT doc_id, count(*) AS orgs_total, {_STATUSES},
+        {_COUNTED}, count_if(status = 'ok')::BIGINT AS org_ok_ref, count_if(status = 'partial')::BIGINT AS org_partial_ref, sum(n_docs)::BIGINT AS docs_expected_ref FROM status GROUP BY doc_id""",
+    "nested_summary": f"""{_NESTED_CTES}, nested AS ({_NESTED_ROWS}) SELECT doc_id, count(*) AS orgs_total, {_STATUSES},
+        {_COUNTED}, 0::BIGINT AS org_ok_ref, 0::BIGINT AS org_partial_ref, sum(CASE WHEN top_found THEN n_docs ELSE 0 END)::BIGINT AS docs_expected_ref FROM nested GROUP BY doc_id""",
+    "loss_counts": f"""{_NESTED_CTES}, nested AS ({_NESTED_ROWS}), lost AS (
+        SELECT doc_id, 'before_org' AS reason, text AS name FROM block WHERE starred AND blk = 0 AND label IN ('{V.TITLE}', '{V.BODY}', '{V.PARAGRAPH}')
+        UNION ALL SELECT doc_id, 'beside_starred', tail_text FROM rel WHERE kind = '{V.ORG_TITLE}' AND (doc_id, paragraph_id) NOT IN (SELECT (doc_id, item) FROM subs) AND doc_id IN (SELECT doc_id FROM subs)
+        UNION ALL SELECT doc_id, CASE WHEN NOT top_found THEN 'top_missing' WHEN status = 'org_missing' THEN 'org_missing' ELSE 'unmatched' END, unnest(docs[n_docs - n_missed + 1:n_docs]) FROM nested JOIN (SELECT doc_id, item, sub, docs FROM subs) USING (doc_id, item, sub) WHERE n_missed > 0)
+        SELECT doc_id, reason, count(*) AS n, array_to_string(list_sort(list(DISTINCT name)), '|') AS names FROM lost GROUP BY 1, 2""",
+    "nested_slice_texts": f"""{_NESTED_CTES}, body_text AS (SELECT doc_id, string_agg(text, ' ' ORDER BY seq) AS t FROM ev GROUP BY 1)
+        SELECT s.doc_id, s.item, s.sub, k::INTEGER AS nth, CASE WHEN k <= len(docs) THEN docs[k] ELSE p.text END AS doc_name, md5(t[p.start + 1:p.stop]) AS text_md5 FROM subs s JOIN nth p ON p.id = s.id AND p.org_key = s.org_key JOIN body_text b ON b.doc_id = s.doc_id""",
+    "title_summary": f"""{_TITLE_CTES}, seg AS ({_TITLE_ROWS}), body_text AS (SELECT doc_id, string_agg(text, ' ' ORDER BY seq) AS t FROM ev GROUP BY 1)
+        SELECT doc_id, coalesce(orgs_in_payload, 0) AS orgs_in_payload, coalesce(org_windows_found, 0) AS org_windows_found, coalesce(doc_type_headers_matched, 0) AS doc_type_headers_matched, coalesce(doc_type_segments, 0)::BIGINT AS doc_type_segments, coalesce(segments_with_subdivisions, 0) AS segments_with_subdivisions, true AS segment_reparsed
+        FROM (SELECT doc_id, count(*) AS orgs_in_payload FROM ids GROUP BY 1) FULL JOIN (SELECT doc_id, count(*) AS org_windows_found FROM wins GROUP BY 1) USING (doc_id) FULL JOIN (SELECT doc_id, count(*) AS doc_type_headers_matched FROM located GROUP BY 1) USING (doc_id)
+        FULL JOIN (SELECT doc_id, count_if(status <> 'doc_type_unanchored') AS doc_type_segments FROM seg GROUP BY 1) USING (doc_id) FULL JOIN (SELECT doc_id, count(*) AS segments_with_subdivisions FROM seg JOIN body_text USING (doc_id) WHERE start IS NOT NULL AND trim(t[start + 1:stop]) <> '' GROUP BY 1) USING (doc_id)""",
+    "title_losses": f"""{_TITLE_CTES} SELECT doc_id, 'no_org' AS reason, item, title AS name FROM names ANTI JOIN members USING (doc_id, item)
+        UNION ALL SELECT doc_id, 'unanchored', item, title FROM names SEMI JOIN members USING (doc_id, item) ANTI JOIN located USING (doc_id, item) WHERE title IS NOT NULL""",
     "nested_segments": _NESTED,
     "title_segments": _TITLE_SEGMENTS,
     "paragraph_ids_star": f"WITH {_star(STARRED)} SELECT doc_id, seq::INTEGER AS seq, label, pid AS paragraph_id FROM para",

@@ -15,23 +15,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spanforge.operators import payload, relations, segment
-from spanforge.operators.labels import label
+from spanforge.operators.labels import numbered
 from spanforge.sources.staging import staged
 
 
-def numbered(spans: DataFrame, docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Spans with their text and their order: key, seq, label, text, start, end."""
-    joined = spans.join(docs.select(key, F.col("text").alias("_text")), key)
-    shown = F.substring("_text", (F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int"))
-    return joined.select(key, F.row_number().over(W.partitionBy(key).orderBy("start")).alias("seq"), "label", shown.alias("text"), "start", "end")
-
-
 def parts(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """key, reason, summary, body: the texts before and after the repeated heading.
 
     Without a marker there is no summary and the body is the whole text.
     """
-    spans = staged(numbered(label(docs, key), docs, key), "spans")
+    spans = staged(numbered(docs, key), "spans")
     ends = docs.where(F.col("text").isNotNull()).select(key, F.length("text").cast("bigint").alias("n_chars"))
     cut = segment.split_at_repeat(spans, ends, key).join(docs.select(key, "text"), key)
     piece = lambda a, b: F.substring("text", (F.col(a) + 1).cast("int"), (F.col(b) - F.col(a)).cast("int"))
@@ -49,7 +42,7 @@ def labelled_parts(docs: DataFrame, key: str = "doc_id") -> Contents:
     split = staged(parts(docs, key), "parts")
     both = split.select(key, F.explode(F.array(F.struct(F.lit("summary").alias("part"), F.col("summary").alias("text")), F.struct(F.lit("body").alias("part"), F.col("body").alias("text")))).alias("p")).select(key, "p.*")
     texts = both.where("text is not null and text <> ''").withColumn("_id", F.concat_ws("/", "part", F.col(key).cast("string")))
-    found = numbered(label(texts.select("_id", "text"), "_id"), texts.select("_id", "text"), "_id").join(texts.select("_id", key, "part"), "_id").drop("_id")
+    found = numbered(texts.select("_id", "text"), "_id").join(texts.select("_id", key, "part"), "_id").drop("_id")
     found = staged(found, "part-spans")
     return Contents(found.where("part = 'summary'").drop("part"), found.where("part = 'body'").drop("part"), split.select(key, F.coalesce("body", F.lit("")).alias("text")))
 
@@ -64,9 +57,9 @@ def starred(docs: DataFrame, key: str = "doc_id") -> dict[str, DataFrame]:
     subs = nested.select(key, F.col("paragraph_id").alias("item"), F.col("top_org.text").alias("top_text"), F.posexplode("sub_orgs").alias("sub", "s")).select(key, "item", "top_text", "sub", F.col("s.org.text").alias("sub_text"), F.col("s.docs.text").alias("docs"))
     segments = staged(segment.segment_flat(made.body_spans, made.bodies, flat, key), "segments")
     inner = staged(segment.segment_nested(made.body_spans, made.bodies, subs, key), "nested")
-    counted = [key, "status", "n_docs", "n_slices", "top_found"]
-    both = segments.withColumn("top_found", F.lit(True)).select(*counted).unionByName(inner.select(*counted))
-    return {"relations": found, "items": items, "segments": segments, "nested": inner, "summary": segment.summary(both, key)}
+    counted = [key, "status", "n_docs", "n_missed", "n_slices", "top_found"]
+    both = segments.withColumn("top_found", F.lit(None).cast("boolean")).select(*counted).unionByName(inner.select(*counted))
+    return {"relations": found, "items": items, "segments": segments, "nested": inner, "summary": segment.summary(both, key), "losses": segment.losses_starred(made.summary_spans, items, inner, key)}
 
 
 def slice_texts(rows: DataFrame, bodies: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -90,7 +83,7 @@ def titled(docs: DataFrame, key: str = "doc_id") -> dict[str, DataFrame]:
     ends = made.bodies.select(key, F.length("text").cast("bigint").alias("n_chars"))
     windows = staged(segment.kept_windows(made.body_spans, orgs, ends, key), "windows")
     located = staged(segment.located_titles(made.body_spans, windows, ends, named, key), "located")
-    segments = staged(segment.segment_titles(made.body_spans, made.bodies, orgs, named, key, located), "segments")
+    segments = staged(segment.segment_titles(made.body_spans, made.bodies, orgs, named, key, located, windows), "segments")
     shown = F.substring("_text", (F.col("start") + 1).cast("int"), (F.col("stop") - F.col("start")).cast("int"))
     texts = segments.where("start is not null").join(made.bodies.select(key, F.col("text").alias("_text")), key).select(key, F.concat_ws(".", "org_id", "item").alias("segment"), "item", shown.alias("text"))
     texts = staged(texts.where(F.trim("text") != ""), "segment-texts")
@@ -105,10 +98,11 @@ def titled(docs: DataFrame, key: str = "doc_id") -> dict[str, DataFrame]:
         "entities": segment_entities(texts, key),
         "subs": subs,
         "summary": segment.summary_titles(segments, orgs, windows, subs, located, key),
+        "losses": segment.losses_titled(named, located, key),
     }
 
 
 def segment_entities(texts: DataFrame, key: str = "doc_id") -> DataFrame:
     """key, segment, seq, label, text, start, end of what stands in each of texts (key, segment, text), with offsets from 0."""
     rows = texts.select(F.concat_ws("/", F.col(key).cast("string"), "segment").alias("_id"), key, "segment", "text")
-    return numbered(label(rows.select("_id", "text"), "_id"), rows.select("_id", "text"), "_id").join(rows.select("_id", key, "segment"), "_id").select(key, "segment", "seq", "label", "text", "start", "end")
+    return numbered(rows.select("_id", "text"), "_id").join(rows.select("_id", key, "segment"), "_id").select(key, "segment", "seq", "label", "text", "start", "end")

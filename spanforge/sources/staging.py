@@ -23,4 +23,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
         folder = sc.getCheckpointDir()
     path = f"{folder.rstrip('/')}/spanforge/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._spanforge_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables made by staged() that no result still reads."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._spanforge_path)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

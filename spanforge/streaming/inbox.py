@@ -1,7 +1,6 @@
 """A folder of Markdown issues as a stream: each new file is labelled and appended.
 
-Labelling needs windows within a document, which streams do not allow; every
-operator works document by document, so each micro-batch is labelled whole.
+Labelling works row by row.  Each micro-batch is written as a folder of its own.
 Files are read whole, so no document is split between batches.
 """
 

@@ -42,7 +42,7 @@ def test_line_offsets_are_code_points(spark):
 
 
 def test_heading_runs_break_at_stars(spark):
-    got = sorted((r.label, r.start, r.end, r.n_lines) for r in L.heading_runs(lines(docs(spark, "AAA BBB\nCCC\n*DDD*\nEee"))).collect())
+    got = sorted((r.label, r.start, r.end, r.n_lines) for r in L.heading_runs(docs(spark, "AAA BBB\nCCC\n*DDD*\nEee")).collect())
     assert got == [(O, 0, 11, 2), (O_, 12, 17, 1)]
 
 
@@ -69,8 +69,61 @@ def test_spans_never_overlap_and_cover_visible_lines(spark):
 
 
 def test_longest_first(spark):
-    rows = spark.createDataFrame([(0, "a", 0, 5, 0), (0, "b", 4, 20, 0), (0, "c", 18, 22, 0), (0, "d", 20, 22, 1)], "doc_id long, label string, start long, end long, rank int")
-    assert sorted(r.label for r in L.longest_first(rows).collect()) == ["b", "d"]
+    rows = spark.createDataFrame([([(0, 5, "a"), (4, 20, "b"), (18, 22, "c")], [(20, 22, "d")])], f"x {L.SPANS}, y {L.SPANS}")
+    assert [s.label for s in rows.select(L.resolved(F.col("x"), F.col("y")).alias("z")).first().z] == ["b", "d"]
+
+
+def greedy(*rules):
+    every = sorted((s - e, s, n, label, e) for n, rule in enumerate(rules) for s, e, label in rule)
+    kept = []
+    for less, s, _, label, e in every:
+        if all(k[1] <= s or k[0] >= e for k in kept):
+            kept.append((s, e, label))
+    return sorted(kept)
+
+
+def test_resolution_equals_greedy_over_all(spark):
+    rng = random.Random(8)
+
+    def drawn(n, wide):
+        return sorted((s := rng.randint(0, 900), s + rng.randint(1, wide), rng.choice("abc")) for _ in range(rng.randint(0, n)))
+
+    cases = [(drawn(9, 300), drawn(9, 60)) for _ in range(60)] + [(drawn(600, 4), drawn(40, 90)), ([], [])]
+    rows = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(cases)], f"i int, x {L.SPANS}, y {L.SPANS}")
+    got = [[tuple(s) for s in r.z] for r in rows.select("i", L.resolved(F.col("x"), F.col("y")).alias("z")).orderBy("i").collect()]
+    assert got == [greedy(a, b) for a, b in cases]
+
+
+def test_lines_beside_spans(spark):
+    rng = random.Random(9)
+    text = "\n".join("w" * rng.randint(1, 9) for _ in range(700))
+    ends = sorted(rng.sample(range(len(text)), 240))
+    spans = [(a, b, "x") for a, b in zip(ends[::2], ends[1::2], strict=True)]
+    rows = spark.createDataFrame([(text, spans), (text, spans[:1]), (text, [])], f"text string, x {L.SPANS}")
+    got = rows.select(L.beside(L.visible_lines(F.col("text")), F.col("x")).alias("z"), "x").collect()
+    lines_ = [(r.start, r.end) for r in lines(docs(spark, text)).orderBy("line_no").collect()]
+    for r in got:
+        assert [s.start for s in r.z] == [a for a, b in lines_ if not any(s.start < b and s.end > a for s in r.x)]
+
+
+def test_rows_that_repeat_a_key_are_labelled_alone(spark):
+    texts = ["AAA BBB\nCCC\n**a** **b**\nText one\ngoes on.", "*STAR*\nX.\n12 - 3", "AAA BBB\nCCC\n**a** **b**\nText one\ngoes on.", None, "lower\nUpper"]
+    alone = [spans_ for t in texts for spans_ in labelled(spark, t)]
+    for ids in ([1, 1, 1, 1, 1], [None, None, 7, 7, None]):
+        rows = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string")
+        assert sorted((r.label, r.start, r.end) for r in L.label(rows).collect()) == sorted(alone)
+
+
+def test_single_scan_without_shuffle(spark):
+    plan = L.label(docs(spark, "A\nb"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and plan.count("Scan") == 1
+
+
+def test_long_text_is_labelled_in_order(spark):
+    text = "\n".join(["AAA", "**t** one", "lower text", "Upper. ", "12 - 3", ""] * 900)
+    got = labelled(spark, text)
+    assert [x[0] for x in got] == [O, D, B, B, V.JUNK] * 900
+    assert [x[1:] for x in got[-5:]] == [(n + len(text) - 43, m + len(text) - 43) for n, m in ((0, 3), (4, 9), (14, 24), (25, 31), (33, 39))]
 
 
 def test_empty_and_null_documents(spark):
