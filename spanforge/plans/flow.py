@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from spanforge.functions.text import strip_bold
 from spanforge.operators import payload, relations, segment
 from spanforge.operators.labels import numbered
+from spanforge.sources.markdown import is_title_driven
 from spanforge.sources.staging import staged
 
 
@@ -59,7 +61,7 @@ def starred(docs: DataFrame, key: str = "doc_id") -> dict[str, DataFrame]:
     inner = staged(segment.segment_nested(made.body_spans, made.bodies, subs, key), "nested")
     counted = [key, "status", "n_docs", "n_missed", "n_slices", "top_found"]
     both = segments.withColumn("top_found", F.lit(None).cast("boolean")).select(*counted).unionByName(inner.select(*counted))
-    return {"relations": found, "items": items, "segments": segments, "nested": inner, "summary": segment.summary(both, key), "losses": segment.losses_starred(made.summary_spans, items, inner, key)}
+    return {"relations": found, "items": items, "segments": segments, "nested": inner, "bodies": made.bodies, "summary": segment.summary(both, key), "losses": segment.losses_starred(made.summary_spans, items, inner, key)}
 
 
 def slice_texts(rows: DataFrame, bodies: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -91,6 +93,7 @@ def titled(docs: DataFrame, key: str = "doc_id") -> dict[str, DataFrame]:
     subs = staged(segment.sub_slices(texts.drop("item"), texts.select(key, "segment", "item").join(allowed, [key, "item"]).drop("item"), key), "subs")
     return {
         "relations": found,
+        "bodies": made.bodies,
         "orgs": orgs,
         "items": items,
         "segments": segments,
@@ -106,3 +109,65 @@ def segment_entities(texts: DataFrame, key: str = "doc_id") -> DataFrame:
     """key, segment, seq, label, text, start, end of what stands in each of texts (key, segment, text), with offsets from 0."""
     rows = texts.select(F.concat_ws("/", F.col(key).cast("string"), "segment").alias("_id"), key, "segment", "text")
     return numbered(rows.select("_id", "text"), "_id").join(rows.select("_id", key, "segment"), "_id").select(key, "segment", "seq", "label", "text", "start", "end")
+
+
+RESULT = "org_no int, org string, org_status string, doc_no int, doc_name string, status string, confidence double, text string, entities array<struct<label:string,text:string,start:bigint,end:bigint>>, subs array<struct<title:string,headers:array<string>,text:string,start:bigint,end:bigint>>"
+
+
+def results(docs: DataFrame, key: str = "doc_id", name: str = "doc_id") -> DataFrame:
+    """Both kinds of issues in one table: key, series, and the columns of RESULT, a row for each document found or missing, or for an organisation without any.
+
+    A name tells the kind of an issue.  An issue whose contents name nothing (or
+    that has no text) is one row of the status invalid_payload.
+    """
+    by_title = F.coalesce(is_title_driven(name), F.lit(False))
+    parts = []
+    for series, rows, flow_ in (("II", docs.where(~by_title), starred), ("III", docs.where(by_title), titled)):
+        rows = rows.select(key, "text")
+        made = _shown_starred(flow_(rows, key), key) if series == "II" else _shown_titled(flow_(rows, key), key)
+        made = staged(made, "results")
+        none = rows.select(key).distinct().join(made.select(key).distinct(), key, "left_anti").withColumn("status", F.lit("invalid_payload"))
+        parts.append(made.unionByName(none, allowMissingColumns=True).withColumn("series", F.lit(series)))
+    out = parts[0].unionByName(parts[1])
+    return out.select(key, "series", *(F.col(c.split()[0]).cast(c.split(" ", 1)[1]).alias(c.split()[0]) for c in _columns(RESULT)))
+
+
+def _columns(schema: str) -> list[str]:
+    """The columns of a schema text; those within brackets belong to the one before."""
+    out, depth = [""], 0
+    for char in schema:
+        depth += (char == "<") - (char == ">")
+        if char == "," and not depth:
+            out.append("")
+        else:
+            out[-1] += char
+    return [c.strip() for c in out]
+
+
+def _shown_starred(made: dict[str, DataFrame], key: str) -> DataFrame:
+    """Slices of flat and nested segments, and organisations without one, in the columns of RESULT that they have."""
+    parts = []
+    for rows, by, org in ((made["segments"], ["item"], "org_text"), (made["nested"], ["item", "sub"], "sub_text")):
+        numbered_ = rows.withColumn("org_no", F.row_number().over(W.partitionBy(key).orderBy(*by))).withColumn("org", strip_bold(org)).withColumn("org_status", F.col("status"))
+        cut = slice_texts(numbered_, made["bodies"], key).select(key, "org_no", "org", "org_status", F.col("nth").alias("doc_no"), "doc_name", "status", "text")
+        empty = numbered_.where("n_slices = 0").select(key, "org_no", "org", "org_status", F.lit(None).cast("int").alias("doc_no"), F.lit(None).cast("string").alias("doc_name"), "status", F.lit("").alias("text"))
+        parts.append(cut.unionByName(empty))
+    return parts[0].unionByName(parts[1]).withColumn("confidence", F.lit(None).cast("double")).withColumn("entities", F.lit(None).cast("array<struct<label:string,text:string,start:bigint,end:bigint>>")).withColumn("subs", F.lit(None).cast("array<struct<title:string,headers:array<string>,text:string,start:bigint,end:bigint>>"))
+
+
+def _shown_titled(made: dict[str, DataFrame], key: str) -> DataFrame:
+    """Segments with their entities and sub-slices in the columns of RESULT."""
+    named = made["segments"].select("*", F.concat_ws(".", "org_id", "item").alias("segment"))
+    texts = made["texts"].select(key, "segment", "text")
+    entities = made["entities"].groupBy(key, "segment").agg(F.array_sort(F.collect_list(F.struct("seq", F.struct("label", "text", F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end")).alias("v"))))["v"].alias("entities"))
+    shown = F.substring("text", (F.col("start") + 1).cast("int"), (F.col("stop") - F.col("start")).cast("int"))
+    cut = made["subs"].join(texts, [key, "segment"]).select(key, "segment", "sub", F.struct("title", "headers", shown.alias("text"), F.col("start").cast("bigint").alias("start"), F.col("stop").cast("bigint").alias("end")).alias("v"))
+    subs = cut.groupBy(key, "segment").agg(F.array_sort(F.collect_list(F.struct("sub", "v")))["v"].alias("subs"))
+    rows = named.join(texts, [key, "segment"], "left").join(entities, [key, "segment"], "left").join(subs, [key, "segment"], "left")
+    orgs = made["orgs"].select(key, F.col("id").alias("org_id"), F.col("text").alias("org"))
+    whole = orgs.join(rows, [key, "org_id"], "left")
+    doc_no = F.when(F.col("item").isNotNull(), F.row_number().over(W.partitionBy(key, "org_id").orderBy("item")))
+    # An issue of one made-up organisation and no item has no contents.
+    return whole.where((F.col("org_id") != segment.NO_ORG_ID) | F.col("item").isNotNull()).select(
+        key, F.col("org_id").alias("org_no"), "org", F.lit(None).cast("string").alias("org_status"), doc_no.alias("doc_no"), F.col("title").alias("doc_name"), "status", "confidence", F.coalesce("text", F.lit("")).alias("text"), "entities", "subs"
+    )

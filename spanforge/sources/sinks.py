@@ -69,13 +69,19 @@ def org_files(segments: DataFrame, texts: DataFrame, prefix: str, key: str = "do
     return rows.select(key, name.alias("name"), body.alias("body"))
 
 
+def _org_of(rows: DataFrame) -> tuple[list[str], Column]:
+    """What tells an organisation apart in flat or nested segments and slices, and its name."""
+    nested = "sub" in rows.columns
+    return (["item", "sub"] if nested else ["item"]), F.col("sub_text" if nested and "sub_text" in rows.columns else "org_text")
+
+
 def doc_files(slices: DataFrame, prefix: str, key: str = "doc_id") -> DataFrame:
-    """key, name, body of a text file for each slice of an organisation: slices (key, item, org_text, nth, doc_name, text)."""
-    org = F.dense_rank().over(W.partitionBy(key).orderBy("item"))
+    """key, name, body of a text file for each slice of an organisation: slices (key, item, org_text or sub and sub_text, nth, doc_name, text), flat or nested; no two of a key have one name."""
+    by, org = _org_of(slices)
     number = lambda c: F.lpad(F.col(c).cast("string"), 3, "0")
-    rows = slices.withColumn("org", org)
-    name = F.concat(F.lit(f"{prefix}_ORG_"), number("org"), F.lit("_DOC_"), number("nth"), F.lit("_"), slug(plain_text("doc_name")), F.lit(".txt"))
-    body = F.concat(F.lit("DOC_BEGIN\nORG: "), strip_bold("org_text"), F.lit("\nDOC: "), F.col("doc_name"), F.lit("\n"), F.col("text"), F.lit("\nDOC_END\n"))
+    rows = slices.withColumn("_org", F.dense_rank().over(W.partitionBy(key).orderBy(*by)))
+    name = F.concat(F.lit(f"{prefix}_{'SUBORG' if len(by) > 1 else 'ORG'}_"), number("_org"), F.lit("_DOC_"), number("nth"), F.lit("_"), slug(plain_text("doc_name")), F.lit(".txt"))
+    body = F.concat(F.lit("DOC_BEGIN\nORG: "), strip_bold(org), F.lit("\nDOC: "), F.col("doc_name"), F.lit("\n"), F.col("text"), F.lit("\nDOC_END\n"))
     return rows.select(key, name.alias("name"), body.alias("body"))
 
 
@@ -118,35 +124,37 @@ def _listed(rows: DataFrame, by: list[str], order: str, html: Column, name: str)
 def results_html(segments: DataFrame, key: str = "doc_id", slices: DataFrame | None = None, entities: DataFrame | None = None, subs: DataFrame | None = None, summary: DataFrame | None = None) -> DataFrame:
     """key, html: the counters, organisations with their status, their documents, and of each its entities and sub-slices, in order, every value escaped.
 
-    segments (key, item, org_text, status); slices (key, item, nth, doc_name,
-    text); entities (key, item, nth, label, text, start, end); subs (key, item,
-    nth, sub, title, headers, text); summary (key and counters).
+    segments (key, item, org_text, status) and slices (key, item, nth, doc_name,
+    text), or nested ones with sub and sub_text; entities (the slices' key, item,
+    sub and nth; label, text, start, end); subs (the same; part, title, headers,
+    text); summary (key and counters).
     """
-    e = lambda c: html_escape(F.coalesce(F.col(c).cast("string"), F.lit("")))
+    e = lambda c: html_escape(F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")))
     two = lambda c: F.lpad(F.col(c).cast("string"), 2, "0")
-    orgs = segments.select(key, "item", "org_text", "status", F.row_number().over(W.partitionBy(key).orderBy("item")).alias("i"))
+    own, name = _org_of(segments)
+    orgs = segments.select(key, *own, name.alias("org_text"), "status", F.row_number().over(W.partitionBy(key).orderBy(*own)).alias("i"))
     rows = orgs.withColumn("docs", F.lit(None).cast("string"))
     if slices is not None:
-        by = [key, "item", "nth"]
-        one = slices.select(*by, "doc_name", "text").join(orgs.select(key, "item", "i"), [key, "item"])
+        by = [key, *own, "nth"]
+        one = slices.select(*by, "doc_name", "text").join(orgs.select(key, *own, "i"), [key, *own])
         if entities is not None:
             entry = F.concat(F.lit("<li><code>"), e("label"), F.lit("</code> — "), e("text"), F.lit(" <small>["), F.col("start").cast("string"), F.lit(":"), F.col("end").cast("string"), F.lit("]</small></li>"))
             one = one.join(_listed(entities, by, "start", entry, "ents"), by, "left")
         if subs is not None:
             heads = F.array_join(F.transform("headers", lambda h: F.concat(F.lit("<li>"), html_escape(h), F.lit("</li>"))), "")
-            named = subs.join(orgs.select(key, "item", "i"), [key, "item"])
+            named = subs.join(orgs.select(key, *own, "i"), [key, *own])
             entry = F.concat(
-                F.lit("<h5>"), two("i"), F.lit("."), two("nth"), F.lit("."), two("sub"), F.lit(" — "), e("title"), F.lit("</h5>"),
+                F.lit("<h5>"), two("i"), F.lit("."), two("nth"), F.lit("."), two("part"), F.lit(" — "), e("title"), F.lit("</h5>"),
                 F.when(F.size("headers") > 0, F.concat(F.lit(f"<p><strong>{HEADERS}</strong></p><ul>"), heads, F.lit("</ul>"))).otherwise(""),
                 F.lit("<pre>"), e("text"), F.lit("</pre>"),
             )
-            one = one.join(_listed(named, by, "sub", entry, "parts"), by, "left")
+            one = one.join(_listed(named, by, "part", entry, "parts"), by, "left")
         shown = [F.lit("<h3>"), two("i"), F.lit("."), two("nth"), F.lit(" — "), e("doc_name"), F.lit(f"</h3><details open><summary>{WHOLE}</summary><pre>"), e("text"), F.lit("</pre></details>")]
         if entities is not None:
             shown.append(F.coalesce(F.concat(F.lit(f"<details><summary>{ENTITIES}</summary><ul>"), F.col("ents"), F.lit("</ul></details>")), F.lit("")))
         parts = F.concat(F.lit(f"<h4>{SUBS}</h4>"), F.col("parts")) if subs is not None else F.lit(None).cast("string")
         shown.append(F.coalesce(parts, F.lit(f"<p><em>{NO_SUBS}</em></p>")))
-        rows = orgs.join(_listed(one, [key, "item"], "nth", F.concat(*shown), "docs"), [key, "item"], "left")
+        rows = orgs.join(_listed(one, [key, *own], "nth", F.concat(*shown), "docs"), [key, *own], "left")
     body = F.concat(F.lit("<h2>"), two("i"), F.lit(". "), e("org_text"), F.lit(" <small>["), e("status"), F.lit("]</small></h2>"), F.coalesce("docs", F.lit(f"<p><em>{NO_DOCS}</em></p>")))
     out = _listed(rows, [key], "i", body, "body")
     head = F.lit("")

@@ -85,3 +85,25 @@ def test_nested_flow(spark):
     assert (out["summary"].first().orgs_total, out["summary"].first().org_ok) == (2, 2)
     made = flow.slice_texts(out["nested"], flow.labelled_parts(docs(spark, f"**Sumário**\n{body}\n{body}")).bodies)
     assert {r.doc_name: r.text.split("\n")[0] for r in made.collect()} == {"Despacho um": "CAMARA UM", "Despacho dois": "CAMARA DOIS"}
+
+
+def test_mixed_issues_in_one_table(spark):
+    flat = FLAT.replace("**CAMARA UM**", "CAMARA UM").replace("**CAMARA  UM**", "CAMARA  UM")
+    rows = [("IISerie-001-2003", flat), ("IIISerie-015-2003", TITLED), ("IISerie-002", "nada"), ("IIISerie-002", None), ("notes", flat.replace("UM", "DOIS"))]
+    got = flow.results(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert {(r.doc_id, r.series, r.status) for r in got} == {
+        ("IISerie-001-2003", "II", "ok"), ("notes", "II", "ok"), ("IIISerie-015-2003", "III", "doc_type_segment"), ("IISerie-002", "II", "invalid_payload"), ("IIISerie-002", "III", "invalid_payload"),
+    }
+    docs_ = sorted((r.org, r.doc_no, r.doc_name) for r in got if r.series == "II" and r.status == "ok")
+    assert docs_ == [("CAMARA DOIS", 1, "Despacho n.o 1"), ("CAMARA DOIS", 2, "Despacho n.o 2"), ("CAMARA UM", 1, "Despacho n.o 1"), ("CAMARA UM", 2, "Despacho n.o 2")]
+    (row,) = [r for r in got if r.status == "doc_type_segment"]
+    assert row.confidence == 1.0 and row.entities and "Corpo do aviso." in row.text and len(row.subs) == 1
+
+
+def test_losses(spark):
+    body = "**TOPO GERAL**\n**Sem dono**\nCAMARA UM\n**Despacho um**\nTexto.\nCAMARA DOIS\n**Despacho dois**\nTexto dois."
+    out = flow.starred(docs(spark, f"**Sumário**\n{body}\n**TOPO GERAL**\nCAMARA UM\n**Despacho um**\nTexto."))
+    got = {(r.reason, r.name) for r in out["losses"].collect()}
+    assert got == {("before_org", "**Sem dono**"), ("org_missing", "**Despacho dois**")}
+    counts = out["summary"].first()
+    assert (counts.org_ok, counts.org_ok_ref, counts.docs_expected, counts.docs_matched, counts.org_missing) == (1, 0, 2, 1, 1)

@@ -55,7 +55,7 @@ def test_results_page(spark):
     segments = spark.createDataFrame([(0, 0, "<A>", "ok"), (0, 1, "B", "org_missing")], "doc_id long, item int, org_text string, status string")
     slices = spark.createDataFrame([(0, 0, 1, "T&t", "corpo <x>"), (0, 0, 2, "U", "fim")], "doc_id long, item int, nth int, doc_name string, text string")
     entities = spark.createDataFrame([(0, 0, 1, "ORG_LABEL", "CAMARA", 3, 9)], "doc_id long, item int, nth int, label string, text string, start long, end long")
-    subs = spark.createDataFrame([(0, 0, 1, 1, "Sub", ["h1", "h<2>"], "parte")], "doc_id long, item int, nth int, sub int, title string, headers array<string>, text string")
+    subs = spark.createDataFrame([(0, 0, 1, 1, "Sub", ["h1", "h<2>"], "parte")], "doc_id long, item int, nth int, part int, title string, headers array<string>, text string")
     summary = spark.createDataFrame([(0, 2, 1)], "doc_id long, orgs_total int, org_ok int")
     html = sinks.results_html(segments, "doc_id", slices, entities, subs, summary).first().html
     order = ["orgs_total=2, org_ok=1", "01. &lt;A&gt; <small>[ok]", "01.01 — T&amp;t", "corpo &lt;x&gt;", "<code>ORG_LABEL</code> — CAMARA <small>[3:9]", "01.01.01 — Sub", "<li>h&lt;2&gt;</li>", "<pre>parte</pre>", "01.02 — U", sinks.NO_SUBS, "02. B <small>[org_missing]", sinks.NO_DOCS]
@@ -66,6 +66,18 @@ def test_results_page(spark):
     assert 'a <mark style="background:#6e77b8" title="ORG_LABEL">&lt;b&gt;</mark> c</body>' in got[0] and "none &amp; all</body>" in got[1]
 
 
+def test_nested_page_and_files(spark):
+    """Each nested slice is shown once, and has a name of its own."""
+    nested = spark.createDataFrame([(0, 3, 0, "CAMARA UM", "ok"), (0, 3, 1, "CAMARA DOIS", "ok"), (0, 4, 0, "OUTRA", "org_missing")], "doc_id long, item int, sub int, sub_text string, status string")
+    slices = spark.createDataFrame([(0, 3, 0, "CAMARA UM", 1, "Doc", "texto um"), (0, 3, 1, "CAMARA DOIS", 1, "Doc", "texto dois")], "doc_id long, item int, sub int, sub_text string, nth int, doc_name string, text string")
+    entities = spark.createDataFrame([(0, 3, 1, 1, "ORG_LABEL", "AQUI", 0, 4)], "doc_id long, item int, sub int, nth int, label string, text string, start long, end long")
+    subs = spark.createDataFrame([(0, 3, 1, 1, 1, "Parte", ["h"], "resto")], "doc_id long, item int, sub int, nth int, part int, title string, headers array<string>, text string")
+    html = sinks.results_html(nested, "doc_id", slices, entities, subs).first().html
+    assert [html.count(x) for x in ("texto um", "texto dois", "AQUI", "resto", "01.01 — Doc", "02.01 — Doc", "02.01.01 — Parte", "03. OUTRA")] == [1] * 8
+    names = [r.name for r in sinks.doc_files(slices, "x").collect()]
+    assert sorted(names) == ["x_SUBORG_001_DOC_001_Doc.txt", "x_SUBORG_002_DOC_001_Doc.txt"]
+
+
 def test_contents(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({"items": [{"paragraph_id": 0, "org": {"text": "A", "label": "x"}, "docs": []}]}), encoding="utf-8")
     row = markdown.contents(spark, str(tmp_path)).first()
