@@ -20,10 +20,11 @@ ln a is the sum of two table rows.
 
 Defined cases: a null text is empty; a text without words has the empty
 signature's fixed value, which is equal among such texts and has no likeness to
-others; a very long text is drawn from whole, some of its terms at a time; a
-table of one document has itself as its next; equal doc_ids follow in the order
-of a digest of their text, then of the text; null doc_ids come first; an empty
-table gives no rows; extra columns are not read.
+others; of terms with equal ln a the one of the least hash is drawn; a very long
+text is drawn from whole, some of its terms at a time; a table of one document
+has itself as its next; equal doc_ids follow in the order of a digest of their
+text, then of the text; null doc_ids come first; an empty table gives no rows;
+extra columns are not read.
 """
 
 from __future__ import annotations
