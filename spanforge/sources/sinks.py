@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -85,14 +85,34 @@ def doc_files(slices: DataFrame, prefix: str, key: str = "doc_id") -> DataFrame:
     return rows.select(key, name.alias("name"), body.alias("body"))
 
 
-def write_markdown(docs: DataFrame, path: str, key: str = "doc_id") -> None:
-    """Add the texts of docs (key, text) that are not in path yet, as rows of name and text."""
-    rows = docs.select(F.concat(F.col(key).cast("string"), F.lit(".md")).alias("name"), "text")
+#: Partitions of the Markdown sink by a hash of the name.
+BUCKETS = 256
+MARKDOWN = "name string, text string, bucket int, batch string"
+
+
+def write_markdown(docs: DataFrame, path: str, key: str = "doc_id", batch: str = "0") -> None:
+    """Add the texts of docs (key, text) that no other batch has written to path, as rows of name and text in partitions by bucket and batch.
+
+    A batch that runs again, after it was lost or with other texts, replaces its
+    own partitions and nothing else.  Names written before are looked up in the
+    buckets of the batch only.  Batches may run side by side; if two write one
+    name, read_markdown() takes that of the lesser batch.
+    """
     spark = docs.sparkSession
+    rows = docs.select(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(".md")).alias("name"), "text")
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("name"), F.lit(BUCKETS)).cast("int")).withColumn("batch", F.lit(batch))
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     if folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder):
-        rows = rows.join(spark.read.schema("name string, text string").parquet(path).select("name"), "name", "left_anti")
-    rows.select("name", "text").write.mode("append").parquet(path)
+        wanted = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # at most BUCKETS
+        there = spark.read.schema(MARKDOWN).parquet(path).where(F.col("bucket").isin(wanted) & (F.col("batch") != batch))
+        rows = rows.join(there.select("bucket", "name"), ["bucket", "name"], "left_anti")
+    rows.select("name", "text", "bucket", "batch").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(path)
+
+
+def read_markdown(spark: SparkSession, path: str) -> DataFrame:
+    """name, text of what write_markdown() has written."""
+    rows = spark.read.schema(MARKDOWN).parquet(path)
+    return rows.groupBy("bucket", "name").agg(F.min_by("text", "batch").alias("text")).select("name", "text")
 
 
 def spans_html(spans: DataFrame, texts: DataFrame, key: str = "doc_id") -> DataFrame:

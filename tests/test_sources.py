@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import json
 
+import pytest
+from pyspark.sql import functions as F
 
 from spanforge.operators import payload, relations
 from spanforge.sources import markdown, sinks
@@ -48,7 +50,23 @@ def test_files_and_markdown_sink(spark, tmp_path):
     assert (doc.name, doc.body) == ("serie_ORG_001_DOC_002_Aviso_n.o_1.txt", "DOC_BEGIN\nORG: Camara UM\nDOC: Aviso n.o 1\ncorpo\nDOC_END\n")
     for _ in range(2):
         sinks.write_markdown(texts, f"{tmp_path}/md")
-    assert [tuple(r) for r in spark.read.parquet(f"{tmp_path}/md").collect()] == [("0.md", "bloco: resto")]
+    assert [tuple(r) for r in sinks.read_markdown(spark, f"{tmp_path}/md").collect()] == [("0.md", "bloco: resto")]
+
+
+def test_markdown_batches_replace_themselves(spark, tmp_path):
+    path = f"{tmp_path}/md"
+    table = lambda *rows: spark.createDataFrame(list(rows), "doc_id string, text string")
+    sinks.write_markdown(table(("a", "one"), ("b/c", "two")), path, batch="1")
+    sinks.write_markdown(table(("b/c", "again"), ("d", "three")), path, batch="2")  # what another batch has stays
+    broken = table(("e", "x"), ("f", "y")).withColumn("text", F.when(F.col("doc_id") == "f", F.raise_error(F.lit("lost"))).otherwise(F.col("text")))
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_markdown(broken, path, batch="3")
+    want = {"a.md": "one", "b/c.md": "two", "d.md": "three"}
+    assert {r.name: r.text for r in sinks.read_markdown(spark, path).collect()} == want
+    sinks.write_markdown(table(("e", "x"), ("f", "y")), path, batch="3")  # the lost batch runs again
+    sinks.write_markdown(table(("b/c", "again"), ("d", "other")), path, batch="2")
+    assert {r.name: r.text for r in sinks.read_markdown(spark, path).collect()} == want | {"d.md": "other", "e.md": "x", "f.md": "y"}
+    assert spark.read.parquet(path).count() == 5
 
 
 def test_results_page(spark):
