@@ -96,3 +96,9 @@ def test_points_within_ranges(spark):
     ranges = spark.createDataFrame([(0, 3, 9, "a"), (0, 9, 10, "b"), (0, 30, 36, "c"), (None, 0, 9, "d")], "doc_id long, start long, stop long, name string")
     got = sorted((r.name, r._name) for r in S.within(points, ranges, "doc_id", kept=["name"]).where("_name is not null").collect())
     assert got == [("p3", "a"), ("p30", "c"), ("p33", "c"), ("p6", "a"), ("p9", "b"), ("y", "d")]
+
+
+def test_titles_at_one_start_are_one_place(spark):
+    wanted = spark.createDataFrame([(0, 1, "Alpha"), (0, 2, "Beta x"), (0, 3, "Gamma rays"), (0, 4, "Delta")], "doc_id long, item long, title string")
+    titles = spark.createDataFrame([(0, 5, "Alpha"), (0, 5, "BETAX"), (0, 5, "Gamma ray"), (0, 9, "D e l t a"), (0, 9, "Gamma ray")], "doc_id long, start long, title string")
+    assert [(r.item, r.start) for r in S.title_matches(wanted, titles).orderBy("item").collect()] == [(1, 5), (4, 9)]
