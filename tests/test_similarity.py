@@ -102,3 +102,18 @@ def test_titles_at_one_start_are_one_place(spark):
     wanted = spark.createDataFrame([(0, 1, "Alpha"), (0, 2, "Beta x"), (0, 3, "Gamma rays"), (0, 4, "Delta")], "doc_id long, item long, title string")
     titles = spark.createDataFrame([(0, 5, "Alpha"), (0, 5, "BETAX"), (0, 5, "Gamma ray"), (0, 9, "D e l t a"), (0, 9, "Gamma ray")], "doc_id long, start long, title string")
     assert [(r.item, r.start) for r in S.title_matches(wanted, titles).orderBy("item").collect()] == [(1, 5), (4, 9)]
+
+
+def test_sets_are_confirmed_after_the_join(spark):
+    """The confirmation is no condition of the join, where it came before the cheap ones and was worked out for all that met."""
+    a = spark.createDataFrame([(0, "abcdefgh")], "i int, a string")
+    b = spark.createDataFrame([(0, "abcdefgh")], "j int, b string")
+    joins = [x for x in X.similar_pairs(a, b)._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join Inner" in x]
+    assert len(joins) == 1 and "bit_count" in joins[0] and "regexp_extract_all" not in joins[0]
+
+
+def test_a_join_by_key_broadcasts_nothing(spark):
+    """Rows of long letters, one for each token and all in the driver, were more than it holds."""
+    rows = spark.createDataFrame([(0, "abcdefgh")], "doc long, a string")
+    plan = X.similar_pairs(rows, rows.withColumnRenamed("a", "b"), "doc")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan and "posexplode" not in plan
