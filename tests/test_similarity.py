@@ -109,7 +109,7 @@ def test_sets_are_confirmed_after_the_join(spark):
     a = spark.createDataFrame([(0, "abcdefgh")], "i int, a string")
     b = spark.createDataFrame([(0, "abcdefgh")], "j int, b string")
     joins = [x for x in X.similar_pairs(a, b)._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join Inner" in x]
-    assert len(joins) == 1 and "bit_count" in joins[0] and "regexp_extract_all" not in joins[0]
+    assert len(joins) == 1 and "bit_count" in joins[0] and "regexp_extract_all" not in joins[0] and "array_intersect" not in joins[0]
 
 
 def test_a_join_by_key_broadcasts_nothing(spark):
@@ -117,3 +117,15 @@ def test_a_join_by_key_broadcasts_nothing(spark):
     rows = spark.createDataFrame([(0, "abcdefgh")], "doc long, a string")
     plan = X.similar_pairs(rows, rows.withColumnRenamed("a", "b"), "doc")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" not in plan and "posexplode" not in plan
+
+
+@pytest.mark.parametrize("few", [0, 40, 10**6])
+def test_contained_pairs_of_small_and_large_keys(spark, monkeypatch, few):
+    """Each with each in small keys, the index in large ones: the same pairs."""
+    monkeypatch.setattr(X, "FEW", few)
+    rng = random.Random(5)
+    a = {(k, words(rng, rng.randint(1, 12), "ab")) for k, n in ((0, 8), (1, 40)) for _ in range(n)} | {(None, "abc")}
+    b = {(k, s + "b") for k, s in a} | {(k, s[1:]) for k, s in a} | a
+    left, right = (spark.createDataFrame(sorted(x, key=repr), "doc_id long, letters string") for x in (a, b))
+    got = sorted((r.doc_id, r.a, r.b, round(r.ratio, 9)) for r in X.contained_pairs(left, right, "doc_id").collect())
+    assert got == sorted((k, s, t, round(min(len(s), len(t)) / max(len(s), len(t)), 9)) for k, s in a for m, t in b if k is not None and k == m and s and t and (s in t or t in s) and min(len(s), len(t)) >= 0.8 * max(len(s), len(t)))
