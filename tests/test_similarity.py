@@ -129,3 +129,13 @@ def test_contained_pairs_of_small_and_large_keys(spark, monkeypatch, few):
     left, right = (spark.createDataFrame(sorted(x, key=repr), "doc_id long, letters string") for x in (a, b))
     got = sorted((r.doc_id, r.a, r.b, round(r.ratio, 9)) for r in X.contained_pairs(left, right, "doc_id").collect())
     assert got == sorted((k, s, t, round(min(len(s), len(t)) / max(len(s), len(t)), 9)) for k, s in a for m, t in b if k is not None and k == m and s and t and (s in t or t in s) and min(len(s), len(t)) >= 0.8 * max(len(s), len(t)))
+
+
+def test_best_windows_compare_a_text_once(spark):
+    """Organisations that share a text are not each paired with every window, and not sorted where they were read."""
+    orgs = spark.createDataFrame([(0, 1, "large ring"), (0, 2, "large ring"), (0, 3, "none"), (0, 4, None), (1, 1, "large ring")], "doc_id long, id long, text string")
+    windows = spark.createDataFrame([(0, 7, "ring"), (0, 8, "large"), (0, 9, "the large ring"), (1, 2, "bolt")], "doc_id long, idx long, name string")
+    found = S.best_windows(orgs, windows)
+    assert sorted((r.doc_id, r.id, r.idx, r.status) for r in found.collect()) == [(0, 1, 9, "org_anchored"), (0, 2, 9, "org_anchored"), (0, 3, 7, "org_unanchored"), (0, 4, 7, "org_unanchored"), (1, 1, 2, "org_unanchored")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 3 and "RepartitionByExpression [doc_id" in plan
