@@ -86,3 +86,14 @@ def test_table_rows_and_caps(spark):
 def test_escape_and_slug(spark):
     assert values(spark, T.html_escape("s"), ["<a href=\"x\">&'"]) == ["&lt;a href=&quot;x&quot;&gt;&amp;&#x27;"]
     assert values(spark, T.slug("s"), ["a b/ç"]) == ["a_b_ç"]
+
+
+def test_strip_takes_what_the_pattern_takes(spark):
+    """Every character of the basic plane (surrogates aside), at both ends; and no search through the text."""
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([(f"{chr(i)} a {chr(i)}b{chr(i)}\n",) for i in range(0x10000) if not 0xD800 <= i < 0xE000], "c string")
+    old = F.regexp_replace("c", r"(?U)^\s+|\s+$", "")
+    assert rows.where(T.strip("c") != old).count() == 0
+    assert rows.where(T.collapse_spaces("c") != F.regexp_replace(F.regexp_replace("c", r"(?U)\s+", " "), r"(?U)^\s+|\s+$", "")).count() == 0
+    assert "regexp" not in T.strip("c")._jc.toString()
