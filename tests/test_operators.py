@@ -180,6 +180,31 @@ def test_modes(spark):
     assert (V.TITLE_PARAGRAPH, 2, 4) not in kinds(R.relations_by_title(spans(spark, [M_, D, P, P])))
 
 
+def plan_of(df):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+
+
+def test_title_relations_copy_no_spans(spark):
+    plan = plan_of(R.relations_by_title(spans(spark, [O, M_, D, P, P])))
+    assert plan.count("Generate") == 0 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_sub_slices_label_texts_once(spark):
+    segments = spark.createDataFrame([(0, "a", "x\n**Um titulo**\ny")], "doc_id long, segment string, text string")
+    none = segments.select("doc_id", "segment", F.lit(0).alias("ord"), F.lit("").alias("title")).limit(0)
+    out = S.sub_slices(segments, none)
+    assert "Generate" not in plan_of(out)
+    assert [(r.title, r.start, r.stop) for r in out.collect()] == [("Um titulo", 15, 17)]
+
+
+def test_windows_of_a_name_are_compared_once(spark):
+    orgs = spark.createDataFrame([(0, 1, "A B"), (0, 2, "none")], "doc_id long, id int, text string")
+    windows = spark.createDataFrame([(0, i, "C" if i < 2 else "A B") for i in range(9)], "doc_id long, idx int, name string")
+    first = S.first_of_names(windows)
+    assert first.count() == 2
+    assert {(r.id, r.idx, r.score) for r in S.best_windows(orgs, first).collect()} == {(1, 2, 1.0), (2, 0, 0.0)}
+
+
 def test_items(spark):
     flat = Y.items_by_star(R.relations_by_star(spans(spark, [O, D, D], ["A", "x", "y"]))).first()
     assert (flat.org.text, [d.text for d in flat.docs], flat.top_org) == ("A", ["x", "y"], None)
