@@ -189,6 +189,31 @@ def test_title_relations_copy_no_spans(spark):
     assert plan.count("Generate") == 0 and plan.count("Exchange hashpartitioning") == 1
 
 
+def test_items_of_stars_read_relations_once(spark):
+    plan = plan_of(Y.items_by_star(R.relations_by_star(spans(spark, [O_, O, D, B]))))
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_next_text_is_that_of_the_block(spark):
+    got = kinds(R.relations_by_star(spans(spark, [D, P, O, D, O, B, O_, D, B, O, D, P, B])))
+    assert got == [(V.TITLE_BODY, 1, 2), (V.ORG_TITLE, 3, 4), (V.STAR_ORG, 7, 10), (V.ORG_TITLE, 10, 11), (V.TITLE_BODY, 11, 12), (V.TITLE_BODY, 11, 13)]
+
+
+def test_merges_keep_what_stands_between(spark):
+    rows = spans(spark, [O, O, O, O], ["A-B ", "**C**", "D", "E"])
+    text = spark.createDataFrame([(0, "A-B  **C**;D:E")], "doc_id long, text string")
+    rows = rows.withColumn("start", F.expr("element_at(array(0L, 5L, 11L, 13L), seq)")).withColumn("end", F.expr("element_at(array(4L, 10L, 12L, 14L), seq)"))
+    wanted = spark.createDataFrame([(0, "ABCD"), (0, "E")], "doc_id long, org_key string")
+    got = [(r.start, r.end, r.width, r.org_key, r.text) for r in S.coalesced_anchors(rows, text, wanted).orderBy("start").collect()]
+    assert got == [(0, 12, 3, "ABCD", "A-B  **C**;D"), (13, 14, 1, "E", "E")]
+
+
+def test_nested_steps_are_written_once(spark):
+    rows = spans(spark, [O_, O, B], ["TOPO", "SUB", "x"])
+    items = spark.createDataFrame([(0, 0, "TOPO", 0, "SUB", ["a"])], "doc_id long, item int, top_text string, sub int, sub_text string, docs array<string>")
+    assert plan_of(S.segment_nested(rows, text_of(rows), items)).count("Window [") <= 3
+
+
 def test_sub_slices_label_texts_once(spark):
     segments = spark.createDataFrame([(0, "a", "x\n**Um titulo**\ny")], "doc_id long, segment string, text string")
     none = segments.select("doc_id", "segment", F.lit(0).alias("ord"), F.lit("").alias("title")).limit(0)
